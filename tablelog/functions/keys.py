@@ -123,16 +123,24 @@ def profile_keys(df: DataFrame, key: NullSafeKey, hot_rows: int = HOT_ROWS) -> K
             F.sum("size").alias("size"),
         )
     )
-    row = sketches.agg(
-        F.expr(
-            f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_COUNTERS}), {HOT_SHARE})"
-        ).alias("top"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
-    ).first()
+    # Grouped by a constant: sketches of an empty batch cannot be combined, but no rows
+    # then means no group.
+    row = (
+        sketches.groupBy(F.lit(0).alias("all"))
+        .agg(
+            F.expr(
+                f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_COUNTERS}), {HOT_SHARE})"
+            ).alias("top"),
+            F.sum("n").alias("n"),
+            F.sum("size").alias("size"),
+        )
+        .first()
+    )
+    if row is None:
+        return KeyProfile(0, 0, ())
     hot = tuple(
         t["item"]
-        for t in row["top"] or ()
+        for t in row["top"]
         if t["count"] >= hot_rows and t["count"] * HOT_SHARE >= row["n"]
     )
     return KeyProfile(row["n"], row["size"], hot)
