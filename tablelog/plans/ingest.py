@@ -45,7 +45,7 @@ class Source:
     merge: str = "append"
     merge_params: Mapping[str, Any] = field(default_factory=dict)
     coalesce: int = 0
-    # Keep the parsed batch on the executors: merges read its keys once more.
+    # Keep the parsed file on the executors: the gate and the merge read it more than once.
     persist: bool = False
 
 
@@ -118,12 +118,15 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
         return known
     log.info("Ingesting %s into %s", task.data_to_ingest, task.data_dir)
     raw = read_source(spark, source, task.data_to_ingest, vocab)
-    checked = reject_corrupt(raw, vocab.corrupt_record, eager=False)
-    named = checked if source.kind == "generic" and source.schema else normalise_columns(checked)
-    batch = preprocess(named, source.preprocess, source.preprocess_engine)
     if source.persist:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # A merge reads every row, so the check can ride along; the user's SQL may skip some.
+        eager = source.persist or bool(source.preprocess)
+        checked = reject_corrupt(raw, vocab.corrupt_record, eager)
+        declared = source.kind == "generic" and source.schema
+        named = checked if declared else normalise_columns(checked)
+        batch = preprocess(named, source.preprocess, source.preprocess_engine)
         rows = merge_with_existing(
             batch,
             merge_strategy(source.merge, vocab=vocab, **source.merge_params),
@@ -147,7 +150,7 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
         raise
     finally:
         if source.persist:
-            batch.unpersist()
+            raw.unpersist()
 
 
 def ingest_all(spark: SparkSession, tasks: Iterable[IngestTask]) -> list[CommitRecord]:

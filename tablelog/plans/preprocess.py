@@ -31,7 +31,7 @@ def preprocess(df: DataFrame, steps: Sequence[Step], engine: str | None = ENGINE
     views: list[str] = []
 
     def register(frame: DataFrame, name: str) -> None:
-        frame.createTempView(name)
+        frame.createTempView("`" + name.replace("`", "``") + "`")
         views.append(name)
 
     try:

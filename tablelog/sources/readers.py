@@ -66,16 +66,22 @@ def reject_corrupt(
     """Fail if any record is corrupt, else drop the corrupt column.
 
     ``eager`` reads the data once now, stops at the first 20 bad records and shows them.
-    Otherwise the check travels with the plan and stops whichever job reads the data, so
-    clean input is parsed no extra time.
+    Otherwise the check travels with the plan and stops whichever job reads a bad record,
+    so clean input is parsed no extra time; use that only where all rows are read anyway.
     """
     if corrupt_column not in df.columns:
         return df
     if eager:
         show_corrupt(df, corrupt_column)
         return df.drop(corrupt_column)
-    fail = F.raise_error(F.concat(F.lit("Corrupt records detected:\n"), ref(corrupt_column)))
-    clean = F.when(ref(corrupt_column).isNotNull(), fail.cast("boolean")).otherwise(F.lit(True))
+    # A parser only notices bad values in columns it is asked for, so all are referenced;
+    # and nothing may be filtered out before the check, so it is no pure function of the row.
+    everything = F.to_json(F.struct(*map(ref, df.columns)))
+    fail = F.raise_error(
+        F.concat(F.lit("Corrupt records detected:\n"), F.coalesce(ref(corrupt_column), everything))
+    )
+    bad = ref(corrupt_column).isNotNull() & (F.spark_partition_id() >= 0)
+    clean = F.when(bad, fail.cast("boolean")).otherwise(F.lit(True))
     return df.filter(clean).drop(corrupt_column)
 
 
