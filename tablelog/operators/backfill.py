@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelog.functions.columns import (
+    as_epoch,
     comparable,
+    from_epoch,
     ref,
     reject_reserved,
     time_literal,
@@ -45,14 +47,13 @@ def backfill_history(
     _check_dumps(dumps, keys, time_column, [time_literal(t, kind) for t in times])
 
     # One row per dump, as many as the caller listed.
-    stamp = "timestamp_ntz" if kind.typeName() == "timestamp_ntz" else "timestamp"
     calendar = dumps.sparkSession.createDataFrame(
         [
-            (now, before, after)
-            for before, now, after in zip([None, *times], times, [*times[1:], None])
+            tuple(None if t is None else as_epoch(t) for t in around)
+            for around in zip([None, *times], times, [*times[1:], None])
         ],
-        f"now {stamp}, before {stamp}, after {stamp}",
-    )
+        "before bigint, now bigint, after bigint",
+    ).select(*[from_epoch(n, kind).alias(n) for n in ("before", "now", "after")])
     rows = dumps.select(
         *keys.columns,
         ref(time_column).alias("now"),
