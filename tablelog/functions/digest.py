@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tablelog.functions.columns import ref
 
-# Fixed values of the digest format: four lanes of 15 hex digits (60 bits) per row.
-LANES = 4
+# Fixed values of the digest format: two lanes of 15 hex digits (60 bits) per row.
+LANES = 2
 LANE_DIGITS = 15
 _JSON = {
     "ignoreNullFields": "false",

@@ -26,8 +26,8 @@ SKETCH_COUNTERS = 16_384
 SKETCH_GROUPS = 256
 # How many pieces a hot key is split into.
 SALTS = 128
-# Largest key set, as counted, that is broadcast.
-BROADCAST_BYTES = 32 << 20
+# Largest key set, as counted, that is broadcast; below Spark's own default of 10 MB.
+BROADCAST_BYTES = 8 << 20
 # Memory a broadcast row takes besides its variable-length key bytes.
 ROW_OVERHEAD = 64
 

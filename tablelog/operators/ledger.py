@@ -50,8 +50,7 @@ def ledger_merge(
     seen = merged.prev.select(*keys.columns)
     on = keys.names
     if profile.key_bytes <= broadcast_bytes:
-        wanted = batch.select(*on).distinct()
-        seen = seen.join(F.broadcast(wanted), on, "left_semi").distinct()
+        seen = seen.join(F.broadcast(batch.select(*on)), on, "left_semi").distinct()
         # At most the batch's own distinct keys, so under the same bound.
         fresh = batch.join(F.broadcast(seen), on, "left_anti")
     else:

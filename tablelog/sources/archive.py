@@ -13,6 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 MEMBERS = "path string, member string, content binary"
+# Unpacked bytes collected before they are handed to Spark.
+_BATCH_BYTES = 8 << 20
+_ROW_BYTES = 256
 
 
 def archive_members(
@@ -39,6 +42,8 @@ def _expand(
     batches: Iterator[pd.DataFrame], pattern: str | None, bz2: bool
 ) -> Iterator[pd.DataFrame]:
     wanted = re.compile(pattern) if pattern is not None else None
+    pending: list[tuple[str, str, bytes]] = []
+    held = 0
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             raw = io.BytesIO(bzip2.decompress(content) if bz2 else content)
@@ -46,11 +51,15 @@ def _expand(
                 for entry in archive.infolist():
                     if entry.is_dir() or (wanted and not wanted.fullmatch(entry.filename)):
                         continue
-                    # One member at a time, so memory holds one, not the whole archive.
-                    yield pd.DataFrame(
-                        {
-                            "path": [path],
-                            "member": [entry.filename],
-                            "content": [archive.read(entry)],
-                        }
-                    )
+                    pending.append((path, entry.filename, archive.read(entry)))
+                    held += entry.file_size + _ROW_BYTES
+                    # Many small members share an output batch, a large one goes alone.
+                    if held >= _BATCH_BYTES:
+                        yield _frame(pending)
+                        pending, held = [], 0
+    if pending:
+        yield _frame(pending)
+
+
+def _frame(rows: list[tuple[str, str, bytes]]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["path", "member", "content"])

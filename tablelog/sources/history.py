@@ -65,12 +65,24 @@ def read_log(spark: SparkSession, log_dir: str) -> DataFrame | None:
 
 
 def find_commit(spark: SparkSession, log_dir: str, commit_id: str) -> CommitRecord | None:
-    """The record of one commit, read from its own directory only."""
-    path = _commit_dir(log_dir, commit_id)
-    spark.catalog.refreshByPath(path)
-    record = _or_none(lambda: spark.read.schema(_RECORD).json(path))
-    row = None if record is None else record.first()
-    return None if row is None else CommitRecord(**row.asDict())
+    """The record of one commit, if there is one."""
+    return _log_end(spark, log_dir, commit_id)[1]
+
+
+def _log_end(
+    spark: SparkSession, log_dir: str, commit_id: str
+) -> tuple[int, CommitRecord | None]:
+    """Number of the last commit, and the record of ``commit_id``."""
+    log = read_log(spark, log_dir)
+    if log is None:
+        return 0, None
+    this = F.col("commit_id") == commit_id
+    end = log.agg(
+        F.max("sequence").alias("last"),
+        F.first(F.when(this, F.struct("*")), ignorenulls=True).alias("record"),
+    ).first()
+    record = end["record"]
+    return end["last"] or 0, None if record is None else CommitRecord(**record.asDict())
 
 
 def read_history(spark: SparkSession, data_dir: str, log_dir: str | None = None) -> DataFrame | None:
@@ -116,12 +128,9 @@ def commit(
     if not _ID.fullmatch(commit_id):
         raise ValueError(f"Commit id {commit_id!r} is not a plain file name")
     spark = df.sparkSession
-    known = find_commit(spark, log_dir, commit_id)
+    last, known = _log_end(spark, log_dir, commit_id)
     if known is not None:
         return known
-    log = read_log(spark, log_dir)
-    last = None if log is None else log.agg(F.max("sequence")).first()[0]
-
     out = df.coalesce(coalesce) if coalesce else df
     # Observed in the writing stage itself: a task that is run again counts once.
     metrics = Observation()
@@ -134,7 +143,7 @@ def commit(
     instant = system_time.astimezone(timezone.utc).isoformat()
     record = CommitRecord(
         commit_id=commit_id,
-        sequence=(last or 0) + 1,
+        sequence=last + 1,
         system_time=instant,
         prev_block_hash="",
         hash=digest_of(metrics.get),
