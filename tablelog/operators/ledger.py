@@ -34,11 +34,12 @@ def ledger_merge(
     """Rows of ``curr`` with an unseen key; NULL keys match NULL keys.
 
     Duplicates inside the batch are kept, and changed data under a known key is ignored.
-    Of the history only the key columns are read. One scan of the batch's keys decides how:
+    Of the history only the key columns are read. A scan of the keys decides how:
 
     * a batch whose counted key bytes are small is broadcast, so no history row is shuffled;
-    * otherwise the history's distinct keys and the batch meet in one exchange each, and
-      heavy batch keys are split over several tasks.
+    * otherwise history keys and batch meet in one exchange each. If either side has heavy
+      keys, history keys are made distinct before their exchange, and heavy batch keys are
+      split over several tasks.
     """
     merged = stamp_and_reconcile(prev, curr, system_time, vocab)
     keys = NullSafeKey(merged.curr, key)
@@ -54,7 +55,8 @@ def ledger_merge(
         # At most the batch's own distinct keys, so under the same bound.
         fresh = batch.join(F.broadcast(seen), on, "left_anti")
     else:
-        seen = seen.distinct()
+        if profile.hot or profile_keys(merged.prev, keys, hot_rows).hot:
+            seen = seen.distinct()
         if profile.hot:
             spread = [ref(f.name) for f in merged.curr.schema if not contains_map(f.dataType)]
             batch = salted(batch, keys, profile.hot, spread)

@@ -44,7 +44,9 @@ class Source:
     preprocess_engine: str | None = ENGINE
     merge: str = "append"
     merge_params: Mapping[str, Any] = field(default_factory=dict)
+    # Number of files written; see ``commit``.
     coalesce: int = 0
+    repartition: int = 0
     # Keep the parsed file on the executors: the gate and the merge read it more than once.
     persist: bool = False
 
@@ -142,6 +144,7 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
             system_time=task.system_time,
             commit_id=task.commit_name(),
             coalesce=source.coalesce,
+            repartition=source.repartition,
         )
     except PySparkException:
         # If corrupt records stopped the job, say so with a preview of them.

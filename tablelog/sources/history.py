@@ -119,11 +119,14 @@ def commit(
     system_time: datetime,
     commit_id: str,
     coalesce: int = 0,
+    repartition: int = 0,
 ) -> CommitRecord:
     """Append ``df`` as one commit and record it; a known commit id changes nothing.
 
     Count and digest are observed while the files are written, so the rows are computed
-    once. ``coalesce`` limits the number of files (0 leaves the partitions alone).
+    once. ``coalesce`` limits the number of files, and with it the tasks that compute them;
+    ``repartition`` writes that many files from all tasks, for one more exchange of ``df``.
+    With neither the partitions are left alone.
     """
     if not _ID.fullmatch(commit_id):
         raise ValueError(f"Commit id {commit_id!r} is not a plain file name")
@@ -131,7 +134,8 @@ def commit(
     last, known = _log_end(spark, log_dir, commit_id)
     if known is not None:
         return known
-    out = df.coalesce(coalesce) if coalesce else df
+    out = df.repartition(repartition) if repartition else df
+    out = out.coalesce(coalesce) if coalesce else out
     # Observed in the writing stage itself: a task that is run again counts once.
     metrics = Observation()
     hashed = out.withColumn(_HASH, row_digest(out))

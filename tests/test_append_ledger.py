@@ -157,6 +157,22 @@ def test_ledger_hot_key(spark, plan):
     assert out.filter("k = -1").count() == 1000
 
 
+def test_ledger_hot_history(spark):
+    """A third of the history shares one key that the batch has once."""
+    history = spark.range(900).select(
+        F.lit(ts(0)).alias("system_time"),
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    curr = spark.createDataFrame([(None, 1), (1, 2), (3, 3), (5000, 4)], "k bigint, v bigint")
+    options = dict(key=["k"], system_time=ts(1), broadcast_bytes=0)
+    for hot_rows, distinct in ((200, True), (10**6, False)):
+        out = ledger_merge(history, curr, hot_rows=hot_rows, **options)
+        assert rows(out, "k") == [(3,), (5000,)]
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Aggregate" in plan) == distinct
+
+
 def test_ledger_struct_key(spark):
     kind = "k struct<a:int,b:string>, v int"
     prev = spark.createDataFrame([((1, None), 1), (None, 2)], kind).withColumn("system_time", F.lit(ts(0)))

@@ -77,8 +77,9 @@ def test_output_files(spark, dirs, tmp_path):
     df = spark.range(100).repartition(4)
     commit(df, **dirs, system_time=ts(0), commit_id="many")
     commit(df, **dirs, system_time=ts(0), commit_id="few", coalesce=1)
+    commit(df, **dirs, system_time=ts(0), commit_id="spread", repartition=2)
     count = lambda c: len(list((tmp_path / "data" / f"commit={c}").glob("*.parquet")))
-    assert (count("many"), count("few")) == (4, 1)
+    assert (count("many"), count("few"), count("spread")) == (4, 1, 2)
 
 
 def test_schema_growth_on_disk(spark, dirs):
