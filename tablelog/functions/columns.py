@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable
 from datetime import datetime, timedelta, timezone
 from typing import NamedTuple
 
@@ -148,8 +148,8 @@ def _same(a: T.DataType, b: T.DataType) -> bool:
 def reconcile(prev: DataFrame | None, curr: DataFrame) -> Reconciled:
     """Give history and batch the same columns: history's order first, then new ones.
 
-    A column one side lacks becomes a NULL of the other side's type, so the union of
-    columns can only grow and every file of the history stays readable under one schema.
+    A column one side lacks becomes a NULL of the other side's type, so no column is ever
+    lost and every file of the history stays readable under one schema.
     """
     if prev is None:
         return Reconciled(empty_like(curr), curr, set(), set())
@@ -201,6 +201,3 @@ def comparable(column: Column, kind: T.DataType) -> Column:
     """The column itself, or its JSON text where the type has no order (maps)."""
     return F.to_json(F.struct(column.alias("v"))) if contains_map(kind) else column
 
-
-def fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
-    return [df.schema[n] for n in names]

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelog.functions.columns import ref
 
@@ -21,10 +22,20 @@ _JSON = {
 }
 
 
+def _plain(field: T.StructField) -> Column:
+    """Times in a form that is quick to write and the same in every session time zone."""
+    column = ref(field.name)
+    if isinstance(field.dataType, T.TimestampType):
+        column = F.unix_micros(column)
+    elif isinstance(field.dataType, T.TimestampNTZType):
+        column = column.cast("string")
+    return column.alias(field.name)
+
+
 def row_digest(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
     """SHA-256 of the row as JSON: names in order, NULLs written out, times in UTC."""
-    names = sorted(c for c in df.columns if c not in exclude)
-    return F.sha2(F.to_json(F.struct(*map(ref, names)), _JSON), 256)
+    chosen = sorted((f for f in df.schema if f.name not in exclude), key=lambda f: f.name)
+    return F.sha2(F.to_json(F.struct(*map(_plain, chosen)), _JSON), 256)
 
 
 def digest_metrics(row_hash: Column) -> list[Column]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablelog.functions.columns import (
     as_epoch,
     comparable,
+    contains_map,
     from_epoch,
     ref,
     reject_reserved,
@@ -58,11 +59,13 @@ def backfill_history(
         *keys.columns,
         ref(time_column).alias("now"),
         F.struct(F.lit(True).alias("__here"), *map(ref, values)).alias("row"),
-        F.struct(
-            F.lit(True).alias("__here"),
-            *[comparable(ref(v), dumps.schema[v].dataType).alias(v) for v in values],
-        ).alias("content"),
     ).join(F.broadcast(calendar), "now")
+    # Rows are compared as they are; only maps have to be turned into something comparable.
+    content = F.col("row")
+    if any(contains_map(f.dataType) for f in dumps.schema if f.name in values):
+        content = F.struct(
+            *[comparable(ref(v, "row"), dumps.schema[v].dataType).alias(v) for v in values]
+        )
     # Unique keys per dump bound a window group by the number of dumps.
     by_key = Window.partitionBy(*keys.names).orderBy("now")
     seen = rows.select(
@@ -72,7 +75,7 @@ def backfill_history(
         "row",
         F.lag("now").over(by_key).eqNullSafe(F.col("before")).alias("stayed"),
         F.lag("now").over(by_key).isNull().alias("first"),
-        F.lag("content").over(by_key).eqNullSafe(F.col("content")).alias("same"),
+        F.lag(content).over(by_key).eqNullSafe(content).alias("same"),
         F.lead("now").over(by_key).eqNullSafe(F.col("after")).alias("stays"),
     )
     appears = F.when(F.col("first") | ~F.col("stayed"), codes.added).when(

@@ -50,6 +50,5 @@ def check_constant_event_time(prev: DataFrame, event_time: datetime | Column, co
 
 def _refuse(last_seen, first_new) -> None:
     raise PastEventTime(
-        "Past event time was seen, snapshots don't support adding data out of order: "
-        f"{last_seen} >= {first_new}"
+        f"A snapshot must be newer than the history, but {first_new} is not after {last_seen}"
     )

@@ -160,5 +160,5 @@ def ingest_all(spark: SparkSession, tasks: Iterable[IngestTask]) -> list[CommitR
     """Run tasks in order; each sees the commits of those before it."""
     tasks = list(tasks)
     if not tasks:
-        log.warning("No tasks specified")
+        log.warning("Nothing to ingest")
     return [ingest(spark, task) for task in tasks]

@@ -24,7 +24,7 @@ def preprocess(df: DataFrame, steps: Sequence[Step], engine: str | None = ENGINE
     if not steps:
         return df
     if engine is None:
-        raise ValueError("Pre-processing steps are given but no engine")
+        raise ValueError("SQL steps are given but no engine")
     if engine != ENGINE:
         raise ValueError(f"Unsupported engine: {engine}")
     spark = df.sparkSession
@@ -46,4 +46,4 @@ def preprocess(df: DataFrame, steps: Sequence[Step], engine: str | None = ENGINE
     finally:
         for name in views:
             spark.catalog.dropTempView(name)
-    raise ValueError("Pre-processing steps do not contain output query")
+    raise ValueError("No step produces the output")

@@ -154,7 +154,7 @@ def test_preprocess_steps(spark):
 
 def test_preprocess_errors(spark):
     df = spark.range(3)
-    with pytest.raises(ValueError, match="do not contain output"):
+    with pytest.raises(ValueError, match="No step produces"):
         preprocess(df, [("select * from input", "a")])
     with pytest.raises(ValueError, match="Unsupported engine: flink"):
         preprocess(df, [("select 1", None)], engine="flink")
@@ -277,7 +277,7 @@ def test_ingest_geojson_and_archive(spark, dirs, tmp_path):
 def test_ingest_nothing(spark, caplog):
     with caplog.at_level(logging.WARNING):
         assert ingest_all(spark, []) == []
-    assert "No tasks specified" in caplog.text
+    assert "Nothing to ingest" in caplog.text
     with pytest.raises(NotImplementedError):
         ingest(spark, IngestTask("t", Source(kind="kafka"), "x", "/nowhere/d", "/nowhere/l", ts(0)))
 

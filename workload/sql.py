@@ -103,7 +103,7 @@ def sql_digest(json: str, rows: str) -> str:
 
 
 ORDER_JSON = (
-    """'{"o_custkey":' || o_custkey || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f')"""
+    """'{"o_custkey":' || o_custkey || ',"o_orderdate":"' || cast(o_orderdate as varchar)"""
     """ || '","o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority"""
     """ || '","o_orderstatus":"' || o_orderstatus || '","o_totalprice":'"""
     """ || cast(cast(o_totalprice as decimal(18,2)) as varchar) || '}'"""
