@@ -7,7 +7,7 @@ is it NULL) once, and both grouping and joining on that pair, lets one exchange
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -82,8 +82,8 @@ class NullSafeKey:
     def hash(self) -> Column:
         return F.xxhash64(*map(F.col, self.names))
 
-    def is_hot(self, hot: Sequence[int]) -> Column:
-        return self.hash().isin(list(hot))
+    def is_hot(self, hot: Iterable[int]) -> Column:
+        return self.hash().isin(sorted(hot))
 
     def bytes(self) -> Column:
         size = F.lit(ROW_OVERHEAD)
@@ -146,7 +146,7 @@ def profile_keys(df: DataFrame, key: NullSafeKey, hot_rows: int = HOT_ROWS) -> K
     return KeyProfile(row["n"], row["size"], hot)
 
 
-def salted(df: DataFrame, key: NullSafeKey, hot: Sequence[int], spread: Sequence[Column]) -> DataFrame:
+def salted(df: DataFrame, key: NullSafeKey, hot: Iterable[int], spread: Sequence[Column]) -> DataFrame:
     """Spread the rows of hot keys over ``SALTS`` groups; all other rows stay in group 0.
 
     The salt depends on row content and input partition only, so a task that is run again
@@ -158,7 +158,7 @@ def salted(df: DataFrame, key: NullSafeKey, hot: Sequence[int], spread: Sequence
     )
 
 
-def replicated(df: DataFrame, key: NullSafeKey, hot: Sequence[int]) -> DataFrame:
+def replicated(df: DataFrame, key: NullSafeKey, hot: Iterable[int]) -> DataFrame:
     """One copy per salt of the few rows with a hot key (at most one row per key)."""
     every = F.sequence(F.lit(0), F.lit(SALTS - 1))
     return df.withColumn(

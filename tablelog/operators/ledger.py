@@ -14,7 +14,6 @@ from tablelog.functions.keys import (
     HOT_ROWS,
     NullSafeKey,
     profile_keys,
-    replicated,
     salted,
 )
 from tablelog.operators.append import stamp_and_reconcile
@@ -37,9 +36,9 @@ def ledger_merge(
     Of the history only the key columns are read. A scan of the keys decides how:
 
     * a batch whose counted key bytes are small is broadcast, so no history row is shuffled;
-    * otherwise history keys and batch meet in one exchange each. If either side has heavy
-      keys, history keys are made distinct before their exchange, and heavy batch keys are
-      split over several tasks.
+    * otherwise history keys and batch meet in one exchange each. Keys that are heavy on
+      either side are settled before that: which of those few the history holds is
+      broadcast, and batch rows that pass are spread over several tasks.
     """
     merged = stamp_and_reconcile(prev, curr, system_time, vocab)
     keys = NullSafeKey(merged.curr, key)
@@ -55,12 +54,16 @@ def ledger_merge(
         # At most the batch's own distinct keys, so under the same bound.
         fresh = batch.join(F.broadcast(seen), on, "left_anti")
     else:
-        if profile.hot or profile_keys(merged.prev, keys, hot_rows).hot:
-            seen = seen.distinct()
-        if profile.hot:
+        hot = {*profile.hot, *profile_keys(merged.prev, keys, hot_rows).hot}
+        if hot:
+            # At most HOT_SHARE key hashes per side, and one row per key.
+            known = seen.filter(keys.is_hot(hot)).distinct()
             spread = [ref(f.name) for f in merged.curr.schema if not contains_map(f.dataType)]
-            batch = salted(batch, keys, profile.hot, spread)
-            seen = replicated(seen, keys, profile.hot)
+            batch = salted(batch.join(F.broadcast(known), on, "left_anti"), keys, hot, spread)
+            # No heavy key is left on this side, so only rows in group 0 can match. Written
+            # as a plain 0 the optimizer would fold it, and not exchange by it.
+            group = F.when(keys.is_hot(hot), F.lit(-1)).otherwise(F.lit(0))
+            seen = seen.filter(~keys.is_hot(hot)).withColumn("__salt", group)
             on = [*on, "__salt"]
         fresh = batch.join(seen, on, "left_anti")
     return to_front(fresh.select(*columns), vocab.system_time)

@@ -259,4 +259,8 @@ def test_plan_shape(spark, tmp_path):
     out = merge(spark.read.parquet(path), spark.read.parquet(dump), 1)
     text = out._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 3
+    assert "__salt" not in text
+    split = merge(spark.read.parquet(path), spark.read.parquet(dump), 1, hot_rows=1)
+    exchanges = split._jdf.queryExecution().executedPlan().toString().split("Exchange ")
+    assert sum("__salt" in e[:100] for e in exchanges[1:]) == 2
     assert "rangepartitioning" not in text and "Cartesian" not in text and "NestedLoop" not in text
