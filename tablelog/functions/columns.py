@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,30 +89,28 @@ def normalise_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*map(clean_name, df.columns))
 
 
-def _utc(value: datetime) -> datetime:
-    return value.replace(tzinfo=timezone.utc) if value.tzinfo is None else value.astimezone(timezone.utc)
+def utc_text(value: datetime) -> str:
+    """The wall clock in UTC; naive datetimes are UTC already."""
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return value.isoformat(" ", "microseconds")
 
 
-def time_literal(value: datetime | Column, like: T.DataType | None = None) -> Column:
-    """A timestamp constant; naive datetimes are UTC. ``like`` keeps the history's type."""
-    if isinstance(value, datetime):
-        return from_epoch(F.lit(as_epoch(value)), like)
-    return value if like is None else value.cast(like)
-
-
-def as_epoch(value: datetime) -> int:
-    """Microseconds since 1970 in UTC."""
-    return (_utc(value) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
-
-
-def from_epoch(micros: Column | str, like: T.DataType | None = None) -> Column:
+def from_utc_text(text: Column, like: T.DataType | None = None) -> Column:
     """The instant as a timestamp, or as the UTC wall clock where the column has no zone."""
-    instant = F.timestamp_micros(micros)
     if isinstance(like, T.TimestampNTZType):
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast(like))
+        return text.cast(like)
+    instant = F.concat(text, F.lit("+00:00")).cast("timestamp")
     return instant if like is None else instant.cast(like)
 
 
+def time_literal(value: datetime | Column, like: T.DataType | None = None) -> Column:
+    """A timestamp constant. ``like`` keeps the history's type."""
+    if isinstance(value, datetime):
+        return from_utc_text(F.lit(utc_text(value)), like)
+    return value if like is None else value.cast(like)
+
+
 def type_of(df: DataFrame | None, name: str) -> T.DataType | None:
     if df is None or name not in df.columns:
         return None

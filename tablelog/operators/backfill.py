@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelog.functions.columns import (
-    as_epoch,
     comparable,
     contains_map,
-    from_epoch,
+    from_utc_text,
     ref,
     reject_reserved,
     time_literal,
+    utc_text,
 )
 from tablelog.functions.keys import NullSafeKey
 from tablelog.vocab import DEFAULT_CODES, DEFAULT_VOCABULARY, Codes, Vocabulary
@@ -50,11 +50,11 @@ def backfill_history(
     # One row per dump, as many as the caller listed.
     calendar = dumps.sparkSession.createDataFrame(
         [
-            tuple(None if t is None else as_epoch(t) for t in around)
+            tuple(None if t is None else utc_text(t) for t in around)
             for around in zip([None, *times], times, [*times[1:], None])
         ],
-        "before bigint, now bigint, after bigint",
-    ).select(*[from_epoch(n, kind).alias(n) for n in ("before", "now", "after")])
+        "before string, now string, after string",
+    ).select(*[from_utc_text(F.col(n), kind).alias(n) for n in ("before", "now", "after")])
     rows = dumps.select(
         *keys.columns,
         ref(time_column).alias("now"),
