@@ -7,7 +7,6 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
-from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -33,33 +32,27 @@ def archive_members(
 
 def expand_archives(files: DataFrame, pattern: str | None = None, bz2: bool = False) -> DataFrame:
     """The same for archives already in a table of ``path`` and ``content``."""
-    return files.select("path", "content").mapInPandas(
-        partial(_expand, pattern=pattern, bz2=bz2), MEMBERS
-    )
 
-
-def _expand(
-    batches: Iterator[pd.DataFrame], pattern: str | None, bz2: bool
-) -> Iterator[pd.DataFrame]:
-    wanted = re.compile(pattern) if pattern is not None else None
-    pending: list[tuple[str, str, bytes]] = []
-    held = 0
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            raw = io.BytesIO(bzip2.decompress(content) if bz2 else content)
-            with zipfile.ZipFile(raw) as archive:
-                for entry in archive.infolist():
-                    if entry.is_dir() or (wanted and not wanted.fullmatch(entry.filename)):
-                        continue
-                    pending.append((path, entry.filename, archive.read(entry)))
-                    held += entry.file_size + _ROW_BYTES
-                    # Many small members share an output batch, a large one goes alone.
-                    if held >= _BATCH_BYTES:
-                        yield _frame(pending)
-                        pending, held = [], 0
-    if pending:
-        yield _frame(pending)
-
-
-def _frame(rows: list[tuple[str, str, bytes]]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["path", "member", "content"])
+    # A closure travels to the executors by itself: they need not have this package.
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = re.compile(pattern) if pattern is not None else None
+        columns = ["path", "member", "content"]
+        pending: list[tuple[str, str, bytes]] = []
+        held = 0
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                raw = io.BytesIO(bzip2.decompress(content) if bz2 else content)
+                with zipfile.ZipFile(raw) as archive:
+                    for entry in archive.infolist():
+                        if entry.is_dir() or (wanted and not wanted.fullmatch(entry.filename)):
+                            continue
+                        pending.append((path, entry.filename, archive.read(entry)))
+                        held += entry.file_size + _ROW_BYTES
+                        # Many small members share an output batch, a large one goes alone.
+                        if held >= _BATCH_BYTES:
+                            yield pd.DataFrame(pending, columns=columns)
+                            pending, held = [], 0
+        if pending:
+            yield pd.DataFrame(pending, columns=columns)
+
+    return files.select("path", "content").mapInPandas(unpack, MEMBERS)

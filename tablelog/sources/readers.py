@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,8 +54,18 @@ def read_raw(
 
 
 def corrupt_records(df: DataFrame, corrupt_column: str = DEFAULT_VOCABULARY.corrupt_record) -> DataFrame:
-    """The unreadable records of ``df``, with every other column."""
-    return df.filter(ref(corrupt_column).isNotNull())
+    """The unreadable records of ``df``, with every other column.
+
+    Whatever is selected from the result, all columns are parsed: a parser only notices bad
+    values in columns it is asked for, and Spark refuses to ask for the corrupt one alone.
+    """
+    parsed = F.octet_length(_whole(df)) >= 0
+    return df.filter(ref(corrupt_column).isNotNull() & parsed)
+
+
+def _whole(df: DataFrame) -> Column:
+    """The row as text; a reference to every column."""
+    return F.to_json(F.struct(*map(ref, df.columns)))
 
 
 def reject_corrupt(
@@ -74,12 +84,10 @@ def reject_corrupt(
     if eager:
         show_corrupt(df, corrupt_column)
         return df.drop(corrupt_column)
-    # A parser only notices bad values in columns it is asked for, so all are referenced;
-    # and nothing may be filtered out before the check, so it is no pure function of the row.
-    everything = F.to_json(F.struct(*map(ref, df.columns)))
     fail = F.raise_error(
-        F.concat(F.lit("Corrupt records detected:\n"), F.coalesce(ref(corrupt_column), everything))
+        F.concat(F.lit("Corrupt records detected:\n"), F.coalesce(ref(corrupt_column), _whole(df)))
     )
+    # Nothing may be filtered out before the check, so it is no pure function of the row.
     bad = ref(corrupt_column).isNotNull() & (F.spark_partition_id() >= 0)
     clean = F.when(bad, fail.cast("boolean")).otherwise(F.lit(True))
     return df.filter(clean).drop(corrupt_column)
@@ -87,7 +95,6 @@ def reject_corrupt(
 
 def show_corrupt(df: DataFrame, corrupt_column: str) -> None:
     """Raise with a bounded preview if there is any corrupt record."""
-    # Spark refuses to parse a raw file for the corrupt column alone.
     bad = corrupt_records(df, corrupt_column).limit(PREVIEW_ROWS).collect()
     if bad:
         raise CorruptRecords(

@@ -40,6 +40,7 @@ def test_bad_csv_field(spark, tmp_path):
     path = write(tmp_path / "a.csv", "1,x\nbad,y\n3,z\n")
     df = read_raw(spark, path, "csv", schema=["id INT", "n STRING"])
     assert [r["_corrupt_record"] for r in corrupt_records(df).collect()] == ["bad,y"]
+    assert corrupt_records(df).count() == corrupt_records(df).select("n").count() == 1
     with pytest.raises(CorruptRecords, match="bad,y"):
         reject_corrupt(df)
     with pytest.raises(PySparkException, match="Corrupt records detected"):

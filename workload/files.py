@@ -84,8 +84,7 @@ _EVENT_DDL = ("event_id BIGINT", "user_id BIGINT", "event_type STRING")
 @query(f"select {_JSON_LINE} as _corrupt_record from events where event_type = 'error'")
 def corrupt_json_records(spark, sf_dir):
     raw = read_raw(spark, _event_lines(spark, sf_dir, cut=True), "json", schema=_EVENT_DDL)
-    # Selected with a column beside it: Spark parses no file for the corrupt column alone.
-    return corrupt_records(raw).select(F.coalesce("_corrupt_record", "event_type").alias("_corrupt_record"))
+    return corrupt_records(raw).select("_corrupt_record")
 
 
 @query("select event_id, user_id, event_type from events")
@@ -204,27 +203,27 @@ def stream_ledger(spark, sf_dir):
     return read_history(spark, f"{base}/data", f"{base}/log").drop("system_time")
 
 
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        packed = []
-        for text, lang in zip(batch["text"], batch["lang"]):
-            out = io.BytesIO()
-            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("body/text.txt", text)
-                archive.writestr("lang.meta", lang)
-            packed.append(bz2.compress(out.getvalue(), 1))
-        yield pd.DataFrame({"path": batch["path"], "content": packed})
-
-
 @query(
     "select cast(doc_id as varchar) as path, 'body/text.txt' as member, md5(text) as digest,"
     " cast(octet_length(encode(text)) as bigint) as bytes from documents"
 )
 def document_archives(spark, sf_dir):
     """Every document packed as bzip2 around ZIP, and its text member taken out again."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            packed = []
+            for text, lang in zip(batch["text"], batch["lang"]):
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr("body/text.txt", text)
+                    archive.writestr("lang.meta", lang)
+                packed.append(bz2.compress(out.getvalue(), 1))
+            yield pd.DataFrame({"path": batch["path"], "content": packed})
+
     documents = table(spark, sf_dir, "documents")
     packed = documents.select(F.col("doc_id").cast("string").alias("path"), "text", "lang").mapInPandas(
-        _pack, "path string, content binary"
+        pack, "path string, content binary"
     )
     members = expand_archives(packed, pattern=r".*\.txt", bz2=True)
     return members.select(
