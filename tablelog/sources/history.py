@@ -1,8 +1,9 @@
 """The history table on disk: Parquet data, one directory per commit, and a commit log.
 
-Data goes to ``<data_dir>/commit=<id>`` by overwriting, and counts only once its record is
-in ``<log_dir>/commit=<id>``. A job that dies in between leaves a directory nobody reads,
+Data goes to ``<data_dir>/commit=<id>`` by overwriting, and counts only once ``log_dir`` has
+its record, one small file each. A job that dies in between leaves a directory nobody reads,
 and running the same commit again replaces it, so every commit takes effect exactly once.
+A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -52,16 +53,14 @@ def _or_none(read) -> DataFrame | None:
         raise
 
 
-def _commit_dir(base: str, commit_id: str) -> str:
-    return f"{base.rstrip('/')}/commit={commit_id}"
+def _commit_dir(data_dir: str, commit_id: str) -> str:
+    return f"{data_dir.rstrip('/')}/commit={commit_id}"
 
 
 def read_log(spark: SparkSession, log_dir: str) -> DataFrame | None:
     """All commit records, or None before the first commit."""
     spark.catalog.refreshByPath(log_dir)
-    return _or_none(
-        lambda: spark.read.schema(_RECORD).option("recursiveFileLookup", True).json(log_dir)
-    )
+    return _or_none(lambda: spark.read.schema(_RECORD).json(log_dir))
 
 
 def find_commit(spark: SparkSession, log_dir: str, commit_id: str) -> CommitRecord | None:
@@ -157,5 +156,5 @@ def commit(
         table_schema=df.schema.json(),
     )
     rows = spark.createDataFrame([asdict(record)], _RECORD)
-    rows.coalesce(1).write.mode("overwrite").json(_commit_dir(log_dir, commit_id))
+    rows.coalesce(1).write.mode("append").json(log_dir)
     return record
