@@ -47,9 +47,10 @@ def snapshot_merge(
     key, the least one that differs from the history is taken.
 
     Plan: history is reduced to one row per key and meets the batch on the same
-    partitioning, so each side is exchanged once; the differences, already reduced per
-    task, are exchanged once more to drop duplicates. A key with a large share of the
-    batch is split over several tasks for the join.
+    partitioning, so history, batch and batch keys are exchanged once each and duplicates are
+    dropped where they are. A full outer join would hold all rows of a key in memory; the
+    left and anti joins used instead hold one. A key with a large share of the batch is
+    split over several tasks.
     """
     if event_time is None:
         event_time = system_time
@@ -158,43 +159,27 @@ def _differences(
 ) -> DataFrame:
     """Key, observation code and row struct of every key that differs."""
     on = list(keys.names)
-    split = F.lit(False)
+    at, dump, known_rows = on, batch, state
+    gone, present = state, batch.select(*on)
     if hot:
         spread = [ref(v, "c") for v in values if not contains_map(df.schema[v].dataType)]
-        batch = salted(batch, keys, hot, spread or [F.lit(0)])
-        state = replicated(state, keys, hot)
-        on.append("__salt")
-        # One piece of a split key says nothing about the others, so its rows are all
-        # kept here, and judged below once the pieces are back together.
-        split = keys.is_hot(hot)
-    here, known = F.col("c").isNotNull(), F.col("p").isNotNull()
-    differs = here & (~known | changed)
-    pieces = (
-        batch.join(state, on, "full_outer")
-        .filter(split | ~here | differs)
-        .select(
-            *keys.names,
-            F.when(differs, F.col("c")).alias("new"),
-            F.when(~here, F.col("p")).alias("old"),
-            here.alias("here"),
-            known.alias("known"),
-        )
+        dump = salted(batch, keys, hot, spread or [F.lit(0)])
+        known_rows = replicated(state, keys, hot)
+        at = [*on, "__salt"]
+        # Few keys, though many rows: settled apart, so the rest has no heavy key.
+        heavy = present.filter(keys.is_hot(hot)).distinct()
+        gone = state.join(F.broadcast(heavy), on, "left_anti")
+        present = present.filter(~keys.is_hot(hot))
+    known = F.col("p").isNotNull()
+    fresh = (
+        dump.join(known_rows, at, "left")
+        .filter(~known | changed)
+        .groupBy(*on)
+        .agg(_least("c", df, values).alias("row"), F.bool_or(known).alias("known"))
     )
-    return (
-        pieces.groupBy(*keys.names)
-        .agg(
-            _least("new", df, values).alias("new"),
-            F.first("old", ignorenulls=True).alias("old"),
-            F.bool_or("here").alias("here"),
-            F.bool_or("known").alias("known"),
-        )
-        .filter(~F.col("here") | F.col("new").isNotNull())
-        .select(
-            *keys.names,
-            F.coalesce("new", "old").alias("row"),
-            F.when(~F.col("here"), codes.removed)
-            .when(F.col("known"), codes.changed)
-            .otherwise(codes.added)
-            .alias("observed"),
+    observed = F.when(F.col("known"), codes.changed).otherwise(codes.added)
+    return fresh.select(*on, "row", observed.alias("observed")).union(
+        gone.join(present, on, "left_anti").select(
+            *on, F.col("p").alias("row"), F.lit(codes.removed).alias("observed")
         )
     )

@@ -23,6 +23,24 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def large(spark):
+    """Plans as for large tables: Spark would broadcast the small ones of a test."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def final_plan(df):
+    """The physical plan after running it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def salted_exchanges(plan):
+    return sum("__salt" in e[:100] for e in plan.split("Exchange hash")[1:])
+
+
 def ts(n: int) -> dt.datetime:
     """The n-th instant of a test, in order."""
     return dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(hours=n)

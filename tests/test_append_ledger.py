@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablelog import SchemaDrift, Vocabulary, append_merge, ledger_merge, merge_strategy
-from tests.conftest import ordered, rows, ts
+from tests.conftest import final_plan, ordered, rows, salted_exchanges, ts
 
 HISTORY = "system_time timestamp, event_time timestamp, id int, data string"
 BATCH = "event_time timestamp, id int, data string"
@@ -157,7 +157,7 @@ def test_ledger_hot_key(spark, plan):
     assert out.filter("k = -1").count() == 1000
 
 
-def test_ledger_hot_history(spark):
+def test_ledger_hot_history(spark, large):
     """A third of the history shares one key that the batch has once."""
     history = spark.range(900).select(
         F.lit(ts(0)).alias("system_time"),
@@ -166,17 +166,12 @@ def test_ledger_hot_history(spark):
     )
     curr = spark.createDataFrame([(None, 1), (1, 2), (3, 3), (5000, 4)], "k bigint, v bigint")
     options = dict(key=["k"], system_time=ts(1), broadcast_bytes=0)
-    for hot_rows, settled in ((200, True), (10**6, False)):
-        assert rows(ledger_merge(history, curr, hot_rows=hot_rows, **options), "k") == [(3,), (5000,)]
-        # Spark would broadcast tables this small by itself.
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        try:
-            out = ledger_merge(history, curr, hot_rows=hot_rows, **options)
-            plan = out._jdf.queryExecution().executedPlan().toString()
-        finally:
-            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for hot_rows in (200, 10**6):
+        out = ledger_merge(history, curr, hot_rows=hot_rows, **options)
+        plan = final_plan(out)
+        assert rows(out, "k") == [(3,), (5000,)]
         # Both sides are exchanged by the salt as well, or nothing would be split.
-        assert sum("__salt" in e[:100] for e in plan.split("Exchange ")[1:]) == (2 if settled else 0)
+        assert salted_exchanges(plan) == (2 if hot_rows == 200 else 0)
 
 
 def test_ledger_struct_key(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablelog import Codes, PastEventTime, Vocabulary, check_event_time, snapshot_merge
-from tests.conftest import ordered, rows, ts
+from tests.conftest import final_plan, ordered, rows, salted_exchanges, ts
 
 V1 = "id int, name string, salary int"
 V2 = "id int, name string, department string, salary int"
@@ -250,17 +250,16 @@ def test_hot_keys(spark, hot_rows):
     assert rows(out, "observed", "id", "salary") == [("D", -1, 0)]
 
 
-def test_plan_shape(spark, tmp_path):
-    """History and batch are exchanged once each, differences once, and nothing is sorted globally."""
-    path = str(tmp_path / "h")
+def test_plan_shape(spark, tmp_path, large):
+    """History, batch and batch keys are exchanged once each, and nothing else is."""
+    path, dump = str(tmp_path / "h"), str(tmp_path / "d")
     history(spark, D1).write.parquet(path)
-    dump = str(tmp_path / "d")
     spark.createDataFrame(D2, V1).write.parquet(dump)
-    out = merge(spark.read.parquet(path), spark.read.parquet(dump), 1)
-    text = out._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning") == 3
-    assert "__salt" not in text
-    split = merge(spark.read.parquet(path), spark.read.parquet(dump), 1, hot_rows=1)
-    exchanges = split._jdf.queryExecution().executedPlan().toString().split("Exchange ")
-    assert sum("__salt" in e[:100] for e in exchanges[1:]) == 2
-    assert "rangepartitioning" not in text and "Cartesian" not in text and "NestedLoop" not in text
+    plan = final_plan(merge(spark.read.parquet(path), spark.read.parquet(dump), 1))
+    # The history's second use reuses the first exchange.
+    assert plan.count("+- Exchange hash") == 3 and plan.count("ReusedExchange") == 1
+    # A full outer join would hold all rows of one key in memory.
+    assert "FullOuter" not in plan and "rangepartitioning" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "__salt" not in plan
+    split = final_plan(merge(spark.read.parquet(path), spark.read.parquet(dump), 1, hot_rows=1))
+    assert salted_exchanges(split) == 2
