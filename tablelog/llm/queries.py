@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablelog.llm import mixing
+from tablelog.llm import decontaminate, mixing, near_join, token_files
+from tablelog.llm.storage import Storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +64,93 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in a mix of 150 % of their words, sources weighing 5, 2, 1 in turn."""
     taken = mixing.mix_sources(_table(spark, sf_dir, "documents")).taken()
     return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public tokenizer of that name lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """``docs`` written as token files, and what the files hold of every document."""
+    files = token_files.write_token_files(docs, Storage(docs.sparkSession, "tokens").path, tokenizer=tokenizer_path())
+    asked = docs.select(F.col("doc_id").alias("key")).distinct()
+    return token_files.read_documents(files, asked).withColumnRenamed("key", "doc_id")
+
+
+@_query()
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in binary shards, read back by key."""
+    return token_digests(_table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+with d as (
+  select row_number() over () as r, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+  from documents),
+i as (
+  select item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+sized as (select *, least(10, len(w)) as n from i where len(w) > 0),
+starts as (select item_id, n, w, unnest(range(1, len(w) - n + 2)) as p from sized),
+windows as (select distinct item_id, n, array_to_string(w[p:p + n - 1], ' ') as g from starts),
+lengths as (select distinct n from sized),
+grams as (select r, n, p, array_to_string(w[p:p + n - 1], ' ') as g
+  from (select r, n, w, unnest(range(1, len(w) - n + 2)) as p from d, lengths where len(w) >= n)),
+found as (select r, n, p, item_id from grams join windows using (n, g)),
+hit as (select r, count(distinct k) as n_hit from (select r, unnest(range(p, p + n)) as k from found) group by r),
+named as (select r, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+  from (select distinct r, item_id from found) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (r) left join named using (r)
+"""
+
+
+@_query(OP5_SQL)
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document also stands in the benchmark."""
+    spans = decontaminate.benchmark_spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["to"] - x["from"])
+    return spans.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+OP7_SQL = r"""
+with recursive d as (
+  select doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) as w
+  from documents),
+grams as (
+  select distinct doc_id, g from (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+      else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g from d)),
+n as (select doc_id, count(*) as n from grams group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from grams a join grams b using (g)
+  where a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)),
+edges as (select a, b from links union all select b, a from links),
+reach(doc_id, id) as (
+  select doc_id, doc_id from d union select e.b, r.id from reach r join edges e on e.a = r.doc_id)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, r.id as component_id
+from d left join n using (doc_id) join (select doc_id, min(id) as id from reach group by doc_id) r using (doc_id)
+"""
+
+
+@_query(OP7_SQL)
+def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingles agree to 90 %."""
+    groups = near_join.near_groups(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
