@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelog.llm.components import components
-from tablelog.llm.storage import Storage, column
+from tablelog.llm.storage import ROW, Storage, column, row_hashes
 from tablelog.llm.words import SPACE, Words, list_column, mix, ranges, shingles, whole
 
 #: Documents from which on a token is frequent.
@@ -203,7 +203,7 @@ def prefix_entries(tokens: np.ndarray, often: np.ndarray, percent: int) -> tuple
 
 
 def _prefixes(often, k: int, percent: int):
-    """Per document: set id, size, rare tokens (all if the set has pairs), entries."""
+    """Per document: set id, size, rare tokens (all if the set has pairs), entries, row hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = often.value
@@ -222,7 +222,8 @@ def _prefixes(often, k: int, percent: int):
                 for x in (singles, pairs):
                     ends = np.concatenate([[0], np.cumsum([len(y) for y in x])])
                     columns.append(list_column(np.concatenate(x).view(np.int64), ends, pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set", "n", "rare", "singles", "pairs"])
+                names = ["doc_id", "set", "n", "rare", "singles", "pairs", *ROW]
+                yield pa.RecordBatch.from_arrays([*columns, part.column(2), part.column(3)], names)
 
     return run
 
@@ -342,10 +343,11 @@ def _verified(pairs: DataFrame, rows: DataFrame, k: int, percent: int, storage:
 def near_groups(
     docs: DataFrame, *, k: int = 3, percent: int = 90, frequent: int = FREQUENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, set_id)`` for every row of ``docs``.
+    """``(doc_id, n_shingles, component_id, group, *ROW)`` for every row of ``docs``.
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased. ``component_id`` is the
-    smallest key that links reach, the row's own included. Rows of equal sets are linked. A NULL
+    smallest key that links reach, the row's own included; ``group`` is a number of the component,
+    NULL for rows without words. Rows of equal sets are linked. ``ROW`` are hashes of key and text. A NULL
     or empty text, or one without words, has no shingles and links with nothing. A NULL key is never
     the smallest; a component of NULL keys has a NULL id. Rows with equal key and different text are
     separate. Sets are told apart by 64-bit digests, tokens by 64-bit hashes. An empty table gives no
@@ -353,11 +355,11 @@ def near_groups(
     """
     spark = docs.sparkSession
     storage = Storage(spark, "near-join")
-    rows = docs.select(column(docs, key).alias("doc_id"), column(docs, text).alias("text"))
+    rows = docs.select(column(docs, key).alias("doc_id"), column(docs, text).alias("text"), *row_hashes(docs, key, text))
     kind = docs.schema[key].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     often = spark.sparkContext.broadcast(frequent_filter(rows, k, frequent, size))
-    fields = f"doc_id {kind}, set long, n long, rare long, singles array<long>, pairs array<long>"
+    fields = f"doc_id {kind}, set long, n long, rare long, singles array<long>, pairs array<long>, {ROW[0]} long, {ROW[1]} long"
     prefixes = storage.table(rows.mapInArrow(_prefixes(often, k, percent), fields), "prefixes")
     often.unpersist()
     sets = storage.table(
@@ -385,10 +387,10 @@ def near_groups(
     # The smallest key of each component, and back to the rows.
     member = sets.join(groups, sets["set"] == groups["node"], "left").select("set", "doc_id", F.coalesce("component", "set").alias("component"))
     least = member.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = member.join(least, "component").select(F.col("set").alias("s"), "component_id")
-    out = prefixes.select("doc_id", "set", "n").join(ids, (F.col("set") == F.col("s")) & (F.col("n") > 0), "left")
+    ids = member.join(least, "component").select(F.col("set").alias("s"), "component_id", F.col("component").alias("group"))
+    out = prefixes.select("doc_id", "set", "n", *ROW).join(ids, (F.col("set") == F.col("s")) & (F.col("n") > 0), "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("set").alias("set_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "group", *ROW)
 
 
 def _across(one: DataFrame, large: DataFrame, groups: DataFrame, done: DataFrame, percent: int) -> DataFrame:
@@ -410,15 +412,16 @@ def _across(one: DataFrame, large: DataFrame, groups: DataFrame, done: DataFrame
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each group of near copies: the row with the smallest key.
+def deduplicated(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of near copies: the one with the smallest key.
 
-    Rows without words are kept. Of several rows with that key one stays.
+    Of several rows with that key the one of the smallest hash stays, once. Rows without words link
+    with nothing and all stay.
     """
-    key = options.get("key", "doc_id")
-    groups = near_groups(docs, **options)
-    kept = groups.filter("n_shingles > 0").groupBy(F.col("component_id").alias("__id"), F.lit(1).alias("__of")).agg(F.count("*").alias("__n"))
-    empty = docs.filter(~F.coalesce(column(docs, options.get("text", "text")), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    full = docs.filter(F.coalesce(column(docs, options.get("text", "text")), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    chosen = full.join(kept.select("__id"), column(full, key).eqNullSafe(F.col("__id")), "left_semi").dropDuplicates([key])
-    return chosen.unionByName(empty)
+    groups = near_groups(docs, key=key, text=text, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *ROW)).alias("first")
+    kept = groups.filter("group is not null").groupBy("group").agg(first).select(*[f"first.{x}" for x in ROW])
+    words = F.coalesce(column(docs, text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    some = docs.filter(words).withColumns({x: y for x, y in zip(ROW, row_hashes(docs, key, text))})
+    some = some.join(kept, list(ROW), "left_semi").dropDuplicates(list(ROW)).drop(*ROW)
+    return some.unionByName(docs.filter(~words))

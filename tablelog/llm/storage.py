@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -38,3 +39,13 @@ class Storage:
 def column(df: DataFrame, name: str):
     """``name`` as a column of ``df``, whatever other columns are called."""
     return df["`" + name.replace("`", "``") + "`"]
+
+
+#: Columns that tell the rows of a table apart by content: 128 bits of hash.
+ROW = ("__row_a", "__row_b")
+
+
+def row_hashes(df: DataFrame, *names: str) -> list:
+    """The columns ``ROW`` for the content of the named columns of ``df``."""
+    columns = [column(df, x) for x in names]
+    return [F.xxhash64(F.lit(i), *columns).alias(x) for i, x in enumerate(ROW)]
