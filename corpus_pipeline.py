@@ -3,10 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablelog.llm import decontaminate, mil_quality, mixing, near_join
+from tablelog.llm.queries import token_digests
 from tablelog.llm.storage import Storage
 
-STAGES: list = []
+#: Documents that score less are rejected, as in op10.
+LEAST_QUALITY = 0.3
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    model = mil_quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = mil_quality.score(docs, model, name="__quality")
+    return scored.filter(F.col("__quality") >= LEAST_QUALITY).drop("__quality")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return near_join.deduplicated(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mixture of sources takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the documents, and what they hold of each."""
+    return token_digests(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", benchmark),
+    ("mixing sources", mix),
+    ("token files", tokens),
+]
 
 #: SQL has neither the classifier nor the tokenizer; tests hold the pipeline against plain Python.
 ORACLE_SQL: str | None = None
@@ -16,8 +56,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of ``sf_dir``; each one's result is written and read again."""
     storage = Storage(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (name, stage) in enumerate(STAGES, 1):
-        docs = storage.table(stage(spark, docs, sf_dir), f"{number}-{name}")
+    for number, (_, stage) in enumerate(STAGES, 1):
+        docs = storage.table(stage(spark, docs, sf_dir), f"stage-{number}")
         if number > 1:
-            storage.drop(f"{number - 1}-{STAGES[number - 2][0]}")
+            storage.drop(f"stage-{number - 1}")
     return docs
