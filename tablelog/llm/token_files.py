@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablelog.llm.storage import Storage, column
-from tablelog.llm.words import mix, ranges
+from tablelog.llm.words import mix, piece_hashes, ranges, text_bytes
 
 #: Text of one shard, in bytes, and keys of one index bucket.
 SHARD_BYTES = 8 << 20
@@ -52,57 +54,137 @@ class TokenFiles:
 
 
 class PieceEncoder:
-    """The ids of texts, by way of their pieces between single spaces.
-
-    Byte-level BPE never merges over the place before a space that has no other white space next to
-    it, so a text's ids are those of its pieces in a row. Each piece is encoded by the tokenizer
-    once and remembered, up to ``remembered`` pieces; the result is the same without.
+    """The ids of Arrow texts, by way of pieces that the tokenizer never merges over.
+
+    Byte-level BPE first cuts a text into words, and a piece is some of these in a row: cuts lie
+    before a space or line end that a sign other than white space follows, and between an ASCII letter
+    and an ASCII punctuation mark. Pieces are told apart by 64-bit hashes, found in numpy. Those not
+    met before are encoded, many at a time with an empty line between, which is a token of its own;
+    up to ``remembered`` of them are kept for later texts. Tokenizers of other kinds, or without such a
+    token, get whole texts.
     """
 
-    def __init__(self, file: str, remembered: int = 500_000):
+    GAP = "\n\n"
+    SLOTS = 21
+
+    def __init__(self, file: str, remembered: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        self.room = remembered
-        self.by_piece = '"ByteLevel"' in (self.tokenizer.pre_tokenizer.__getstate__().decode() if self.tokenizer.pre_tokenizer else "")
-
-    def direct(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in encoded]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_piece:
-            return self.direct(texts)
-        split = [x.split(" ") for x in texts]
-        new = set().union(*(x[1:] for x in split)).difference(self.known)
-        # A piece with white space at an end touches other white space: its text is cut otherwise.
-        new = [x for x in new if x and not x[0].isspace() and not x[-1].isspace()]
-        known = self.known
-        fresh = dict(zip(new, self.direct([" " + x for x in new]), strict=True))
-        if self.room > 0:
-            kept = {k: v for k, v in list(fresh.items())[: self.room] if len(k) <= 40}
-            self.room -= len(kept)
-            known.update(kept)
-        more = {k: v for k, v in fresh.items() if k not in known}
-        first = self.direct([x[0] for x in split])
-        out = []
-        for text, head, pieces in zip(texts, first, split, strict=True):
-            try:
-                out.append(head + b"".join([known[x] if x in known else more[x] for x in pieces[1:]]))
-            except KeyError:
-                out.append(self._spaced(text, more))
-        return out
-
-    def _spaced(self, text: str, more: dict[str, bytes]) -> bytes:
-        first, *rest = re.split(r"(?<=\S) (?=\S)", text)
-        ids = [self.direct([first])[0]]
-        for x in rest:
-            ids.append(self.known.get(x) or more.get(x) or self.direct([" " + x])[0])
-        return b"".join(ids)
+        gap = self._ids(self.GAP)
+        alone = len(gap) == 1 and self._ids(f" a{self.GAP} b") == [*self._ids(" a"), gap[0], *self._ids(" b")]
+        self.gap = gap[0] if alone and '"ByteLevel"' in self.tokenizer.to_str() else None
+        self.remembered = remembered
+        self.hashes = np.zeros(0, np.uint64)  # of known pieces, sorted
+        self.spot = np.zeros(0, np.int64)  # where the ids of each begin
+        self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.kind)
+        self.slots = np.zeros(1 << self.SLOTS, np.int32)  # by upper bits, the place of one such piece
+
+    @staticmethod
+    def of_worker(file: str) -> PieceEncoder:
+        """The encoder of this Python worker, which tasks after this one find again."""
+        held = sys.modules.setdefault("_token_files_worker", types.ModuleType("_token_files_worker"))
+        if file not in held.__dict__:
+            held.__dict__[file] = PieceEncoder(file)
+        return held.__dict__[file]
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def direct(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each row's begin (one more than rows)."""
+        if self.gap is None:
+            parts = self.direct(["" if x is None else x for x in column.to_pylist()])
+            return np.concatenate([np.zeros(0, self.kind), *parts]), np.cumsum([0, *map(len, parts)])
+        data, rows = text_bytes(column)
+        start = np.flatnonzero(_cuts(data, rows))
+        hashes = piece_hashes(data, start)
+        place = self._find(hashes)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            _, first = np.unique(hashes[new], return_index=True)
+            self._learn(data, start, hashes, new[first])
+            place = self._find(hashes)
+        size = self.size[place]
+        ids = self.ids[ranges(self.spot[place], size)]
+        at = np.append(0, np.cumsum(size))[np.searchsorted(start, rows)]
+        if len(self.hashes) > 2 * self.remembered:
+            self._forget()
+        return ids, at
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        place = self.slots[hashes >> np.uint64(64 - self.SLOTS)].astype(np.int64)
+        other = np.flatnonzero(self.hashes[place] != hashes)
+        spot = np.minimum(np.searchsorted(self.hashes, hashes[other]), len(self.hashes) - 1)
+        place[other] = np.where(self.hashes[spot] == hashes[other], spot, -1)
+        return place
+
+    def _learn(self, data: np.ndarray, start: np.ndarray, hashes: np.ndarray, new: np.ndarray) -> None:
+        ends = np.append(start[1:], len(data))
+        raw = data.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(start[new].tolist(), ends[new].tolist())]
+        # Between empty lines stand pieces that begin with one white space and do not end with any.
+        joined = np.array([x[0] in " \n" and not x[1:2].isspace() and not x[-1].isspace() and self.GAP not in x for x in texts])
+        parts: list = [None] * len(texts)
+        for a in range(0, len(spots := np.flatnonzero(joined)), 4096):
+            some = spots[a : a + 4096]
+            ids = np.array(self._ids(self.GAP.join([texts[i] for i in some])), self.kind)
+            cut = np.flatnonzero(ids == self.gap)
+            if len(cut) != len(some) - 1:  # another token has the gap's id
+                joined[some] = False
+                continue
+            for i, x, y in zip(some, [0, *(cut + 1)], [*cut, len(ids)]):
+                parts[i] = ids[x:y]
+        rest = np.flatnonzero(~joined)
+        for i, x in zip(rest, self.direct([texts[i] for i in rest])):
+            parts[i] = x
+        size = np.array([len(x) for x in parts], np.int64)
+        spot = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, *parts])
+        self._hold(np.append(self.hashes, hashes[new]), np.append(self.spot, spot), np.append(self.size, size))
+
+    def _hold(self, hashes: np.ndarray, spot: np.ndarray, size: np.ndarray) -> None:
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.spot, self.size = hashes[order], spot[order], size[order]
+        self.slots[self.hashes >> np.uint64(64 - self.SLOTS)] = np.arange(len(self.hashes))
+
+    def _forget(self) -> None:
+        """Keep the pieces learned first, which are the frequent ones."""
+        kept = np.sort(np.argpartition(self.spot, self.remembered)[: self.remembered])
+        self.ids = self.ids[: int((self.spot[kept] + self.size[kept]).max())]
+        self.slots[:] = 0
+        self._hold(self.hashes[kept], self.spot[kept], self.size[kept])
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = True  # white space beyond ASCII begins with one of these
+_BREAK = np.zeros(256, bool)
+_BREAK[[10, 32]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+
+
+def _cuts(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Whether a piece begins at each byte."""
+    out = np.zeros(len(data), bool)
+    if len(data):
+        out[:-1] = _BREAK[data[:-1]] & ~_SPACE[data[1:]]
+        out[rows[1:] - 1] = False  # the next byte is another row's
+        out[1:] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+        out[rows[:-1][rows[:-1] < len(data)]] = True
+    return out
 
 
 # --- minimal perfect hash -------------------------------------------------------------------------
@@ -251,8 +333,7 @@ def open_token_files(spark: SparkSession, path: str, width: int, buckets: int) -
 def _shard_writer(folder: str, tokenizer: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _files(folder)
-        encoder = PieceEncoder(tokenizer)
-        end = np.array([end_id], encoder.kind).tobytes()
+        encoder = PieceEncoder.of_worker(tokenizer)
         shard = TaskContext.get().partitionId()
         fs.create_dir(root, recursive=True)
         lengths: list[np.ndarray] = []
@@ -260,11 +341,10 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int):
 
         def payload(out) -> None:
             for batch in batches:
-                texts = batch.column(1).to_pylist()
-                for a in range(0, len(texts), 512):
-                    coded = encoder.encode(texts[a : a + 512])
-                    lengths.append(np.array([len(x) for x in coded], np.int64) // encoder.kind.itemsize + 1)
-                    out.write(end.join(coded) + end)
+                for a in range(0, batch.num_rows, 1000):
+                    ids, at = encoder.encode(batch.column(1).slice(a, 1000))
+                    lengths.append(np.diff(at) + 1)
+                    out.write(np.insert(ids, at[1:], end_id).tobytes())
                 keys.append(batch.column(0))
 
         first = next(batches, None)

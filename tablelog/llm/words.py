@@ -90,6 +90,17 @@ def _hashes(data: np.ndarray, start: np.ndarray, code: np.ndarray) -> np.ndarray
     return mix(np.add.reduceat(value, start))
 
 
+def piece_hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The hash of the bytes from each start to the next, case and all."""
+    out, edge = np.empty(len(start), np.uint64), 0
+    while edge < len(start):
+        to = max(int(np.searchsorted(start, start[edge] + STEP)), edge + 1)
+        b = int(start[to]) if to < len(start) else len(data)
+        out[edge:to] = _hashes(data[start[edge] : b], start[edge:to] - start[edge], _BYTE)
+        edge = to
+    return out
+
+
 def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
     """The hash of every ``k`` words in a row; ``len(hashes) - k + 1`` of them."""
     n = len(hashes) - k + 1
