@@ -203,7 +203,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     names = {k: options.get(k, d) for k, d in (("key", "doc_id"), ("text", "text"))}
     taken = mix_sources(docs, **options).taken()
     copies = taken.groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size")).agg(
-        F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("__copies")
+        F.floor(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1)) + 0.5).cast("int").alias("__copies")
     )
     size = F.coalesce(F.regexp_count(column(docs, names["text"]), F.lit(WORD)), F.lit(0)).cast("long")
     chosen = docs.join(copies, column(docs, names["key"]).eqNullSafe(F.col("__id")) & (size == F.col("__size")))

@@ -15,12 +15,12 @@ index single tokens for the rare class and pairs of tokens for each frequent gro
 as many groups as 1/32 of a set's size, so a set has few pairs in each; sizes are rounded to powers
 of two, and a set near the border of two is indexed for both.
 
-Sets that share an index entry are candidates. The lengths must allow a link and, for entries of
-frequent pairs, so must the rare tokens: a pair that shares one is found by its own entry, so here
-all rare tokens of either set count as missing in the other. Entries of rare tokens have fewer than
-``frequent`` sets by definition. An entry of a pair may have any number; there the set with the
-fewest rare tokens is compared with all others first, components are formed, and only sets of
-different components are compared further. All candidates are verified by exact intersection.
+Sets that share an index entry are candidates if their lengths allow a link, and if the rare tokens
+that they share are enough: of the set whose prefix ends first all other indexed rare tokens are
+missing in its partner. Entries of rare tokens have fewer than ``frequent`` sets by definition. An
+entry of a pair may have any number; there the set with the fewest rare tokens is compared with all
+others first, components are formed, and only sets of different components are compared further.
+All candidates are verified by exact intersection.
 """
 
 from __future__ import annotations
@@ -241,10 +241,11 @@ def _rare_allow(n, r, m, s, percent: int) -> np.ndarray:
     return 100 * most >= percent * np.maximum(n + m - most, np.maximum(n + s, m + r))
 
 
-def _entry_pairs(percent: int):
-    """Pairs of sets from rows sorted by (entry, rare, set); a task holds ``SMALL`` rows of an entry.
+def _entry_pairs(percent: int, small: int):
+    """Pairs of sets from rows sorted by (entry, rare, set); a task holds ``small`` rows of an entry.
 
-    The rows of a larger entry beyond these are paired with its first row only and ``large`` is set.
+    The rows of a larger entry beyond these are paired with its first row only. Such an entry also
+    gives a row that pairs a set with itself, with the entry's number in the last column.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,30 +262,52 @@ def _entry_pairs(percent: int):
                 if entry[a] != last:
                     last, pool = entry[a], rows[:0]
                 kept = len(pool)
-                if kept < SMALL:
-                    pool = np.concatenate([pool, rows[: SMALL - kept]])
+                if kept < small:
+                    pool = np.concatenate([pool, rows[: small - kept]])
                     x, y = np.triu_indices(len(pool), 1)
                     new = y >= kept
-                    out.append(_checked(pool[x[new]], pool[y[new]], two[a], entry[a], False, percent))
-                rest = rows[max(0, SMALL - kept) :]
+                    out.append(_checked(pool[x[new]], pool[y[new]], two[a], percent))
+                rest = rows[max(0, small - kept) :]
                 if len(rest):
-                    out.append(_checked(np.repeat(pool[:1], len(rest), 0), rest, two[a], entry[a], True, percent))
-            found = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(np.where(found[:, 2] > 0, found[:, 3], 0), mask=found[:, 2] == 0)], ["a", "b", "large"]
-            )
+                    out.append(_checked(np.repeat(pool[:1], len(rest), 0), rest, two[a], percent))
+                    out.append(np.array([[pool[0, 0], pool[0, 0], 0, 0, 0, 0, entry[a]]]))
+            found = np.concatenate(out) if out else np.zeros((0, 7), np.int64)
+            columns = [pa.array(np.ascontiguousarray(x)) for x in found.T]
+            yield pa.RecordBatch.from_arrays(columns, _FOUND)
 
     return run
 
 
-def _checked(x: np.ndarray, y: np.ndarray, two: bool, entry: int, large: bool, percent: int) -> np.ndarray:
-    """(a, b, entry is large, entry) of the pairs that sizes and rare tokens allow; of a large one, all."""
+_FOUND = ["a", "b", "n", "r", "m", "s", "single"]
+
+
+def _checked(x: np.ndarray, y: np.ndarray, two: bool, percent: int) -> np.ndarray:
+    """The pairs that sizes, and in entries of pairs the rare tokens, allow; smaller set first.
+
+    Columns are ``_FOUND``: sets, tokens and rare entries of each, and 1 in an entry of one token.
+    """
     good = _sizes_allow(x[:, 1], y[:, 1], percent)
     if two:
         good &= _rare_allow(x[:, 1], x[:, 2], y[:, 1], y[:, 2], percent)
     x, y = x[good], y[good]
-    out = np.stack([np.minimum(x[:, 0], y[:, 0]), np.maximum(x[:, 0], y[:, 0])], 1)
-    return np.concatenate([out, np.full((len(out), 1), int(large)), np.full((len(out), 1), entry)], 1)
+    turned = (x[:, 0] > y[:, 0])[:, None]
+    low, high = np.where(turned, y, x), np.where(turned, x, y)
+    single = np.full((len(x), 1), int(not two))
+    return np.concatenate([low[:, :1], high[:, :1], low[:, 1:], high[:, 1:], single], 1)
+
+
+def _enough_shared(percent: int):
+    """Whether ``c`` common rare entries are enough for a link of sets of n and m tokens.
+
+    r and s rare tokens of these are indexed, all there are in a set that is ``full``. A set that is
+    not full ends its prefix before one that is; of two others either may end first.
+    """
+    n, r, m, s, c = (F.col(x) for x in ("n", "r", "m", "s", "c"))
+    full = lambda n, r: r < F.floor(n * (100 - percent) / 100) + 1
+    by_a, by_b = n - r + c, m - s + c
+    most = F.when(full(n, r) & full(m, s), F.least(by_a, by_b)).when(full(n, r), by_b).when(full(m, s), by_a)
+    most = F.least(most.otherwise(F.greatest(by_a, by_b)), n, m)
+    return 100 * most >= percent * (n + m - most)
 
 
 # --- verification ---------------------------------------------------------------------------------
@@ -372,12 +395,14 @@ def near_groups(
     spots = one.select("set", "n", "rare", F.explode(F.array(*kinds)).alias("e"))
     spots = spots.select(F.explode("e.entries").alias("entry"), F.col("e.two").alias("two"), "set", "n", "rare")
     spots = spots.repartition("entry").sortWithinPartitions("entry", "two", "rare", "set")
-    found = storage.table(spots.mapInArrow(_entry_pairs(percent), "a long, b long, large long"), "candidates")
+    found = storage.table(spots.mapInArrow(_entry_pairs(percent, max(SMALL, frequent)), ", ".join(f"{x} long" for x in _FOUND)), "candidates")
 
-    pairs = storage.table(found.filter("a <> b").select("a", "b").distinct(), "pairs")
+    same = F.sum("single").alias("c")
+    pairs = found.filter("a <> b").groupBy("a", "b", "n", "r", "m", "s").agg(same).filter(_enough_shared(percent))
+    pairs = storage.table(pairs.select("a", "b"), "pairs")
     links = _verified(pairs, rows, k, percent, storage, "first")
     groups = components(links, storage, "first-stars")
-    large = found.filter("large is not null").select(F.col("large").alias("entry")).distinct()
+    large = found.filter("a = b").select(F.col("single").alias("entry")).distinct()
     if not large.isEmpty():
         rest = _across(one, storage.table(large, "large"), groups, pairs, percent)
         rest = storage.table(rest, "rest")

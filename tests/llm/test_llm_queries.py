@@ -1,0 +1,51 @@
+"""The registered queries: against their SQL, and all of them at least over whole tables."""
+
+import os
+import zlib
+
+import pytest
+
+from tablelog.llm import queries
+
+SF = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
+TABLES = "documents benchmark labels conversations".split()
+
+duckdb = pytest.importorskip("duckdb")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not found")
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
+    return connection
+
+
+def canonical(names, tuples):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return [names[i] for i in order], sorted(tuple(repr(t[i]) for i in order) for t in tuples)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_sql(spark, db, name):
+    df = queries.QUERIES[name](spark, SF)
+    got = canonical(df.columns, [tuple(r) for r in df.collect()])
+    result = db.execute(queries.ORACLES[name])
+    assert got == canonical([d[0] for d in result.description], result.fetchall())
+    assert got[1]
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+def test_one_row_per_document(spark, db, name):
+    got = queries.QUERIES[name](spark, SF).select("doc_id").collect()
+    want = db.execute("select doc_id from documents order by 1").fetchall()
+    assert sorted(r[0] for r in got) == [r[0] for r in want]
+
+
+def test_quality_of_held_out_documents(spark, db):
+    got = queries.QUERIES["op10_mil_quality"](spark, SF).collect()
+    label = dict(db.execute("select doc_id, quality from labels").fetchall())
+    held = [r for r in got if r["held_out"] and r["doc_id"] in label]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
+    assert sum(r["predicted"] == label[r["doc_id"]] for r in held) >= 0.9 * len(held)

@@ -1,0 +1,67 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from tablelog.llm import target_ratio
+from tests.llm.conftest import ODD, WORDS, prose
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def rules(t):
+    t = t or ""
+    w = WORD.findall(t)
+    seen = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    covered = {j for k in range(len(w) - 4) if seen[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered), failed
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        text = prose(rng, rng.randint(0, 200))
+        if i % 3 == 0:
+            part = prose(rng, rng.randint(3, 30))
+            text = "\n".join([part] * rng.randint(1, 4) + [text] + [part] * rng.randint(0, 2))
+        if i % 10 == 1:
+            text = " ".join(f"{w}###" for w in text.split())
+        if i % 10 == 2:
+            text = "x " * rng.randint(1, 60)
+        rows.append((i, text))
+    return rows + ODD
+
+
+def test_rules(spark, documents, rows):
+    trusted = spark.createDataFrame([(i,) for i in range(0, 300, 5) if i % 10 not in (1, 2)], "doc_id long")
+    got = target_ratio.quality_verdicts(documents(rows), trusted).collect()
+    have = sorted((str(r["doc_id"]), *r[1:7]) for r in got)
+    assert have == sorted((str(i), *rules(t)) for i, t in rows)
+
+
+def test_ratio_rejects_what_is_not_like_the_trusted(spark, documents, rows):
+    trusted = spark.createDataFrame([(i,) for i in range(0, 300, 4) if i % 10 not in (1, 2)], "doc_id long")
+    got = {r["doc_id"]: r for r in target_ratio.quality_verdicts(documents(rows), trusted).collect()}
+    sound = [got[i] for i in range(300) if i % 10 not in (1, 2) and not got[i]["base_failed"]]
+    junk = [got[i] for i in range(300) if i % 10 == 1 and not got[i]["base_failed"]]
+    assert len(sound) > 150 and all(r["kept"] for r in sound)
+    assert len(junk) > 10 and not any(r["kept"] for r in junk)
+    assert not any(r["kept"] for r in got.values() if r["base_failed"])
+
+
+def test_no_trusted_rows_and_empty(spark, documents, rows):
+    none = spark.createDataFrame([], "doc_id long")
+    got = target_ratio.quality_verdicts(documents(rows), none).collect()
+    assert len(got) == len(rows) and all(r["kept"] != r["base_failed"] and r["ratio"] == 0 for r in got)
+    assert target_ratio.quality_verdicts(documents([(1, "x")]).filter("false"), none).count() == 0
+
+
+def test_native(spark, documents, rows):
+    trusted = spark.createDataFrame([(1,)], "doc_id long")
+    plan = target_ratio.quality_verdicts(documents(rows), trusted)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|MapInArrow", plan)

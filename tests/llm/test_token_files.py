@@ -1,0 +1,79 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tablelog.llm import token_files
+from tablelog.llm.queries import token_digests, tokenizer_path
+from tests.llm.conftest import ODD, prose
+
+tokenizers = pytest.importorskip("tokenizers")
+pytest.importorskip("public_tokenizers")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    return tokenizers.Tokenizer.from_file(tokenizer_path())
+
+
+def ids(reference, text):
+    return reference.encode(text or "", add_special_tokens=False).ids
+
+
+def test_pieces_are_whole_texts(reference):
+    rng = random.Random(5)
+    parts = ["a", "b ", " ", "  ", "\n", "\n\n", " \n", "\t", "é", "'s", "1", "!!", "漢", "\x1c", " x", "\r\n", "'", "　", "“", "Word", "the "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + [None, "", "x" * 5000]
+    encoder = token_files.PieceEncoder(tokenizer_path(), remembered=500)
+    for a in range(0, len(texts), 100):
+        flat, at = encoder.encode(pa.array(texts[a : a + 100], pa.string()))
+        for text, x, y in zip(texts[a : a + 100], at, at[1:]):
+            assert flat[x:y].tolist() == ids(reference, text)
+
+
+def test_digests(documents, reference):
+    rng = random.Random(2)
+    rows = [(i * 3, prose(rng, rng.randint(0, 80))) for i in rng.sample(range(400), 400)] + [x for x in ODD if x[0] is not None]
+    got = {}
+    for r in token_digests(documents(rows)).collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["n_tokens"], r["ids_crc32"]))
+    at = 0
+    for key in sorted({r[0] for r in rows}):
+        for text in [r[1] for r in rows if r[0] == key]:
+            own = [*ids(reference, text), 0]
+            assert (at, len(own), zlib.crc32(np.array(own, "<u4").tobytes())) in got[key]
+            at += len(own)
+    assert sum(map(len, got.values())) == len(rows)
+
+
+def test_null_key_comes_first(documents):
+    got = {r["doc_id"]: r["start"] for r in token_digests(documents([(1, "b"), (None, "a")])).collect()}
+    assert got[None] == 0 and got[1] == 2
+
+
+def test_ids_and_absent_keys(spark, documents, reference, tmp_path):
+    rows = [(i, f"text number {i}") for i in range(3000)]
+    files = token_files.write_token_files(documents(rows), str(tmp_path), tokenizer=tokenizer_path(), shard_bytes=5000)
+    asked = spark.createDataFrame([(5,), (2999,), (4000,), (5000,)], "key long")
+    got = {r["key"]: list(r["ids"]) for r in token_files.read_documents(files, asked, with_ids=True).collect()}
+    assert got == {i: [*ids(reference, f"text number {i}"), 0] for i in (5, 2999)}
+    assert files.shards.count() > 3 and files.index.count() == files.buckets
+
+
+@pytest.mark.parametrize("n", [1, 2, 63, 64, 5000])
+def test_hash_is_perfect_and_minimal(n):
+    rng = np.random.default_rng(n)
+    h1, h2 = rng.integers(0, 2**64, (2, n), dtype=np.uint64)
+    blob = token_files.PerfectIndex.pack(h1, h2, np.arange(n), np.arange(n), np.ones(n))
+    index = token_files.PerfectIndex(blob)
+    slots = index.find(h1, h2)
+    assert sorted(slots) == list(range(n))
+    assert (index.place[slots] == np.arange(n)).all()
+    other = rng.integers(0, 2**64, (2, 20000), dtype=np.uint64)
+    assert (index.find(*other) < 0).all()
+
+
+def test_empty(documents):
+    assert token_digests(documents([(1, "x")]).filter("false")).count() == 0
