@@ -58,8 +58,14 @@ def to_back(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[ref(c) for c in df.columns if c not in names], *map(ref, names))
 
 
-def transform_if(df: DataFrame, condition: bool, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    return df.transform(step) if condition else df
+def resolved(df: DataFrame, names: Iterable[str]) -> list[str]:
+    """The columns of ``df`` that ``names`` mean by the session's rule, as ``df`` spells them."""
+    fold = folded(df.sparkSession)
+    known = {fold(c): c for c in df.columns}
+    missing = [n for n in names if fold(n) not in known]
+    if missing:
+        raise ValueError("Column does not exist: " + ", ".join(missing))
+    return [known[fold(n)] for n in names]
 
 
 def empty_like(df: DataFrame) -> DataFrame:
@@ -81,11 +87,10 @@ def normalise_columns(df: DataFrame) -> DataFrame:
     fold = folded(df.sparkSession)
     owner: dict[str, str] = {}
     for name in df.columns:
-        clash = owner.setdefault(fold(clean_name(name)), name)
-        if clash != name:
-            raise ValueError(
-                f"Columns {clash!r} and {name!r} both become {clean_name(name)!r}"
-            )
+        key = fold(clean_name(name))
+        if key in owner:
+            raise ValueError(f"Columns {owner[key]!r} and {name!r} both become {clean_name(name)!r}")
+        owner[key] = name
     return df.toDF(*map(clean_name, df.columns))
 
 
@@ -196,6 +201,24 @@ def contains_map(kind: T.DataType) -> bool:
 
 
 def comparable(column: Column, kind: T.DataType) -> Column:
-    """The column itself, or its JSON text where the type has no order (maps)."""
-    return F.to_json(F.struct(column.alias("v"))) if contains_map(kind) else column
+    """The column in a form that ``=`` and ``<`` accept, NULL where it is NULL.
 
+    A map becomes its entries in order, so that equal maps are equal however they were built;
+    inside arrays and structs as well.
+    """
+    if not contains_map(kind):
+        return column
+    if isinstance(kind, T.MapType):
+        parts = F.transform(
+            F.map_entries(column),
+            lambda e: F.struct(
+                comparable(e["key"], kind.keyType).alias("key"), comparable(e["value"], kind.valueType).alias("value")
+            ),
+        )
+        return F.array_sort(parts)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: comparable(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [comparable(column[f.name], f.dataType).alias(f.name) for f in kind]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    return F.when(column.isNotNull(), F.to_json(column))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelog.functions.columns import ref
+from tablelog.functions.columns import comparable, ref
 
 # Fixed values of the digest format: two lanes of 15 hex digits (60 bits) per row.
 LANES = 2
@@ -29,11 +29,13 @@ def _plain(field: T.StructField) -> Column:
         column = F.unix_micros(column)
     elif isinstance(field.dataType, T.TimestampNTZType):
         column = column.cast("string")
+    else:
+        column = comparable(column, field.dataType)
     return column.alias(field.name)
 
 
 def row_digest(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
-    """SHA-256 of the row as JSON: names in order, NULLs written out, times in UTC."""
+    """SHA-256 of the row as JSON: names and map entries in order, NULLs written out, times in UTC."""
     chosen = sorted((f for f in df.schema if f.name not in exclude), key=lambda f: f.name)
     return F.sha2(F.to_json(F.struct(*map(_plain, chosen)), _JSON), 256)
 

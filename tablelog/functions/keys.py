@@ -7,25 +7,24 @@ is it NULL) once, and both grouping and joining on that pair, lets one exchange
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelog.functions.columns import contains_map, ref
 
-# A key is worth splitting when it has this many rows ...
+# A key with this many rows is split, into pieces of about so many.
 HOT_ROWS = 1_000_000
-# ... and at least one row in this many of the whole table.
-HOT_SHARE = 1024
-# Counters per sketch: any key above 7/16384 of the rows is certain to be reported.
+# Keys are sketched in so many classes by hash, and in each the heaviest are reported. A key is
+# certain to be reported if it has over 7/16384 of its class's rows, about 7 in a million of all.
+SKETCH_CLASSES = 64
 SKETCH_COUNTERS = 16_384
+REPORTED = 1024
 # Sketches are merged in two steps, this many side by side in the first.
 SKETCH_GROUPS = 256
-# How many pieces a hot key is split into.
-SALTS = 128
 # Largest key set, as counted, that is broadcast; below Spark's own default of 10 MB.
 BROADCAST_BYTES = 8 << 20
 # Memory a broadcast row takes besides its variable-length key bytes.
@@ -51,7 +50,7 @@ class NullSafeKey:
             raise ValueError("A primary key is required")
         missing = [k for k in key if k not in df.columns]
         if missing:
-            raise ValueError("Key column does not exist: " + ", ".join(missing))
+            raise ValueError("Column does not exist: " + ", ".join(missing))
         self.key = list(key)
         self.types = [df.schema[k].dataType for k in key]
         for name, kind in zip(self.key, self.types):
@@ -82,9 +81,6 @@ class NullSafeKey:
     def hash(self) -> Column:
         return F.xxhash64(*map(F.col, self.names))
 
-    def is_hot(self, hot: Iterable[int]) -> Column:
-        return self.hash().isin(sorted(hot))
-
     def bytes(self) -> Column:
         size = F.lit(ROW_OVERHEAD)
         for name, kind in zip(self.key, self.types):
@@ -97,70 +93,56 @@ class NullSafeKey:
 
 @dataclass(frozen=True)
 class KeyProfile:
+    """rows: of the batch. hot: heavy keys by hash, with the number of pieces each is split into."""
+
     rows: int
-    key_bytes: int
-    hot: tuple[int, ...]
+    hot: dict[int, int]
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``(__hot, __pieces)``: at most ``SKETCH_CLASSES * REPORTED`` rows, whatever the input."""
+        return spark.createDataFrame(sorted(self.hot.items()), "__hot long, __pieces int")
 
 
 def profile_keys(df: DataFrame, key: NullSafeKey, hot_rows: int = HOT_ROWS) -> KeyProfile:
-    """Rows, key bytes and heavy keys of a batch: one scan of its key columns, no key shuffle.
+    """Rows and heavy keys of a batch: one scan of its key columns, no key shuffle.
 
-    Each task sends one frequent-items sketch; what reaches the driver is one row with at
-    most ``HOT_SHARE`` key hashes. The sketch only steers the plan: a key it misses or
-    overrates is joined correctly either way.
+    Each task sends frequent-items sketches, one per class of hashes. The sketches only steer the
+    plan: a key they miss or overrate is joined correctly either way.
     """
+    hashed = df.select(*key.columns).select(key.hash().alias("h"), (F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
     sketches = (
-        df.select(
-            *key.columns,
-            key.bytes().alias("size"),
-            (F.spark_partition_id() % SKETCH_GROUPS).alias("part"),
-        )
-        .select("part", "size", key.hash().alias("h"))
-        .groupBy("part")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(h, {SKETCH_COUNTERS})").alias("sketch"),
-            F.count(F.lit(1)).alias("n"),
-            F.sum("size").alias("size"),
-        )
-    )
-    # Grouped by a constant: sketches of an empty batch cannot be combined, but no rows
-    # then means no group.
-    row = (
-        sketches.groupBy(F.lit(0).alias("all"))
+        hashed.groupBy("part", F.pmod(F.shiftright("h", 32), F.lit(SKETCH_CLASSES)).alias("class"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_COUNTERS})").alias("sketch"), F.count(F.lit(1)).alias("n"))
+        .groupBy("class")
         .agg(
-            F.expr(
-                f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_COUNTERS}), {HOT_SHARE})"
-            ).alias("top"),
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_COUNTERS}), {REPORTED})").alias("top"),
             F.sum("n").alias("n"),
-            F.sum("size").alias("size"),
         )
-        .first()
-    )
-    if row is None:
-        return KeyProfile(0, 0, ())
-    hot = tuple(
-        t["item"]
-        for t in row["top"]
-        if t["count"] >= hot_rows and t["count"] * HOT_SHARE >= row["n"]
     )
-    return KeyProfile(row["n"], row["size"], hot)
+    heavy = F.filter("top", lambda t: t["count"] >= hot_rows)
+    found = sketches.select("n", heavy.alias("top")).collect()  # one row per class
+    hot = {t["item"]: -(-t["count"] // hot_rows) for row in found for t in row["top"]}
+    return KeyProfile(sum(row["n"] for row in found), {h: n for h, n in hot.items() if n > 1})
+
 
+def with_pieces(df: DataFrame, key: NullSafeKey, profile: KeyProfile) -> DataFrame:
+    """``df`` with ``__pieces``: 1, or of heavy keys the number of pieces."""
+    hot = F.broadcast(profile.table(df.sparkSession))
+    marked = df.join(hot, key.hash() == F.col("__hot"), "left").drop("__hot")
+    return marked.withColumn("__pieces", F.coalesce("__pieces", F.lit(1)))
 
-def salted(df: DataFrame, key: NullSafeKey, hot: Iterable[int], spread: Sequence[Column]) -> DataFrame:
-    """Spread the rows of hot keys over ``SALTS`` groups; all other rows stay in group 0.
+
+def salted(df: DataFrame, key: NullSafeKey, profile: KeyProfile, spread: Sequence[Column]) -> DataFrame:
+    """Spread the rows of heavy keys over their pieces; all other rows stay in group 0.
 
     The salt depends on row content and input partition only, so a task that is run again
     after an executor loss sends every row to the same place.
     """
-    piece = F.pmod(F.xxhash64(*spread) + F.spark_partition_id(), F.lit(SALTS))
-    return df.withColumn(
-        "__salt", F.when(key.is_hot(hot), piece).otherwise(F.lit(0)).cast("int")
-    )
+    piece = F.pmod(F.xxhash64(*spread) + F.spark_partition_id(), F.col("__pieces")).cast("int")
+    return with_pieces(df, key, profile).withColumn("__salt", piece).drop("__pieces")
 
 
-def replicated(df: DataFrame, key: NullSafeKey, hot: Iterable[int]) -> DataFrame:
-    """One copy per salt of the few rows with a hot key (at most one row per key)."""
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    return df.withColumn(
-        "__salt", F.explode(F.when(key.is_hot(hot), every).otherwise(F.array(F.lit(0))))
-    )
+def replicated(df: DataFrame, key: NullSafeKey, profile: KeyProfile) -> DataFrame:
+    """One copy per piece of the few rows with a heavy key (at most one row per key)."""
+    every = F.explode(F.sequence(F.lit(0), F.col("__pieces") - 1))
+    return with_pieces(df, key, profile).withColumn("__salt", every).drop("__pieces")

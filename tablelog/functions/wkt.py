@@ -16,8 +16,18 @@ DEPTH = {
 }
 
 
+# An ordinate as JSON writes it.
+_NUMBER = r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$"
+
+
+def _joined(parts: Column, separator: str) -> Column:
+    """All parts in a row; NULL if one is missing."""
+    return F.when(F.forall(parts, lambda x: x.isNotNull()), F.array_join(parts, separator))
+
+
 def _position(position: Column) -> Column:
-    return F.array_join(position, " ")
+    numbers = F.forall(position, lambda x: F.coalesce(x.rlike(_NUMBER), F.lit(False)))
+    return F.when((F.size(position) >= 2) & numbers, F.array_join(position, " "))
 
 
 def _nested(coordinates: Column, depth: int, points_in_brackets: bool = False) -> Column:
@@ -28,7 +38,7 @@ def _nested(coordinates: Column, depth: int, points_in_brackets: bool = False) -
         parts = F.transform(coordinates, _position)
     else:
         parts = F.transform(coordinates, lambda c: _nested(c, depth - 1))
-    return F.concat(F.lit("("), F.array_join(parts, ", "), F.lit(")"))
+    return F.concat(F.lit("("), _joined(parts, ", "), F.lit(")"))
 
 
 def _simple(geometry: Column) -> Column:
@@ -50,10 +60,13 @@ def _simple(geometry: Column) -> Column:
 
 
 def wkt(geometry: Column) -> Column:
-    """WKT of a GeoJSON geometry given as JSON text; collections may hold any simple type."""
+    """WKT of a GeoJSON geometry given as JSON text; collections may hold any simple type.
+
+    NULL for an unknown type, a position of fewer than two numbers, and anything missing inside.
+    """
     head = F.from_json(geometry, "type string, geometries array<string>")
     members = F.transform(head["geometries"], _simple)
     collection = F.when(
         F.size(members) == 0, F.lit("GEOMETRYCOLLECTION EMPTY")
-    ).otherwise(F.concat(F.lit("GEOMETRYCOLLECTION ("), F.array_join(members, ", "), F.lit(")")))
+    ).otherwise(F.concat(F.lit("GEOMETRYCOLLECTION ("), _joined(members, ", "), F.lit(")")))
     return F.when(head["type"] == "GeometryCollection", collection).otherwise(_simple(geometry))

@@ -14,6 +14,7 @@ from tablelog.functions.columns import (
     from_utc_text,
     ref,
     reject_reserved,
+    resolved,
     time_literal,
     utc_text,
 )
@@ -36,16 +37,16 @@ def backfill_history(
     ``times`` lists the dump times in order, and so also names dumps that are empty. The
     result equals sequential snapshot merges with ``null_safe=True`` that compare all
     columns, but reads and exchanges the data once instead of once per dump. This needs
-    unique keys per dump; a duplicate, or a row of an unlisted dump, is refused up front.
+    unique keys per dump; the job fails at a duplicate, or at a row of an unlisted dump.
     """
     if not times or any(a >= b for a, b in zip(times, times[1:])):
         raise ValueError("Dump times must be given in strictly ascending order")
     reject_reserved(dumps, [vocab.system_time, vocab.event_time, vocab.observed])
     kind = dumps.schema[time_column].dataType
     names = [c for c in dumps.columns if c != time_column]
+    key = resolved(dumps, key)
     keys = NullSafeKey(dumps, key)
     values = [n for n in names if n not in key]
-    _check_dumps(dumps, keys, time_column, [time_literal(t, kind) for t in times])
 
     # One row per dump, as many as the caller listed.
     calendar = dumps.sparkSession.createDataFrame(
@@ -59,17 +60,23 @@ def backfill_history(
         *keys.columns,
         ref(time_column).alias("now"),
         F.struct(F.lit(True).alias("__here"), *map(ref, values)).alias("row"),
-    ).join(F.broadcast(calendar), "now")
+    ).join(F.broadcast(calendar.withColumn("listed", F.lit(True))), "now", "left")
+    shown = lambda what: F.raise_error(F.concat(F.lit(f"Dumps hold {what}: "), F.to_json(F.struct("now", *keys.restored()))))
     # Rows are compared as they are; only maps have to be turned into something comparable.
     content = F.col("row")
     if any(contains_map(f.dataType) for f in dumps.schema if f.name in values):
         content = F.struct(
             *[comparable(ref(v, "row"), dumps.schema[v].dataType).alias(v) for v in values]
         )
-    # Unique keys per dump bound a window group by the number of dumps.
+    # Unique keys per dump bound a window group by the number of dumps. Duplicates are neighbours in
+    # it, so the window itself finds them; a row without its dump in the calendar is unlisted.
     by_key = Window.partitionBy(*keys.names).orderBy("now")
+    twice = F.coalesce(F.lag("now").over(by_key) == F.col("now"), F.lit(False))
+    sound = F.when(F.col("listed").isNull(), shown("unlisted times")).when(twice, shown("duplicate keys")).otherwise(F.lit("")).cast("string")
     seen = rows.select(
         *keys.names,
+        "listed",
+        sound.alias("sound"),
         "now",
         "after",
         "row",
@@ -82,7 +89,8 @@ def backfill_history(
         ~F.col("same"), codes.changed
     )
     vanishes = F.when(~F.col("stays"), codes.removed)
-    changes = seen.select(
+    # Used by the filter, so that it is evaluated for every row.
+    changes = seen.filter("sound = ''").select(
         *keys.restored(),
         "row",
         F.explode(
@@ -98,22 +106,3 @@ def backfill_history(
         F.col("change.code").alias(vocab.observed),
         *[(ref(n) if n in key else ref(n, "row")).alias(n) for n in names],
     )
-
-
-def _check_dumps(
-    dumps: DataFrame, keys: NullSafeKey, time_column: str, times: Sequence[Column]
-) -> None:
-    """Refuse duplicates and unlisted dumps; counts are combined before the shuffle."""
-    listed = F.coalesce(F.col("now").isin(list(times)), F.lit(False))
-    bad = (
-        dumps.select(*keys.columns, ref(time_column).alias("now"))
-        .groupBy("now", *keys.names)
-        .count()
-        .filter((F.col("count") > 1) | ~listed)
-        .select("now", *keys.restored(), "count")
-        .limit(5)
-        .collect()
-    )
-    if bad:
-        shown = "\n".join(str(row.asDict()) for row in bad)
-        raise ValueError(f"Dumps hold duplicate keys or unlisted times:\n{shown}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from tablelog.functions.columns import ref, time_literal, type_of
 
 
+# The newest event time is not known beforehand.
+SCAN = "scan"
+
+
 class PastEventTime(ValueError):
     """A snapshot is not newer than what the history already holds."""
 
@@ -48,6 +52,13 @@ def check_constant_event_time(prev: DataFrame, event_time: datetime | Column, co
         _refuse(row["last_seen"], row["first_new"])
 
 
+def check_known_event_time(last: datetime, event_time: datetime) -> None:
+    """The same check where the newest time of the history is known, from its commit log."""
+    utc = lambda t: t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t
+    if utc(last) >= utc(event_time):
+        _refuse(last, event_time)
+
+
 def _refuse(last_seen, first_new) -> None:
     raise PastEventTime(
         f"A snapshot must be newer than the history, but {first_new} is not after {last_seen}"

@@ -8,14 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelog.functions.columns import contains_map, ref, to_front
-from tablelog.functions.keys import (
-    BROADCAST_BYTES,
-    HOT_ROWS,
-    NullSafeKey,
-    profile_keys,
-    salted,
-)
+from tablelog.functions.columns import ref, resolved, to_front
+from tablelog.functions.keys import BROADCAST_BYTES, NullSafeKey
 from tablelog.operators.append import stamp_and_reconcile
 from tablelog.vocab import DEFAULT_VOCABULARY, Vocabulary
 
@@ -27,44 +21,31 @@ def ledger_merge(
     key: Sequence[str],
     system_time: datetime | Column,
     vocab: Vocabulary = DEFAULT_VOCABULARY,
-    hot_rows: int = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of ``curr`` with an unseen key; NULL keys match NULL keys.
 
     Duplicates inside the batch are kept, and changed data under a known key is ignored.
-    Of the history only the key columns are read. A scan of the keys decides how:
+    Of the history only the key columns are read.
 
-    * a batch whose counted key bytes are small is broadcast, so no history row is shuffled;
-    * otherwise history keys and batch meet in one exchange each. Keys that are heavy on
-      either side are settled before that: which of those few the history holds is
-      broadcast, and batch rows that pass are spread over several tasks.
+    * A batch whose counted key bytes are small is broadcast, so no history row is shuffled.
+    * Otherwise history keys and batch meet in one exchange each. History keys are made distinct
+      per task before theirs, so a heavy one sends one row per task; a key that is heavy in the
+      batch is split by adaptive execution, which the anti join allows on that side.
     """
     merged = stamp_and_reconcile(prev, curr, system_time, vocab)
-    keys = NullSafeKey(merged.curr, key)
+    keys = NullSafeKey(merged.curr, resolved(merged.curr, key))
     if prev is None:
         return to_front(merged.curr, vocab.system_time)
     columns = [ref(c) for c in merged.curr.columns]
-    profile = profile_keys(merged.curr, keys, hot_rows)
     batch = merged.curr.select(*columns, *keys.columns)
     seen = merged.prev.select(*keys.columns)
     on = keys.names
-    if profile.key_bytes <= broadcast_bytes:
+    size = merged.curr.agg(F.sum(keys.bytes())).first()[0] or 0
+    if size <= broadcast_bytes:
         seen = seen.join(F.broadcast(batch.select(*on)), on, "left_semi").distinct()
         # At most the batch's own distinct keys, so under the same bound.
         fresh = batch.join(F.broadcast(seen), on, "left_anti")
     else:
-        hot = {*profile.hot, *profile_keys(merged.prev, keys, hot_rows).hot}
-        if hot:
-            # At most HOT_SHARE key hashes per side, and one row per key.
-            known = seen.filter(keys.is_hot(hot)).distinct()
-            spread = [ref(f.name) for f in merged.curr.schema if not contains_map(f.dataType)]
-            batch = salted(batch.join(F.broadcast(known), on, "left_anti"), keys, hot, spread)
-            # No heavy key is left on this side, so only rows in group 0 can match. Written
-            # as a plain 0 the optimizer would fold it, and not exchange by it.
-            group = F.when(keys.is_hot(hot), F.lit(-1)).otherwise(F.lit(0))
-            seen = seen.filter(~keys.is_hot(hot)).withColumn("__salt", group)
-            on = [*on, "__salt"]
-        fresh = batch.join(seen, on, "left_anti")
+        fresh = batch.join(seen.distinct(), on, "left_anti")
     return to_front(fresh.select(*columns), vocab.system_time)
-

@@ -17,11 +17,12 @@ from tablelog.functions.columns import (
     reconcile,
     ref,
     reject_reserved,
+    resolved,
     time_literal,
     type_of,
 )
-from tablelog.functions.keys import HOT_ROWS, NullSafeKey, profile_keys, replicated, salted
-from tablelog.operators.guard import check_constant_event_time
+from tablelog.functions.keys import HOT_ROWS, KeyProfile, NullSafeKey, profile_keys, replicated, salted, with_pieces
+from tablelog.operators.guard import SCAN, check_constant_event_time, check_known_event_time
 from tablelog.operators.latest import latest_rows
 from tablelog.vocab import DEFAULT_CODES, DEFAULT_VOCABULARY, Codes, Vocabulary
 
@@ -38,6 +39,7 @@ def snapshot_merge(
     codes: Codes = DEFAULT_CODES,
     vocab: Vocabulary = DEFAULT_VOCABULARY,
     hot_rows: int = HOT_ROWS,
+    last_event_time: datetime | str | None = SCAN,
 ) -> DataFrame:
     """Rows to append to ``prev`` so that its latest state equals the dump ``curr``.
 
@@ -49,8 +51,9 @@ def snapshot_merge(
     Plan: history is reduced to one row per key and meets the batch on the same
     partitioning, so history, batch and batch keys are exchanged once each and duplicates are
     dropped where they are. A full outer join would hold all rows of a key in memory; the
-    left and anti joins used instead hold one. A key with a large share of the batch is
-    split over several tasks.
+    left and anti joins used instead hold one. A key of ``hot_rows`` rows or more is split into
+    pieces of about that size. ``last_event_time`` is the newest event time of the history where
+    the caller knows it, NULL if there is none; else the history is scanned for it.
     """
     if event_time is None:
         event_time = system_time
@@ -58,6 +61,7 @@ def snapshot_merge(
     reject_reserved(curr, [vocab.event_time, vocab.observed, vocab.system_time])
 
     data = reconcile(prev, curr)
+    key = resolved(data.curr, key)
     names = [n for n in data.curr.columns if n not in marks]
     keys = NullSafeKey(data.curr, key)
     values = [n for n in names if n not in key]
@@ -68,11 +72,13 @@ def snapshot_merge(
         rows = rows.withColumn("observed", F.lit(codes.added))
     else:
         profile = profile_keys(data.curr, keys, hot_rows)
-        if profile.rows:
+        if profile.rows and isinstance(last_event_time, datetime) and isinstance(event_time, datetime):
+            check_known_event_time(last_event_time, event_time)
+        elif profile.rows and last_event_time is not None:
             check_constant_event_time(prev, event_time, vocab.event_time)
         state = _state(data.prev, keys, values, codes, vocab)
         changed = _changed(data.curr, compared, data.added, data.removed, null_safe)
-        rows = _differences(batch, state, keys, changed, data.curr, values, codes, profile.hot)
+        rows = _differences(batch, state, keys, changed, data.curr, values, codes, profile)
     key_column = dict(zip(key, keys.restored()))
     return rows.select(
         time_literal(system_time, type_of(prev, vocab.system_time)).alias(vocab.system_time),
@@ -155,21 +161,22 @@ def _differences(
     df: DataFrame,
     values: Sequence[str],
     codes: Codes,
-    hot: Sequence[int],
+    profile: KeyProfile,
 ) -> DataFrame:
     """Key, observation code and row struct of every key that differs."""
     on = list(keys.names)
     at, dump, known_rows = on, batch, state
     gone, present = state, batch.select(*on)
-    if hot:
+    if profile.hot:
         spread = [ref(v, "c") for v in values if not contains_map(df.schema[v].dataType)]
-        dump = salted(batch, keys, hot, spread or [F.lit(0)])
-        known_rows = replicated(state, keys, hot)
+        dump = salted(batch, keys, profile, spread or [F.lit(0)])
+        known_rows = replicated(state, keys, profile)
         at = [*on, "__salt"]
         # Few keys, though many rows: settled apart, so the rest has no heavy key.
-        heavy = present.filter(keys.is_hot(hot)).distinct()
+        marked = with_pieces(present, keys, profile)
+        heavy = marked.filter("__pieces > 1").select(*on).distinct()
         gone = state.join(F.broadcast(heavy), on, "left_anti")
-        present = present.filter(~keys.is_hot(hot))
+        present = marked.filter("__pieces = 1").select(*on)
     known = F.col("p").isNotNull()
     fresh = (
         dump.join(known_rows, at, "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
@@ -17,12 +18,15 @@ from tablelog.operators.strategy import Merge, merge_strategy
 from tablelog.plans.preprocess import ENGINE, Step, preprocess
 from tablelog.sources.archive import archive_members
 from tablelog.sources.geojson import read_geojson
-from tablelog.sources.history import CommitRecord, commit, find_commit, read_history
+from tablelog.sources.history import CommitRecord, TableLog, commit, open_log, read_history
 from tablelog.sources.readers import read_raw, reject_corrupt, show_corrupt
 from tablelog.vocab import DEFAULT_VOCABULARY, Vocabulary
 
 log = logging.getLogger(__name__)
 
+# Formats whose parsing costs more than reading the rows again from the executors.
+_TEXT = {"csv", "json", "xml", "text"}
+
 
 @dataclass(frozen=True)
 class Source:
@@ -47,8 +51,16 @@ class Source:
     # Number of files written; see ``commit``.
     coalesce: int = 0
     repartition: int = 0
-    # Keep the parsed file on the executors: the gate and the merge read it more than once.
-    persist: bool = False
+    # Keep the parsed file on the executors: the gate and the merge read it more than once. None: if
+    # it is text to parse, or has SQL steps.
+    persist: bool | None = None
+    # Called with the session of each task, to register functions or set options.
+    setup: Callable[[SparkSession], None] | None = None
+
+    def persists(self) -> bool:
+        if self.persist is not None:
+            return self.persist
+        return self.kind != "generic" or self.format.lower() in _TEXT or bool(self.preprocess)
 
 
 @dataclass(frozen=True)
@@ -70,7 +82,11 @@ class IngestTask:
             return self.commit_id
         at = self.system_time
         at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
-        return at.strftime("%Y%m%dT%H%M%S.%fZ")
+        return f"{at.strftime('%Y%m%dT%H%M%S.%fZ')}-{hashlib.sha256(self.input_name().encode()).hexdigest()[:16]}"
+
+    def input_name(self) -> str:
+        """What the commit is of: two inputs at one system time are two commits."""
+        return f"{self.dataset_id}:{self.data_to_ingest}"
 
 
 def _read_generic(spark: SparkSession, source: Source, path: str, vocab: Vocabulary) -> DataFrame:
@@ -80,7 +96,7 @@ def _read_generic(spark: SparkSession, source: Source, path: str, vocab: Vocabul
 
 
 def _read_geojson(spark: SparkSession, source: Source, path: str, vocab: Vocabulary) -> DataFrame:
-    return read_geojson(spark, path, lines=source.lines)
+    return read_geojson(spark, path, lines=source.lines, corrupt_column=vocab.corrupt_record)
 
 
 def _read_shapefile(spark: SparkSession, source: Source, path: str, vocab: Vocabulary) -> DataFrame:
@@ -105,26 +121,48 @@ def merge_with_existing(
     log_dir: str | None,
     system_time: datetime,
     event_time: datetime | None = None,
+    table_log: TableLog | None = None,
 ) -> DataFrame:
     """New rows of ``curr`` against what is stored."""
-    prev = read_history(curr.sparkSession, data_dir, log_dir)
-    return merge(prev, curr, system_time=system_time, event_time=event_time)
+    spark = curr.sparkSession
+    if table_log is None and log_dir is not None:
+        table_log = open_log(spark, log_dir)
+    prev = read_history(spark, data_dir, log=table_log)
+    known, last = table_log.last_event_time() if table_log else (False, None)
+    extra = {"last_event_time": last} if known else {}
+    return merge(prev, curr, system_time=system_time, event_time=event_time, **extra)
+
+
+def task_session(spark: SparkSession, source: Source) -> SparkSession:
+    """A session of the task's own, so that its views, functions and options end with it.
+
+    It has the options of ``spark``; ``source.setup`` may add functions and more.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    if source.setup:
+        source.setup(own)
+    return own
 
 
 def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
     """Read, check, clean, transform, merge and commit one raw file."""
     source, vocab = task.source, task.vocab
-    known = find_commit(spark, task.log_dir, task.commit_name())
+    spark = task_session(spark, source)
+    table_log = open_log(spark, task.log_dir)
+    known = table_log.find(task.commit_name(), task.input_name())
     if known is not None:
         log.info("Commit %s of %s is already recorded", known.commit_id, task.dataset_id)
         return known
     log.info("Ingesting %s into %s", task.data_to_ingest, task.data_dir)
     raw = read_source(spark, source, task.data_to_ingest, vocab)
-    if source.persist:
+    if source.persists():
         raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # A merge reads every row, so the check can ride along; the user's SQL may skip some.
-        eager = source.persist or bool(source.preprocess)
+        eager = source.persists() or bool(source.preprocess)
         checked = reject_corrupt(raw, vocab.corrupt_record, eager)
         declared = source.kind == "generic" and source.schema
         named = checked if declared else normalise_columns(checked)
@@ -136,6 +174,7 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
             log_dir=task.log_dir,
             system_time=task.system_time,
             event_time=task.event_time,
+            table_log=table_log,
         )
         return commit(
             rows,
@@ -145,6 +184,9 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
             commit_id=task.commit_name(),
             coalesce=source.coalesce,
             repartition=source.repartition,
+            source=task.input_name(),
+            event_time_column=vocab.event_time,
+            log=table_log,
         )
     except PySparkException:
         # If corrupt records stopped the job, say so with a preview of them.
@@ -152,7 +194,7 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
             show_corrupt(raw, vocab.corrupt_record)
         raise
     finally:
-        if source.persist:
+        if source.persists():
             raw.unpersist()
 
 

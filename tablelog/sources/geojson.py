@@ -1,4 +1,9 @@
-"""GeoJSON features as rows: the geometry as WKT plus one column per property."""
+"""GeoJSON features as rows: the geometry as WKT plus one column per property.
+
+What cannot be read is kept in the corrupt column, as Spark's own readers do, and is for
+``reject_corrupt`` to refuse: text that is no JSON or no GeoJSON, a feature without the type, and
+a geometry that is unknown, broken or incomplete.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelog.functions.columns import ref
+from tablelog.functions.columns import folded, ref
 from tablelog.functions.wkt import wkt
+from tablelog.vocab import DEFAULT_VOCABULARY
 
 _FEATURE = "type string, geometry string, properties string"
 # A file holds a collection of features, a single feature, or one of either per line.
 _DOCUMENT = f"{_FEATURE}, features array<struct<type: string, geometry: string, properties: string>>"
+_CORRUPT = "__corrupt"
 
 
 def read_geojson(
@@ -20,36 +27,68 @@ def read_geojson(
     path: str,
     lines: bool = False,
     properties: Sequence[str] | None = None,
+    corrupt_column: str = DEFAULT_VOCABULARY.corrupt_record,
 ) -> DataFrame:
     """Read GeoJSON files; with ``lines`` every line is a document and files are split.
 
     Naming the ``properties`` saves the scan that finds them.
     """
     spark.catalog.refreshByPath(path)
-    documents = spark.read.schema(_DOCUMENT).option("multiLine", not lines).json(path)
-    return feature_rows(documents, properties)
+    reader = spark.read.schema(f"{_DOCUMENT}, {_CORRUPT} string").option("columnNameOfCorruptRecord", _CORRUPT)
+    return feature_rows(reader.option("multiLine", not lines).json(path), properties, corrupt_column)
 
 
-def parse_geojson(documents: DataFrame, column: str, properties: Sequence[str] | None = None) -> DataFrame:
-    """The same for documents already in a text column."""
-    parsed = documents.select(F.from_json(ref(column), _DOCUMENT).alias("d")).select("d.*")
-    return feature_rows(parsed, properties)
+def parse_geojson(
+    documents: DataFrame,
+    column: str,
+    properties: Sequence[str] | None = None,
+    corrupt_column: str = DEFAULT_VOCABULARY.corrupt_record,
+) -> DataFrame:
+    """The same for documents already in a text column; a NULL document is corrupt."""
+    parsed = F.from_json(ref(column), f"{_DOCUMENT}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = documents.select(parsed.alias("d"), ref(column).alias("text"))
+    # A document that is JSON but no object parses to NULLs without a complaint.
+    return feature_rows(
+        parsed.select("d.type", "d.geometry", "d.properties", "d.features", F.coalesce(f"d.{_CORRUPT}", F.when(F.col("d.type").isNull(), F.coalesce("text", F.lit("NULL")))).alias(_CORRUPT)),
+        properties,
+        corrupt_column,
+    )
 
 
-def feature_rows(documents: DataFrame, properties: Sequence[str] | None = None) -> DataFrame:
+def feature_rows(
+    documents: DataFrame,
+    properties: Sequence[str] | None = None,
+    corrupt_column: str = DEFAULT_VOCABULARY.corrupt_record,
+) -> DataFrame:
+    """``geometry``, the properties, and the text of what is corrupt, NULL for sound features."""
     own = F.array(F.struct("type", "geometry", "properties"))
+    collection = F.col("type") == "FeatureCollection"
+    whole = F.coalesce(_CORRUPT, F.to_json(F.struct("type", "geometry", "properties", "features")))
+    # A document is one bad record if it did not parse or is neither kind; so is a collection without a list.
+    broken = F.col(_CORRUPT).isNotNull() | F.coalesce(collection & F.col("features").isNull(), F.lit(False))
     features = documents.select(
-        F.explode(F.when(F.col("type") == "FeatureCollection", F.col("features")).otherwise(own)).alias("f")
-    ).filter(F.col("f.type") == "Feature")
+        F.explode(F.when(broken, own).when(collection, F.col("features")).otherwise(own)).alias("f"),
+        F.when(broken, whole).alias("bad"),
+    )
     rows = features.select(
-        F.col("f.geometry").alias("geometry"),
+        wkt(F.col("f.geometry")).alias("geometry"),
         F.from_json("f.properties", "map<string,string>").alias("properties"),
+        F.col("f.geometry").alias("source"),
+        F.col("f").alias("f"),
+        "bad",
     )
+    kind = F.coalesce(F.col("f.type") == "Feature", F.lit(False))
+    shape = F.col("source").isNull() | F.col("geometry").isNotNull()
+    named = F.col("f.properties").isNull() | F.col("properties").isNotNull()
+    rows = rows.withColumn("bad", F.coalesce("bad", F.when(~(kind & shape & named), F.coalesce(F.to_json("f"), F.lit("NULL")))))
     if properties is None:
         # Distinct property names: as many as the table has columns.
         found = rows.select(F.explode(F.map_keys("properties")).alias("name")).distinct()
         properties = sorted(r["name"] for r in found.collect())
+    fold = folded(documents.sparkSession)
+    clash = [p for p in properties if fold(p) in (fold("geometry"), fold(corrupt_column))]
+    if clash:
+        raise ValueError(f"Properties are called like columns of their own: {', '.join(clash)}")
     return rows.select(
-        wkt(F.col("geometry")).alias("geometry"),
-        *[F.col("properties")[p].alias(p) for p in properties],
+        "geometry", *[F.col("properties")[p].alias(p) for p in properties], F.col("bad").alias(corrupt_column)
     )

@@ -1,9 +1,13 @@
 """The history table on disk: Parquet data, one directory per commit, and a commit log.
 
-Data goes to ``<data_dir>/commit=<id>`` by overwriting, and counts only once ``log_dir`` has
-its record, one small file each. A job that dies in between leaves a directory nobody reads,
-and running the same commit again replaces it, so every commit takes effect exactly once.
-A table has one writer at a time.
+Data goes to ``<data_dir>/__commit=<id>`` by overwriting, and counts only once ``log_dir`` has
+its record. A job that dies in between leaves a directory nobody reads, and running the same
+commit again replaces it, so every commit takes effect exactly once. A table has one writer at a
+time.
+
+The log is a compacted part, ``compact/upto=<n>`` with all records up to number n, and a tail of
+one small file for each record after it, ``tail/after=<n>``. Whoever reads the log reads one of
+each, so the files read do not grow with the table's life.
 """
 
 from __future__ import annotations
@@ -11,27 +15,35 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import asdict, dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelog.functions.columns import reconcile, ref
 from tablelog.functions.digest import digest_metrics, digest_of, row_digest
+from tablelog.vocab import DEFAULT_VOCABULARY
 
 _RECORD = (
     "commit_id string, sequence bigint, system_time string, prev_block_hash string,"
     " hash string, num_records bigint, interval_start string, interval_end string,"
-    " table_schema string"
+    " table_schema string, input string, max_event_time string"
 )
 _HASH = "__row_hash"
+_COMMIT = "__commit"
 _ID = re.compile(r"[A-Za-z0-9_.-]+")
+#: Records in the tail of the log before it is compacted.
+TAIL = 32
+
+
+class OtherInput(ValueError):
+    """A commit id is recorded already, for another input."""
 
 
 @dataclass(frozen=True)
 class CommitRecord:
-    """What a commit added: when, how many rows, and their digest."""
+    """What a commit added: when, how many rows, their digest, and from which input."""
 
     commit_id: str
     sequence: int
@@ -42,72 +54,133 @@ class CommitRecord:
     interval_start: str
     interval_end: str
     table_schema: str
+    input: str = ""
+    # Newest event time of the commit's rows, "" without any; None if it is not known.
+    max_event_time: str | None = None
 
 
-def _or_none(read) -> DataFrame | None:
-    try:
-        return read()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory, none if it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
 
 
 def _commit_dir(data_dir: str, commit_id: str) -> str:
-    return f"{data_dir.rstrip('/')}/commit={commit_id}"
+    return f"{data_dir.rstrip('/')}/{_COMMIT}={commit_id}"
+
+
+def _compacted(spark: SparkSession, log_dir: str) -> int:
+    """Number of the last record in the newest whole compacted part, 0 without one."""
+    done = [int(name[5:]) for name in _children(spark, f"{log_dir}/compact") if name.startswith("upto=")]
+    for upto in sorted(done, reverse=True):
+        if "_SUCCESS" in _children(spark, f"{log_dir}/compact/upto={upto}"):
+            return upto
+    return 0
+
+
+def _log_paths(spark: SparkSession, log_dir: str) -> tuple[int, list[str]]:
+    upto = _compacted(spark, log_dir)
+    tail = f"{log_dir}/tail/after={upto}"
+    paths = [f"{log_dir}/compact/upto={upto}"] if upto else []
+    return upto, paths + ([tail] if _children(spark, tail) else [])
 
 
 def read_log(spark: SparkSession, log_dir: str) -> DataFrame | None:
     """All commit records, or None before the first commit."""
-    spark.catalog.refreshByPath(log_dir)
-    return _or_none(lambda: spark.read.schema(_RECORD).json(log_dir))
+    log_dir = log_dir.rstrip("/")
+    paths = _log_paths(spark, log_dir)[1]
+    if not paths:
+        return None
+    for path in paths:
+        spark.catalog.refreshByPath(path)
+    return spark.read.schema(_RECORD).json(paths)
+
+
+@dataclass(frozen=True)
+class TableLog:
+    """The state of a table's log, read once: records by commit id, the last number, the schema."""
+
+    log_dir: str
+    records: dict[str, CommitRecord]
+
+    @property
+    def last(self) -> int:
+        return max((r.sequence for r in self.records.values()), default=0)
+
+    @property
+    def schema(self) -> T.StructType | None:
+        if not self.records:
+            return None
+        newest = max(self.records.values(), key=lambda r: r.sequence)
+        return T.StructType.fromJson(json.loads(newest.table_schema))
+
+    def last_event_time(self) -> tuple[bool, datetime | None]:
+        """Whether all commits recorded their newest event time, and the newest of all."""
+        times = [r.max_event_time for r in self.records.values()]
+        if any(t is None for t in times):
+            return False, None
+        times = [datetime.fromisoformat(t) for t in times if t]
+        return True, max(times, default=None)
+
+    def find(self, commit_id: str, source: str = "") -> CommitRecord | None:
+        """The record of one commit, if there is one; it must be of the same input."""
+        known = self.records.get(commit_id)
+        if known is not None and source and known.input and known.input != source:
+            raise OtherInput(f"Commit {commit_id} is of {known.input!r}, not of {source!r}")
+        return known
+
+
+def open_log(spark: SparkSession, log_dir: str) -> TableLog:
+    """Read the log; what reaches the driver is a record per commit, no data."""
+    log = read_log(spark, log_dir)
+    rows = [] if log is None else log.collect()
+    return TableLog(log_dir.rstrip("/"), {r["commit_id"]: CommitRecord(**r.asDict()) for r in rows})
 
 
 def find_commit(spark: SparkSession, log_dir: str, commit_id: str) -> CommitRecord | None:
     """The record of one commit, if there is one."""
-    return _log_end(spark, log_dir, commit_id)[1]
+    return open_log(spark, log_dir).find(commit_id)
 
 
-def _log_end(
-    spark: SparkSession, log_dir: str, commit_id: str
-) -> tuple[int, CommitRecord | None]:
-    """Number of the last commit, and the record of ``commit_id``."""
-    log = read_log(spark, log_dir)
-    if log is None:
-        return 0, None
-    this = F.col("commit_id") == commit_id
-    end = log.agg(
-        F.max("sequence").alias("last"),
-        F.first(F.when(this, F.struct("*")), ignorenulls=True).alias("record"),
-    ).first()
-    record = end["record"]
-    return end["last"] or 0, None if record is None else CommitRecord(**record.asDict())
-
-
-def read_history(spark: SparkSession, data_dir: str, log_dir: str | None = None) -> DataFrame | None:
+def read_history(
+    spark: SparkSession, data_dir: str, log_dir: str | None = None, log: TableLog | None = None
+) -> DataFrame | None:
     """The stored rows, or None if there are none yet.
 
     With a log, only recorded commits are read, under the table schema the log holds, so no
     file footers are opened to find it. Without one, every Parquet file below ``data_dir``
     counts and their schemas are merged.
     """
-    if log_dir is None:
+    data_dir = data_dir.rstrip("/")
+    if log_dir is None and log is None:
+        if not _children(spark, data_dir):
+            return None
         spark.catalog.refreshByPath(data_dir)
-        reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
-        return _or_none(lambda: reader.parquet(data_dir))
-    log = read_log(spark, log_dir)
-    if log is None:
+        return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(data_dir)
+    log = log or open_log(spark, log_dir)
+    if not log.records:
         return None
-    # Ids and one schema: grows with the number of commits, not with the data.
-    state = log.agg(
-        F.collect_set("commit_id").alias("ids"),
-        F.max_by("table_schema", "sequence").alias("table_schema"),
-    ).first()
-    if not state["ids"]:
+    spark.catalog.refreshByPath(data_dir)
+    stored = spark.read.schema(log.schema.add(_COMMIT, T.StringType())).parquet(data_dir)
+    # Directories of lost jobs are the exception: these few are left out by a partition filter.
+    present = [x.split("=", 1)[1] for x in _children(spark, data_dir) if x.startswith(f"{_COMMIT}=")]
+    lost = sorted(set(present) - set(log.records))
+    if lost:
+        stored = stored.filter(~ref(_COMMIT).isin(lost))
+    return stored.drop(_COMMIT)
+
+
+def _newest(df: DataFrame, column: str) -> Column | None:
+    """Aggregate: the newest time as microseconds since 1970 in UTC, if the column holds times."""
+    if column not in df.columns:
         return None
-    schema = T.StructType.fromJson(json.loads(state["table_schema"]))
-    paths = [_commit_dir(data_dir, i) for i in sorted(state["ids"])]
-    return spark.read.schema(schema).parquet(*paths)
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.max(F.unix_micros(ref(column)))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.max(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast(kind), ref(column)))
+    return None
 
 
 def commit(
@@ -119,42 +192,70 @@ def commit(
     commit_id: str,
     coalesce: int = 0,
     repartition: int = 0,
+    source: str = "",
+    event_time_column: str = DEFAULT_VOCABULARY.event_time,
+    log: TableLog | None = None,
 ) -> CommitRecord:
     """Append ``df`` as one commit and record it; a known commit id changes nothing.
 
-    Count and digest are observed while the files are written, so the rows are computed
-    once. ``coalesce`` limits the number of files, and with it the tasks that compute them;
-    ``repartition`` writes that many files from all tasks, for one more exchange of ``df``.
+    ``source`` says what the rows are from; the same id with another source is refused. Columns
+    of the table that ``df`` lacks become NULL, new ones join the table, and a type that the
+    table's does not hold is refused.
+
+    Count, digest and newest event time are observed while the files are written, so the rows are
+    computed once. ``coalesce`` limits the number of files, and with it the tasks that compute
+    them; ``repartition`` writes that many files from all tasks, for one more exchange of ``df``.
     With neither the partitions are left alone.
     """
     if not _ID.fullmatch(commit_id):
         raise ValueError(f"Commit id {commit_id!r} is not a plain file name")
-    spark = df.sparkSession
-    last, known = _log_end(spark, log_dir, commit_id)
+    spark, log_dir = df.sparkSession, log_dir.rstrip("/")
+    log = log or open_log(spark, log_dir)
+    known = log.find(commit_id, source)
     if known is not None:
         return known
+    if log.schema is not None:
+        df = reconcile(spark.createDataFrame([], log.schema), df).curr
     out = df.repartition(repartition) if repartition else df
     out = out.coalesce(coalesce) if coalesce else out
     # Observed in the writing stage itself: a task that is run again counts once.
     metrics = Observation()
+    newest = _newest(out, event_time_column)
+    extra = [] if newest is None else [newest.alias("newest")]
     hashed = out.withColumn(_HASH, row_digest(out))
-    observed = hashed.observe(metrics, *digest_metrics(F.col(_HASH))).drop(_HASH)
+    observed = hashed.observe(metrics, *digest_metrics(F.col(_HASH)), *extra).drop(_HASH)
     observed.write.mode("overwrite").parquet(_commit_dir(data_dir, commit_id))
 
     if system_time.tzinfo is None:
         system_time = system_time.replace(tzinfo=timezone.utc)
     instant = system_time.astimezone(timezone.utc).isoformat()
+    seen = metrics.get
+    last_event = None
+    if newest is not None:
+        start = datetime(1970, 1, 1, tzinfo=timezone.utc)
+        last_event = "" if seen["newest"] is None else (start + timedelta(microseconds=seen["newest"])).isoformat()
     record = CommitRecord(
         commit_id=commit_id,
-        sequence=last + 1,
+        sequence=log.last + 1,
         system_time=instant,
         prev_block_hash="",
-        hash=digest_of(metrics.get),
-        num_records=metrics.get["num_records"],
+        hash=digest_of(seen),
+        num_records=seen["num_records"],
         interval_start=instant,
         interval_end=instant,
         table_schema=df.schema.json(),
+        input=source,
+        max_event_time=last_event,
     )
-    rows = spark.createDataFrame([asdict(record)], _RECORD)
-    rows.coalesce(1).write.mode("append").json(log_dir)
+    _append(spark, log_dir, record, log)
     return record
+
+
+def _append(spark: SparkSession, log_dir: str, record: CommitRecord, log: TableLog) -> None:
+    """Write a record to the tail, and the whole log anew when the tail is long."""
+    upto = _compacted(spark, log_dir)
+    frame = lambda records: spark.createDataFrame([asdict(r) for r in records], _RECORD).coalesce(1)
+    frame([record]).write.mode("append").json(f"{log_dir}/tail/after={upto}")
+    if record.sequence - upto >= TAIL:
+        everything = sorted([*log.records.values(), record], key=lambda r: r.sequence)
+        frame(everything).write.mode("overwrite").json(f"{log_dir}/compact/upto={record.sequence}")

@@ -5,18 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tablelog.operators.strategy import Merge
 from tablelog.plans.ingest import merge_with_existing
-from tablelog.sources.history import commit, find_commit
+from tablelog.sources.history import commit, open_log
 
 
 def _now(batch_id: int) -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a stream when it first writes to its checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def commit_batch(
     batch: DataFrame,
     batch_id: int,
@@ -27,15 +32,18 @@ def commit_batch(
     system_time: Callable[[int], datetime] = _now,
     event_time: Callable[[int], datetime] | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    stream_id: str = "",
 ) -> None:
     """Merge and commit one micro-batch under its id.
 
     A micro-batch may be delivered again after a failure. Its commit id is derived from the
-    batch id, so a recorded one is skipped, and one that was written but not recorded is
-    neither read nor kept.
+    stream's id, which lies in its checkpoint, and the batch id, so a recorded one is skipped,
+    and one that was written but not recorded is neither read nor kept. Another stream, or the
+    same one from a new checkpoint, has other ids.
     """
-    commit_id = f"batch-{batch_id:012d}"
-    if find_commit(batch.sparkSession, log_dir, commit_id) is not None:
+    commit_id = f"batch-{stream_id}-{batch_id:012d}" if stream_id else f"batch-{batch_id:012d}"
+    table_log = open_log(batch.sparkSession, log_dir)
+    if table_log.find(commit_id) is not None:
         return
     at = system_time(batch_id)
     rows = merge_with_existing(
@@ -45,8 +53,9 @@ def commit_batch(
         log_dir=log_dir,
         system_time=at,
         event_time=event_time(batch_id) if event_time else None,
+        table_log=table_log,
     )
-    commit(rows, data_dir, log_dir, system_time=at, commit_id=commit_id)
+    commit(rows, data_dir, log_dir, system_time=at, commit_id=commit_id, source=f"stream:{stream_id}", log=table_log)
 
 
 def poll(
@@ -73,6 +82,7 @@ def poll(
             system_time=system_time,
             event_time=event_time,
             prepare=prepare,
+            stream_id=_stream_id(batch.sparkSession, checkpoint),
         )
 
     return (

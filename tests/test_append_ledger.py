@@ -4,18 +4,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablelog import SchemaDrift, Vocabulary, append_merge, ledger_merge, merge_strategy
-from tests.conftest import final_plan, ordered, rows, salted_exchanges, ts
+from tests.conftest import final_plan, ordered, rows, ts
 
 HISTORY = "system_time timestamp, event_time timestamp, id int, data string"
 BATCH = "event_time timestamp, id int, data string"
 WIDE = "event_time timestamp, id int, extra string, data string"
 
-SEEN = [(ts(3), ts(0), 1, "a"), (ts(3), ts(1), 2, "b"), (ts(3), ts(2), 3, "c")]
-DUMP = [(ts(i), i + 1, c) for i, c in enumerate("abcdef")]
-NEW = [(ts(6), ts(3), 4, "d"), (ts(6), ts(4), 5, "e"), (ts(6), ts(5), 6, "f")]
+# Readings of meters: two are stored, a later file repeats them and brings three more.
+SEEN = [(ts(9), ts(2), 40, "low"), (ts(9), ts(4), 41, "high")]
+DUMP = [(ts(2), 40, "low"), (ts(4), 41, "mid"), (ts(5), 42, "off"), (ts(7), 45, "high"), (ts(8), 47, "low")]
+NEW = [(ts(11), *r) for r in DUMP[2:]]
 
-# One plan for small batches, one for large, one for large with split keys.
-LEDGER_PLANS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "hot_rows": 1}]
+# One plan for small batches, one for large.
+LEDGER_PLANS = [{}, {"broadcast_bytes": 0}]
 
 
 def test_append_from_empty(spark):
@@ -57,7 +58,7 @@ def test_append_reads_no_history_rows(spark, tmp_path):
     path = str(tmp_path / "h")
     spark.createDataFrame(SEEN, HISTORY).write.parquet(path)
     out = append_merge(
-        spark.read.parquet(path), spark.createDataFrame(DUMP, BATCH), system_time=ts(6)
+        spark.read.parquet(path), spark.createDataFrame(DUMP, BATCH), system_time=ts(11)
     )
     assert "FileScan" not in out._jdf.queryExecution().toString()
 
@@ -72,7 +73,7 @@ def test_reserved_column(spark):
 
 def test_ledger_from_empty(spark):
     batch = DUMP[:3]
-    out = ledger_merge(None, spark.createDataFrame(batch, BATCH), key=["id"], system_time=ts(3))
+    out = ledger_merge(None, spark.createDataFrame(batch, BATCH), key=["ID"], system_time=ts(3))
     assert rows(out) == ordered([(ts(3), *b) for b in batch])
 
 
@@ -82,7 +83,7 @@ def test_ledger_append(spark, plan):
         spark.createDataFrame(SEEN, HISTORY),
         spark.createDataFrame(DUMP, BATCH),
         key=["id"],
-        system_time=ts(6),
+        system_time=ts(11),
         **plan,
     )
     assert out.columns == ["system_time", "event_time", "id", "data"]
@@ -96,7 +97,7 @@ def test_ledger_added_column(spark, plan):
         spark.createDataFrame(SEEN, HISTORY),
         spark.createDataFrame(batch, WIDE),
         key=["id"],
-        system_time=ts(6),
+        system_time=ts(11),
         **plan,
     )
     assert out.columns == ["system_time", "event_time", "id", "data", "extra"]
@@ -109,7 +110,7 @@ def test_ledger_removed_column(spark, plan):
         [(s, e, i, "x", d) for s, e, i, d in SEEN], "system_time timestamp, " + WIDE
     )
     out = ledger_merge(
-        prev, spark.createDataFrame(DUMP, BATCH), key=["id"], system_time=ts(6), **plan
+        prev, spark.createDataFrame(DUMP, BATCH), key=["id"], system_time=ts(11), **plan
     )
     assert out.columns == ["system_time", "event_time", "id", "extra", "data"]
     assert rows(out) == ordered([(s, e, i, None, d) for s, e, i, d in NEW])
@@ -133,7 +134,7 @@ def test_ledger_keeps_duplicates_and_matches_null_keys(spark, plan):
 @pytest.mark.parametrize("plan", LEDGER_PLANS)
 def test_ledger_twice_adds_nothing(spark, plan):
     curr = spark.createDataFrame(DUMP, BATCH)
-    first = ledger_merge(None, curr, key=["id"], system_time=ts(6))
+    first = ledger_merge(None, curr, key=["id"], system_time=ts(11))
     assert rows(ledger_merge(first, curr, key=["id"], system_time=ts(7), **plan)) == []
 
 
@@ -157,21 +158,32 @@ def test_ledger_hot_key(spark, plan):
     assert out.filter("k = -1").count() == 1000
 
 
-def test_ledger_hot_history(spark, large):
-    """A third of the history shares one key that the batch has once."""
-    history = spark.range(900).select(
-        F.lit(ts(0)).alias("system_time"),
-        F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"),
-        F.col("id").alias("v"),
+def test_ledger_heavy_keys(spark, large):
+    """History keys are distinct per task before the exchange; a heavy batch key is split at runtime."""
+    lines = spark.range(60000)
+    history = lines.select(
+        F.lit(ts(0)).alias("system_time"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("v")
     )
-    curr = spark.createDataFrame([(None, 1), (1, 2), (3, 3), (5000, 4)], "k bigint, v bigint")
-    options = dict(key=["k"], system_time=ts(1), broadcast_bytes=0)
-    for hot_rows in (200, 10**6):
-        out = ledger_merge(history, curr, hot_rows=hot_rows, **options)
+    curr = lines.select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        out = ledger_merge(history, curr.repartition(8), key=["k"], system_time=ts(1), broadcast_bytes=0)
         plan = final_plan(out)
-        assert rows(out, "k") == [(3,), (5000,)]
-        # Both sides are exchanged by the salt as well, or nothing would be split.
-        assert salted_exchanges(plan) == (2 if hot_rows == 200 else 0)
+        assert out.filter("k = -1").count() == 30000
+        assert out.filter("k > 0").count() == sum(i % 2 and i % 3 == 0 for i in range(60000))
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert "skew=true" in plan and "LeftAnti" in plan
+    # Below the exchange of the history stands a partial aggregate.
+    assert plan.count("HashAggregate(keys=[__key0") == 2
 
 
 def test_ledger_struct_key(spark):
@@ -190,7 +202,7 @@ def test_ledger_reads_only_keys_of_history(spark, tmp_path):
             spark.read.parquet(path),
             spark.createDataFrame(DUMP, BATCH),
             key=["id"],
-            system_time=ts(6),
+            system_time=ts(11),
             **plan,
         )
         plan_text = out._jdf.queryExecution().executedPlan().toString()
@@ -212,12 +224,12 @@ def test_type_drift(spark):
 def test_factory(spark):
     curr = spark.createDataFrame(DUMP, BATCH)
     prev = spark.createDataFrame(SEEN, HISTORY)
-    assert merge_strategy("append")(prev, curr, system_time=ts(6)).count() == 6
-    assert merge_strategy("ledger", key=["id"])(prev, curr, system_time=ts(6)).count() == 3
+    assert merge_strategy("append")(prev, curr, system_time=ts(11)).count() == 5
+    assert merge_strategy("ledger", key=["id"])(prev, curr, system_time=ts(11)).count() == 3
     renamed = curr.withColumnRenamed("event_time", "at")
-    out = merge_strategy("snapshot", key=["id"])(None, renamed, system_time=ts(6))
+    out = merge_strategy("snapshot", key=["id"])(None, renamed, system_time=ts(11))
     # Without an event time the system time stands in.
-    assert out.select("event_time").distinct().collect() == [(plain_ts(6),)]
+    assert out.select("event_time").distinct().collect() == [(plain_ts(11),)]
     with pytest.raises(NotImplementedError):
         merge_strategy("upsert")
     with pytest.raises(ValueError):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelog import append_merge, as_of, reconcile
-from tablelog.functions.columns import has_column, time_literal, transform_if
+from tablelog.functions.columns import has_column, time_literal
 from tests.conftest import rows, ts
 
 
@@ -65,9 +65,3 @@ def test_reconcile(spark):
     # A column that was never anything but NULL takes the type it is first given.
     void = prev.withColumn("fresh", F.lit(None))
     assert reconcile(void, curr).prev.schema["fresh"].dataType == T.DoubleType()
-
-
-def test_transform_if(spark):
-    df = spark.range(3)
-    assert transform_if(df, False, lambda d: d.limit(1)) is df
-    assert transform_if(df, True, lambda d: d.filter("id = 1")).count() == 1

@@ -1,10 +1,12 @@
 """Commits, the log, schema growth on disk, digests and the whole ingest."""
 
 import logging
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+import tablelog.sources.history as history_module
 from tablelog import (
     CorruptRecords,
     IngestTask,
@@ -20,7 +22,9 @@ from tablelog import (
     read_history,
     read_log,
 )
+from tablelog.functions.columns import SchemaDrift
 from tablelog.operators.strategy import merge_strategy
+from tablelog.sources.history import OtherInput, open_log
 from tablelog.streaming.polling import commit_batch
 from tests.conftest import ordered, rows, ts
 
@@ -57,7 +61,7 @@ def test_unrecorded_commit_is_not_read_and_is_replaced(spark, dirs):
     """What a job leaves behind when it dies between data and record."""
     df = spark.createDataFrame([(1,)], "id int")
     commit(df, **dirs, system_time=ts(0), commit_id="c1")
-    spark.range(5).selectExpr("cast(id as int) id").write.parquet(dirs["data_dir"] + "/commit=c2")
+    spark.range(5).selectExpr("cast(id as int) id").write.parquet(dirs["data_dir"] + "/__commit=c2")
     assert read_history(spark, **dirs).count() == 1
     commit(spark.createDataFrame([(7,)], "id int"), **dirs, system_time=ts(1), commit_id="c2")
     assert rows(read_history(spark, **dirs)) == [(1,), (7,)]
@@ -69,7 +73,7 @@ def test_empty_commit(spark, dirs):
     assert record.num_records == 0
     assert record.hash == dataset_digest(df).first()["hash"]
     assert read_history(spark, **dirs).columns == ["id", "v"]
-    nothing = spark.range(10).filter("id < 0")
+    nothing = spark.range(10).filter("id < 0").selectExpr("cast(id as int) id")
     assert commit(nothing, **dirs, system_time=ts(0), commit_id="c2").num_records == 0
 
 
@@ -78,7 +82,7 @@ def test_output_files(spark, dirs, tmp_path):
     commit(df, **dirs, system_time=ts(0), commit_id="many")
     commit(df, **dirs, system_time=ts(0), commit_id="few", coalesce=1)
     commit(df, **dirs, system_time=ts(0), commit_id="spread", repartition=2)
-    count = lambda c: len(list((tmp_path / "data" / f"commit={c}").glob("*.parquet")))
+    count = lambda c: len(list((tmp_path / "data" / f"__commit={c}").glob("*.parquet")))
     assert (count("many"), count("few"), count("spread")) == (4, 1, 2)
 
 
@@ -317,7 +321,59 @@ def test_replayed_batch(spark, dirs, kind):
     assert read_history(spark, **dirs).count() == 2
     # Written, but the job died before the record.
     stale = read_history(spark, **dirs).withColumn("v", F.lit("stale"))
-    stale.write.parquet(dirs["data_dir"] + "/commit=batch-000000000001")
+    stale.write.parquet(dirs["data_dir"] + "/__commit=batch-000000000001")
     deliver(1)
     assert read_history(spark, **dirs).filter("v = 'stale'").count() == 0
     assert read_history(spark, **dirs).count() == (4 if kind == "append" else 2)
+
+
+def test_one_id_for_two_inputs_is_refused(spark, dirs):
+    df = spark.range(2)
+    commit(df, **dirs, system_time=ts(0), commit_id="c", source="a.csv")
+    assert commit(df, **dirs, system_time=ts(0), commit_id="c", source="a.csv").sequence == 1
+    with pytest.raises(OtherInput, match="a.csv"):
+        commit(df, **dirs, system_time=ts(0), commit_id="c", source="b.csv")
+
+
+def test_narrow_commits_and_changed_types(spark, dirs):
+    commit(spark.createDataFrame([(1, "x")], "id bigint, v string"), **dirs, system_time=ts(0), commit_id="a")
+    commit(spark.createDataFrame([(2,)], "id int"), **dirs, system_time=ts(1), commit_id="b")
+    commit(spark.createDataFrame([(True, 3)], "new boolean, id bigint"), **dirs, system_time=ts(2), commit_id="c")
+    assert rows(read_history(spark, **dirs), "id", "v", "new") == ordered([(1, "x", None), (2, None, None), (3, None, True)])
+    with pytest.raises(SchemaDrift):
+        commit(spark.createDataFrame([(4, 5)], "id bigint, v int"), **dirs, system_time=ts(3), commit_id="d")
+
+
+def test_log_stays_short(spark, dirs, monkeypatch):
+    monkeypatch.setattr(history_module, "TAIL", 4)
+    for i in range(11):
+        commit(spark.createDataFrame([(ts(i), i)], "event_time timestamp, n int"), **dirs, system_time=ts(i), commit_id=f"c{i}")
+        log = open_log(spark, dirs["log_dir"])
+        assert log.last == i + 1 and log.last_event_time() == (True, ts(i))
+        files = read_log(spark, dirs["log_dir"]).inputFiles()
+        assert len(files) <= 5
+    assert read_history(spark, **dirs).count() == 11
+    # Half a compaction is not read.
+    (Path(dirs["log_dir"]) / "compact" / "upto=99").mkdir()
+    assert open_log(spark, dirs["log_dir"]).last == 11
+
+
+def test_batches_of_two_streams(spark, dirs):
+    batch = spark.createDataFrame([(1, "x")], "id int, v string")
+    for stream in ("one", "two", "one"):
+        commit_batch(batch, 0, merge=merge_strategy("append"), **dirs, system_time=ts, stream_id=stream)
+    assert read_history(spark, **dirs).count() == 2
+
+
+def test_a_task_has_its_own_session(spark, dirs, tmp_path):
+    """Views and options of the user and of other tasks do not meet."""
+    (tmp_path / "a.csv").write_text("id\n1\n2\n")
+    spark.createDataFrame([(9,)], "id int").createOrReplaceTempView("input")
+    steps = (("set spark.sql.shuffle.partitions=3", "none"), ("select id, twice(id) as t from input", None))
+    setup = lambda s: s.udf.register("twice", lambda x: 2 * int(x), "int")
+    source = Source(options={"header": "true"}, preprocess=steps, setup=setup)
+    ingest(spark, IngestTask("d", source, str(tmp_path / "a.csv"), **dirs, system_time=ts(0)))
+    assert rows(read_history(spark, **dirs), "id", "t") == [("1", 2), ("2", 4)]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert rows(spark.table("input")) == [(9,)]
+    spark.catalog.dropTempView("input")

@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from workload import ORACLES, QUERIES
 
 SF = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
@@ -28,11 +29,11 @@ def canonical(names, tuples):
     return [names[i] for i in order], sorted(tuple(text(t[i]) for i in order) for t in tuples)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = entry_point.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = canonical(df.columns, [tuple(r) for r in df.collect()])
-    result = db.execute(entry_point.oracle_sql()[name])
+    result = db.execute(ORACLES[name])
     expected = canonical([d[0] for d in result.description], result.fetchall())
     assert got[0] == expected[0]
     assert len(got[1]) == len(expected[1])

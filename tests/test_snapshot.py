@@ -1,16 +1,20 @@
 """Snapshot merges: the diff, NULL rules, duplicates, drift and longer histories."""
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from tablelog import Codes, PastEventTime, Vocabulary, check_event_time, snapshot_merge
+from tablelog.functions.keys import NullSafeKey, profile_keys, salted
 from tests.conftest import final_plan, ordered, rows, salted_exchanges, ts
 
 V1 = "id int, name string, salary int"
 V2 = "id int, name string, department string, salary int"
-D1 = [(1, "Alice", 100), (2, "Bob", 80), (3, "Charlie", 120)]
-D2 = [(2, "Bob", 80), (3, "Charlie", 130), (4, "Dan", 100)]
-CHANGES = [("D", 1, "Alice", 100), ("U", 3, "Charlie", 130), ("I", 4, "Dan", 100)]
+# Rooms and their seats: 5 closes, 8 is enlarged, 9 opens.
+D1 = [(5, "attic", 12), (6, "cellar", 40), (8, "hall", 300)]
+D2 = [(6, "cellar", 40), (8, "hall", 350), (9, "studio", 25)]
+CHANGES = [("D", 5, "attic", 12), ("U", 8, "hall", 350), ("I", 9, "studio", 25)]
 
 # Ordinary keys, and every key treated as one to split.
 PLANS = [{}, {"hot_rows": 1}]
@@ -56,16 +60,16 @@ def test_all_changes(spark, plan):
 
 @pytest.mark.parametrize("plan", PLANS)
 def test_duplicates(spark, plan):
-    dump = [*D2, (3, "Charlie", 130), (4, "Dan", 120)]
+    dump = [*D2, (8, "hall", 350), (9, "studio", 28)]
     out = merge(history(spark, D1), spark.createDataFrame(dump, V1), 1, **plan)
     assert rows(out) == stamped(1, CHANGES)
 
 
 @pytest.mark.parametrize("plan", PLANS)
 def test_duplicate_that_differs_wins_over_one_that_does_not(spark, plan):
-    dump = [*D1, (2, "Bob", 90), (2, "Bob", 95)]
+    dump = [*D1, (6, "cellar", 41), (6, "cellar", 44)]
     out = merge(history(spark, D1), spark.createDataFrame(dump, V1), 1, **plan)
-    assert rows(out) == stamped(1, [("U", 2, "Bob", 90)])
+    assert rows(out) == stamped(1, [("U", 6, "cellar", 41)])
 
 
 @pytest.mark.parametrize("plan", PLANS)
@@ -102,40 +106,40 @@ def test_empty_dump_deletes_everything_unguarded(spark, plan):
 
 @pytest.mark.parametrize("plan", PLANS)
 def test_added_column(spark, plan):
-    dump = [(2, "Bob", "IT", 80), (3, "Charlie", "IT", 130), (4, "Dan", "Accounting", 100)]
+    dump = [(6, "cellar", "down", 40), (8, "hall", "ground", 350), (9, "studio", "up", 25)]
     out = merge(history(spark, D1), spark.createDataFrame(dump, V2), 1, **plan)
     assert out.columns[-1] == "department"
     expected = [
-        ("D", 1, "Alice", 100, None),
-        ("U", 2, "Bob", 80, "IT"),
-        ("U", 3, "Charlie", 130, "IT"),
-        ("I", 4, "Dan", 100, "Accounting"),
+        ("D", 5, "attic", 12, None),
+        ("U", 6, "cellar", 40, "down"),
+        ("U", 8, "hall", 350, "ground"),
+        ("I", 9, "studio", 25, "up"),
     ]
     assert rows(out) == stamped(1, expected)
 
 
 @pytest.mark.parametrize("plan", PLANS)
 def test_missing_column(spark, plan):
-    first = [(i, n, "IT", s) for i, n, s in D1]
+    first = [(i, n, "north", s) for i, n, s in D1]
     log = history(spark, first, schema=V2)
-    dump = [(2, "Bob", 80), (3, "Charlie", 120), (4, "Dan", 100)]
+    dump = [(6, "cellar", 40), (8, "hall", 300), (9, "studio", 25)]
     out = merge(log, spark.createDataFrame(dump, V1), 1, **plan)
     expected = [
-        ("D", 1, "Alice", "IT", 100),
-        ("U", 2, "Bob", None, 80),
-        ("U", 3, "Charlie", None, 120),
-        ("I", 4, "Dan", None, 100),
+        ("D", 5, "attic", "north", 12),
+        ("U", 6, "cellar", None, 40),
+        ("U", 8, "hall", None, 300),
+        ("I", 9, "studio", None, 25),
     ]
     assert rows(out) == stamped(1, expected)
 
 
 def test_column_that_returns_is_no_change(spark):
     """Its stored value is NULL, and by default NULL to value is not a change."""
-    wide = spark.createDataFrame([(1, "a", "IT", 1)], V2)
+    wide = spark.createDataFrame([(1, "a", "east", 1)], V2)
     narrow = spark.createDataFrame([(1, "a", 1)], V1)
     log = history(spark, wide, narrow)
     assert rows(merge(log, wide, 2)) == []
-    assert rows(merge(log, wide, 2, null_safe=True), "observed", "department") == [("U", "IT")]
+    assert rows(merge(log, wide, 2, null_safe=True), "observed", "department") == [("U", "east")]
 
 
 @pytest.mark.parametrize("plan", PLANS)
@@ -167,11 +171,11 @@ def test_null_keys(spark, plan):
 
 @pytest.mark.parametrize("plan", PLANS)
 def test_compare_columns(spark, plan):
-    dump = [(1, "Alicia", 100), (2, "Bob", 81), (3, "Charlie", 120)]
+    dump = [(5, "loft", 12), (6, "cellar", 42), (8, "hall", 300)]
     log = history(spark, D1)
     curr = spark.createDataFrame(dump, V1)
     out = merge(log, curr, 1, compare=["salary"], **plan)
-    assert rows(out) == stamped(1, [("U", 2, "Bob", 81)])
+    assert rows(out) == stamped(1, [("U", 6, "cellar", 42)])
     with pytest.raises(ValueError, match="Column does not exist: wage"):
         merge(log, curr, 1, compare=["wage"])
     assert rows(merge(log, curr, 1, compare=["id"], **plan)) == []
@@ -186,9 +190,8 @@ def test_reserved_columns(spark):
 @pytest.mark.parametrize("plan", PLANS)
 def test_deleted_key_returns_as_insert(spark, plan):
     log = history(spark, D1, D2)
-    dump = [(1, "Alice", 100), (2, "Bob", 80), (3, "Charlie", 130), (4, "Dan", 100)]
-    out = merge(log, spark.createDataFrame(dump, V1), 2, **plan)
-    assert rows(out) == stamped(2, [("I", 1, "Alice", 100)])
+    out = merge(log, spark.createDataFrame([D1[0], *D2], V1), 2, **plan)
+    assert rows(out) == stamped(2, [("I", 5, "attic", 12)])
 
 
 def test_own_names_and_codes(spark):
@@ -197,7 +200,7 @@ def test_own_names_and_codes(spark):
     log = history(spark, D1, **options)
     out = merge(log, spark.createDataFrame(D2, V1), 1, **options)
     assert out.columns[:3] == ["seen_at", "as_at", "op"]
-    assert rows(out, "op", "id") == ordered([("-", 1), ("~", 3), ("+", 4)])
+    assert rows(out, "op", "id") == ordered([("-", 5), ("~", 8), ("+", 9)])
 
 
 @pytest.mark.parametrize("plan", PLANS)
@@ -261,5 +264,45 @@ def test_plan_shape(spark, tmp_path, large):
     # A full outer join would hold all rows of one key in memory.
     assert "FullOuter" not in plan and "rangepartitioning" not in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "__salt" not in plan
-    split = final_plan(merge(spark.read.parquet(path), spark.read.parquet(dump), 1, hot_rows=1))
+    again = str(tmp_path / "twice")
+    spark.createDataFrame([*D2, *D2], V1).write.parquet(again)
+    split = final_plan(merge(spark.read.parquet(path), spark.read.parquet(again), 1, hot_rows=1))
     assert salted_exchanges(split) == 2
+
+
+def test_pieces_have_the_target_size(spark):
+    """A key at 1/1600 of the rows is split too, and no piece is much above the target."""
+    rows_ = spark.range(0, 160_000, 1, 8).select(
+        F.when(F.col("id") % 1600 == 7, -1).when(F.col("id") % 3 == 0, -2).otherwise(F.col("id")).alias("k"), "id"
+    )
+    keys = NullSafeKey(rows_, ["k"])
+    profile = profile_keys(rows_, keys, hot_rows=40)
+    assert profile.rows == 160_000 and sorted(profile.hot.values())[0] == 3 and len(profile.hot) == 2
+    pieces = salted(rows_.select("id", *keys.columns), keys, profile, [F.col("id")])
+    sizes = {(r["__key0"], r["__salt"]): r["count"] for r in pieces.groupBy("__key0", "__salt").count().collect()}
+    assert sum(k == -1 for k, _ in sizes) == 3 and max(sizes.values()) < 120
+    assert all(s == 0 for k, s in sizes if k >= 0)
+
+
+def test_known_event_time_saves_the_scan(spark):
+    log, curr = history(spark, D1), spark.createDataFrame(D2, V1)
+    for known in (ts(2), ts(3)):
+        with pytest.raises(PastEventTime):
+            merge(log, curr, 1, last_event_time=known)
+    assert rows(merge(log, curr, 1, last_event_time=ts(1))) == stamped(1, CHANGES)
+    assert rows(merge(log, curr, 1, last_event_time=None)) == stamped(1, CHANGES)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_maps_are_compared_by_entries(spark, null_safe):
+    kind = "id int, m map<string,timestamp>, a array<map<int,int>>"
+    one, two = ts(1), ts(1) + timedelta(microseconds=1)
+    log = history(spark, [(1, {"a": one, "b": one}, [{1: 2, 3: 4}]), (2, {"a": one}, None), (3, None, None)], schema=kind)
+    dump = [(1, {"b": one, "a": one}, [{3: 4, 1: 2}]), (2, {"a": two}, None), (3, {}, None)]
+    out = merge(log, spark.createDataFrame(dump, kind), 1, null_safe=null_safe)
+    assert rows(out, "observed", "id") == ([("U", 2), ("U", 3)] if null_safe else [("U", 2)])
+
+
+def test_key_by_the_case_rule_of_the_session(spark):
+    out = merge(history(spark, D1), spark.createDataFrame(D2, V1), 1, key=("ID",))
+    assert rows(out) == stamped(1, CHANGES)

@@ -181,18 +181,53 @@ def expected_features():
 def test_geojson_collection(spark, tmp_path):
     text = json.dumps({"type": "FeatureCollection", "features": features()}, indent=1)
     df = read_geojson(spark, write(tmp_path / "a.geojson", text))
-    assert df.columns == ["geometry", "n", "name"]
-    assert rows(df) == expected_features()
+    assert df.columns == ["geometry", "n", "name", "_corrupt_record"]
+    assert rows(reject_corrupt(df)) == expected_features()
 
 
 def test_geojson_lines(spark, tmp_path):
     text = "\n".join(json.dumps(f) for f in features())
     path = write(tmp_path / "a.geojson", text)
-    assert rows(read_geojson(spark, path, lines=True)) == expected_features()
+    assert rows(reject_corrupt(read_geojson(spark, path, lines=True))) == expected_features()
     named = read_geojson(spark, path, lines=True, properties=["name"])
-    assert named.columns == ["geometry", "name"]
+    assert named.columns == ["geometry", "name", "_corrupt_record"]
 
 
 def test_geojson_column(spark):
     df = spark.createDataFrame([(json.dumps(f),) for f in features()], "doc string")
-    assert rows(parse_geojson(df, "doc")) == expected_features()
+    assert rows(reject_corrupt(parse_geojson(df, "doc"))) == expected_features()
+
+
+BROKEN = [
+    '{"type": "Feature", "geometry": {"type": "Point", "coordinates": [1, 2]}',
+    '{"type": "Fixture", "geometry": null, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "Circle", "coordinates": [1, 2]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "Point", "coordinates": [1, null]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "Point", "coordinates": [1]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "LineString", "coordinates": [[1, 2], null]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "Point", "coordinates": ["a", 2]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "GeometryCollection", "geometries": [{"type": "Blob"}]}, "properties": {}}',
+    '{"type": "FeatureCollection", "features": null}',
+    "[1, 2]",
+    "nonsense",
+]
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_broken_geojson_is_refused(spark, tmp_path, text):
+    sound = json.dumps(features()[0])
+    path = write(tmp_path / "lines.json", f"{sound}\n{text}\n{sound}\n")
+    read = read_geojson(spark, path, lines=True, properties=["n"])
+    assert corrupt_records(read).count() == 1 and read.count() == 3
+    with pytest.raises(CorruptRecords):
+        reject_corrupt(read)
+    column = spark.createDataFrame([(sound,), (text,), (None,)], "doc string")
+    assert corrupt_records(parse_geojson(column, "doc", ["n"])).count() == 2
+    whole = write(tmp_path / "whole.json", text)
+    assert corrupt_records(read_geojson(spark, whole, properties=["n"])).count() >= 1
+
+
+def test_geojson_properties_with_names_of_other_columns(spark):
+    df = spark.createDataFrame([('{"type": "Feature", "geometry": null, "properties": {"Geometry": 1}}',)], "doc string")
+    with pytest.raises(ValueError, match="Geometry"):
+        parse_geojson(df, "doc")

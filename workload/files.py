@@ -30,9 +30,9 @@ from tablelog import (
     read_raw,
     reject_corrupt,
 )
-from tablelog.plans.workspace import shared_folder
 from workload.base import EARLIER, LATER, ORDERS, TIMES, earlier_orders, later_orders, query, sql_changes, table
 from workload.sql import ORDER_JSON, exact_orders, sql_digest
+from workload.workspace import shared_folder
 
 _INSTANTS = [datetime.fromisoformat(t).replace(tzinfo=timezone.utc) for t in TIMES]
 _DDL = (
@@ -62,32 +62,43 @@ def read_csv(spark, sf_dir):
 
 
 _JSON_LINE = (
-    """'{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"'"""
+    """'{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '","user_id":' || user_id"""
+    """ || ',"event_type":"' || event_type || '","value":"' || cast(cast(round(value * 1000) as bigint) as varchar)"""
+    """ || '","props":' || to_json(props) || '}'"""
 )
 
 
 def _event_lines(spark, sf_dir, cut: bool) -> str:
-    """Events as JSON lines; ``cut`` leaves the bracket off those of type error."""
-    events = table(spark, sf_dir, "events")
-    line = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    """Events as JSON lines; ``cut`` leaves the last bracket off those of type error."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        "user_id",
+        "event_type",
+        F.round(F.col("value") * 1000).cast("bigint").cast("string").alias("value"),
+        "props",
+    )
+    line = F.to_json(F.struct("*"))
     if cut:
-        short = F.expr("substr({0}, 1, length({0}) - 1)".format("to_json(struct(event_id, user_id, event_type))"))
-        line = F.when(F.col("event_type") == "error", short).otherwise(line)
+        line = F.when(F.col("event_type") == "error", F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
     path = shared_folder(spark, "lines")
     events.select(line.alias("value")).write.text(path)
     return path
 
 
-_EVENT_DDL = ("event_id BIGINT", "user_id BIGINT", "event_type STRING")
+_EVENT_DDL = ("event_id BIGINT", "ts STRING", "user_id BIGINT", "event_type STRING", "value STRING", "props STRING")
 
 
-@query(f"select {_JSON_LINE} as _corrupt_record from events where event_type = 'error'")
+@query(f"select {_JSON_LINE[:-7]} as _corrupt_record from events where event_type = 'error'")
 def corrupt_json_records(spark, sf_dir):
     raw = read_raw(spark, _event_lines(spark, sf_dir, cut=True), "json", schema=_EVENT_DDL)
     return corrupt_records(raw).select("_corrupt_record")
 
 
-@query("select event_id, user_id, event_type from events")
+@query(
+    "select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, user_id, event_type,"
+    " cast(cast(round(value * 1000) as bigint) as varchar) as value, props from events"
+)
 def corrupt_gate(spark, sf_dir):
     raw = read_raw(spark, _event_lines(spark, sf_dir, cut=False), "json", schema=_EVENT_DDL)
     return reject_corrupt(raw)
@@ -133,6 +144,59 @@ def schema_evolution_roundtrip(spark, sf_dir):
     return log.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
 
 
+@query(
+    "select o_orderkey, o_custkey, o_totalprice from orders where o_orderstatus = 'F'"
+    " union all select o_orderkey, null, null from orders where o_orderstatus = 'O'"
+    " union all select o_orderkey, null, o_totalprice from orders where o_orderstatus = 'P'"
+)
+def commit_narrow_after_wide(spark, sf_dir):
+    """Commits that lack columns of the table; what was stored stays readable."""
+    base = shared_folder(spark, "narrow")
+    orders = table(spark, sf_dir, "orders")
+    for step, (status, columns) in enumerate(
+        [("F", ["o_orderkey", "o_custkey", "o_totalprice"]), ("O", ["o_orderkey"]), ("P", ["o_totalprice", "o_orderkey"])]
+    ):
+        rows = orders.filter(F.col("o_orderstatus") == status).select(*columns)
+        commit(rows, f"{base}/data", f"{base}/log", system_time=_INSTANTS[step], commit_id=f"step-{step}")
+    return read_history(spark, f"{base}/data", f"{base}/log")
+
+
+@query("select * from orders")
+def ingest_two_files_one_time(spark, sf_dir):
+    """Two files at one system time; one of them again, which adds nothing."""
+    base = shared_folder(spark, "same-time")
+    orders = table(spark, sf_dir, "orders")
+    paths = [
+        _csv(orders.filter(F.col("o_orderstatus") == "O"), f"{base}/open"),
+        _csv(orders.filter(F.col("o_orderstatus") != "O"), f"{base}/others"),
+    ]
+    source = Source(format="csv", options={"header": "true"}, schema=_DDL)
+    tasks = [
+        IngestTask("orders", source, path, f"{base}/data", f"{base}/log", system_time=_INSTANTS[0])
+        for path in [*paths, paths[0]]
+    ]
+    ingest_all(spark, tasks)
+    return read_history(spark, f"{base}/data", f"{base}/log").select(*ORDERS)
+
+
+@query("select * from events")
+def stream_two_checkpoints(spark, sf_dir):
+    """Two streams on one table; both begin with batch 0."""
+    base = shared_folder(spark, "streams")
+    events = table(spark, sf_dir, "events")
+    for i, part in enumerate((events.filter("event_type <> 'click'"), events.filter("event_type = 'click'"))):
+        part.write.parquet(f"{base}/raw{i}")
+        poll(
+            spark.readStream.schema(events.schema).parquet(f"{base}/raw{i}"),
+            merge=merge_strategy("append"),
+            data_dir=f"{base}/data",
+            log_dir=f"{base}/log",
+            checkpoint=f"{base}/checkpoint{i}",
+            system_time=lambda batch_id: _INSTANTS[0],
+        ).awaitTermination()
+    return read_history(spark, f"{base}/data", f"{base}/log").drop("system_time")
+
+
 def _ingest_dumps(spark, sf_dir, merge: str) -> DataFrame:
     base = shared_folder(spark, "ingest")
     orders = table(spark, sf_dir, "orders")
@@ -264,4 +328,66 @@ def geojson_features(spark, sf_dir):
     )
     path = shared_folder(spark, "geojson")
     suppliers.select(feature.alias("value")).write.text(path)
-    return read_geojson(spark, path, lines=True)
+    return reject_corrupt(read_geojson(spark, path, lines=True))
+
+
+_PLACE = "cast(s_nationkey as varchar) || ' ' || cast(s_suppkey as varchar)"
+# Per type: the JSON of the coordinates (or geometries) and the WKT, with @ for a place.
+_TYPES = [
+    ("Point", '"coordinates":@', "POINT (@)"),
+    ("MultiPoint", '"coordinates":[@,[1.5,-2]]', "MULTIPOINT ((@), (1.5 -2))"),
+    ("LineString", '"coordinates":[@,[0,1000]]', "LINESTRING (@, 0 1000)"),
+    ("Polygon", '"coordinates":[[@,[0,1],[2,3],@]]', "POLYGON ((@, 0 1, 2 3, @))"),
+    ("MultiLineString", '"coordinates":[[@,[0,1]],[[2,3],@]]', "MULTILINESTRING ((@, 0 1), (2 3, @))"),
+    ("MultiPolygon", '"coordinates":[[[@,[0,1],[2,3],@]],[[[4,5],@,[6,7],[4,5]]]]', "MULTIPOLYGON (((@, 0 1, 2 3, @)), ((4 5, @, 6 7, 4 5)))"),
+    ("GeometryCollection", '"geometries":[{"type":"Point","coordinates":@},{"type":"LineString","coordinates":[@,[0,1]]}]', "GEOMETRYCOLLECTION (POINT (@), LINESTRING (@, 0 1))"),
+]
+
+
+def _feature(text: str):
+    """A template with every @ replaced by the supplier's place."""
+    pair = F.format_string("[%s,%s]", "s_nationkey", "s_suppkey")
+    return F.replace(F.lit(text), F.lit("@"), pair)
+
+
+def _typed_features(spark, sf_dir) -> DataFrame:
+    kind = F.col("s_suppkey") % len(_TYPES)
+    geometry = F.lit("")
+    for i, (name, body, _) in enumerate(_TYPES):
+        geometry = F.when(kind == i, F.concat(F.lit(f'{{"type":"{name}",'), _feature(body), F.lit("}"))).otherwise(geometry)
+    properties = F.to_json(F.struct(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")))
+    text = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", text.alias("value"))
+
+
+@query(
+    "select cast(s_suppkey as varchar) as key, s_name as name, case s_suppkey % 7 "
+    + " ".join(f"when {i} then replace('{wkt}', '@', {_PLACE})" for i, (_, _, wkt) in enumerate(_TYPES))
+    + " end as geometry from supplier"
+)
+def geojson_all_types(spark, sf_dir):
+    """Every geometry type, in collections of one file each that span lines."""
+    path = shared_folder(spark, "collections")
+    groups = _typed_features(spark, sf_dir).groupBy((F.col("s_suppkey") % 3).alias("g"))
+    body = F.array_join(F.sort_array(F.collect_list("value")), ",\n")
+    whole = F.concat(F.lit('{"type":"FeatureCollection",\n"features":[\n'), body, F.lit("\n]}"))
+    groups.agg(whole.alias("value")).select("value").repartition(3).write.option("lineSep", "\n\n").text(path)
+    return reject_corrupt(read_geojson(spark, path, properties=["key", "name"]))
+
+
+@query("select 's' || s_suppkey as record from supplier where s_suppkey % 5 < 3")
+def geojson_corrupt(spark, sf_dir):
+    """Features of which some are cut off, misnamed, or lack an ordinate; the names of these."""
+    value = F.col("value")
+    cut = F.substring(value, F.lit(1), F.length(value) - 1)
+    bad = (
+        F.when(F.col("s_suppkey") % 5 == 0, cut)
+        .when(F.col("s_suppkey") % 5 == 1, F.replace(value, F.lit('"Feature"'), F.lit('"Fixture"')))
+        .when(F.col("s_suppkey") % 5 == 2, F.regexp_replace(value, r"\[(\d+),\d+\]", "[$1,null]"))
+        .otherwise(value)
+    )
+    path = shared_folder(spark, "broken")
+    _typed_features(spark, sf_dir).select(bad.alias("value")).write.text(path)
+    broken = corrupt_records(read_geojson(spark, path, lines=True, properties=["key"]))
+    key = F.regexp_extract("_corrupt_record", r'key\W+(\d+)', 1)
+    return broken.select(F.concat(F.lit("s"), key).alias("record"))

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from tablelog import (
     append_merge,
     backfill_history,
+    commit,
     event_time_bounds,
     ledger_merge,
+    merge_strategy,
     one_per_key,
+    read_history,
     snapshot_merge,
 )
 from workload.base import (
@@ -28,6 +31,7 @@ from workload.base import (
     stored,
     table,
 )
+from workload.workspace import shared_folder
 
 _ALL = ", ".join(ORDERS)
 _FRESH = (
@@ -73,36 +77,38 @@ def ledger_merge_rows(spark, sf_dir):
     )
 
 
-@query(_FRESH.format(columns=_ALL))
-def ledger_large_batch(spark, sf_dir):
-    """The plan for batches too large to broadcast, with heavy keys split."""
-    first, second = _dumps(spark, sf_dir)
-    return ledger_merge(
-        stored(first, snapshot=False),
-        second,
-        key=["o_orderkey"],
-        system_time=at(1),
-        broadcast_bytes=0,
-    )
-
-
-_NULLED = "select case when o_orderstatus = '{}' then null else o_orderkey end as k, o_custkey, o_totalprice from ({})"
-
-
-@query(
+_NULLED = "select case when o_orderstatus = '{}' then null else o_custkey end as k, * from ({})"
+_UNSEEN = (
     f"select {sql_at(1)} as system_time, c.* from ({_NULLED.format('P', LATER)}) c where not exists"
     f" (select 1 from ({_NULLED.format('F', EARLIER)}) p where p.k is not distinct from c.k)"
 )
-def ledger_null_key(spark, sf_dir):
+
+
+def _nulled(spark, sf_dir, **options):
     """A third of either side has no key; a NULL key counts as seen once stored."""
     first, second = _dumps(spark, sf_dir)
 
     def nulled(df, status):
-        k = F.when(F.col("o_orderstatus") != status, F.col("o_orderkey"))
-        return df.select(k.alias("k"), "o_custkey", "o_totalprice")
+        k = F.when(F.col("o_orderstatus") != status, F.col("o_custkey"))
+        return df.select(k.alias("k"), "*")
+
+    # Customers with an even number are new to the history.
+    history = stored(nulled(first.filter("o_custkey % 2 = 1 or o_orderstatus = 'F'"), "F"), snapshot=False)
+    return ledger_merge(history, nulled(second, "P"), key=["k"], system_time=at(1), **options)
+
 
-    history = stored(nulled(first, "F"), snapshot=False)
-    return ledger_merge(history, nulled(second, "P"), key=["k"], system_time=at(1))
+_UNSEEN = _UNSEEN.replace("where p.k is not", "where (p.o_custkey % 2 = 1 or p.o_orderstatus = 'F') and p.k is not")
+
+
+@query(_UNSEEN)
+def ledger_null_key(spark, sf_dir):
+    return _nulled(spark, sf_dir)
+
+
+@query(_UNSEEN)
+def ledger_large_batch(spark, sf_dir):
+    """The plan for batches too large to broadcast, on a key that a third of the rows share."""
+    return _nulled(spark, sf_dir, broadcast_bytes=0)
 
 
 @query(
@@ -159,10 +165,29 @@ def snapshot_changes(spark, sf_dir):
     return _diff(spark, sf_dir)
 
 
-@query(sql_changes(EARLIER, LATER, ["o_orderkey"], ORDERS, 1))
+_SKEWED = "select case when o_orderstatus = 'O' then null else o_custkey end as k, o_orderkey, o_totalprice from ({})"
+
+
+@query(
+    f"with p as (select k, min(o_orderkey) as o_orderkey, arg_min(o_totalprice, o_orderkey) as o_totalprice from ({_SKEWED.format(EARLIER)}) group by k),"
+    f" a as ({_SKEWED.format(LATER)}),"
+    " c as (select a.k, p.o_orderkey is not null as known, a.o_orderkey, a.o_totalprice from a left join p on a.k is not distinct from p.k"
+    " where p.o_orderkey is null or a.o_orderkey <> p.o_orderkey or a.o_totalprice <> p.o_totalprice)"
+    f" select {sql_at(1)} as system_time, {sql_at(1)} as event_time, case when bool_or(known) then 'U' else 'I' end as observed,"
+    " k, min(o_orderkey) as o_orderkey, arg_min(o_totalprice, o_orderkey) as o_totalprice from c group by k"
+    f" union all select {sql_at(1)}, {sql_at(1)}, 'D', k, o_orderkey, o_totalprice from p"
+    " where not exists (select 1 from a where a.k is not distinct from p.k)"
+)
 def snapshot_split_keys(spark, sf_dir):
-    """The plan for dumps with heavy keys, which the profile splits from 1,000 rows on."""
-    return _diff(spark, sf_dir, hot_rows=1000)
+    """Dumps with a key that a third of the rows share, which is split from 100 rows on."""
+
+    def skewed(df):
+        k = F.when(F.col("o_orderstatus") != "O", F.col("o_custkey"))
+        return df.select(k.alias("k"), "o_orderkey", "o_totalprice")
+
+    first, second = map(skewed, _dumps(spark, sf_dir))
+    history = snapshot_merge(None, first, key=["k"], system_time=at(0))
+    return snapshot_merge(history, second, key=["k"], system_time=at(1), hot_rows=100)
 
 
 @query(
@@ -302,16 +327,18 @@ def snapshot_reinsert(spark, sf_dir):
     """Three dumps; what the second one drops returns as an insert with the third."""
     orders = table(spark, sf_dir, "orders")
     price = F.when(F.col("o_orderpriority") == "2-HIGH", F.col("o_totalprice") + 1)
-    log = stored(orders.filter("o_orderstatus <> 'O'"))
-    for step, dump in enumerate(
-        [
-            orders.filter("o_orderstatus <> 'F'"),
-            orders.withColumn("o_totalprice", price.otherwise(F.col("o_totalprice"))),
-        ],
-        start=1,
-    ):
-        log = log.union(snapshot_merge(log, dump, key=["o_orderkey"], system_time=at(step)))
-    return log
+    base = shared_folder(spark, "reinsert")
+    merge = merge_strategy("snapshot", key=["o_orderkey"])
+    dumps = [
+        orders.filter("o_orderstatus <> 'O'"),
+        orders.filter("o_orderstatus <> 'F'"),
+        orders.withColumn("o_totalprice", price.otherwise(F.col("o_totalprice"))),
+    ]
+    for step, dump in enumerate(dumps):
+        prev = read_history(spark, f"{base}/data", f"{base}/log")
+        rows = merge(prev, dump, system_time=at(step))
+        commit(rows, f"{base}/data", f"{base}/log", system_time=datetime.fromisoformat(TIMES[step]), commit_id=f"step-{step}")
+    return read_history(spark, f"{base}/data", f"{base}/log")
 
 
 _EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -399,3 +426,40 @@ def backfill_history_of_dumps(spark, sf_dir):
         times=[datetime.fromisoformat(t) for t in TIMES],
         system_time=at(3),
     )
+
+
+def _maps(events, late: bool):
+    """A map of a few columns, its entries in another order later; some values appear, some move by a microsecond."""
+    moved = F.when(F.lit(late) & (F.col("event_id") % 5 == 0), F.expr("ts + interval 1 microsecond")).otherwise(F.col("ts"))
+    entries = [F.lit("seen"), moved, F.lit("ts"), F.col("ts")]
+    m = F.create_map(*(entries[2:] + entries[:2] if late else entries))
+    here = F.when((F.col("event_id") % 7 != 0) | F.lit(late), m)
+    return events.select("event_id", "user_id", here.alias("m"))
+
+
+def _changed_maps(null_safe: bool) -> str:
+    became = "event_id % 7 = 0 or " if null_safe else "event_id % 7 <> 0 and "
+    return (
+        f"select {sql_at(1)} as system_time, {sql_at(1)} as event_time, 'U' as observed, event_id, user_id,"
+        " cast(epoch_us(ts) + case when event_id % 5 = 0 then 1 else 0 end as bigint) as seen from events"
+        f" where {became}event_id % 5 = 0"
+    )
+
+
+def _map_changes(spark, sf_dir, null_safe: bool):
+    events = table(spark, sf_dir, "events")
+    history = stored(_maps(events, False))
+    out = snapshot_merge(history, _maps(events, True), key=["event_id"], system_time=at(1), null_safe=null_safe)
+    seen = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("m")["seen"])
+    return out.select("system_time", "event_time", "observed", "event_id", "user_id", seen.alias("seen"))
+
+
+@query(_changed_maps(False))
+def snapshot_map_changes(spark, sf_dir):
+    """Maps are compared by their entries; by default going from NULL is no change."""
+    return _map_changes(spark, sf_dir, False)
+
+
+@query(_changed_maps(True))
+def snapshot_map_null_safe(spark, sf_dir):
+    return _map_changes(spark, sf_dir, True)

@@ -1,24 +1,13 @@
-"""Folders every executor can reach."""
+"""Folders every executor can reach, for the files of the queries."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_SETTING = "spark.checkpoint.dir"
-
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the cluster's shared folder.
-
-    The session names it in ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a temporary folder of this machine.
-    """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"Set {_SETTING} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tablelog-")
+    """A new folder name below ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
