@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,11 @@ ROUNDS = 8
 CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 32 << 20
 FLUSH = 4 << 20
+#: Rows of a batch that a task works on at a time.
+STEP_ROWS = 400
+#: Text whose counts of neighbours are added up at a time, in bytes, and such sums after that.
+PART_BYTES = 256 << 20
+PARTS = 16
 
 _SLOTS = 22
 
@@ -106,8 +112,8 @@ def _word_counts(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                held.append(Words(batch.column(0).slice(start, 2000), SPACE).hash)
+            for start in range(0, batch.num_rows, STEP_ROWS):
+                held.append(Words(batch.column(0).slice(start, STEP_ROWS), SPACE).hash)
                 if sum(map(len, held)) > FLUSH:
                     yield send(held)
                     held = []
@@ -152,8 +158,8 @@ def _pairs(heads: Heads, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                words = Words(batch.column(0).slice(start, 2000), SPACE)
+            for start in range(0, batch.num_rows, STEP_ROWS):
+                words = Words(batch.column(0).slice(start, STEP_ROWS), SPACE)
                 seq, _ = _sequence(words, heads.find(words.hash), symbols - 1)
                 held.append(seq[:-1] * symbols + seq[1:])
                 if sum(map(len, held)) > FLUSH:
@@ -173,16 +179,35 @@ def _pairs(heads: Heads, block: int):
             edges = np.searchsorted(key, np.arange(0, symbols + block, block) * symbols)
             for b in np.flatnonzero(np.diff(edges)):
                 s = slice(edges[b], edges[b + 1])
-                rows.append((int(b), side, key[s].astype("<i8").tobytes(), m[s].astype("<i8").tobytes()))
-        a, b, c, d = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.binary()), pa.array(d, pa.binary())], ["block", "side", "pair", "n"])
+                rows.append((int(b), side, TaskContext.get().partitionId(), key[s].astype("<i8").tobytes(), m[s].astype("<i8").tobytes()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)], _PAIR_NAMES)
 
     return run
 
 
+_PAIR_NAMES = ["block", "side", "part", "pair", "n"]
+_PAIRS = "block long, side long, part long, pair binary, n binary"
+
+
 def _sum_pairs(key: tuple, parts: pa.Table) -> pa.Table:
     pairs, n = _summed(_column(parts, "pair", "<i8"), _column(parts, "n", "<i8"))
-    return pa.table({"block": [key[0]], "side": [key[1]], "pair": [pairs.tobytes()], "n": [n.astype("<i8").tobytes()]})
+    return pa.table([*([x] for x in key), [pairs.tobytes()], [n.astype("<i8").tobytes()]], _PAIR_NAMES)
+
+
+def neighbours(training: DataFrame, heads: Heads, block: int, size: int) -> DataFrame:
+    """Counts of neighbours by block and side of symbols, one row each.
+
+    Sums are added up in a tree, so that no task reads more of them the more text there is.
+    """
+    parts = max(1, -(-size // PART_BYTES))
+    sums = training.mapInArrow(_pairs(heads, block), _PAIRS)
+    while True:
+        sums = sums.withColumn("part", F.pmod("part", F.lit(parts)))
+        sums = sums.groupBy("block", "side", "part").applyInArrow(_sum_pairs, _PAIRS)
+        if parts == 1:
+            return sums.drop("part")
+        parts = -(-parts // PARTS)
 
 
 def _contexts(class_of: np.ndarray, classes: int, block: int):
@@ -476,8 +501,7 @@ def class_perplexity(
     head_n = np.array([count[h] for h in found.hashes.tolist()], np.int64)
 
     symbols, block = len(found) + 2, 64
-    sent = training.mapInArrow(_pairs(found, block), "block long, side long, pair binary, n binary")
-    pairs = storage.table(sent.groupBy("block", "side").applyInArrow(_sum_pairs, "block long, side long, pair binary, n binary"), "pairs")
+    pairs = storage.table(neighbours(training, found, block, size), "pairs")
     class_of, matrix = cluster(pairs, symbols, classes, block, rounds)
     known = Classes(found, class_of, _votes(matrix, classes), classes)
 

@@ -31,6 +31,9 @@ from tablelog.llm.words import NOT_ALNUM, Words, list_column, ranges, shingles,
 #: Text of benchmark items that one pass over the documents looks for, in bytes.
 BLOCK_BYTES = 8 << 20
 
+#: Rows of a batch that a task works on at a time.
+STEP_ROWS = 1000
+
 _FILTER_BITS = 22
 
 
@@ -111,7 +114,7 @@ def _stand(vocabulary: Vocabulary):
     """Per document: its words, and the places of shingles by size and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x.slice(a, STEP_ROWS) for x in batches for a in range(0, x.num_rows, STEP_ROWS)):
             words = Words(batch.column(1), NOT_ALNUM)
             rows, places, ids = [], [], []
             for i, size in enumerate(vocabulary.sizes):

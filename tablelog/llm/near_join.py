@@ -43,8 +43,10 @@ FREQUENT = 16
 #: through more candidates and never lose one.
 FILTER_BITS = 26
 #: Tokens that a task sorts at a time, and tokens of one bucket of the count.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 BUCKET_TOKENS = 1 << 21
+#: Rows of a batch that a task works on at a time.
+STEP_ROWS = 400
 #: Sets of an index entry up to which all its pairs are compared at once.
 SMALL = 32
 
@@ -130,8 +132,8 @@ def frequent_filter(rows: DataFrame, k: int, frequent: int, bytes_of_text: int)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                held.append(token_sets(batch.column(0).slice(a, 2000), k)[0])
+            for a in range(0, batch.num_rows, STEP_ROWS):
+                held.append(token_sets(batch.column(0).slice(a, STEP_ROWS), k)[0])
                 if sum(map(len, held)) >= FLUSH:
                     yield send(held)
                     held = []
@@ -208,8 +210,8 @@ def _prefixes(often, k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = often.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for start in range(0, batch.num_rows, STEP_ROWS):
+                part = batch.slice(start, STEP_ROWS)
                 flat, at = token_sets(part.column(1), k)
                 frequent = _in_filter(bits, flat)
                 singles, pairs, rare = [], [], []
@@ -319,8 +321,8 @@ def _tokens_of(wanted, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                flat, at = token_sets(batch.column(0).slice(start, 2000), k)
+            for start in range(0, batch.num_rows, STEP_ROWS):
+                flat, at = token_sets(batch.column(0).slice(start, STEP_ROWS), k)
                 ids = set_ids(flat, at)
                 rows = np.flatnonzero(_in_filter(bits, ids))
                 blobs = [flat[at[r] : at[r + 1]].tobytes() for r in rows]

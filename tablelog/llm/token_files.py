@@ -341,8 +341,8 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int):
 
         def payload(out) -> None:
             for batch in batches:
-                for a in range(0, batch.num_rows, 1000):
-                    ids, at = encoder.encode(batch.column(1).slice(a, 1000))
+                for a in range(0, batch.num_rows, 500):
+                    ids, at = encoder.encode(batch.column(1).slice(a, 500))
                     lengths.append(np.diff(at) + 1)
                     out.write(np.insert(ids, at[1:], end_id).tobytes())
                 keys.append(batch.column(0))
