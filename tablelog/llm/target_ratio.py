@@ -1,9 +1,10 @@
 """Quality rules with a hashed n-gram likelihood ratio (operator 6).
 
-Words and pairs of neighbouring words fall into ``BUCKETS`` hash buckets. Two multinomials over the
-buckets, one of documents that are trusted and one of all documents, give each bucket the logarithm
-of its ratio. A document's score is the mean over its n-grams, so length does not matter, and a fixed
-threshold decides. Before that, plain rules reject texts of few words or of much repetition.
+Words and pairs of neighbouring words fall into hash buckets, about 16 to 32 n-grams of trusted
+documents to each. Two multinomials over the buckets, one of documents that are trusted and one of
+all documents, give each bucket the logarithm of its ratio. A document's score is the mean over its
+n-grams, so length does not matter, and a fixed threshold decides. Before that, plain rules reject
+texts of few words or of much repetition.
 
 Only DataFrame functions run here. Ratios are whole millionths and their sums are exact, so the same
 rows always give the same verdicts.
@@ -19,11 +20,14 @@ from tablelog.llm.storage import ROW, Storage, column, row_hashes
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 
-BUCKETS = 1 << 18
+#: Buckets at least and at most, as powers of two; the table of ratios goes to all tasks.
+BITS = (10, 20)
+#: Trusted n-grams of a bucket, at least where the limits allow it.
+FILL = 16
 #: Trusted documents that are learned from, at most: those of the smallest hashes of keys.
 SAMPLE = 20_000
 #: Least mean of log ratios of a document that is kept.
-LEAST = -0.3
+LEAST = -0.12
 #: Words of a repeated window, least words of a text, and percent of its words that may repeat.
 WINDOW, LEAST_WORDS, REPEATED = 5, 10, 20
 
@@ -87,26 +91,27 @@ def _grams(docs: DataFrame, text: str, buckets: int, *keep: Column) -> DataFrame
 
 
 def likelihood_ratios(
-    docs: DataFrame, trusted: DataFrame, *, key: str = "doc_id", text: str = "text", trusted_key: str = "doc_id", buckets: int = BUCKETS, sample: int = SAMPLE
-) -> DataFrame:
-    """``(bucket, ratio)`` in millionths: log of a bucket's share among trusted n-grams over that among all.
+    docs: DataFrame, trusted: DataFrame, storage: Storage, *, key: str = "doc_id", text: str = "text", trusted_key: str = "doc_id", sample: int = SAMPLE
+) -> tuple[DataFrame, int]:
+    """``(bucket, ratio)`` in millionths, and the number of buckets.
 
-    All documents count; of the ``trusted`` keys those of the ``sample`` smallest hashes. Half a
-    count is added everywhere, so a bucket without n-grams has a ratio near 0. Without trusted
-    documents all ratios are 0.
+    The ratio is the log of a bucket's share among trusted n-grams over that among all. All documents
+    count; of the ``trusted`` keys those of the ``sample`` smallest hashes. Half a count is added
+    everywhere. Without trusted documents all ratios are 0.
     """
     chosen = trusted.select(column(trusted, trusted_key).alias("__key")).filter("__key is not null").distinct()
     chosen = chosen.orderBy(F.xxhash64("__key"), "__key").limit(sample).withColumn("__trusted", F.lit(1))
-    marked = docs.select(column(docs, key).alias("__id"), column(docs, text).alias("__text"))
-    marked = marked.join(F.broadcast(chosen), F.col("__id") == F.col("__key"), "left")  # ``sample`` rows at most
-    grams = _grams(marked, "__text", buckets, F.col("__trusted"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("n"), F.count("__trusted").alias("m"))
+    rows = docs.select(column(docs, key).alias("__id"), column(docs, text).alias("__text"))
+    some = rows.join(F.broadcast(chosen), F.col("__id") == F.col("__key"))  # ``sample`` rows at most
+    n_grams = some.agg(F.sum(F.greatest(2 * F.size(_words(F.col("__text"))) - 1, F.lit(0)))).first()[0] or 0
+    buckets = 1 << min(max((n_grams // FILL).bit_length() - 1, BITS[0]), BITS[1])
+    marked = rows.join(F.broadcast(chosen), F.col("__id") == F.col("__key"), "left")
+    counts = _grams(marked, "__text", buckets, F.col("__trusted")).groupBy("bucket").agg(F.count("*").alias("n"), F.count("__trusted").alias("m"))
+    counts = storage.table(counts, "counts")
     total = counts.agg(F.sum("n").alias("n"), F.sum("m").alias("m")).first()
-    if not total["m"]:
-        return counts.select("bucket", _long(0).alias("ratio"))
-    share = lambda x, whole: (F.col(x) + 0.5) / F.lit(whole + 0.5 * buckets)
-    ratio = F.log(share("m", total["m"])) - F.log(share("n", total["n"]))
-    return counts.select("bucket", F.round(ratio * _MICRO).cast("long").alias("ratio"))
+    share = lambda x: (F.col(x) + 0.5) / F.lit(total[x] + 0.5 * buckets)
+    ratio = F.log(share("m")) - F.log(share("n")) if total["m"] else F.lit(0.0)
+    return counts.select("bucket", F.round(ratio * _MICRO).cast("long").alias("ratio")), buckets
 
 
 def quality_verdicts(
@@ -116,7 +121,6 @@ def quality_verdicts(
     key: str = "doc_id",
     text: str = "text",
     trusted_key: str = "doc_id",
-    buckets: int = BUCKETS,
     sample: int = SAMPLE,
     least: float = LEAST,
 ) -> DataFrame:
@@ -125,12 +129,12 @@ def quality_verdicts(
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     ratio (mean log ratio of the n-grams), kept. A NULL or empty text has no words, ratio 0, and
     fails. Equal rows have equal verdicts. An empty table gives no rows; other columns are ignored.
-    The table of ratios has ``buckets`` rows at most and goes to all tasks.
+    The table of ratios has a row per bucket and goes to all tasks.
     """
     storage = Storage(docs.sparkSession, "target-ratio")
     rows = docs.select(column(docs, key).alias("doc_id"), column(docs, text).alias("text"))
-    names = dict(key=key, text=text, trusted_key=trusted_key, buckets=buckets, sample=sample)
-    ratios = storage.table(likelihood_ratios(docs, trusted, **names), "ratios")
+    ratios, buckets = likelihood_ratios(docs, trusted, storage, key=key, text=text, trusted_key=trusted_key, sample=sample)
+    ratios = storage.table(ratios, "ratios")
     hashed = rows.select("text", *row_hashes(rows, "doc_id", "text"))
     grams = _grams(hashed, "text", buckets, *[F.col(x) for x in ROW])
     scores = grams.join(F.broadcast(ratios), "bucket").groupBy(*ROW).agg(F.sum("ratio").alias("sum"), F.count("*").alias("n"))
