@@ -4,9 +4,9 @@
 
 1. Count all words of the training documents; the ``heads`` most frequent ones are the heads.
 2. Count the pairs of neighbours among heads, text ends and "another word".
-3. Exchange clustering: heads begin in classes by rank; in each round tasks sum every head's
-   neighbours by class, and each head moves to the class that gives the training pairs the highest
-   likelihood, until few move.
+3. Exchange clustering: heads begin in classes by rank; in each round every head in turn moves to
+   the class that gives the training pairs the highest likelihood, until few move. The counts of
+   pairs of heads, whose size is a parameter, are the only table that the driver holds.
 4. Every other training word joins the class that its neighbours' classes vote for. The same step
    gathers all words' counts: documents fall into chunks by hash, each chunk asks the buckets of the
    vocabulary for its own distinct words, so no table of all words is ever in one place.
@@ -152,7 +152,7 @@ def _sequence(words: Words, symbol: np.ndarray, end) -> tuple[np.ndarray, np.nda
 
 
 def _pairs(heads: Heads, block: int):
-    """Counts of neighbours, sent to the block of the first and to that of the second symbol."""
+    """Counts of neighbours, sent to the block of the first symbol."""
     symbols = len(heads) + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,24 +170,20 @@ def _pairs(heads: Heads, block: int):
 
     def send(held: list[np.ndarray]) -> pa.RecordBatch:
         pairs, n = _counted(np.concatenate(held))
-        first, second = np.divmod(pairs, symbols)
+        edges = np.searchsorted(pairs, np.arange(0, symbols + block, block) * symbols)
+        part = TaskContext.get().partitionId()
         rows = []
-        for side, own, other in ((0, first, second), (1, second, first)):
-            key = own * symbols + other
-            order = np.argsort(key, kind="stable")
-            key, m = key[order], n[order]
-            edges = np.searchsorted(key, np.arange(0, symbols + block, block) * symbols)
-            for b in np.flatnonzero(np.diff(edges)):
-                s = slice(edges[b], edges[b + 1])
-                rows.append((int(b), side, TaskContext.get().partitionId(), key[s].astype("<i8").tobytes(), m[s].astype("<i8").tobytes()))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        for b in np.flatnonzero(np.diff(edges)):
+            s = slice(edges[b], edges[b + 1])
+            rows.append((int(b), part, pairs[s].astype("<i8").tobytes(), n[s].astype("<i8").tobytes()))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)], _PAIR_NAMES)
 
     return run
 
 
-_PAIR_NAMES = ["block", "side", "part", "pair", "n"]
-_PAIRS = "block long, side long, part long, pair binary, n binary"
+_PAIR_NAMES = ["block", "part", "pair", "n"]
+_PAIRS = "block long, part long, pair binary, n binary"
 
 
 def _sum_pairs(key: tuple, parts: pa.Table) -> pa.Table:
@@ -196,7 +192,7 @@ def _sum_pairs(key: tuple, parts: pa.Table) -> pa.Table:
 
 
 def neighbours(training: DataFrame, heads: Heads, block: int, size: int) -> DataFrame:
-    """Counts of neighbours by block and side of symbols, one row each.
+    """Counts of neighbours by block of the first symbol, one row each.
 
     Sums are added up in a tree, so that no task reads more of them the more text there is.
     """
@@ -204,77 +200,67 @@ def neighbours(training: DataFrame, heads: Heads, block: int, size: int) -> Data
     sums = training.mapInArrow(_pairs(heads, block), _PAIRS)
     while True:
         sums = sums.withColumn("part", F.pmod("part", F.lit(parts)))
-        sums = sums.groupBy("block", "side", "part").applyInArrow(_sum_pairs, _PAIRS)
+        sums = sums.groupBy("block", "part").applyInArrow(_sum_pairs, _PAIRS)
         if parts == 1:
             return sums.drop("part")
         parts = -(-parts // PARTS)
 
 
-def _contexts(class_of: np.ndarray, classes: int, block: int):
-    """Per block and side: neighbours of its symbols, summed by class."""
-    symbols = len(class_of)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = []
-            for b, pair, n in zip(batch.column("block").to_pylist(), batch.column("pair"), batch.column("n")):
-                own, other = np.divmod(np.frombuffer(pair.as_buffer(), "<i8"), symbols)
-                cell = (own - b * block) * classes + class_of[other]
-                sums.append(np.bincount(cell, np.frombuffer(n.as_buffer(), "<i8"), block * classes).astype("<f8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("side"), pa.array(sums, pa.binary())], ["block", "side", "sums"])
-
-    return run
-
-
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(right: np.ndarray, left: np.ndarray, class_of: np.ndarray, movable: int, open_classes: int) -> int:
-    """Move each of the first ``movable`` symbols to its best class; returns how many moved.
+def exchange(counts: np.ndarray, class_of: np.ndarray, movable: int, open_classes: int, rounds: int) -> np.ndarray:
+    """Move each of the first ``movable`` symbols in turn to its best class, in place; until under a
+    two-hundredth of them moves in a round. Returns how often each class follows each.
 
-    right, left: following and preceding classes of each symbol. The class pairs are kept up to date
-    as symbols move; what a symbol's neighbours were is from before the round.
+    The likelihood of the pairs changes by what the symbol's neighbours, as they are classed at that
+    moment, add to rows and columns of the class pairs; it never falls.
     """
-    classes = right.shape[1]
-    m = np.zeros((classes, classes))
-    np.add.at(m, class_of, right)
-    moved = 0
-    for w in range(movable):
-        old, r, l = class_of[w], right[w], left[w]
-        m[old] -= r
-        m[:, old] -= l
-        np.maximum(m, 0, out=m)
-        rows, columns = m.sum(1), m.sum(0)
-        gain = (_xlogx(m + r) - _xlogx(m)).sum(1) + (_xlogx(m + l[:, None]) - _xlogx(m)).sum(0)
-        gain -= _xlogx(rows + r.sum()) - _xlogx(rows) + _xlogx(columns + l.sum()) - _xlogx(columns)
-        new = int(gain[:open_classes].argmax())
-        if gain[new] <= gain[old] + 1e-9:
-            new = old
-        m[new] += r
-        m[:, new] += l
-        moved += new != old
-        class_of[w] = new
-    return moved
-
-
-def cluster(pairs: DataFrame, symbols: int, classes: int, block: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    classes = int(class_of.max()) + 1
+    one = np.eye(classes)[class_of]
+    right, left = counts @ one, counts.T @ one  # of each symbol, by class of the neighbour
+    m = one.T @ right
+    for _ in range(rounds):
+        moved = 0
+        for w in range(movable):
+            old, self_ = class_of[w], counts[w, w]
+            r, l = right[w].copy(), left[w].copy()
+            r[old] -= self_
+            l[old] -= self_
+            m[old] -= r
+            m[:, old] -= l
+            m[old, old] -= self_
+            np.maximum(m, 0, out=m)
+            rows, columns, diagonal = m.sum(1) + l, m.sum(0) + r, m.diagonal()
+            gain = (_xlogx(m + r) - _xlogx(m)).sum(1) + (_xlogx(m + l[:, None]) - _xlogx(m)).sum(0)
+            gain += _xlogx(diagonal + r + l + self_) + _xlogx(diagonal) - _xlogx(diagonal + r) - _xlogx(diagonal + l)
+            gain -= _xlogx(rows + r.sum() + self_) - _xlogx(rows) + _xlogx(columns + l.sum() + self_) - _xlogx(columns)
+            new = int(gain[:open_classes].argmax())
+            if gain[new] <= gain[old] + 1e-9:
+                new = old
+            m[new] += r
+            m[:, new] += l
+            m[new, new] += self_
+            if new != old:
+                moved += 1
+                class_of[w] = new
+                for table, of in ((right, counts[:, w]), (left, counts[w])):
+                    table[:, old] -= of
+                    table[:, new] += of
+        if moved <= movable // 200:
+            break
+    return m
+
+
+def cluster(pairs: DataFrame, symbols: int, classes: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all symbols, and how often each class follows each (head classes, "another", end)."""
+    counts = np.zeros((symbols, symbols), np.float32)  # fixed by the number of heads
+    for _, pair, n in pairs.select("block", "pair", "n").toLocalIterator():
+        np.put(counts, np.frombuffer(pair, "<i8"), np.frombuffer(n, "<i8"))
     heads = symbols - 2
-    total = classes + 2
     class_of = np.append(np.arange(heads) % classes, [classes, classes + 1])
-    right = left = None
-    for round_ in range(rounds + 1):
-        right, left = np.zeros((2, -(-symbols // block) * block, total))
-        # Heads times classes: fixed by parameters, not by the input.
-        for b, side, sums in pairs.mapInArrow(_contexts(class_of.copy(), total, block), "block long, side long, sums binary").collect():
-            (left if side else right)[b * block : (b + 1) * block] = np.frombuffer(sums, "<f8").reshape(block, total)
-        right, left = right[:symbols], left[:symbols]
-        if round_ == rounds or exchange(right, left, class_of, heads, classes) <= heads // 200:
-            break
-    matrix = np.zeros((total, total))
-    np.add.at(matrix, class_of, right)
-    return class_of, matrix
+    return class_of, exchange(counts, class_of, heads, classes, rounds)
 
 
 # --- vocabulary and chunks ------------------------------------------------------------------------
@@ -502,7 +488,7 @@ def class_perplexity(
 
     symbols, block = len(found) + 2, 64
     pairs = storage.table(neighbours(training, found, block, size), "pairs")
-    class_of, matrix = cluster(pairs, symbols, classes, block, rounds)
+    class_of, matrix = cluster(pairs, symbols, classes, rounds)
     known = Classes(found, class_of, _votes(matrix, classes), classes)
 
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))

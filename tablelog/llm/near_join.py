@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelog.llm.components import components
+from tablelog.llm.components import components, with_more_links
 from tablelog.llm.storage import ROW, Storage, column, row_hashes
 from tablelog.llm.words import SPACE, Words, list_column, mix, ranges, shingles, whole
 
@@ -408,8 +408,8 @@ def near_groups(
     if not large.isEmpty():
         rest = _across(one, storage.table(large, "large"), groups, pairs, percent)
         rest = storage.table(rest, "rest")
-        links = links.unionByName(_verified(rest, rows, k, percent, storage, "rest"))
-        groups = components(links, storage, "all-stars")
+        if not rest.isEmpty():
+            groups = with_more_links(groups, _verified(rest, rows, k, percent, storage, "rest"), storage, "rest-stars")
 
     # The smallest key of each component, and back to the rows.
     member = sets.join(groups, sets["set"] == groups["node"], "left").select("set", "doc_id", F.coalesce("component", "set").alias("component"))

@@ -62,17 +62,32 @@ def test_probabilities_sum_to_one():
     assert np.allclose((share[:, :3] * known).sum(1) + share[:, 3] + share[:, 4], 1)
 
 
-def test_exchange_finds_classes():
-    """Words of two kinds that alternate."""
-    rng = np.random.default_rng(2)
-    seq = np.array([rng.integers(0, 10) + 10 * (i % 2) for i in range(4000)])
-    class_of, classes = np.arange(20) % 2, 2
-    for _ in range(6):
-        right, left = np.zeros((2, 20, classes))
-        np.add.at(right, (seq[:-1], class_of[seq[1:]]), 1)
-        np.add.at(left, (seq[1:], class_of[seq[:-1]]), 1)
-        class_lm.exchange(right, left, class_of, 20, classes)
-    assert len(set(class_of[:10])) == len(set(class_of[10:])) == 1 and class_of[0] != class_of[10]
+def likelihood(counts, class_of, classes):
+    one = np.eye(classes)[class_of]
+    m = one.T @ counts @ one
+    f = lambda x: (x * np.log(np.maximum(x, 1e-300))).sum()
+    return f(m) - f(m.sum(0)) - f(m.sum(1))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_exchange_finds_classes(seed):
+    """Words of three kinds that follow each other; the likelihood never falls."""
+    rng = np.random.default_rng(seed)
+    seq = np.array([rng.integers(0, 10) + 10 * (i % 3) if rng.random() < 0.9 else rng.integers(0, 30) for i in range(6000)])
+    counts = np.zeros((30, 30), np.float32)
+    np.add.at(counts, (seq[:-1], seq[1:]), 1)
+    class_of = rng.integers(0, 4, 30)
+    class_of[0] = 3
+    before = likelihood(counts, class_of, 4)
+    for _ in range(12):
+        matrix = class_lm.exchange(counts, class_of, 30, 4, 1)
+        one = np.eye(4)[class_of]
+        assert np.allclose(matrix[:, :4][: len(one.T)], (one.T @ counts @ one)[: len(matrix)], atol=1e-2)
+        after = likelihood(counts, class_of, 4)
+        assert after >= before - 1e-3
+        before = after
+    pure = [len(set(class_of[k : k + 10])) for k in (0, 10, 20)]
+    assert sorted(pure)[:2] == [1, 1] and len(set(class_of)) >= 3
 
 
 def test_reruns_agree(documents, rows):
