@@ -24,7 +24,7 @@ from tablelog.llm.storage import ROW, Storage, column, row_hashes
 
 BINS, BAND = 32, 4
 #: Characters of a shingle of the signature, and of one that is compared.
-ANCHORED, SHINGLE = 6, 5
+ANCHORED, SHINGLE = 9, 5
 
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -43,8 +43,8 @@ def _with_bands(lines: DataFrame) -> DataFrame:
     out = lines.withColumn("__h", _bands(F.col("line")))
     new = lambda x, i: (i == 0) | (_bin(x) != F.coalesce(_bin(F.get("__h", i - 1)), F.lit(-1).cast("long")))
     out = out.withColumn("__least", F.filter("__h", new)).drop("__h")
-    count = BINS // BAND
-    held = [F.filter("__least", lambda x, b=b: (_bin(x) >= b * BAND) & (_bin(x) < (b + 1) * BAND)) for b in range(count)]
+    inside = lambda b: lambda x: (_bin(x) >= b * BAND) & (_bin(x) < (b + 1) * BAND)
+    held = [F.filter("__least", inside(b)) for b in range(BINS // BAND)]
     keys = F.array(*[F.when(F.size(h) > 0, F.xxhash64(F.lit(b), h)) for b, h in enumerate(held)])
     return out.withColumn("bands", F.array_compact(keys)).drop("__least")
 
