@@ -47,7 +47,7 @@ def test_base_score_and_counts(documents, rows):
 
 
 def test_classes_predict_held_out_text(documents, rows):
-    got = class_lm.class_perplexity(documents(rows), heads=40, classes=8).filter("held_out and n_tokens > 5").collect()
+    got = class_lm.class_perplexity(documents(rows), heads=100, classes=8).filter("held_out and n_tokens > 5").collect()
     assert len(got) > 60
     assert sum(r["score"] for r in got) > 0.85 * sum(r["base_score"] for r in got)  # both are negative
 

@@ -35,7 +35,7 @@ def test_pieces_are_whole_texts(reference):
 
 def test_digests(documents, reference):
     rng = random.Random(2)
-    rows = [(i * 3, prose(rng, rng.randint(0, 80))) for i in rng.sample(range(400), 400)] + [x for x in ODD if x[0] is not None]
+    rows = [(i * 2, prose(rng, rng.randint(0, 80))) for i in rng.sample(range(400), 400)] + [x for x in ODD if x[0] is not None]
     got = {}
     for r in token_digests(documents(rows)).collect():
         got.setdefault(r["doc_id"], []).append((r["start"], r["n_tokens"], r["ids_crc32"]))
