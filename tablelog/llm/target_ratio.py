@@ -17,17 +17,16 @@ from pyspark.sql import functions as F
 
 from tablelog.llm.storage import ROW, Storage, column, row_hashes
 
-WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 
 #: Buckets at least and at most, as powers of two; the table of ratios goes to all tasks.
-BITS = (10, 20)
+BITS = (10, 18)
 #: Trusted n-grams of a bucket, at least where the limits allow it.
 FILL = 16
 #: Trusted documents that are learned from, at most: those of the smallest hashes of keys.
 SAMPLE = 20_000
 #: Least mean of log ratios of a document that is kept.
-LEAST = -0.12
+LEAST = -0.09
 #: Words of a repeated window, least words of a text, and percent of its words that may repeat.
 WINDOW, LEAST_WORDS, REPEATED = 5, 10, 20
 
@@ -38,8 +37,12 @@ def _long(x: int) -> Column:
     return F.lit(x).cast("long")
 
 
+_SPACE = " \t\n\x0b\x0c\r"
+
+
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+", -1))
 
 
 def text_rules(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -63,14 +66,16 @@ def text_rules(docs: DataFrame, text: str = "text") -> DataFrame:
             "__hashes": F.transform(words, lambda x: F.xxhash64(x)),
         }
     ).drop("__words", "__lines")
-    starts = F.when(F.col("n_words") >= WINDOW, F.sequence(_long(0), F.col("n_words") - WINDOW)).otherwise(F.array().cast("array<long>"))
-    window = lambda i: F.xxhash64(*[F.get("__hashes", (i + j).cast("int")) for j in range(WINDOW)])
-    out = out.withColumn("__windows", F.transform(starts, window)).drop("__hashes")
-    out = out.withColumn("__sorted", F.sort_array("__windows"))
-    again = F.exists(F.sequence(_long(1), F.size("__sorted").cast("long")), lambda i: F.get("__sorted", i.cast("int")) == F.get("__sorted", (i - 1).cast("int")))
-    out = out.withColumn("__again", (F.size("__sorted") > 1) & F.coalesce(again, F.lit(False)))
+    # Hashes of two, four and five words in a row, each from those before; a NULL marks the end.
+    two = F.zip_with("__hashes", F.slice("__hashes", 2, 1 << 30), lambda x, y: F.xxhash64(x, y))
+    out = out.withColumn("__two", two)
+    four = F.zip_with("__two", F.slice("__two", 3, 1 << 30), lambda x, y: F.xxhash64(x, y))
+    five = F.zip_with(four, F.slice("__hashes", WINDOW, 1 << 30), lambda x, y: F.xxhash64(x, y))
+    whole = F.slice(five, 1, F.greatest(F.col("n_words") - (WINDOW - 1), _long(0)).cast("int"))
+    out = out.withColumn("__windows", whole).drop("__hashes", "__two")
+    out = out.withColumn("__again", F.size(F.array_distinct("__windows")) < F.size("__windows"))
     spots = F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("__spots", F.when(F.col("__again"), spots)).drop("__windows", "__sorted")
+    out = out.withColumn("__spots", F.when(F.col("__again"), spots)).drop("__windows")
     like = lambda x, i: F.coalesce(F.get("__spots", i)["h"] == x["h"], F.lit(False))
     twice = F.filter("__spots", lambda x, i: like(x, i - 1) | like(x, i + 1))
     out = out.withColumn("__twice", F.sort_array(F.transform(twice, lambda x: x["i"]))).drop("__spots", "__again")
@@ -82,12 +87,18 @@ def text_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _grams(docs: DataFrame, text: str, buckets: int, *keep: Column) -> DataFrame:
-    """One row per n-gram: its bucket, and the columns ``keep``."""
-    hashed = docs.select(*keep, F.transform(_words(column(docs, text)), lambda x: F.xxhash64(x)).alias("__h"))
-    names = [c for c in hashed.columns if c != "__h"]
-    pairs = F.transform(F.slice("__h", 2, F.greatest(F.size("__h") - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get("__h", i)))
-    both = F.transform(F.concat("__h", pairs), lambda x: F.pmod(x, _long(buckets)).cast("int"))
-    return hashed.select(*names, F.explode(both).alias("bucket"))
+    """One row per n-gram: its bucket, and the columns ``keep``.
+
+    Each word comes with the next one, NULL after the last, and is hashed in generated code.
+    """
+    names = [c for c in docs.select(*keep).columns]
+    split = docs.select(*keep, _words(column(docs, text)).alias("__w"))
+    pairs = F.arrays_zip(F.col("__w").alias("x"), F.slice("__w", 2, 1 << 30).alias("y"))
+    words = split.select(*names, F.explode(pairs).alias("__p")).select(*names, F.col("__p.x").alias("__x"), F.col("__p.y").alias("__y"))
+    bucket = lambda h: F.pmod(h, _long(buckets)).cast("int")
+    two = F.when(F.col("__y").isNotNull(), bucket(F.xxhash64("__x", "__y")))
+    both = words.select(*names, F.explode(F.array(bucket(F.xxhash64("__x")), two)).alias("bucket"))
+    return both.filter("bucket is not null")
 
 
 def likelihood_ratios(
