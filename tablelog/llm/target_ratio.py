@@ -3,7 +3,7 @@
 Words and pairs of neighbouring words fall into hash buckets, about 16 to 32 n-grams of trusted
 documents to each. Two multinomials over the buckets, one of documents that are trusted and one of
 all documents, give each bucket the logarithm of its ratio. A document's score is the mean over its
-n-grams, so length does not matter, and a fixed threshold decides. Before that, plain rules reject
+n-grams, so length does not matter, and a fixed threshold decides that allows for chance. Before that, plain rules reject
 texts of few words or of much repetition.
 
 Only DataFrame functions run here. Ratios are whole millionths and their sums are exact, so the same
@@ -25,8 +25,9 @@ BITS = (10, 18)
 FILL = 16
 #: Trusted documents that are learned from, at most: those of the smallest hashes of keys.
 SAMPLE = 20_000
-#: Least mean of log ratios of a document that is kept.
-LEAST = -0.09
+#: Least mean of log ratios of a document that is kept: LEAST for a long one, and less by NOISE over
+#: the square root of its n-grams, which is how far the mean of a short one strays by chance.
+LEAST, NOISE = -0.06, 0.5
 #: Words of a repeated window, least words of a text, and percent of its words that may repeat.
 WINDOW, LEAST_WORDS, REPEATED = 5, 10, 20
 
@@ -134,6 +135,7 @@ def quality_verdicts(
     trusted_key: str = "doc_id",
     sample: int = SAMPLE,
     least: float = LEAST,
+    noise: float = NOISE,
 ) -> DataFrame:
     """The rules' counts and the verdict for every row of ``docs``.
 
@@ -150,9 +152,11 @@ def quality_verdicts(
     grams = _grams(hashed, "text", buckets, *[F.col(x) for x in ROW])
     scores = grams.join(F.broadcast(ratios), "bucket").groupBy(*ROW).agg(F.sum("ratio").alias("sum"), F.count("*").alias("n"))
     scores = scores.select(*ROW, F.round(F.col("sum") / F.col("n")).cast("long").alias("micro"))
+    grams_of = F.greatest(2 * F.col("n_words") - 1, _long(1))
+    bound = F.round((least - noise / F.sqrt(grams_of)) * _MICRO).cast("long")
     counts = text_rules(rows.withColumns(dict(zip(ROW, row_hashes(rows, "doc_id", "text"))))).drop("text")
     out = counts.join(scores, list(ROW), "left").withColumn("micro", F.coalesce("micro", _long(0)))
-    kept = ~F.col("base_failed") & (F.col("micro") >= round(least * _MICRO))
+    kept = ~F.col("base_failed") & (F.col("micro") >= bound)
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (F.col("micro") / _MICRO).alias("ratio"), kept.alias("kept")
     )
