@@ -138,7 +138,10 @@ def _gradients(w: dict, x: np.ndarray, at: np.ndarray, y: np.ndarray) -> dict:
 
 
 def fit(passages: np.ndarray, at: np.ndarray, y: np.ndarray, *, hidden: int = 24, gate: int = 12, epochs: int = 8, seed: int = 7) -> Model:
-    """Fit by Adam on whole documents, 64 at a time; the same input gives the same model."""
+    """Fit by Adam on whole documents, 64 at a time; the same input gives the same model.
+
+    Few documents are gone through more often than ``epochs`` times, for 400 steps in all.
+    """
     prior = float(y.mean()) if len(y) else 0.5
     mean, spread = (passages.mean(0), passages.std(0) + 0.05) if len(passages) else (np.zeros(WIDTH), np.ones(WIDTH))
     if len(np.unique(y)) < 2:
@@ -150,9 +153,10 @@ def fit(passages: np.ndarray, at: np.ndarray, y: np.ndarray, *, hidden: int = 24
     m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     x = ((passages - mean) / spread).astype(np.float32)
     step = 0
-    for epoch in range(epochs):
+    rounds = max(epochs, -(-400 * 64 // len(y)))
+    for turn in range(rounds):
         order = rng.permutation(len(y))
-        rate = 4e-3 * 0.8**epoch
+        rate = 4e-3 * 0.8 ** (turn * epochs / rounds)
         for i in range(0, len(order), 64):
             own = order[i : i + 64]
             n = np.diff(at)[own]
