@@ -1,9 +1,10 @@
 """Nearly equal lines by MinHash, one line of each group kept (operator 3).
 
 1. Every line with a word has a signature: character shingles from each word's start are hashed, and
-   of ``BINS`` ranges of hashes each gives its least. ``BAND`` ranges together are a band; lines that
-   agree in a band are candidates. Lines of Jaccard similarity 0.8 agree in one of the eight bands with
-   a probability of about 0.985, lines of 0.9 with 0.9998.
+   of 32 ranges of hashes each gives its least. Ranges together are a band; lines that agree in a band
+   are candidates. With four ranges to a band, lines of Jaccard similarity 0.8 agree in one of the eight
+   bands with a probability of about 0.985, lines of 0.9 with 0.9998. Short lines, whose bands would
+   hold one common shingle, are candidates if all their shingles but one agree.
 2. Equal lines are one line from here on. In each band entry all lines are paired with the least one;
    pairs are verified by the exact Jaccard similarity of all their character shingles, and linked
    lines form components.
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from tablelog.llm.components import components, with_more_links
 from tablelog.llm.storage import ROW, Storage, column, row_hashes
 
-BINS, BAND = 32, 4
+#: A signature has the least hash of each of 2 ** BITS ranges.
+BITS = 5
 #: Characters of a shingle of the signature, and of one that is compared.
 ANCHORED, SHINGLE = 9, 5
 
@@ -35,18 +37,31 @@ def _bands(line: Column) -> Column:
     return F.sort_array(F.transform(parts, lambda x: F.xxhash64(x)))
 
 
-def _bin(x: Column) -> Column:
-    return F.shiftright(F.shiftrightunsigned(x, 40) * BINS, 24)
+def _range(x: Column, bits: int) -> Column:
+    """Which of ``2 ** bits`` equal ranges a hash is in."""
+    return F.shiftrightunsigned(x, 64 - bits)
 
 
 def _with_bands(lines: DataFrame) -> DataFrame:
+    """``lines`` with the keys by which each is a candidate, from the least hash of each range.
+
+    Long signatures are cut into 8 bands, middling ones into 4, so that a band has a few hashes. Of a
+    short one every hash but one is a key. Signatures near a border of these have keys of both kinds.
+    """
     out = lines.withColumn("__h", _bands(F.col("line")))
-    new = lambda x, i: (i == 0) | (_bin(x) != F.coalesce(_bin(F.get("__h", i - 1)), F.lit(-1).cast("long")))
+    new = lambda x, i: (i == 0) | (_range(x, BITS) != F.coalesce(_range(F.get("__h", i - 1), BITS), F.lit(-1).cast("long")))
     out = out.withColumn("__least", F.filter("__h", new)).drop("__h")
-    inside = lambda b: lambda x: (_bin(x) >= b * BAND) & (_bin(x) < (b + 1) * BAND)
-    held = [F.filter("__least", inside(b)) for b in range(BINS // BAND)]
-    keys = F.array(*[F.when(F.size(h) > 0, F.xxhash64(F.lit(b), h)) for b, h in enumerate(held)])
-    return out.withColumn("bands", F.array_compact(keys)).drop("__least")
+    n, none = F.size("__least"), F.array().cast("array<bigint>")
+
+    def cut(bits: int) -> Column:
+        inside = lambda b: lambda x: _range(x, bits) == b
+        held = [F.filter("__least", inside(b)) for b in range(1 << bits)]
+        return F.array(*[F.when(F.size(h) > 0, F.xxhash64(F.lit(bits), F.lit(b), h)) for b, h in enumerate(held)])
+
+    but_one = F.transform("__least", lambda x: F.xxhash64(F.lit(1), F.array_remove("__least", x)))
+    short = F.concat(F.array(F.xxhash64(F.lit(0), "__least")), F.when(n > 2, but_one).otherwise(none))
+    keys = F.concat(F.when(n <= 10, short).otherwise(none), F.when((n >= 8) & (n <= 22), cut(2)).otherwise(none), F.when(n >= 17, cut(3)).otherwise(none))
+    return out.withColumn("bands", F.when(n > 0, F.array_compact(keys)).otherwise(none)).drop("__least")
 
 
 def _shingles(line: Column) -> Column:
