@@ -218,8 +218,8 @@ def exchange(counts: np.ndarray, class_of: np.ndarray, movable: int, open_classe
     moment, add to rows and columns of the class pairs; it never falls.
     """
     classes = int(class_of.max()) + 1
-    one = np.eye(classes)[class_of]
-    right, left = counts @ one, counts.T @ one  # of each symbol, by class of the neighbour
+    one = np.eye(classes, dtype=np.float32)[class_of]
+    right, left = ((x @ one).astype(np.float64) for x in (counts, counts.T))  # of each symbol, by class of the neighbour
     m = one.T @ right
     for _ in range(rounds):
         moved = 0
