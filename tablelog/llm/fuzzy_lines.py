@@ -1,10 +1,11 @@
 """Nearly equal lines by MinHash, one line of each group kept (operator 3).
 
-1. Every line with a word has a signature: character shingles from each word's start are hashed, and
-   of 32 ranges of hashes each gives its least. Ranges together are a band; lines that agree in a band
-   are candidates. With four ranges to a band, lines of Jaccard similarity 0.8 agree in one of the eight
-   bands with a probability of about 0.985, lines of 0.9 with 0.9998. Short lines, whose bands would
-   hold one common shingle, are candidates if all their shingles but one agree.
+1. Every line with a word has a signature: all its character shingles are hashed, and of 32 ranges of
+   hashes each gives its least. Four ranges are a band; lines that agree in a band are candidates.
+   There are two such signatures by different orders of the hashes, so lines of Jaccard similarity
+   0.8 agree in one of the sixteen bands with a probability of about 0.9998. Lines of 8 to 22
+   shingles have 16 ranges and eight bands (about 0.996); short ones are candidates if all their
+   shingles, or all but one, agree, which no pair of 0.8 fails.
 2. Equal lines are one line from here on. In each band entry all lines are paired with the least one;
    pairs are verified by the exact Jaccard similarity of all their character shingles, and linked
    lines form components.
@@ -23,50 +24,71 @@ from pyspark.sql import functions as F
 from tablelog.llm.components import components, with_more_links
 from tablelog.llm.storage import ROW, Storage, column, row_hashes
 
-#: A signature has the least hash of each of 2 ** BITS ranges.
+#: Characters of a shingle.
+SHINGLE = 5
+#: A long signature has the least hash of each of 2 ** BITS ranges, in 8 bands; a middling one half of both.
 BITS = 5
-#: Characters of a shingle of the signature, and of one that is compared.
-ANCHORED, SHINGLE = 9, 5
+#: Shingles of a short line at most; of a middling one at least and at most; of a long one at least.
+#: Lines of Jaccard similarity 0.8 have keys of one kind: with ten shingles or more in their union
+#: both have eight, with fewer both have nine or less, and no two sizes that differ by a quarter or
+#: less are only middling and only long.
+SHORT, MIDDLING, LONG = 9, (8, 22), 15
 
 _WORD = r"[^\x20\x09-\x0D]"
 
 
-def _bands(line: Column) -> Column:
-    """Keys of the bands, from shingles that begin with a word, and every 12 characters in long ones."""
-    parts = F.regexp_extract_all(line, F.lit(rf"(?=(\S.{{0,{ANCHORED - 1}}}))\S{{1,12}}"), F.lit(1))
-    return F.sort_array(F.transform(parts, lambda x: F.xxhash64(x)))
-
-
 def _range(x: Column, bits: int) -> Column:
     """Which of ``2 ** bits`` equal ranges a hash is in."""
     return F.shiftrightunsigned(x, 64 - bits)
 
 
+def _turned(hashes: Column) -> Column:
+    """The hashes in another order, their halves changing places."""
+    return F.sort_array(F.transform(hashes, lambda x: F.shiftleft(x, 32).bitwiseOR(F.shiftrightunsigned(x, 32))))
+
+
+def _least(name: str, bits: int) -> Column:
+    """The least hash of each of ``2 ** bits`` ranges that has one, of the sorted column ``name``."""
+    new = lambda x, i: (i == 0) | (_range(x, bits) != F.coalesce(_range(F.get(name, i - 1), bits), F.lit(-1).cast("long")))
+    return F.filter(name, new)
+
+
+def _with_hashes(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``__h``, the hashes of all shingles in order, and ``__n``, their number."""
+    out = lines.withColumn("__h", F.sort_array(F.transform(_shingles(F.col("line")), lambda x: F.xxhash64(x))))
+    return out.withColumn("__n", F.size("__h"))
+
+
 def _with_least(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``__least``, the least hash of each range that has one, in order."""
-    out = lines.withColumn("__h", _bands(F.col("line")))
-    new = lambda x, i: (i == 0) | (_range(x, BITS) != F.coalesce(_range(F.get("__h", i - 1), BITS), F.lit(-1).cast("long")))
-    return out.withColumn("__least", F.filter("__h", new)).drop("__h")
+    """``lines`` with ``__n`` and ``__least``, the least hash of each range that has one, in order."""
+    return _with_hashes(lines).withColumn("__least", _least("__h", BITS)).drop("__h")
 
 
 def _with_bands(lines: DataFrame) -> DataFrame:
-    """``lines`` with the keys by which each is a candidate, from the least hash of each range.
+    """``lines`` with the keys by which each is a candidate, and ``__n``, the number of their shingles.
 
-    Long signatures are cut into 8 bands, middling ones into 4, so that a band has a few hashes. Of a
-    short one every hash but one is a key. Signatures near a border of these have keys of both kinds.
+    Of a long line the least hashes of 32 ranges, of a middling one of 16, are cut into bands of four
+    ranges; the same is done in a second order of the hashes. Of a short line all shingles are a key,
+    and all but any one. Lines near a border of these have keys of both kinds.
     """
-    out = _with_least(lines)
-    n, none = F.size("__least"), F.array().cast("array<bigint>")
-
-    def cut(bits: int) -> Column:
-        inside = lambda b: lambda x: _range(x, bits) == b
-        held = [F.filter("__least", inside(b)) for b in range(1 << bits)]
-        return F.array(*[F.when(F.size(h) > 0, F.xxhash64(F.lit(bits), F.lit(b), h)) for b, h in enumerate(held)])
-
-    but_one = F.transform("__least", lambda x: F.xxhash64(F.lit(1), F.array_remove("__least", x)))
-    short = F.concat(F.array(F.xxhash64(F.lit(0), "__least")), F.when(n > 2, but_one).otherwise(none))
-    keys = F.concat(F.when(n <= 10, short).otherwise(none), F.when((n >= 8) & (n <= 22), cut(2)).otherwise(none), F.when(n >= 17, cut(3)).otherwise(none))
-    return out.withColumn("bands", F.when(n > 0, F.array_compact(keys)).otherwise(none)).drop("__least")
+    out = _with_hashes(lines).withColumn("__t", F.when(F.col("__n") >= MIDDLING[0], _turned(F.col("__h"))))
+    n, none = F.col("__n"), F.array().cast("array<bigint>")
+    long, middling = n >= LONG, n.between(*MIDDLING)
+    signatures = {f"{x}{bits}": F.when(has, _least(x, bits)) for x in ("__h", "__t") for bits, has in ((BITS, long), (BITS - 1, middling))}
+    out = out.withColumns(signatures)
+
+    def cut(order: str, bits: int) -> list[Column]:
+        inside = lambda b: lambda x: _range(x, bits - 2) == b
+        held = [F.filter(f"{order}{bits}", inside(b)) for b in range(1 << bits - 2)]
+        return [F.when(F.size(h) > 0, F.xxhash64(F.lit(bits), F.lit(order), F.lit(b), h)) for b, h in enumerate(held)]
+
+    key = lambda h: F.xxhash64(F.lit(0), h)
+    # With fewer than five shingles only equal sets are as near as 0.8.
+    but_one = F.when(n > 4, F.transform("__h", lambda x: key(F.array_remove("__h", x)))).otherwise(none)
+    short = F.when(n <= SHORT, F.concat(F.array(key(F.col("__h"))), but_one)).otherwise(none)
+    bands = [F.when(has, F.array(*cut("__h", bits), *cut("__t", bits))).otherwise(none) for bits, has in ((BITS, long), (BITS - 1, middling))]
+    out = out.withColumn("bands", F.array_compact(F.concat(short, *bands)))
+    return out.drop("__h", "__t", *signatures)
 
 
 def _shingles(line: Column) -> Column:
@@ -75,16 +97,22 @@ def _shingles(line: Column) -> Column:
     return F.array_distinct(F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(every))
 
 
+def _may(n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be as near as ``percent``."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs of line ids whose shingles agree to ``percent``.
 
-    Pairs whose signatures have under three tenths of their hashes in common, as lines that agree in
-    one band alone, are left out first; a line as near as 0.8 is one of these once in a thousand times.
+    Pairs that cannot are left out first: where the least hashes of a range differ, or one line has
+    none, the smaller one belongs to a shingle that only one of the lines has, and lines of n and m
+    shingles that are near enough have at most ``(n + m) * (100 - percent) / (100 + percent)`` of these.
     """
-    side = lambda end, line, least: texts.select(F.col("id").alias(end), F.col("line").alias(line), F.col("__least").alias(least))
-    full = pairs.join(side("a", "x", "p"), "a").join(side("b", "y", "q"), "b")
-    same = F.size(F.array_intersect("p", "q"))
-    full = full.filter(10 * same >= 3 * (F.size("p") + F.size("q") - same))
+    side = lambda end, line, least, n: texts.select(F.col("id").alias(end), F.col("line").alias(line), F.col("__least").alias(least), F.col("__n").alias(n))
+    full = pairs.join(side("a", "x", "p", "n"), "a").join(side("b", "y", "q", "m"), "b")
+    other = F.greatest(F.size("p"), F.size("q")) - F.size(F.array_intersect("p", "q"))
+    full = full.filter((100 + percent) * other <= (100 - percent) * (F.col("n") + F.col("m")))
     full = full.select("a", "b", _shingles(F.col("x")).alias("x"), _shingles(F.col("y")).alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return full.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
@@ -98,13 +126,14 @@ def line_groups(docs: DataFrame, *, percent: int = 80, key: str = "doc_id", text
     lines = rows.select("doc_id", *ROW, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("place", "line"))
     lines = lines.filter(F.col("line").rlike(_WORD)).withColumn("id", F.xxhash64("line"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", *ROW, "place")
-    found = _with_bands(lines).groupBy("id").agg(F.min(order).alias("at"), F.first("bands").alias("bands"), F.count("*").alias("times"))
-    found = storage.table(found.select("id", "at.doc_id", *[f"at.{x}" for x in ROW], "at.place", "bands", "times"), "lines")
+    found = _with_bands(lines).groupBy("id").agg(F.min(order).alias("at"), F.first(F.struct("bands", "__n")).alias("keys"), F.count("*").alias("times"))
+    found = storage.table(found.select("id", "at.doc_id", *[f"at.{x}" for x in ROW], "at.place", "keys.bands", F.col("keys.__n").alias("n"), "times"), "lines")
 
-    spots = found.select("id", F.explode("bands").alias("band"))
-    least = spots.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
-    entries = storage.table(spots.join(least, "band").select("band", "id", "a"), "entries")
-    pairs = storage.table(entries.filter("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
+    spots = found.select("id", "n", F.explode("bands").alias("band"))
+    least = spots.groupBy("band").agg(F.min(F.struct("id", "n")).alias("a"), F.max("id").alias("z")).filter("a.id < z")
+    entries = storage.table(spots.join(least, "band").select("band", "id", "n", "a"), "entries")
+    pairs = entries.filter((F.col("id") != F.col("a.id")) & _may(F.col("n"), F.col("a.n"), percent))
+    pairs = storage.table(pairs.select("a.id", F.col("id").alias("b")).toDF("a", "b").distinct(), "pairs")
 
     # Texts of the lines that are in some entry, each from the document where it first stands.
     asked = found.join(entries.select("id").distinct(), "id", "left_semi").groupBy(*ROW).agg(F.collect_list("place").alias("places"))
@@ -115,11 +144,12 @@ def line_groups(docs: DataFrame, *, percent: int = 80, key: str = "doc_id", text
 
     links = storage.table(_verified(pairs, texts, percent), "links")
     groups = components(links, storage, "first-stars")
-    spots = entries.join(groups, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("component", "id").alias("component"))
+    spots = entries.join(groups, F.col("id") == F.col("node"), "left").select("band", "id", "n", F.coalesce("component", "id").alias("component"))
     mixed = spots.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
     spots = storage.table(spots.join(mixed, "band"), "mixed")
     x, y = spots.alias("x"), spots.alias("y")
-    more = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")))
+    apart = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & _may(F.col("x.n"), F.col("y.n"), percent)
+    more = x.join(y, (F.col("x.band") == F.col("y.band")) & apart)
     more = more.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = storage.table(more, "more-pairs")
     if not more.isEmpty():

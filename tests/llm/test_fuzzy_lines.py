@@ -98,3 +98,31 @@ def test_equal_rows_and_empty(documents):
 def test_native(documents, rows):
     plan = fuzzy_lines.kept_lines(documents(rows))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow", plan)
+
+
+EDITS = {
+    "insert": lambda rng, x, c: x[: (i := rng.randrange(len(x) + 1))] + c + x[i:],
+    "substitute": lambda rng, x, c: x[: (i := rng.randrange(len(x)))] + c + x[i + 1 :],
+    "prefix": lambda rng, x, c: c * rng.randint(1, max(1, len(x) // 5)) + x,
+    "append": lambda rng, x, c: x + c,
+}
+
+
+@pytest.mark.parametrize("edit", EDITS)
+@pytest.mark.parametrize("spaced", [True, False])
+def test_recall_of_edits(documents, edit, spaced):
+    """Every line with one edited copy of it, by brute force near enough; words or text without spaces."""
+    rng = random.Random(f"{edit} {spaced}")
+    signs = "abcdefghijklmnopqrstuvwxyz" + " " * 5 if spaced else [chr(0x4E00 + i) for i in range(2000)]
+    pairs = []
+    while len(pairs) < 400:
+        x = "".join(rng.choice(signs) for _ in range(rng.choice([rng.randint(8, 30), rng.randint(30, 70), rng.randint(70, 250)]))).strip()
+        y = x
+        for _ in range(rng.choice([1, 1, 2, 5])):
+            y = EDITS[edit](rng, y, rng.choice("QXZ"))
+        a, b = shingles(x), shingles(y)
+        if x != y and 10 * len(a & b) >= 8 * len(a | b):
+            pairs.append((x, y))
+    df = documents([(i, "\n".join(x)) for i, x in enumerate(pairs)])
+    found = len(pairs) * 2 - len({r["group"] for r in fuzzy_lines.line_groups(df).collect()})
+    assert found >= 0.99 * len(pairs)
