@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -60,8 +61,9 @@ class PieceEncoder:
     before a space or line end that a sign other than white space follows, and between an ASCII letter
     and an ASCII punctuation mark. Pieces are told apart by 64-bit hashes, found in numpy. Those not
     met before are encoded, many at a time with an empty line between, which is a token of its own;
-    up to ``remembered`` of them are kept for later texts. Tokenizers of other kinds, or without such a
-    token, get whole texts.
+    up to ``remembered`` of them are kept for later texts. The tokenizer finds its added tokens, such as
+    ``<|endoftext|>``, before it cuts a text into words, so texts that hold the string of one are encoded
+    whole. Tokenizers of other kinds, or without such a token, get whole texts.
     """
 
     GAP = "\n\n"
@@ -72,11 +74,14 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         gap = self._ids(self.GAP)
         alone = len(gap) == 1 and self._ids(f" a{self.GAP} b") == [*self._ids(" a"), gap[0], *self._ids(" b")]
-        self.gap = gap[0] if alone and '"ByteLevel"' in self.tokenizer.to_str() else None
+        added = [x for x in self.tokenizer.get_added_tokens_decoder().values() if x.content]
+        self.added = "|".join(re.escape(x.content) for x in added)  # a pattern, empty if there are none
+        # A normaliser may make the string of such a token from others, and one may hold the gap.
+        plain = not any(self.GAP in x.content or (x.normalized and self.tokenizer.normalizer) for x in added)
+        self.gap = gap[0] if alone and plain and '"ByteLevel"' in self.tokenizer.to_str() else None
         self.remembered = remembered
         self.hashes = np.zeros(0, np.uint64)  # of known pieces, sorted
         self.spot = np.zeros(0, np.int64)  # where the ids of each begin
@@ -103,6 +108,16 @@ class PieceEncoder:
         if self.gap is None:
             parts = self.direct(["" if x is None else x for x in column.to_pylist()])
             return np.concatenate([np.zeros(0, self.kind), *parts]), np.cumsum([0, *map(len, parts)])
+        if not self.added or not pc.any(held := pc.match_substring_regex(column, self.added)).as_py():
+            return self._by_pieces(column)
+        held = pc.fill_null(held, False)
+        ids, at = self._by_pieces(pc.if_else(held, pa.scalar("", column.type), column))
+        parts, spots = self.direct(column.filter(held).to_pylist()), np.flatnonzero(held)
+        size = np.diff(at)
+        size[spots] = [len(x) for x in parts]
+        return np.insert(ids, np.repeat(at[spots], size[spots]), np.concatenate(parts)), np.append(0, np.cumsum(size))
+
+    def _by_pieces(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, rows = text_bytes(column)
         start = np.flatnonzero(_cuts(data, rows))
         hashes = piece_hashes(data, start)
@@ -295,8 +310,9 @@ def write_token_files(
 
     ``tokenizer`` is the path of a tokenizers file that every executor has. A NULL text is empty and
     has the end id alone. NULL keys come first and are a key like others. Rows with one key are all
-    stored, next to each other by the hash of their text; such a group lies in one shard. Words like
-    ``<|endoftext|>`` in a text are ordinary text. An empty table gives empty tables. Other columns
+    stored, next to each other by the hash of their text; such a group lies in one shard. Ids are those of
+    the library's ``encode(text, add_special_tokens=False)``: the string ``<|endoftext|>`` in a text is
+    the token of that name. An empty table gives empty tables. Other columns
     are ignored. Shards are written whole and renamed; a task that runs again writes the same bytes.
     """
     spark = docs.sparkSession

@@ -33,6 +33,23 @@ def test_pieces_are_whole_texts(reference):
             assert flat[x:y].tolist() == ids(reference, text)
 
 
+def test_added_tokens_in_texts(documents, reference):
+    """The library gives the string of an added token its own id, also in the middle of a word."""
+    assert 50256 in ids(reference, "one <|endoftext|> two")
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", "a", " b", " ", "\n", "\n\n", "!", "é", "Word"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 8))) for _ in range(600)] + [None, "", "plain text", "<|endoftext|>"]
+    encoder = token_files.PieceEncoder(tokenizer_path(), remembered=500)
+    for a in range(0, len(texts), 50):
+        flat, at = encoder.encode(pa.array(texts[a : a + 50], pa.string()))
+        for text, x, y in zip(texts[a : a + 50], at, at[1:]):
+            assert flat[x:y].tolist() == ids(reference, text)
+    rows = [(1, "one <|endoftext|> two"), (2, "three")]
+    got = {r["doc_id"]: (r["start"], r["n_tokens"]) for r in token_digests(documents(rows)).collect()}
+    n = [len(ids(reference, x)) + 1 for _, x in rows]
+    assert got == {1: (0, n[0]), 2: (n[0], n[1])}
+
+
 def test_digests(documents, reference):
     rng = random.Random(2)
     rows = [(i * 2, prose(rng, rng.randint(0, 80))) for i in rng.sample(range(400), 400)] + [x for x in ODD if x[0] is not None]
