@@ -1,9 +1,12 @@
 """Licences in texts by sentence rules (operator 8).
 
 A text is cut into sentences, which are normalised: lower case, only letters and digits, single
-spaces. Known sentences map to identifiers; the identifiers of a text, in order and without other
-sentences between, are a sequence. A rule is a sequence too, and a licence is found where its rule
-stands in the text's sequence. Longer rules go first, and what a rule has matched no other uses.
+spaces. Known sentences map to identifiers; the identifiers of a text, in order, are a sequence, with a
+marker where other sentences stand between. A rule is a sequence too, and a licence is found where its
+rule stands in the text's sequence. Longer rules go first, and what a rule has matched no other uses.
+
+Sentences end at signs and empty lines, and may end at any line end: a known sentence begins and ends at
+either kind of cut and goes over line ends, so that wrapped notices and single lines are both found.
 
 A text can hold a known sentence only if it holds the sentence's words. ``_triggers`` picks a few
 words such that every known sentence has one; texts without any are done at once.
@@ -75,16 +78,33 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 ]
 
 #: A sentence ends at a sign that white space or a quote follows, or at an empty line.
-SENTENCE_END = r"(?<=[.;:!?])(?=[\s\"')]|$)|\n\s*\n"
+SIGN_END = r"(?<=[.;:!?])(?=[\s\"')]|$)"
+SENTENCE_END = SIGN_END + r"|\n\s*\n"
+#: A line of nothing but comment marks, white space and the like is an empty one.
+EMPTY_LINE = r"\n[\x00-\x09\x0b-/:-@\[-`{-\x7f]*(?=\n)"
+#: What stands alone before the sentences of a list.
+NUMBER = r"(?:[0-9]{1,3}|[a-z]|[ivx]{1,5})"
+#: In the sequence, other sentences.
+OTHER = "\x01"
 
 
 def _plain(x: str) -> str:
     return " ".join(re.sub(r"[^a-z0-9\u0080-\U0010ffff]+", " ", x.lower()).split())
 
 
-def _sentences(text: Column, end: str) -> Column:
-    parts = F.split(F.lower(text), end, -1)
-    return F.transform(parts, lambda x: F.trim(F.regexp_replace(x, r"[^a-z0-9\x{80}-\x{10ffff}]+", " ")))
+def _cut(low: Column) -> Column:
+    """A lower-case text as words with one sign between: a space, a line end, or ``\\x01`` for the end
+    of a sentence, which also stands before and after."""
+    out = F.regexp_replace(F.translate(low, "\x01", " "), SIGN_END, "\x01")
+    out = F.concat(F.lit("\x01"), F.regexp_replace(out, EMPTY_LINE, "\x01"), F.lit("\x01"))
+    out = F.regexp_replace(out, r"[^a-z0-9\n\x01\x{80}-\x{10ffff}]+", " ")
+    return F.regexp_replace(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), r"[ \n]?\x01[ \n\x01]*", "\x01")
+
+
+def _pattern(known: Mapping[str, str]) -> str:
+    """Known sentences between cuts, the longest that begins at a place first."""
+    every = "|".join(x.replace(" ", r"[ \n]") for x in sorted(known, key=lambda x: -len(x)))
+    return rf"(?<=[\n\x01])({every})(?=[\n\x01])"
 
 
 def _known(sentences: Mapping[str, str]) -> tuple[dict[str, str], dict[str, list[str]]]:
@@ -120,8 +140,9 @@ def scan_licenses(
     """``(doc_id, sentences, licenses)`` for every row of ``docs``.
 
     ``sentences`` are the identifiers of known sentences in the order of the text, repeated as often
-    as they stand there. A line end is read as a space, or as the end of a sentence if more known
-    sentences are found that way. ``licenses`` are the licences found, each once, sorted. A NULL or empty text
+    as they stand there. A line end is read as a space or as the end of a sentence, whichever makes the
+    longer known one at that place. A rule does not match over other sentences, which numbers of a list
+    are not. ``licenses`` are the licences found, each once, sorted. A NULL or empty text
     has neither. Equal rows give equal rows. Of rules with equal sequences the first counts. An empty
     table gives no rows. Other columns are ignored.
     """
@@ -136,13 +157,16 @@ def scan_licenses(
     for word in _triggers(list(known)):
         may |= low.contains(word)
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    look = lambda end: F.filter(F.transform(_sentences(F.col("text"), end), lambda x: F.try_element_at(names, x)), lambda x: x.isNotNull())
-    out = rows.withColumn("may", may).withColumn("wrapped", F.when(F.col("may"), look(SENTENCE_END)).otherwise(none))
-    out = out.withColumn("lines", F.when(F.col("may"), look(SENTENCE_END + r"|\n")).otherwise(none))
-    out = out.withColumn("sentences", F.when(F.size("lines") > F.size("wrapped"), F.col("lines")).otherwise(F.col("wrapped"))).drop("text")
+    out = rows.withColumn("may", may).withColumn("cut", F.when(F.col("may"), _cut(low))).drop("text")
+    pattern = _pattern(known)
+    out = out.withColumn("held", F.regexp_extract_all("cut", F.lit(pattern), F.lit(1)))
+    out = out.withColumn("sentences", F.coalesce(F.transform("held", lambda x: F.element_at(names, F.translate(x, "\n", " "))), none))
+    out = out.withColumn("gaps", F.when(F.size("held") > 1, F.split("cut", pattern, -1)))
+    other = lambda i: F.regexp_replace(F.get("gaps", i), rf"(?<=[\n\x01]){NUMBER}(?=[\n\x01])", "").rlike(r"[^\n\x01]")
+    marked = F.flatten(F.transform("sentences", lambda x, i: F.when((i > 0) & other(i), F.array(F.lit(OTHER), x)).otherwise(F.array(x))))
 
     # The sequence as text, one sign per end of a name, so that a rule is found as a stretch of it.
-    sequence = F.concat(F.lit("\n"), F.array_join(F.transform("sentences", lambda x: F.concat(x, F.lit("\n\n"))), "\n"))
+    sequence = F.concat(F.lit("\n"), F.array_join(F.transform(marked, lambda x: F.concat(x, F.lit("\n\n"))), "\n"))
     asked = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("\n" + "\n\n\n".join(ids) + "\n\n").alias("ids")) for name, ids in rules if ids])
 
     def match(done, rule):

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from tablelog.llm import licenses
 from tests.llm.conftest import ODD
@@ -39,6 +40,37 @@ def test_longer_rules_use_up_their_sentences(documents):
     ]
 
 
+def commented(text, mark, width=60):
+    return "\n".join(f"{mark} {x}".rstrip() for p in text.split("\n") for x in textwrap.wrap(p, width) or [""])
+
+
+def test_commented_headers(documents):
+    bsd = "\n\n".join([S["bsd-grant"], f"1. {S['bsd-source']}", f"2. {S['bsd-binary']}", f"3. {S['bsd-names']}"])
+    gpl = f"{S['gpl-free']}\n\n{S['gpl-hope']} {S['gpl-fitness']}"
+    notices = {"MIT": f"{S['mit-grant']}\n\n{S['mit-notice']}", "ISC": S["isc-grant"], "BSD-3-Clause": bsd, "GPL-3.0-or-later": gpl}
+    for head in ("Copyright (c) 2020 Foo\n\n", "Copyright (c) 2020 Foo\n"):
+        texts = [commented(head + x, mark) + "\ncode()" for x in notices.values() for mark in ("#", "//", " *", "--")]
+        assert scan(documents, texts) == [[name] for name in notices for _ in range(4)]
+
+
+def test_wrapped_and_single_lines_in_one_text(documents):
+    wrapped = "\n".join(textwrap.wrap(S["isc-grant"], 50))
+    lines = f"no end\n{S['apache-line']}\nno end here\n{S['mit-line']}\nnone"
+    more = "\n\n".join("\n".join(textwrap.wrap(S[x], 40)) for x in ("gpl2-free", "mpl2", "unlicense"))
+    texts = [f"{wrapped}\n\n{lines}", f"{lines}\n\n{wrapped}", f"{lines}\n{wrapped}", f"{more}\n\nno end\n{S['mit-line']}"]
+    every = ["Apache-2.0", "ISC", "MIT"]
+    assert scan(documents, texts) == [every, every, every, ["GPL-2.0-or-later", "MIT", "MPL-2.0", "Unlicense"]]
+    # The longer reading of a place counts.
+    assert scan(documents, ["Licensed under the Apache License, Version 2.0\n(the \"License\");"]) == [[]]
+
+
+def test_no_rule_over_other_sentences(documents):
+    two = [S["mit-grant"], S["mit-notice"]]
+    own = dict(sentences={"a": "Take it.", "b": "Leave it!"}, rules=[("TL", ["a", "b"])])
+    assert scan(documents, [f"{two[0]}\n\nA story of dogs. It goes on.\n\n{two[1]}", f"{two[0]}\n\n2.\n\n{two[1]}"]) == [[], ["MIT"]]
+    assert scan(documents, ["Take it. But why? Leave it!", "Take it. -- Leave it!", "Take it.\nand\nLeave it!"], **own) == [[], ["TL"], []]
+
+
 def test_part_of_a_sentence_is_none(documents):
     assert scan(documents, ["I was released under the MIT License.", "MIT License", "licensed under cc by", "License"]) == [[], [], [], []]
 
