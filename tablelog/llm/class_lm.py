@@ -7,8 +7,9 @@
 3. Exchange clustering: heads begin in classes by rank; in each round every head in turn moves to
    the class that gives the training pairs the highest likelihood, until few move. The counts of
    pairs of heads, whose size is a parameter, are the only table that the driver holds.
-4. Every other training word joins the class that its neighbours' classes vote for. The same step
-   gathers all words' counts: documents fall into chunks by hash, each chunk asks the buckets of the
+4. Every other training word joins the class that its neighbours' classes vote for. Then all of these
+   words move in rounds, however many there are: each goes to the class that gives its own neighbours,
+   as they are classed before the round, the highest likelihood. Heads stay. The same step gathers all words' counts: documents fall into chunks by hash, each chunk asks the buckets of the
    vocabulary for its own distinct words, so no table of all words is ever in one place.
 5. Each chunk meets its answers; a document keeps its emission score and its class pairs. The pairs
    of training documents sum to the transition matrix, with which all pairs are scored.
@@ -35,12 +36,16 @@ from tablelog.llm.words import SPACE, Words
 HEADS = 4000
 CLASSES = 40
 ROUNDS = 8
+#: Rounds in which all other words move, each of which reads the text once more.
+ALL_ROUNDS = 2
 #: Text of a chunk and of a vocabulary bucket, in bytes; tokens that a task counts at a time.
 CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 32 << 20
 FLUSH = 4 << 20
 #: Rows of a batch that a task works on at a time.
 STEP_ROWS = 400
+#: Words of a bucket whose neighbours are added up at a time.
+STEP_WORDS = 1 << 16
 #: Text whose counts of neighbours are added up at a time, in bytes, and such sums after that.
 PART_BYTES = 256 << 20
 PARTS = 16
@@ -284,7 +289,7 @@ def _votes(matrix: np.ndarray, classes: int) -> np.ndarray:
 
 
 def _requests(known: Classes, buckets: int):
-    """A chunk's distinct words that are no heads: training count and most frequent vote."""
+    """A chunk's distinct words that are no heads, with training counts, and all votes for each."""
     number = len(known.heads)
     heads_class = np.append(known.class_of[:number], [known.classes, known.classes + 1])
 
@@ -311,41 +316,98 @@ def _requests(known: Classes, buckets: int):
         n = np.diff(np.append(first, len(hashes)))
         hashes, vote = hashes[first], vote[first]
         n = np.where(vote < 0, 0, n)
-        most = np.lexsort((vote, -n, hashes))
-        words = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
-        total = np.add.reduceat(n, words) if len(words) else n[:0]
-        best = np.maximum(vote[most][words], 0)
-        hashes = hashes[words]
-        out = [(key[0].as_py(), b, hashes[s].tobytes(), total[s].astype("<u4").tobytes(), best[s].astype(np.uint8).tobytes()) for b, s in _by_bucket(hashes, buckets)]
-        names = ("chunk", "bucket", "words", "n", "vote")
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
+        new = np.append(True, hashes[1:] != hashes[:-1]) if len(hashes) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        total = np.add.reduceat(n, first) if len(first) else n[:0]
+        words, owner = hashes[first], np.cumsum(new) - 1
+        cast = (vote >= 0).nonzero()[0]
+        owner, vote, n = owner[cast], vote[cast], n[cast]
+        return _to_buckets(key, words, total, owner, vote, n, buckets)
 
     return run
 
 
-def _answers(classes: int):
+_ASKED = "chunk long, bucket long, words binary, n binary, owner binary, vote binary, times binary"
+
+
+def _to_buckets(key: tuple, words: np.ndarray, total: np.ndarray, owner: np.ndarray, vote: np.ndarray, times: np.ndarray, buckets: int, *more: tuple) -> pa.Table:
+    """Sorted words with their counts, and votes in the order of the words that own them, by bucket."""
+    out = list(more)
+    for b, s in _by_bucket(words, buckets):
+        v = slice(*np.searchsorted(owner, [s.start, s.stop]))
+        votes = ((owner[v] - s.start).astype("<u4"), vote[v].astype("<u2"), times[v].astype("<u4"))
+        out.append((key[0].as_py(), b, words[s].tobytes(), total[s].astype("<u4").tobytes(), *(x.tobytes() for x in votes)))
+    kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 5)
+    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], [x.split()[0] for x in _ASKED.split(", ")])
+
+
+def _cells(known: Classes, buckets: int):
+    """A chunk's words again, with how often each class stands before and after them in training text.
+
+    One more row, bucket -1, has how often each class follows each in the chunk.
+    """
+    number, width = len(known.heads), known.classes + 2
+
+    def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = docs.combine_chunks()
+        part = docs.filter(pa.compute.invert(docs["held_out"]))
+        tail, tail_class = _column(answers, "words", np.uint64), _column(answers, "class", np.uint8)
+        order = np.argsort(tail)
+        tail, tail_class = tail[order], tail_class[order]
+        words = Words(pa.concat_arrays(part["text"].chunks or [pa.array([], pa.string())]), SPACE)
+        symbol = known.heads.find(words.hash)
+        rest = np.flatnonzero(symbol == number)
+        spot = np.searchsorted(tail, words.hash[rest])
+        group = np.append(known.class_of[:number], 0)[symbol]
+        group[rest] = tail_class[spot]
+        seq, place = _sequence(words, group, known.classes + 1)
+        at = place[rest]
+        cell, times = _counted(np.concatenate([spot * 2 * width + seq[at - 1], (spot * 2 + 1) * width + seq[at + 1]]))
+        pairs = np.bincount(seq[:-1] * width + seq[1:], minlength=width * width).astype("<i8").tobytes()
+        total = np.bincount(spot, minlength=len(tail))
+        return _to_buckets(key, tail, total, cell // (2 * width), cell % (2 * width), times, buckets, (key[0].as_py(), -1, pairs, b"", b"", b"", b""))
+
+    return run
+
+
+def _sum_matrices(parts: pa.Table) -> pa.Table:
+    return pa.table({"pairs": [sum(np.frombuffer(x.as_buffer(), "<i8") for x in parts["words"]).astype("<i8").tobytes()]})
+
+
+def _gains(matrix: np.ndarray, classes: int) -> np.ndarray:
+    """By classes before, then classes after: what a neighbour adds to the log likelihood in each class."""
+    m = matrix + 0.5
+    before = np.log(m[:, :classes] / m[:, :classes].sum(0))
+    after = np.log(m[:classes] / m[:classes].sum(1, keepdims=True))
+    return np.concatenate([before, after.T])
+
+
+def _answers(classes: int, gains: np.ndarray | None = None):
     """A bucket's words: counts of all training documents and classes, for each chunk that asked.
 
+    The class is the one with most votes, or of the greatest sum of ``gains`` of the neighbours.
+
     One more row, chunk -1, has per class the words and their total count.
     """
 
     def run(key: tuple, asked: pa.Table) -> pa.Table:
-        words, n, vote = (_column(asked, *x) for x in (("words", np.uint64), ("n", "<u4"), ("vote", np.uint8)))
+        words, n, owner, vote, times = (_column(asked, *x) for x in (("words", np.uint64), ("n", "<u4"), ("owner", "<u4"), ("vote", "<u2"), ("times", "<u4")))
         distinct, index = np.unique(words, return_inverse=True)
-        weight = np.zeros((len(distinct), classes), np.int32) if len(distinct) * classes < 1 << 24 else None
+        ends = np.cumsum([0, *(len(x.as_buffer()) // 8 for x in asked["words"])])
+        owner = index[owner + np.repeat(ends[:-1], [len(x.as_buffer()) // 2 for x in asked["vote"]])]  # of each vote
         total = np.bincount(index, n, len(distinct)).astype(np.int64)
-        if weight is not None:
-            np.add.at(weight, (index, vote), n.astype(np.int32))
-            best = weight.argmax(1)
-        else:  # many words: by sorting
-            cell, sums = _summed(index.astype(np.int64) * classes + vote, n.astype(np.int64))
-            order = np.lexsort((cell, -sums, cell // classes))
-            owner = cell[order] // classes
-            best = (cell[order] % classes)[np.append(True, owner[1:] != owner[:-1])]
+        width = classes if gains is None else len(gains)
+        cell, sums = _summed(owner.astype(np.int64) * width + vote, times.astype(np.int64))
+        best = np.zeros(len(distinct), np.int64)
+        for a in range(0, len(distinct), STEP_WORDS):
+            own = best[a : a + STEP_WORDS]
+            s = slice(*np.searchsorted(cell, [a * width, (a + len(own)) * width]))
+            weight = np.zeros(len(own) * width)
+            weight[cell[s] - a * width] = sums[s]
+            weight = weight.reshape(-1, width)
+            own[:] = (weight if gains is None else weight @ gains).argmax(1)
         seen = total > 0
         per_class = np.stack([np.bincount(best[seen], minlength=classes), np.bincount(best[seen], total[seen], classes).astype(np.int64)])
-        ends = np.cumsum([0, *(len(x.as_buffer()) // 8 for x in asked["words"])])
         cut = lambda x, kind: [x[index[a:b]].astype(kind).tobytes() for a, b in zip(ends, ends[1:])]
         return pa.table(
             {
@@ -459,7 +521,15 @@ def _scored(table: np.ndarray):
 
 
 def class_perplexity(
-    docs: DataFrame, *, heads: int = HEADS, classes: int = CLASSES, rounds: int = ROUNDS, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES
+    docs: DataFrame,
+    *,
+    heads: int = HEADS,
+    classes: int = CLASSES,
+    rounds: int = ROUNDS,
+    all_rounds: int = ALL_ROUNDS,
+    key: str = "doc_id",
+    text: str = "text",
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
@@ -487,14 +557,24 @@ def class_perplexity(
     head_n = np.array([count[h] for h in found.hashes.tolist()], np.int64)
 
     symbols, block = len(found) + 2, 64
-    pairs = storage.table(neighbours(training, found, block, size), "pairs")
+    pairs = storage.table(neighbours(training, found, block, size), "pairs", clean=True)
     class_of, matrix = cluster(pairs, symbols, classes, rounds)
+    storage.drop("pairs")
     known = Classes(found, class_of, _votes(matrix, classes), classes)
 
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
-    asked = dealt.groupBy("chunk").applyInArrow(_requests(known, buckets), "chunk long, bucket long, words binary, n binary, vote binary")
-    answers = asked.groupBy("bucket").applyInArrow(_answers(classes), "chunk long, words binary, n binary, class binary")
-    answers = storage.table(answers, "answers")
+    asked = dealt.groupBy("chunk").applyInArrow(_requests(known, buckets), _ASKED)
+    fields = "chunk long, words binary, n binary, class binary"
+    answers = storage.table(asked.groupBy("bucket").applyInArrow(_answers(classes), fields), "answers", clean=True)
+    for turn in range(all_rounds):
+        cells = dealt.groupBy("chunk").cogroup(answers.filter("chunk >= 0").groupBy("chunk")).applyInArrow(_cells(known, buckets), _ASKED)
+        cells = storage.table(cells, "cells", clean=True)
+        sums = cells.filter("bucket < 0").groupBy(F.pmod("chunk", F.lit(64))).applyInArrow(_sum_matrices, "pairs binary").collect()  # 64 rows at most
+        matrix = sum((np.frombuffer(r["pairs"], "<i8") for r in sums), np.zeros((classes + 2) ** 2)).reshape(classes + 2, classes + 2)
+        moved = cells.filter("bucket >= 0").groupBy("bucket").applyInArrow(_answers(classes, _gains(matrix, classes)), fields)
+        answers = storage.table(moved, f"answers-{turn}", clean=True)
+        storage.drop("cells")
+        storage.drop(f"answers-{turn - 1}" if turn else "answers")
     per_class = sum((np.frombuffer(r["n"], "<i8").reshape(2, -1) for r in answers.filter("chunk < 0").select("n").collect()), np.zeros((2, classes), np.int64))
     own = class_of[: len(found)]
     stats = Statistics(
@@ -506,8 +586,8 @@ def class_perplexity(
 
     fields = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, emission double, pair array<int>, times array<int>"
     scored = dealt.groupBy("chunk").cogroup(answers.filter("chunk >= 0").groupBy("chunk")).applyInArrow(_documents(known, stats), fields)
-    scored = storage.table(scored, "documents")
-    storage.drop("answers")
+    scored = storage.table(scored, "documents", clean=True)
+    storage.drop(f"answers-{all_rounds - 1}" if all_rounds else "answers")
     cells = scored.filter(~F.col("held_out")).select(F.explode(F.arrays_zip("pair", "times")).alias("x"))
     matrix = np.zeros((classes + 2) ** 2)
     for cell, n in cells.groupBy("x.pair").agg(F.sum("x.times")).collect():  # (classes + 2) ** 2 rows at most

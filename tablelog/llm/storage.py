@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -23,10 +24,17 @@ class Storage:
         self.spark = spark
         self.path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as a table of this folder and read it back."""
+    def table(self, df: DataFrame, name: str, *, clean: bool = False) -> DataFrame:
+        """Write ``df`` as a table of this folder and read it back. ``clean``: its shuffle files go at once."""
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, None)
+        if clean:
+            self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            if clean:
+                self.spark.conf.unset(_CLEANUP) if before is None else self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

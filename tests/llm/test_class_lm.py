@@ -98,6 +98,39 @@ def test_reruns_agree(documents, rows):
     assert one == two
 
 
+def test_chunks_do_not_matter(documents, rows):
+    """All votes of a word count, whatever chunks its places fall in."""
+    one, two = (
+        sorted((str(r["doc_id"]), r["n_known"], round(r["score"], 6)) for r in class_lm.class_perplexity(documents(rows), heads=20, classes=8, chunk_bytes=n).collect())
+        for n in (2000, 1 << 20)
+    )
+    assert one == two
+
+
+@pytest.mark.parametrize("many", [True, False])
+def test_all_votes_are_summed(many):
+    """Two chunks' votes, three for class 1 and one for 2 against four for 2: the sums say 2."""
+    extra = np.arange(1000, 1000 + (1 << 20) * many, dtype=np.uint64)  # words that nobody votes for
+    ask = lambda words, n, *votes: (words.tobytes(), np.array(n, "<u4").tobytes(), *(np.array(x, t).tobytes() for x, t in zip(zip(*votes), ("<u4", "<u2", "<u4"))))
+    rows = [(0, *ask(np.append(np.uint64(7), extra), np.append(4, np.zeros(len(extra))), (0, 1, 3), (0, 2, 1))), (1, *ask(np.array([5, 7], np.uint64), [1, 4], (0, 3, 1), (1, 2, 4)))]
+    names = ["chunk", "words", "n", "owner", "vote", "times"]
+    kinds = [class_lm.pa.int64(), *[class_lm.pa.binary()] * 5]
+    asked = class_lm.pa.table([class_lm.pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names)
+    got = class_lm._answers(8)((0,), asked).to_pylist()
+    assert got[0]["class"][0] == 2 and list(got[1]["class"]) == [3, 2]
+    assert np.frombuffer(got[1]["n"], "<i8").tolist() == [1, 8]
+
+
+@pytest.mark.parametrize("heads,least", [(40, 0.85), (18, 0.9)])
+def test_words_beyond_heads_find_their_classes(documents, rows, heads, least):
+    """Fewer heads than the 60 frequent words: the classes of the others are learned in the rounds."""
+    scores = []
+    for all_rounds in (0, class_lm.ALL_ROUNDS):
+        got = class_lm.class_perplexity(documents(rows), heads=heads, classes=8, all_rounds=all_rounds).filter("held_out and n_tokens > 5").collect()
+        scores.append(sum(r["score"] for r in got) / sum(r["base_score"] for r in got))
+    assert scores[1] < least < scores[0], scores
+
+
 def test_empty_and_no_training(documents):
     assert class_lm.class_perplexity(documents([(1, "x")]).filter("false")).count() == 0
     alone = [i for i in range(50) if held(i)][:3]
