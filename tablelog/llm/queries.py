@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelog.llm import chat_format, class_lm, decontaminate, fuzzy_lines, licenses, mil_quality, mixing, near_join, target_ratio, token_files
+from tablelog.llm import chat_format, class_lm, decontaminate, fuzzy_lines, licenses, mil_quality, mixing, near_join, packing, phrases, target_ratio, token_files, vector_codes
 from tablelog.llm.storage import Storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,91 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences that every document states."""
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.array_join("licenses", ",").alias("licenses"))
+
+
+OP11_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+total as (select lang, sum(len(w))::hugeint as n from w group by lang),
+starts as (select lang, w, k, unnest(range(1, len(w) - k + 2)) as p from w, (select unnest(range(1, 6)) as k) where len(w) >= k),
+grams as (
+  select lang, k, phrase, count(*)::hugeint as f
+  from (select lang, k, array_to_string(w[p:p + k - 1], ' ') as phrase from starts) group by lang, k, phrase having count(*) >= 100),
+found as (select lang, k, phrase, f, string_split(phrase, ' ') as w from grams where k >= 2),
+inner_parts as (
+  select x.lang, unnest(list_transform(range(1, x.k - j + 2), lambda p: array_to_string(x.w[p:p + j - 1], ' '))) as phrase, x.f
+  from found x, (select unnest(range(2, 5)) as j) where j < x.k),
+longer as (select lang, phrase, max(f) as f from inner_parts group by lang, phrase),
+kept as (select x.* from found x left join longer y using (lang, phrase) where y.f is null or 100 * y.f < 100 * x.f),
+cuts as (select *, unnest(range(1, k)) as c from kept),
+scored as (
+  select x.lang, x.phrase, x.c, x.f as a, l.f as l, r.f as r, t.n, (1000 * x.f * t.n) // (l.f * r.f) as score
+  from cuts x join total t on t.lang = x.lang
+  join grams l on l.lang = x.lang and l.phrase = array_to_string(x.w[1:x.c], ' ')
+  join grams r on r.lang = x.lang and r.phrase = array_to_string(x.w[x.c + 1:], ' ')),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from best)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked where rank <= 2000
+"""
+
+
+@_query(OP11_SQL)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 collocations."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def _op12_sql() -> str:
+    """Four rounds of assignment and update, written out."""
+    squares = "list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x)"
+    sql = [
+        r"""with kept as (
+  select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (
+  select r, q, v[q * len(v) // 4 + 1:(q + 1) * len(v) // 4] as x from kept, (select unnest(range(4)) as q)),
+books0 as materialized (
+  select p.q, s.entry, p.x from parts p join (select r, row_number() over (order by vec_id) - 1 as entry from kept) s using (r) where s.entry < 256)"""
+    ]
+    for turn in range(5):
+        sql.append(
+            f"""near{turn} as materialized (
+  select r, q, entry, d from (select p.r, p.q, c.entry, {squares} as d from parts p join books{turn} c using (q))
+  qualify row_number() over (partition by r, q order by d, entry) = 1)"""
+        )
+        if turn < 4:
+            sql.append(
+                f"""books{turn + 1} as materialized (
+  select b.q, b.entry, coalesce(m.x, b.x) as x from books{turn} b left join (
+    select q, entry, list(mean order by i) as x from (
+      select n.q, n.entry, u.i, floor(sum(p.x[u.i]) / count(*)) as mean
+      from near{turn} n join parts p using (r, q), (select unnest(range(1, 1 + (select max(len(x)) from parts))) as i) u group by n.q, n.entry, u.i)
+    group by q, entry) m using (q, entry))"""
+            )
+    sql.append(
+        """codes as (
+  select k.vec_id, k.label, string_agg(lpad(lower(to_hex(n.entry)), 2, '0'), '' order by n.q) as code, sum(n.d)::bigint as error
+  from near4 n join kept k using (r) group by k.r, k.vec_id, k.label),
+flat as (select sha256(string_agg(array_to_string(list_transform(x, lambda v: v::bigint::varchar), ','), ',' order by q, entry)) as h from books4)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, h as codebooks_sha256 from codes, flat"""
+    )
+    return ",\n".join(sql[:-1]) + ",\n" + sql[-1]
+
+
+@_query(_op12_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings as codes of four bytes."""
+    codes = vector_codes.compress_vectors(_table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_errors(codes.rows)
+    return rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.sha256()).alias("codebooks_sha256"))
+
+
+@_query()
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4,096 tokens."""
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer=tokenizer_path("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
