@@ -148,11 +148,77 @@ def _same(a: T.DataType, b: T.DataType) -> bool:
     return a.simpleString() == b.simpleString()
 
 
+def merged_type(was: T.DataType, now: T.DataType, name: str, fold: Callable[[str], str]) -> T.DataType:
+    """The type that holds both: history's, with the fields that the batch adds inside.
+
+    Structs are merged field by field, history's order first, at any depth of arrays and maps.
+    What stands in both must be as wide in the history as in the batch.
+    """
+    if _same(was, now) or isinstance(now, T.NullType):
+        return was
+    if isinstance(was, T.NullType):
+        return now
+    if isinstance(was, T.StructType) and isinstance(now, T.StructType):
+        old, new = _by_name(was, name, fold), _by_name(now, name, fold)
+        fields = []
+        for key in [*old, *[k for k in new if k not in old]]:
+            f, g = old.get(key), new.get(key)
+            kind = merged_type(f.dataType, g.dataType, f"{name}.{f.name}", fold) if f and g else (f or g).dataType
+            fields.append(T.StructField((f or g).name, kind))
+        return T.StructType(fields)
+    if isinstance(was, T.ArrayType) and isinstance(now, T.ArrayType):
+        return T.ArrayType(merged_type(was.elementType, now.elementType, f"{name}[]", fold))
+    if isinstance(was, T.MapType) and isinstance(now, T.MapType):
+        keys = merged_type(was.keyType, now.keyType, f"{name} (key)", fold)
+        if not _same(keys, was.keyType):  # other keys would be other entries
+            raise SchemaDrift(f"Map {name!r} has keys {was.keyType.simpleString()} in the history but {now.keyType.simpleString()} in the batch")
+        return T.MapType(keys, merged_type(was.valueType, now.valueType, f"{name}{{}}", fold))
+    if _widens(now, was):
+        return was
+    raise SchemaDrift(
+        f"Column {name!r} is {was.simpleString()} in the history but {now.simpleString()} in the batch"
+    )
+
+
+def _by_name(kind: T.StructType, name: str, fold: Callable[[str], str]) -> dict[str, T.StructField]:
+    found = {fold(f.name): f for f in kind}
+    if len(found) < len(kind):
+        raise SchemaDrift(f"Fields of {name!r} differ only in case: {kind.simpleString()}")
+    return found
+
+
+def fitted(column: Column, kind: T.DataType, target: T.DataType, fold: Callable[[str], str] = str.lower) -> Column:
+    """``column`` of type ``kind`` as ``target``: fields by name, missing ones NULL, others left out."""
+    if _same(kind, target):
+        return column
+    if isinstance(kind, T.StructType) and isinstance(target, T.StructType):
+        own = {fold(f.name): f for f in kind}
+        fields = []
+        for f in target:
+            g = own.get(fold(f.name))
+            value = fitted(column[g.name], g.dataType, f.dataType, fold) if g else F.lit(None).cast(f.dataType)
+            fields.append(value.alias(f.name))
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType) and isinstance(target, T.ArrayType):
+        return F.transform(column, lambda x: fitted(x, kind.elementType, target.elementType, fold))
+    if isinstance(kind, T.MapType) and isinstance(target, T.MapType):
+        entries = F.transform(
+            F.map_entries(column),
+            lambda e: F.struct(
+                fitted(e["key"], kind.keyType, target.keyType, fold).alias("key"),
+                fitted(e["value"], kind.valueType, target.valueType, fold).alias("value"),
+            ),
+        )
+        return F.map_from_entries(entries)
+    return column.cast(target)
+
+
 def reconcile(prev: DataFrame | None, curr: DataFrame) -> Reconciled:
     """Give history and batch the same columns: history's order first, then new ones.
 
-    A column one side lacks becomes a NULL of the other side's type, so no column is ever
-    lost and every file of the history stays readable under one schema.
+    A column one side lacks becomes a NULL of the other side's type, and so does a field inside
+    a struct, at any depth; no column or field is ever lost, and every file of the history stays
+    readable under one schema.
     """
     if prev is None:
         return Reconciled(empty_like(curr), curr, set(), set())
@@ -173,20 +239,10 @@ def reconcile(prev: DataFrame | None, curr: DataFrame) -> Reconciled:
             removed.add(was.name)
             left.append(ref(was.name))
             right.append(F.lit(None).cast(was.dataType).alias(was.name))
-        elif _same(was.dataType, now.dataType):
-            left.append(ref(was.name))
-            right.append(ref(now.name).alias(was.name))
-        elif isinstance(was.dataType, T.NullType):
-            left.append(F.lit(None).cast(now.dataType).alias(was.name))
-            right.append(ref(now.name).alias(was.name))
-        elif _widens(now.dataType, was.dataType):
-            left.append(ref(was.name))
-            right.append(ref(now.name).cast(was.dataType).alias(was.name))
         else:
-            raise SchemaDrift(
-                f"Column {was.name!r} is {was.dataType.simpleString()} in the history "
-                f"but {now.dataType.simpleString()} in the batch"
-            )
+            kind = merged_type(was.dataType, now.dataType, was.name, fold)
+            left.append(fitted(ref(was.name), was.dataType, kind, fold).alias(was.name))
+            right.append(fitted(ref(now.name), now.dataType, kind, fold).alias(was.name))
     return Reconciled(prev.select(*left), curr.select(*right), added, removed)
 
 

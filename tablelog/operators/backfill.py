@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelog.functions.columns import (
     comparable,
@@ -19,8 +20,12 @@ from tablelog.functions.columns import (
     utc_text,
 )
 from tablelog.functions.keys import NullSafeKey
+from tablelog.operators.snapshot import changed, compared_columns, snapshot_merge
 from tablelog.vocab import DEFAULT_CODES, DEFAULT_VOCABULARY, Codes, Vocabulary
 
+#: Rows of one key that are folded as an array; keys with more are merged dump by dump.
+FOLD_ROWS = 10_000
+
 
 def backfill_history(
     dumps: DataFrame,
@@ -29,38 +34,172 @@ def backfill_history(
     times: Sequence[datetime],
     time_column: str = "snapshot_time",
     system_time: datetime | Column,
+    compare: Sequence[str] = (),
+    null_safe: bool = True,
+    unique: bool = True,
     codes: Codes = DEFAULT_CODES,
     vocab: Vocabulary = DEFAULT_VOCABULARY,
+    fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
-    """What merging the dumps one after another would have appended, NULL-safely.
+    """What merging the dumps one after another would have appended.
 
     ``times`` lists the dump times in order, and so also names dumps that are empty. The
-    result equals sequential snapshot merges with ``null_safe=True`` that compare all
-    columns, but reads and exchanges the data once instead of once per dump. This needs
-    unique keys per dump; the job fails at a duplicate, or at a row of an unlisted dump.
+    result equals sequential snapshot merges with the same ``compare`` and ``null_safe``, but
+    reads and exchanges the data once instead of once per dump. A row of an unlisted dump
+    stops the job; so does a duplicate key, unless ``unique`` is False.
+
+    NULL-safe comparison of all columns of unique keys looks at neighbouring dumps only. In
+    every other mode a dump is compared with the row that was last *emitted* for its key, so
+    the rows of a key are folded in order. Keys with over ``fold_rows`` rows do not become an
+    array: they, and they alone, are merged dump by dump.
     """
     if not times or any(a >= b for a, b in zip(times, times[1:])):
         raise ValueError("Dump times must be given in strictly ascending order")
     reject_reserved(dumps, [vocab.system_time, vocab.event_time, vocab.observed])
+    key = resolved(dumps, key)
+    if null_safe and unique and not compare:
+        return _from_neighbours(dumps, key, times, time_column, system_time, codes, vocab)
+    return _from_folds(dumps, key, times, time_column, system_time, compare, null_safe, unique, codes, vocab, fold_rows)
+
+
+def _calendar(dumps: DataFrame, times: Sequence[datetime], kind: T.DataType) -> DataFrame:
+    """One row per dump, as many as the caller listed: its number, time and neighbours."""
+    around = zip(range(len(times)), [None, *times], times, [*times[1:], None])
+    return dumps.sparkSession.createDataFrame(
+        [(i, *(None if t is None else utc_text(t) for t in near)) for i, *near in around],
+        "number int, before string, now string, after string",
+    ).select("number", *[from_utc_text(F.col(n), kind).alias(n) for n in ("before", "now", "after")])
+
+
+def _from_folds(dumps, key, times, time_column, system_time, compare, null_safe, unique, codes, vocab, fold_rows) -> DataFrame:
+    kind = dumps.schema[time_column].dataType
+    names = [c for c in dumps.columns if c != time_column]
+    keys = NullSafeKey(dumps, key)
+    values = [n for n in names if n not in key]
+    kinds = {v: dumps.schema[v].dataType for v in values}
+    compared = compared_columns(dumps, [c for c in compare if c != time_column], key, values)
+    calendar = _calendar(dumps, times, kind)
+    rows = dumps.select(*keys.columns, ref(time_column).alias("now"), F.struct(F.lit(True).alias("__here"), *map(ref, values)).alias("row"))
+    rows = rows.join(F.broadcast(calendar.select("now", "number")), "now", "left")
+    shown = F.concat(F.lit("Dumps hold unlisted times: "), F.to_json(F.struct("now", *keys.restored())))
+    rows = rows.select(*keys.names, "row", F.coalesce("number", F.raise_error(shown).cast("int")).alias("number"))
+
+    # One exchange: counts and arrays are taken per key, after exact duplicates went per task.
+    plain = not any(map(contains_map, kinds.values()))
+    order = [] if plain else [F.struct(*[comparable(ref(v, "row"), k).alias(v) for v, k in kinds.items()]).alias("order")]
+    entry = F.struct("number", *order, "row")
+    heavy = rows.groupBy(*keys.names).count().filter(F.col("count") > fold_rows).select(*keys.names)
+    many = heavy.limit(1).count() > 0
+    if many:
+        split = rows.join(heavy.withColumn("__many", F.lit(True)), keys.names, "left")
+        few = split.filter(F.col("__many").isNull())
+    else:
+        few = rows
+    gather = F.collect_set if plain and not unique else F.collect_list
+    entries = few.groupBy(*keys.names).agg(gather(entry).alias("entries"))
+    if plain:
+        entries = entries.withColumn("entries", F.array_sort("entries"))
+    else:
+        before = lambda a, b: F.when(a["number"] != b["number"], a["number"] - b["number"]).when(a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0)
+        entries = entries.withColumn("entries", F.array_sort("entries", before))
+    if unique:
+        number = F.transform("entries", lambda e: e["number"])
+        twice = F.size(F.array_distinct(number)) < F.size(number)
+        shown = F.concat(F.lit("Dumps hold duplicate keys: "), F.to_json(F.struct(*keys.restored())))
+        entries = entries.withColumn("entries", F.when(twice, F.raise_error(shown).cast(entries.schema["entries"].dataType)).otherwise(F.col("entries")))
+    folded = F.explode(_fold(F.col("entries"), entries.schema["entries"].dataType, dumps, compared, null_safe, codes, len(times)))
+    changes = entries.select(*keys.restored(), folded.alias("change"))
+    changes = changes.select(*[ref(k) for k in key], F.col("change.number").alias("number"), F.col("change.code").alias("code"), F.col("change.row").alias("row"))
+    changes = changes.join(F.broadcast(calendar.select("number", "now")), "number")
+    out = changes.select(
+        time_literal(system_time).alias(vocab.system_time),
+        F.col("now").alias(vocab.event_time),
+        F.col("code").alias(vocab.observed),
+        *[(ref(n) if n in key else ref(n, "row")).alias(n) for n in names],
+    )
+    if not many:
+        return out
+    # The heavy keys' rows, few keys though many rows.
+    rest = split.filter("__many").select("number", *keys.restored(), "row")
+    rest = rest.select("number", *[(ref(n) if n in key else ref(n, "row")).alias(n) for n in names])
+    if unique:
+        twice = rest.groupBy("number", *map(ref, key)).count().filter("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"Dumps hold duplicate keys: {twice[0].asDict()}")
+    log = None
+    for number, time in enumerate(times):
+        dump = rest.filter(F.col("number") == number).drop("number")
+        at = time_literal(time, kind)
+        new = snapshot_merge(
+            log, dump, key=key, system_time=system_time, event_time=at, compare=compare, null_safe=null_safe, codes=codes, vocab=vocab, last_event_time=None
+        )
+        # Written, so that neither the plan nor the work grows with the dumps before.
+        new = new.checkpoint()
+        log = new if log is None else log.unionByName(new)
+    return out.unionByName(log)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once; inside lambdas Spark does not share it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _fold(entries: Column, kind: T.ArrayType, df: DataFrame, compared, null_safe: bool, codes: Codes, dumps: int) -> Column:
+    """All changes of one key as (number, code, row), from its rows in the order of dumps.
+
+    The state is the row last emitted, NULL where the key is absent, the dump of the last row seen, and
+    whether that dump has had its change.
+    """
+    row = next(f.dataType for f in kind.elementType if f.name == "row")
+    change = T.StructType([T.StructField("number", T.IntegerType()), T.StructField("code", T.StringType()), T.StructField("row", row)])
+    none = F.lit(None).cast(row)
+
+    def state(held: Column, last: Column, settled: Column, out: Column) -> Column:
+        return F.struct(held.alias("held"), last.alias("last"), settled.alias("settled"), out.alias("out"))
+
+    def one(number: Column, code: Column, value: Column) -> Column:
+        return F.struct(number.cast("int").alias("number"), code.cast("string").alias("code"), value.alias("row")).cast(change)
+
+    def arrive(s: Column, e: Column) -> Column:
+        """The state when the dump of ``e`` begins: the key went if dumps lie between."""
+        new = e["number"] != s["last"]
+        gone = s["held"].isNotNull() & (e["number"] > s["last"] + 1)
+        out = F.when(gone, F.array_append(s["out"], one(s["last"] + 1, F.lit(codes.removed), s["held"]))).otherwise(s["out"])
+        return state(F.when(gone, none).otherwise(s["held"]), e["number"], s["settled"] & ~new, out)
+
+    def take(s: Column, e: Column) -> Column:
+        differs = s["held"].isNull() | changed(df, compared, set(), set(), null_safe, was=s["held"], now=e["row"])
+        emitted = F.when(s["held"].isNull(), codes.added).otherwise(codes.changed)
+        return F.when(
+            ~s["settled"] & differs,
+            state(e["row"], s["last"], F.lit(True), F.array_append(s["out"], one(e["number"], emitted, e["row"]))),
+        ).otherwise(s)
+
+    start = state(none, F.lit(-1), F.lit(False), F.array().cast(T.ArrayType(change)))
+    step = lambda s, e: _let(arrive(s, e), lambda a: take(a, e))
+    return F.aggregate(
+        entries,
+        start,
+        step,
+        lambda s: F.when(
+            s["held"].isNotNull() & (s["last"] < dumps - 1), F.array_append(s["out"], one(s["last"] + 1, F.lit(codes.removed), s["held"]))
+        ).otherwise(s["out"]),
+    )
+
+
+def _from_neighbours(dumps, key, times, time_column, system_time, codes, vocab) -> DataFrame:
+    """Each dump against the one before it, with one exchange."""
     kind = dumps.schema[time_column].dataType
     names = [c for c in dumps.columns if c != time_column]
-    key = resolved(dumps, key)
     keys = NullSafeKey(dumps, key)
     values = [n for n in names if n not in key]
 
-    # One row per dump, as many as the caller listed.
-    calendar = dumps.sparkSession.createDataFrame(
-        [
-            tuple(None if t is None else utc_text(t) for t in around)
-            for around in zip([None, *times], times, [*times[1:], None])
-        ],
-        "before string, now string, after string",
-    ).select(*[from_utc_text(F.col(n), kind).alias(n) for n in ("before", "now", "after")])
+    calendar = _calendar(dumps, times, kind)
     rows = dumps.select(
         *keys.columns,
         ref(time_column).alias("now"),
         F.struct(F.lit(True).alias("__here"), *map(ref, values)).alias("row"),
-    ).join(F.broadcast(calendar.withColumn("listed", F.lit(True))), "now", "left")
+    ).join(F.broadcast(calendar.drop("number").withColumn("listed", F.lit(True))), "now", "left")
     shown = lambda what: F.raise_error(F.concat(F.lit(f"Dumps hold {what}: "), F.to_json(F.struct("now", *keys.restored()))))
     # Rows are compared as they are; only maps have to be turned into something comparable.
     content = F.col("row")

@@ -65,7 +65,7 @@ def snapshot_merge(
     names = [n for n in data.curr.columns if n not in marks]
     keys = NullSafeKey(data.curr, key)
     values = [n for n in names if n not in key]
-    compared = _compared(data.curr, compare, key, values)
+    compared = compared_columns(data.curr, compare, key, values)
     batch = _packed(data.curr, keys, values, "c")
     if prev is None:
         rows = batch.groupBy(*keys.names).agg(_least("c", data.curr, values).alias("row"))
@@ -77,8 +77,8 @@ def snapshot_merge(
         elif profile.rows and last_event_time is not None:
             check_constant_event_time(prev, event_time, vocab.event_time)
         state = _state(data.prev, keys, values, codes, vocab)
-        changed = _changed(data.curr, compared, data.added, data.removed, null_safe)
-        rows = _differences(batch, state, keys, changed, data.curr, values, codes, profile)
+        differs = changed(data.curr, compared, data.added, data.removed, null_safe)
+        rows = _differences(batch, state, keys, differs, data.curr, values, codes, profile)
     key_column = dict(zip(key, keys.restored()))
     return rows.select(
         time_literal(system_time, type_of(prev, vocab.system_time)).alias(vocab.system_time),
@@ -88,7 +88,7 @@ def snapshot_merge(
     )
 
 
-def _compared(
+def compared_columns(
     df: DataFrame, compare: Sequence[str], key: Sequence[str], values: Sequence[str]
 ) -> list[str]:
     if not compare:
@@ -121,26 +121,30 @@ def _state(
     )
 
 
-def _changed(
+def changed(
     df: DataFrame,
     compared: Sequence[str],
     added: set[str],
     removed: set[str],
     null_safe: bool,
+    was: Column | None = None,
+    now: Column | None = None,
 ) -> Column:
+    """Whether the struct ``now`` differs from the struct ``was``, by default columns ``c`` and ``p``."""
+    was, now = F.col("p") if was is None else was, F.col("c") if now is None else now
     tests: list[Column] = []
     for name in compared:
         kind = df.schema[name].dataType
-        was = comparable(ref(name, "p"), kind)
-        now = comparable(ref(name, "c"), kind)
+        before = comparable(was[name], kind)
+        after = comparable(now[name], kind)
         if name in added:
-            tests.append(ref(name, "c").isNotNull())
+            tests.append(now[name].isNotNull())
         elif name in removed:
-            tests.append(ref(name, "p").isNotNull())
+            tests.append(was[name].isNotNull())
         elif null_safe:
-            tests.append(~was.eqNullSafe(now))
+            tests.append(~before.eqNullSafe(after))
         else:
-            tests.append(was != now)
+            tests.append(before != after)
     return F.coalesce(reduce(or_, tests, F.lit(False)), F.lit(False))
 
 

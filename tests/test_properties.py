@@ -149,3 +149,85 @@ def test_digest_ignores_the_order_of_map_entries(spark):
     )
     other = spark.createDataFrame([(1, {"a": 1, "b": 3}, [{"a": 1, "b": 2}])], one.schema)
     assert dataset_digest(one).first() == dataset_digest(two).first() != dataset_digest(other).first()
+
+
+ROWS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), ROW), max_size=6)
+
+
+def emitted(dumps, null_safe, compare=(0, 1)):
+    """As ``model``, for dumps with duplicate keys: the least row that differs from the last logged one."""
+    log, state = [], {}
+    least = lambda r: [(v is not None, v if v is not None else 0) for v in r]
+    for step, dump in enumerate(dumps):
+        by_key = {}
+        for k, r in dump:
+            by_key.setdefault(k, []).append(r)
+        for k in {**state, **by_key}:
+            if k not in by_key:
+                log.append((step, "D", k, *state.pop(k)))
+                continue
+            held = state.get(k)
+            differs = lambda r: held is None or any(
+                held[i] != r[i] if null_safe else held[i] is not None and r[i] is not None and held[i] != r[i] for i in compare
+            )
+            found = sorted(filter(differs, by_key[k]), key=least)
+            if found:
+                log.append((step, "I" if held is None else "U", k, *found[0]))
+                state[k] = found[0]
+    return log
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    dumps=st.lists(ROWS, min_size=1, max_size=5),
+    null_safe=st.booleans(),
+    compare=st.sampled_from([(), ("a",), ("b",)]),
+    fold_rows=st.sampled_from([10_000, 3]),
+)
+def test_backfill_in_every_mode(spark, tmp_path_factory, dumps, null_safe, compare, fold_rows):
+    spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    data = [(ts(step), k, *r) for step, dump in enumerate(dumps) for k, r in dump]
+    out = backfill_history(
+        spark.createDataFrame(data, "snapshot_time timestamp, " + KIND),
+        key=["k"],
+        times=[ts(i) for i in range(len(dumps))],
+        system_time=ts(100),
+        null_safe=null_safe,
+        compare=compare,
+        unique=False,
+        fold_rows=fold_rows,
+    )
+    expected = emitted(dumps, null_safe, [("a", "b").index(c) for c in compare] or (0, 1))
+    assert rows(out, "event_time", "observed", "k", "a", "b") == ordered([(ts(s), *r) for s, *r in expected])
+
+
+@SLOW
+@given(dumps=st.lists(ROWS, min_size=1, max_size=4), compare=st.sampled_from([(), ("b",)]))
+def test_backfill_equals_merges_in_default_mode(spark, dumps, compare):
+    log = None
+    for step, dump in enumerate(dumps):
+        new = snapshot_merge(
+            log, spark.createDataFrame([(k, *r) for k, r in dump], KIND), key=["k"], system_time=ts(100), event_time=ts(step), compare=compare
+        )
+        new = spark.createDataFrame(new.collect(), new.schema)
+        log = new if log is None else log.union(new)
+    data = [(ts(step), k, *r) for step, dump in enumerate(dumps) for k, r in dump]
+    df = spark.createDataFrame(data, "snapshot_time timestamp, " + KIND)
+    times = [ts(i) for i in range(len(dumps))]
+    out = backfill_history(df, key=["k"], times=times, system_time=ts(100), null_safe=False, unique=False, compare=compare)
+    assert out.columns == log.columns and rows(out) == rows(log)
+
+
+def test_folded_backfill_refuses_and_takes_maps(spark, large, tmp_path):
+    kind = "snapshot_time timestamp, k int, m map<string,int>"
+    options = dict(key=["k"], times=[ts(0), ts(1), ts(2)], system_time=ts(9), null_safe=False)
+    data = [(ts(0), 1, {"a": 1, "b": 2}), (ts(1), 1, None), (ts(2), 1, {"b": 2, "a": 1}), (ts(0), 2, None), (ts(2), 2, {"a": 3})]
+    out = backfill_history(spark.createDataFrame(data, kind), **options)
+    assert rows(out, "event_time", "observed", "k") == ordered([(ts(0), "I", 1), (ts(0), "I", 2), (ts(1), "D", 2), (ts(2), "I", 2)])
+    with pytest.raises(PySparkException, match="duplicate keys"):
+        backfill_history(spark.createDataFrame([data[0], data[0]], kind), **options).collect()
+    with pytest.raises(PySparkException, match="unlisted"):
+        backfill_history(spark.createDataFrame([(ts(5), 1, None)], kind), **options).collect()
+    path = str(tmp_path / "dumps")
+    spark.createDataFrame(data, kind).write.parquet(path)
+    assert final_plan(backfill_history(spark.read.parquet(path), **options)).count("Exchange hashpartitioning") == 1
