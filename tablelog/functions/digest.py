@@ -22,9 +22,8 @@ _JSON = {
 }
 
 
-def _plain(field: T.StructField) -> Column:
+def _plain(column: Column, field: T.StructField) -> Column:
     """Times in a form that is quick to write and the same in every session time zone."""
-    column = ref(field.name)
     if isinstance(field.dataType, T.TimestampType):
         column = F.unix_micros(column)
     elif isinstance(field.dataType, T.TimestampNTZType):
@@ -36,8 +35,13 @@ def _plain(field: T.StructField) -> Column:
 
 def row_digest(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
     """SHA-256 of the row as JSON: names and map entries in order, NULLs written out, times in UTC."""
-    chosen = sorted((f for f in df.schema if f.name not in exclude), key=lambda f: f.name)
-    return F.sha2(F.to_json(F.struct(*map(_plain, chosen)), _JSON), 256)
+    return fields_digest({f.name: (ref(f.name), f) for f in df.schema if f.name not in exclude})
+
+
+def fields_digest(fields: Mapping[str, tuple[Column, T.StructField]]) -> Column:
+    """The same for columns of any origin, each with the field that it stands for."""
+    chosen = [_plain(*fields[name]) for name in sorted(fields)]
+    return F.sha2(F.to_json(F.struct(*chosen), _JSON), 256)
 
 
 def digest_metrics(row_hash: Column) -> list[Column]:
@@ -62,9 +66,14 @@ def digest_of(metrics: Mapping[str, object]) -> str:
     return hashlib.sha256(":".join(str(int(p)) for p in parts).encode()).hexdigest()
 
 
+def digest_text(count: Column, lanes: Sequence[Column]) -> Column:
+    """The digest text as a column; a missing sum is that of no rows."""
+    parts = [F.coalesce(x.cast("decimal(38,0)"), F.lit(0)).cast("string") for x in lanes]
+    return F.sha2(F.concat_ws(":", count.cast("string"), *parts), 256)
+
+
 def dataset_digest(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """One row ``(hash, num_records)``, independent of row order and partitioning."""
     sums = df.select(row_digest(df, exclude).alias("h")).agg(*digest_metrics(F.col("h")))
-    parts = [F.coalesce(F.col(f"lane{i}"), F.lit(0)).cast("string") for i in range(LANES)]
-    text = F.concat_ws(":", F.col("num_records").cast("string"), *parts)
-    return sums.select(F.sha2(text, 256).alias("hash"), "num_records")
+    lanes = [F.col(f"lane{i}") for i in range(LANES)]
+    return sums.select(digest_text(F.col("num_records"), lanes).alias("hash"), "num_records")

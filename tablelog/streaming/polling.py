@@ -32,7 +32,7 @@ def commit_batch(
     system_time: Callable[[int], datetime] = _now,
     event_time: Callable[[int], datetime] | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    stream_id: str = "",
+    stream_id: str,
 ) -> None:
     """Merge and commit one micro-batch under its id.
 
@@ -41,9 +41,11 @@ def commit_batch(
     and one that was written but not recorded is neither read nor kept. Another stream, or the
     same one from a new checkpoint, has other ids.
     """
-    commit_id = f"batch-{stream_id}-{batch_id:012d}" if stream_id else f"batch-{batch_id:012d}"
+    if not stream_id:
+        raise ValueError("Batches of a stream without an id could be taken for those of another")
+    commit_id, source = f"batch-{stream_id}-{batch_id:012d}", f"stream:{stream_id}"
     table_log = open_log(batch.sparkSession, log_dir)
-    if table_log.find(commit_id) is not None:
+    if table_log.find(commit_id, source) is not None:
         return
     at = system_time(batch_id)
     rows = merge_with_existing(
@@ -55,7 +57,7 @@ def commit_batch(
         event_time=event_time(batch_id) if event_time else None,
         table_log=table_log,
     )
-    commit(rows, data_dir, log_dir, system_time=at, commit_id=commit_id, source=f"stream:{stream_id}", log=table_log)
+    commit(rows, data_dir, log_dir, system_time=at, commit_id=commit_id, source=source, log=table_log)
 
 
 def poll(

@@ -315,13 +315,13 @@ def test_replayed_batch(spark, dirs, kind):
     """A micro-batch delivered again, after it was recorded or only written, counts once."""
     merge = merge_strategy(kind, **({"key": ["id"]} if kind == "snapshot" else {}))
     batch = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
-    deliver = lambda n: commit_batch(batch, n, merge=merge, **dirs, system_time=ts)
+    deliver = lambda n: commit_batch(batch, n, merge=merge, **dirs, system_time=ts, stream_id="s")
     deliver(0)
     deliver(0)
     assert read_history(spark, **dirs).count() == 2
     # Written, but the job died before the record.
     stale = read_history(spark, **dirs).withColumn("v", F.lit("stale"))
-    stale.write.parquet(dirs["data_dir"] + "/__commit=batch-000000000001")
+    stale.write.parquet(dirs["data_dir"] + "/__commit=batch-s-000000000001")
     deliver(1)
     assert read_history(spark, **dirs).filter("v = 'stale'").count() == 0
     assert read_history(spark, **dirs).count() == (4 if kind == "append" else 2)
