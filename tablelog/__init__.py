@@ -20,8 +20,9 @@ from tablelog.plans.ingest import IngestTask, Source, ingest, ingest_all, merge_
 from tablelog.plans.preprocess import preprocess
 from tablelog.sources.archive import archive_members, expand_archives
 from tablelog.sources.geojson import parse_geojson, read_geojson
-from tablelog.sources.history import CommitRecord, commit, read_history, read_log
+from tablelog.sources.history import CommitRecord, commit, read_history, read_log, table_digest, verify_history
 from tablelog.sources.readers import CorruptRecords, corrupt_records, read_raw, reject_corrupt
+from tablelog.sources.state import StateTable, fold_state, read_latest
 from tablelog.streaming.polling import poll
 from tablelog.vocab import Codes, Vocabulary
 
@@ -33,6 +34,7 @@ __all__ = [
     "PastEventTime",
     "SchemaDrift",
     "Source",
+    "StateTable",
     "Vocabulary",
     "append_merge",
     "archive_members",
@@ -44,6 +46,7 @@ __all__ = [
     "dataset_digest",
     "event_time_bounds",
     "expand_archives",
+    "fold_state",
     "ingest",
     "ingest_all",
     "ledger_merge",
@@ -56,12 +59,15 @@ __all__ = [
     "preprocess",
     "read_geojson",
     "read_history",
+    "read_latest",
     "read_log",
     "read_raw",
     "reconcile",
     "reject_corrupt",
     "snapshot_merge",
+    "table_digest",
     "to_back",
     "to_front",
+    "verify_history",
     "wkt",
 ]

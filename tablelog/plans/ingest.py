@@ -20,6 +20,7 @@ from tablelog.sources.archive import archive_members
 from tablelog.sources.geojson import read_geojson
 from tablelog.sources.history import CommitRecord, TableLog, commit, open_log, read_history
 from tablelog.sources.readers import read_raw, reject_corrupt, show_corrupt
+from tablelog.sources.state import StateTable
 from tablelog.vocab import DEFAULT_VOCABULARY, Vocabulary
 
 log = logging.getLogger(__name__)
@@ -76,6 +77,10 @@ class IngestTask:
     event_time: datetime | None = None
     commit_id: str | None = None
     vocab: Vocabulary = DEFAULT_VOCABULARY
+    # Where the latest state is stored, which snapshot merges then read in place of the history;
+    # it is folded forward when so many commits came after it.
+    state_dir: str | None = None
+    state_commits: int = 8
 
     def commit_name(self) -> str:
         if self.commit_id is not None:
@@ -122,12 +127,19 @@ def merge_with_existing(
     system_time: datetime,
     event_time: datetime | None = None,
     table_log: TableLog | None = None,
+    state: StateTable | None = None,
 ) -> DataFrame:
-    """New rows of ``curr`` against what is stored."""
+    """New rows of ``curr`` against what is stored; ``state`` stands for all commits it holds.
+
+    A state is enough for snapshot merges by its key. Others need the whole history.
+    """
     spark = curr.sparkSession
     if table_log is None and log_dir is not None:
         table_log = open_log(spark, log_dir)
-    prev = read_history(spark, data_dir, log=table_log)
+    if state is not None and table_log is not None:
+        prev = state.series(spark, data_dir, table_log)
+    else:
+        prev = read_history(spark, data_dir, log=table_log)
     known, last = table_log.last_event_time() if table_log else (False, None)
     extra = {"last_event_time": last} if known else {}
     return merge(prev, curr, system_time=system_time, event_time=event_time, **extra)
@@ -157,6 +169,9 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
         log.info("Commit %s of %s is already recorded", known.commit_id, task.dataset_id)
         return known
     log.info("Ingesting %s into %s", task.data_to_ingest, task.data_dir)
+    state = None
+    if task.state_dir and source.merge == "snapshot":
+        state = StateTable(task.state_dir, tuple(source.merge_params["key"]), vocab)
     raw = read_source(spark, source, task.data_to_ingest, vocab)
     if source.persists():
         raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
@@ -175,8 +190,9 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
             system_time=task.system_time,
             event_time=task.event_time,
             table_log=table_log,
+            state=state,
         )
-        return commit(
+        record = commit(
             rows,
             task.data_dir,
             task.log_dir,
@@ -196,6 +212,9 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
     finally:
         if source.persists():
             raw.unpersist()
+    if state is not None and record.sequence - state.newest(spark, table_log) >= task.state_commits:
+        state.fold(spark, task.data_dir, open_log(spark, task.log_dir))
+    return record
 
 
 def ingest_all(spark: SparkSession, tasks: Iterable[IngestTask]) -> list[CommitRecord]:

@@ -73,7 +73,7 @@ class CommitRecord:
     lane1: str = "0"
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names in a directory, none if it does not exist."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -86,9 +86,9 @@ def _commit_dir(data_dir: str, commit_id: str) -> str:
 
 def _compacted(spark: SparkSession, log_dir: str) -> int:
     """Number of the last record in the newest whole compacted part, 0 without one."""
-    done = [int(name[5:]) for name in _children(spark, f"{log_dir}/compact") if name.startswith("upto=")]
+    done = [int(name[5:]) for name in names_in(spark, f"{log_dir}/compact") if name.startswith("upto=")]
     for upto in sorted(done, reverse=True):
-        if "_SUCCESS" in _children(spark, f"{log_dir}/compact/upto={upto}"):
+        if "_SUCCESS" in names_in(spark, f"{log_dir}/compact/upto={upto}"):
             return upto
     return 0
 
@@ -97,7 +97,7 @@ def _log_paths(spark: SparkSession, log_dir: str) -> tuple[int, list[str]]:
     upto = _compacted(spark, log_dir)
     tail = f"{log_dir}/tail/after={upto}"
     paths = [f"{log_dir}/compact/upto={upto}"] if upto else []
-    return upto, paths + ([tail] if _children(spark, tail) else [])
+    return upto, paths + ([tail] if names_in(spark, tail) else [])
 
 
 def read_log(spark: SparkSession, log_dir: str) -> DataFrame | None:
@@ -214,7 +214,7 @@ def read_history(
     if log_dir is None and log is None:
         if bounds:
             raise ValueError("Bounds need a log that says when commits are from")
-        if not _children(spark, data_dir):
+        if not names_in(spark, data_dir):
             return None
         spark.catalog.refreshByPath(data_dir)
         return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(data_dir)
@@ -233,7 +233,7 @@ def read_history(
     spark.catalog.refreshByPath(data_dir)
     stored = spark.read.schema(log.schema.add(_COMMIT, T.StringType())).parquet(data_dir)
     # Directories of lost jobs are the exception: these few are left out by a partition filter.
-    present = [x.split("=", 1)[1] for x in _children(spark, data_dir) if x.startswith(f"{_COMMIT}=")]
+    present = [x.split("=", 1)[1] for x in names_in(spark, data_dir) if x.startswith(f"{_COMMIT}=")]
     if set(present) <= set(log.tail):
         return stored.drop(_COMMIT)
     there = spark.createDataFrame([(x,) for x in present], "commit_id string")

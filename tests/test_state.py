@@ -1,0 +1,197 @@
+"""The stored latest state, reads within bounds, digests that add up, and verification."""
+
+import json
+import shutil
+from pathlib import Path
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import tablelog.sources.history as history_module
+from tablelog import (
+    IngestTask,
+    Source,
+    as_of,
+    commit,
+    dataset_digest,
+    fold_state,
+    ingest_all,
+    read_history,
+    read_latest,
+    read_log,
+    snapshot_merge,
+    table_digest,
+    verify_history,
+)
+from tablelog.functions.columns import SchemaDrift
+from tablelog.sources.history import open_log
+from tablelog.sources.state import StateTable
+from tests.conftest import ordered, rows, ts
+
+KIND = "k int, a int, b string"
+DUMP = st.dictionaries(st.one_of(st.none(), st.integers(0, 3)), st.tuples(st.integers(0, 2), st.sampled_from([None, "x"])), max_size=4)
+
+
+@pytest.fixture
+def dirs(tmp_path):
+    return {"data_dir": str(tmp_path / "data"), "log_dir": str(tmp_path / "log")}
+
+
+def commits_in(df):
+    return {p.split("__commit=")[1].split("/")[0] for p in df.inputFiles() if "__commit=" in p}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(dumps=st.lists(DUMP, min_size=1, max_size=4), folds=st.lists(st.booleans(), min_size=4, max_size=4))
+def test_state_equals_the_whole_log(spark, tmp_path_factory, dumps, folds):
+    base = tmp_path_factory.mktemp("h")
+    where = {"data_dir": str(base / "data"), "log_dir": str(base / "log")}
+    plain = None
+    for step, (dump, fold) in enumerate(zip(dumps, folds)):
+        curr = spark.createDataFrame([(k, *v) for k, v in dump.items()], KIND)
+        prev = read_latest(spark, **where, state_dir=str(base / "state"), key=["k"])
+        new = snapshot_merge(prev, curr, key=["k"], system_time=ts(50), event_time=ts(step))
+        want = snapshot_merge(plain, curr, key=["k"], system_time=ts(50), event_time=ts(step))
+        assert rows(new) == rows(want)
+        commit(new, **where, system_time=ts(step), commit_id=f"c{step}")
+        if fold:
+            assert fold_state(spark, **where, state_dir=str(base / "state"), key=["k"]) == step + 1
+        plain = spark.createDataFrame(read_history(spark, **where).collect(), new.schema)
+        short = read_latest(spark, **where, state_dir=str(base / "state"), key=["k"])
+        assert rows(as_of(short, ["k"])) == rows(as_of(plain, ["k"]))
+
+
+def test_merge_reads_no_commit_older_than_the_state(spark, dirs, tmp_path):
+    state = str(tmp_path / "state")
+    for step in range(5):
+        prev = read_latest(spark, **dirs, state_dir=state, key=["k"])
+        if prev is not None:
+            assert commits_in(prev) == ({"c0", "c1"} & {f"c{i}" for i in range(step)} if step < 3 else {f"c{i}" for i in range(3, step)})
+        dump = spark.range(20).selectExpr("id as k", f"id * {step} as v").filter(f"k <> {step}")
+        commit(snapshot_merge(prev, dump, key=["k"], system_time=ts(step)), **dirs, system_time=ts(step), commit_id=f"c{step}")
+        if step == 2:
+            assert fold_state(spark, **dirs, state_dir=state, key=["k"]) == 3
+    whole = as_of(read_history(spark, **dirs), ["k"])
+    assert rows(as_of(read_latest(spark, **dirs, state_dir=state, key=["k"]), ["k"])) == rows(whole)
+    # A state by another key is another state; half a state is none; old ones go.
+    assert StateTable(state, ("k", "v")).newest(spark, open_log(spark, dirs["log_dir"])) == 0
+    table = StateTable(state, ("k",))
+    Path(table.path, "upto=000000000004", "rows").mkdir(parents=True)
+    assert table.versions(spark) == [3]
+    fold_state(spark, **dirs, state_dir=state, key=["k"])
+    dump = spark.createDataFrame([(1, 9)], "k bigint, v bigint")
+    prev = read_latest(spark, **dirs, state_dir=state, key=["k"])
+    assert commits_in(prev) == set()
+    commit(snapshot_merge(prev, dump, key=["k"], system_time=ts(9)), **dirs, system_time=ts(9), commit_id="c9")
+    fold_state(spark, **dirs, state_dir=state, key=["k"])
+    assert table.versions(spark) == [6, 5]
+    assert rows(as_of(read_latest(spark, **dirs, state_dir=state, key=["k"]), ["k"]), "k", "v") == [(1, 9)]
+
+
+def test_state_in_the_pipeline_and_through_schema_growth(spark, dirs, tmp_path):
+    lines = [["id,n", "1,a", "2,b"], ["id,n,m", "1,a,x", "2,c,", "3,d,"], ["id,n,m", "3,d,z"], ["id,n,m", "3,d,z", "1,q,"]]
+    tasks, plain = [], []
+    for i, text in enumerate(lines):
+        (tmp_path / f"{i}.csv").write_text("\n".join(text) + "\n")
+        source = Source(options={"header": "true"}, merge="snapshot", merge_params={"key": ["id"]})
+        one = dict(dataset_id="t", source=source, data_to_ingest=str(tmp_path / f"{i}.csv"), system_time=ts(i))
+        tasks.append(IngestTask(**one, **dirs, state_dir=str(tmp_path / "state"), state_commits=2))
+        plain.append(IngestTask(**one, data_dir=str(tmp_path / "data2"), log_dir=str(tmp_path / "log2")))
+    assert [r.hash for r in ingest_all(spark, tasks)] == [r.hash for r in ingest_all(spark, plain)]
+    assert StateTable(str(tmp_path / "state"), ("id",)).versions(spark) == [4, 2]
+    assert verify_history(spark, **dirs).count() == 0
+
+
+def test_reads_within_bounds(spark, dirs):
+    kind = "event_time timestamp, n int"
+    data = [[(ts(0), 1), (ts(3), 2)], [(ts(4), 3), (None, 4)], [(ts(8), 5)], [], [(None, 6)]]
+    for i, part in enumerate(data):
+        commit(spark.createDataFrame(part, kind), **dirs, system_time=ts(10 * i), commit_id=f"c{i}")
+    read = lambda **bounds: read_history(spark, **dirs, **bounds)
+    assert rows(read(until=ts(3)), "n") == [(1,), (2,)] and commits_in(read(until=ts(3))) == {"c0"}
+    assert rows(read(until=ts(4)), "n") == [(1,), (2,), (3,)]
+    assert rows(read(since=ts(1), until=ts(4)), "n") == [(2,), (3,)]
+    assert rows(read(since=ts(5)), "n") == [(5,)] and commits_in(read(since=ts(5))) == {"c2"}
+    assert rows(read(known_at=ts(10)), "n") == [(1,), (2,), (3,), (4,)]
+    assert commits_in(read(known_at=ts(10))) == {"c0", "c1"}
+    assert read(until=ts(-1)).count() == 0 and commits_in(read(until=ts(-1))) == set()
+    assert rows(read(), "n") == [(i,) for i in range(1, 7)]
+    with pytest.raises(ValueError, match="log"):
+        read_history(spark, dirs["data_dir"], until=ts(1))
+
+
+def test_commits_of_other_columns_are_never_pruned(spark, dirs):
+    commit(spark.createDataFrame([(1,)], "n int"), **dirs, system_time=ts(0), commit_id="a")
+    commit(spark.createDataFrame([(ts(5), 2)], "event_time timestamp, n int"), **dirs, system_time=ts(1), commit_id="b")
+    assert rows(read_history(spark, **dirs, until=ts(9)), "n") == [(2,)]
+    assert commits_in(read_history(spark, **dirs, until=ts(9))) == {"a", "b"}
+
+
+def test_digest_of_the_table_from_the_log(spark, dirs, monkeypatch):
+    monkeypatch.setattr(history_module, "TAIL", 3)
+    assert table_digest(spark, dirs["log_dir"]).collect() == [(dataset_digest(spark.range(0)).first()["hash"], 0)]
+    for i in range(7):
+        commit(spark.range(i * 10, i * 10 + i), **dirs, system_time=ts(i), commit_id=f"c{i}")
+    assert table_digest(spark, dirs["log_dir"]).first() == dataset_digest(read_history(spark, **dirs)).first()
+    assert verify_history(spark, **dirs).count() == 0
+
+
+def test_records_at_the_driver_do_not_grow(spark, dirs, monkeypatch):
+    monkeypatch.setattr(history_module, "TAIL", 3)
+    for i in range(14):
+        commit(spark.range(1).select(F.lit(i).alias("n"), *[F.lit(0).alias(f"c{j}") for j in range(i // 7)]), **dirs, system_time=ts(i), commit_id=f"c{i}")
+        log = open_log(spark, dirs["log_dir"])
+        assert len(log.tail) < 3 and log.last == i + 1
+        assert len(log.schema) == 1 + i // 7
+        # What is in the compacted part is found there.
+        assert log.find("c0").sequence == 1 and log.find("nope") is None
+    assert read_log(spark, dirs["log_dir"]).count() == 14
+    assert read_log(spark, dirs["log_dir"]).filter("table_schema <> ''").count() == 2
+    assert commit(spark.range(3), **dirs, system_time=ts(0), commit_id="c1").sequence == 2
+    # A job that ended between compacting and summing up.
+    shutil.rmtree(Path(dirs["log_dir"], "tail", f"after={log.upto}"))
+    lost = open_log(spark, dirs["log_dir"])
+    assert lost.last == lost.upto == 12 and lost.schema == log.schema
+
+
+def test_verification_names_the_commit(spark, dirs):
+    commit(spark.createDataFrame([(1, {"a": 1}), (2, None)], "id int, p map<string,int>"), **dirs, system_time=ts(0), commit_id="a")
+    commit(spark.createDataFrame([(3, ("x",))], "id int, s struct<u: string>"), **dirs, system_time=ts(1), commit_id="b")
+    commit(spark.createDataFrame([(4, ("y", 5))], "id int, s struct<u: string, w: int>"), **dirs, system_time=ts(2), commit_id="c")
+    commit(spark.createDataFrame([], "id int"), **dirs, system_time=ts(3), commit_id="d")
+    assert verify_history(spark, **dirs).collect() == []
+    data = Path(dirs["data_dir"])
+    spark.createDataFrame([(3, ("z",))], "id int, s struct<u: string>").write.mode("overwrite").parquet(str(data / "__commit=b"))
+    spark.range(2).selectExpr("cast(id as int) id").write.parquet(str(data / "__commit=x"))
+    shutil.rmtree(data / "__commit=c")
+    got = {r["commit_id"]: (r["problem"], r["recorded"], r["stored"]) for r in verify_history(spark, **dirs).collect()}
+    assert got == {"b": ("altered", 1, 1), "c": ("lost", 1, 0), "x": ("foreign", None, 2)}
+
+
+def test_nested_fields_grow_on_disk(spark, dirs):
+    steps = [
+        ([(1, ("a", [(1,)]), {"m": (1,)})], "id bigint, s struct<u: string, l: array<struct<x: bigint>>>, m map<string, struct<y: int>>"),
+        ([(2, (2.5, [(3, True)]), {"m": ("t",)})], "id int, s struct<w: double, l: array<struct<x: int, z: boolean>>>, m map<string, struct<t: string>>"),
+        ([(3, None, None)], "id int, s struct<u: string>, m map<string, struct<y: int>>"),
+    ]
+    for i, (data, kind) in enumerate(steps):
+        commit(spark.createDataFrame(data, kind), **dirs, system_time=ts(i), commit_id=f"c{i}")
+    got = {r["id"]: json.loads(r["j"]) for r in read_history(spark, **dirs).select("id", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).collect()}
+    assert got[1]["s"] == {"u": "a", "l": [{"x": 1, "z": None}], "w": None} and got[1]["m"] == {"m": {"y": 1, "t": None}}
+    assert got[2]["s"] == {"u": None, "l": [{"x": 3, "z": True}], "w": 2.5} and got[2]["m"] == {"m": {"y": None, "t": "t"}}
+    assert got[3]["s"] is None and got[3]["m"] is None
+    with pytest.raises(SchemaDrift, match="s.u"):
+        commit(spark.createDataFrame([(1, (5,))], "id int, s struct<u: int>"), **dirs, system_time=ts(9), commit_id="x")
+    with pytest.raises(SchemaDrift, match="key"):
+        commit(spark.createDataFrame([(1, {1: (5,)})], "id int, m map<int, struct<y: int>>"), **dirs, system_time=ts(9), commit_id="x")
+
+
+def test_nested_fields_make_changes(spark):
+    """A field that appears inside a struct counts as a column that appears does."""
+    prev = spark.createDataFrame([(ts(0), ts(0), "I", i, (i,)) for i in range(4)], "system_time timestamp, event_time timestamp, observed string, k int, s struct<a: int>")
+    curr = spark.createDataFrame([(0, (0, None)), (1, (1, "new")), (2, (9, None)), (3, None)], "k int, s struct<a: int, b: string>")
+    out = snapshot_merge(prev, curr, key=["k"], system_time=ts(1))
+    assert rows(out, "observed", "k", "s.b") == ordered([("U", 1, "new"), ("U", 2, None)])
+    assert out.schema["s"].dataType.simpleString() == "struct<a:int,b:string>"
