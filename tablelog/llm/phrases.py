@@ -3,7 +3,7 @@
 The occurrences of all n-grams of one to ``longest`` words are dealt by hash into buckets. A bucket's
 summary has more counters than its mass (the occurrences in it) divided by the threshold, so what
 a counter loses is less than the threshold and every frequent n-gram survives. Summaries add up: tasks
-send counted hashes and their mass, a bucket's task folds them in one after the other. Survivors become
+send counted keys and their mass, a bucket's task folds them in one after the other. Survivors become
 bits of a filter of fixed size. The second pass counts n-grams that meet a bit, by their text and in
 Spark, and what reaches the threshold is exact. Cuts are scored by joins on these counts.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelog.llm.storage import Storage, column
-from tablelog.llm.words import Words, mix, shingles, text_bytes
+from tablelog.llm.words import Words, mix, ranges, shingles, text_bytes
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 SEPARATORS = b" \t" + PIECE_ENDS
@@ -27,13 +27,16 @@ SEPARATORS = b" \t" + PIECE_ENDS
 #: Occurrences of one bucket. Its task streams them and holds this divided by the threshold; at 100 TB
 #: take 2**28, so that a block still sends several n-grams to each bucket.
 BUCKET_MASS = 1 << 24
+#: Counters of a summary, as a multiple of its mass divided by the threshold. Above 1 every frequent n-gram
+#: survives; the more there are, the fewer others do.
+SLACK = 8
 #: Occurrences that a task counts together before it sends them, and texts it cuts in one step.
-BLOCK = 1 << 22
-STEP_BYTES = 4 << 20
+BLOCK = 1 << 21
+STEP_BYTES = 1 << 20
 #: Bits of the filter, as a power of two: 16 MB in each task. More survivors than bits cost time only.
 FILTER_BITS = 27
 #: Phrases that a task of the second pass holds before it sends their counts.
-HELD = 1 << 19
+HELD = 1 << 18
 
 
 # --- n-grams ----------------------------------------------------------------------------------------
@@ -91,33 +94,50 @@ def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
 
 # --- first pass -------------------------------------------------------------------------------------
 
-_SENT = "bucket long, kind int, mass long, hashes binary, counts binary"
+_SENT = "bucket long, kind int, mass long, keys binary, counts binary"
+#: Keys in one row that a task sends: rows of a few hundred bytes keep Arrow batches small.
+ROW_KEYS = 128
 
 
-def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets are ranges of hashes, so sorted hashes come in the order of buckets."""
-    return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+def bucketed(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket (from the upper half of the hash) and key within it (the lower half), as one number.
+
+    Keys that share 32 bits count as one in a summary, which can only add survivors.
+    """
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return (bucket << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+
+
+def places(bucketed_keys: np.ndarray, bits: int) -> np.ndarray:
+    """The bit of the filter that each key has."""
+    return mix(bucketed_keys) >> np.uint64(64 - bits)
+
+
+def _binary(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Rows of bytes of ``data`` between edges."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data.tobytes())])
 
 
 def _counted(longest: int, buckets: int, block: int):
     def send(hashes: list[np.ndarray]) -> pa.RecordBatch:
         values, counts = np.unique(np.concatenate(hashes), return_counts=True)
-        held = bucket_of(values, buckets)
-        edge = np.flatnonzero(np.diff(held, prepend=-1))
-        to = np.append(edge[1:], len(values))
-        mass = np.add.reduceat(counts, edge)
-        raw, n = values.astype("<u8").tobytes(), counts.astype("<u4").tobytes()
-        spans = list(zip(edge.tolist(), to.tolist()))
-        size = len(spans)
+        bucket = (values >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        size = np.diff(np.append(first, len(values)))
+        rows = -(-size // ROW_KEYS)
+        edges = np.append(np.repeat(first, rows) + ROW_KEYS * ranges(np.zeros(len(rows), np.int64), rows), len(values))
         # A bucket's mass sorts before its counts, so that its task knows the capacity from the start.
-        return pa.RecordBatch.from_pydict(
-            {
-                "bucket": pa.array(np.tile(held[edge], 2)),
-                "kind": pa.array(np.repeat(np.array([0, 1], np.int32), size)),
-                "mass": pa.array(np.append(mass, np.zeros(size, np.int64))),
-                "hashes": pa.array([b""] * size + [raw[8 * a : 8 * b] for a, b in spans], pa.binary()),
-                "counts": pa.array([b""] * size + [n[4 * a : 4 * b] for a, b in spans], pa.binary()),
-            }
+        n = len(first)
+        edges = np.append(np.zeros(n, np.int64), edges)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.append(bucket[first], np.repeat(bucket[first], rows))),
+                pa.array(np.repeat(np.array([0, 1], np.int32), [n, rows.sum()])),
+                pa.array(np.append(np.add.reduceat(counts, first), np.zeros(rows.sum(), np.int64))),
+                _binary(values.astype("<u4"), 4 * edges),
+                _binary(counts.astype("<u4"), 4 * edges),
+            ],
+            ["bucket", "kind", "mass", "keys", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +146,7 @@ def _counted(longest: int, buckets: int, block: int):
         for grams in _steps(batches):
             for k in range(1, longest + 1):
                 hashes, _ = grams.of(k)
-                held.append(hashes)
+                held.append(bucketed(hashes, buckets))
                 size += len(hashes)
             if size >= block:
                 yield send(held)
@@ -142,7 +162,7 @@ class Summary:
 
     def __init__(self, capacity: int):
         self.capacity = capacity
-        self.keys = np.zeros(0, np.uint64)
+        self.keys = np.zeros(0, np.uint32)
         self.counts = np.zeros(0, np.int64)
         self.lost = 0
         self._more: list[tuple[np.ndarray, np.ndarray]] = []
@@ -179,34 +199,42 @@ class Summary:
         return self.keys[self.counts + self.lost >= threshold]
 
 
-def _survivors(threshold: int, bits: int):
-    """Places in the filter, of the survivors of each bucket of this task."""
+def _numbers(column: pa.Array, a: int, b: int) -> np.ndarray:
+    """The 32-bit numbers in rows ``a`` to ``b``, which lie next to each other."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset + a : column.offset + b + 1]
+    data = column.buffers()[2]
+    return np.frombuffer(data, "<u4", (at[-1] - at[0]) // 4, at[0]) if at[-1] > at[0] else np.zeros(0, "<u4")
+
+
+def _survivors(threshold: int, bits: int, slack: int):
+    """Bits of the filter, for the survivors of each bucket of this task."""
 
-    def places(summary: Summary) -> pa.RecordBatch:
-        found = np.unique(summary.survivors(threshold) >> np.uint64(64 - bits)).astype(np.int64)
-        return pa.RecordBatch.from_pydict({"place": pa.array(found)})
+    def found(bucket: int, summary: Summary) -> pa.RecordBatch:
+        keys = summary.survivors(threshold).astype(np.uint64) | np.uint64(bucket << 32)
+        return pa.RecordBatch.from_pydict({"place": pa.array(np.unique(places(keys, bits)).astype(np.int64))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, mass, summary = None, 0, None
         for batch in batches:
-            columns = [batch.column(x) for x in ("bucket", "kind", "mass", "hashes", "counts")]
-            for b, kind, m, hashes, counts in zip(*(x.to_pylist() for x in columns)):
-                if b != bucket:
+            own, kind, masses = (batch.column(x).to_numpy() for x in ("bucket", "kind", "mass"))
+            edges = np.flatnonzero(np.append(True, (np.diff(own) != 0) | (np.diff(kind) != 0)))
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(own)]):
+                if own[a] != bucket:
                     if summary is not None:
-                        yield places(summary)
-                    bucket, mass, summary = b, 0, None
-                if kind == 0:
-                    mass += m
+                        yield found(bucket, summary)
+                    bucket, mass, summary = int(own[a]), 0, None
+                if kind[a] == 0:
+                    mass += int(masses[a:b].sum())
                     continue
-                summary = summary or Summary(mass // threshold + 1)
-                summary.add(np.frombuffer(hashes, "<u8"), np.frombuffer(counts, "<u4"))
+                summary = summary or Summary(slack * mass // threshold + 1)
+                summary.add(_numbers(batch.column("keys"), a, b), _numbers(batch.column("counts"), a, b))
         if summary is not None:
-            yield places(summary)
+            yield found(bucket, summary)
 
     return run
 
 
-def _filter(places: DataFrame, bits: int) -> bytes:
+def _filter(found: DataFrame, bits: int) -> bytes:
     """The bits at all places, put together on the executors in 64 stretches of fixed size."""
     stretch = 1 << (bits - 6)
 
@@ -220,7 +248,7 @@ def _filter(places: DataFrame, bits: int) -> bytes:
         for s, flags in held.items():
             yield pa.RecordBatch.from_pydict({"stretch": pa.array([s]), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
 
-    dealt = places.repartition(64, F.floor(F.col("place") / stretch))
+    dealt = found.repartition(64, F.floor(F.col("place") / stretch))
     out = np.zeros((64, stretch // 8), np.uint8)
     for r in dealt.mapInArrow(run, "stretch long, bits binary").collect():  # 64 rows of fixed size
         out[r["stretch"]] = np.frombuffer(r["bits"], np.uint8)
@@ -232,7 +260,7 @@ def _filter(places: DataFrame, bits: int) -> bytes:
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def _exact(longest: int, held_most: int, bits: int, broadcast):
+def _exact(longest: int, buckets: int, held_most: int, bits: int, broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.frombuffer(broadcast.value, np.uint8)
         counts: dict[int, int] = {}
@@ -255,7 +283,7 @@ def _exact(longest: int, held_most: int, bits: int, broadcast):
             low, starts, ends = grams.data.tobytes().translate(_LOWER), grams.words.start, grams.ends()
             for k in range(1, longest + 1):
                 hashes, first = grams.of(k)
-                place = hashes >> np.uint64(64 - bits)
+                place = places(bucketed(hashes, buckets), bits)
                 kept = (flags[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
                 values, at, n = np.unique(hashes[kept], return_index=True, return_counts=True)
                 at = first[kept][at]
@@ -285,6 +313,7 @@ def phrase_counts(
     block: int = BLOCK,
     filter_bits: int = FILTER_BITS,
     held: int = HELD,
+    slack: int = SLACK,
 ) -> DataFrame:
     """``(lang, words, phrase, n)``: exact counts of all n-grams with ``threshold`` occurrences or more.
 
@@ -301,9 +330,9 @@ def phrase_counts(
     buckets = max(1, -(-size * longest // (5 * bucket_mass)))
     sent = rows.mapInArrow(_counted(longest, buckets, block), _SENT)
     dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
-    places = storage.table(dealt.mapInArrow(_survivors(threshold, filter_bits), "place long"), "places", clean=True)
-    flags = spark.sparkContext.broadcast(_filter(places, filter_bits))  # fixed size
-    counted = rows.mapInArrow(_exact(longest, held, filter_bits, flags), "lang string, words int, phrase string, n long")
+    found = storage.table(dealt.mapInArrow(_survivors(threshold, filter_bits, slack), "place long"), "places", clean=True)
+    flags = spark.sparkContext.broadcast(_filter(found, filter_bits))  # fixed size
+    counted = rows.mapInArrow(_exact(longest, buckets, held, filter_bits, flags), "lang string, words int, phrase string, n long")
     counted = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     out = storage.table(counted.filter((F.col("words") == 0) | (F.col("n") >= threshold)), "counts", clean=True)
     flags.unpersist()
