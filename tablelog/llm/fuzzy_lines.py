@@ -9,20 +9,27 @@
 2. Equal lines are one line from here on. In each band entry all lines are paired with the least one;
    pairs are verified by the exact Jaccard similarity of all their character shingles, and linked
    lines form components.
-3. Lines of different components that share a band entry are paired and verified as well, so no pair
-   is left out however many lines share an entry.
+3. Lines of different components that share a band entry are paired and verified as well. In an
+   entry of many lines only those are paired that share one of their rarest shingles, which lines
+   that are near enough do, so that no pair is left out and templates with many fillings make few.
 4. Union-find gives the groups. The first line of each, by document and place, is kept.
 
-Only DataFrame functions run here.
+Shingles are hashed, sorted and compared in numpy (the native form did not meet the limits, see the
+README); joins, counts and union-find are Spark's.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelog.llm.components import components, with_more_links
 from tablelog.llm.storage import ROW, Storage, column, row_hashes
+from tablelog.llm.words import list_column, mix, ranges, text_bytes
 
 #: Characters of a shingle.
 SHINGLE = 5
@@ -33,68 +40,302 @@ BITS = 5
 #: both have eight, with fewer both have nine or less, and no two sizes that differ by a quarter or
 #: less are only middling and only long.
 SHORT, MIDDLING, LONG = 9, (8, 22), 15
+#: Text that a task works on in one step.
+STEP_BYTES = 1 << 20
+#: Keys of one bucket, whose least lines a task finds together, and keys in one row that is sent there.
+BUCKET_KEYS = 1 << 21
+ROW_KEYS = 128
+#: Bits of the filter of keys that two lines have, as a power of two: 16 MB in each task.
+FILTER_BITS = 27
+#: Lines of an entry that are all paired; in larger ones a rare shingle must be common.
+SMALL_ENTRY = 16
+#: Places of the counts by which shingles are called rare. Any order gives the same pairs.
+COUNTS = 1 << 18
 
 _WORD = r"[^\x20\x09-\x0D]"
-
-
-def _range(x: Column, bits: int) -> Column:
-    """Which of ``2 ** bits`` equal ranges a hash is in."""
-    return F.shiftrightunsigned(x, 64 - bits)
-
-
-def _turned(hashes: Column) -> Column:
-    """The hashes in another order, their halves changing places."""
-    return F.sort_array(F.transform(hashes, lambda x: F.shiftleft(x, 32).bitwiseOR(F.shiftrightunsigned(x, 32))))
-
-
-def _least(name: str, bits: int) -> Column:
-    """The least hash of each of ``2 ** bits`` ranges that has one, of the sorted column ``name``."""
-    new = lambda x, i: (i == 0) | (_range(x, bits) != F.coalesce(_range(F.get(name, i - 1), bits), F.lit(-1).cast("long")))
-    return F.filter(name, new)
-
-
-def _with_hashes(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``__h``, the hashes of all shingles in order, and ``__n``, their number."""
-    out = lines.withColumn("__h", F.sort_array(F.transform(_shingles(F.col("line")), lambda x: F.xxhash64(x))))
-    return out.withColumn("__n", F.size("__h"))
-
-
-def _with_least(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``__n`` and ``__least``, the least hash of each range that has one, in order."""
-    return _with_hashes(lines).withColumn("__least", _least("__h", BITS)).drop("__h")
-
-
-def _with_bands(lines: DataFrame) -> DataFrame:
-    """``lines`` with the keys by which each is a candidate, and ``__n``, the number of their shingles.
+_LOW = np.uint64((1 << 40) - 1)
+_rng = np.random.Generator(np.random.PCG64(20240307))
+_PLACE = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_TURN = np.uint64(0x9E3779B97F4A7C15)
+
+
+# --- lines and shingles -------------------------------------------------------------------------------
+
+
+class Lines:
+    """Lines with a word of some texts. row, place: which. start, end: in characters. Each character is
+    the number that its bytes make."""
+
+    def __init__(self, texts: pa.Array):
+        self.data, rows = text_bytes(texts)
+        self.at = np.flatnonzero(self.data & 0xC0 != 0x80)  # first bytes of characters
+        size = np.diff(np.append(self.at, len(self.data)))
+        self.chars = self.data[self.at].astype(np.uint64)
+        for j in range(1, int(size.max(initial=1))):
+            more = np.flatnonzero(size > j)
+            self.chars[more] = (self.chars[more] << np.uint64(8)) | self.data[self.at[more] + j]
+        row_at = np.searchsorted(self.at, rows)
+        breaks = np.flatnonzero(self.chars == 10)
+        start = np.concatenate([row_at[:-1], breaks + 1])
+        row = np.concatenate([np.arange(len(rows) - 1), np.searchsorted(row_at, breaks, "right") - 1])
+        order = np.lexsort((start, row))
+        start, row = start[order], row[order]
+        last = np.append(row[1:] != row[:-1], True)
+        end = np.where(last, row_at[row + 1], np.append(start[1:], 0) - 1)
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        blank = (self.chars == 32) | ((self.chars >= 9) & (self.chars <= 13))
+        words = np.append(0, np.cumsum(~blank))
+        kept = words[end] > words[start]
+        self.row, self.place, self.start, self.end = row[kept], place[kept], start[kept], end[kept]
+
+    def texts(self) -> pa.Array:
+        edge = np.append(self.at, len(self.data))
+        a, b = edge[self.start], edge[self.end]
+        ends = np.append(0, np.cumsum(b - a)).astype(np.int64)
+        data = self.data[ranges(a, b - a)]
+        return pa.Array.from_buffers(pa.large_string(), len(a), [None, pa.py_buffer(ends), pa.py_buffer(data.tobytes())]).cast(pa.string())
+
+    def shingles(self, some: slice) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all shingles of some lines with repeats, and the number of each line's."""
+        start, length = self.start[some], (self.end - self.start)[some]
+        a, b = (int(start[0]), int(self.end[some][-1])) if len(start) else (0, 0)
+        chars = np.append(self.chars[a:b], np.zeros(SHINGLE, np.uint64))
+        sums = np.zeros(b - a, np.uint64)
+        for j in range(SHINGLE):
+            sums += chars[j : j + b - a] * _PLACE[j]
+        size = np.maximum(length - SHINGLE + 1, 1)
+        first = np.cumsum(size) - size
+        found = sums[ranges(start - a, size)]
+        for n in range(1, SHINGLE):  # a line shorter than a shingle is one, told from others by its length
+            some_lines = np.flatnonzero(length == n)
+            at = start[some_lines] - a
+            found[first[some_lines]] = sum(chars[at + j] * _PLACE[j] for j in range(n)) + np.uint64(n) * _TURN
+        return mix(found), size
+
+
+def _steps(line: Lines) -> Iterator[slice]:
+    """Some lines at a time, by their characters."""
+    total = np.cumsum(line.end - line.start)
+    a = 0
+    while a < len(total):
+        before = total[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(total, before + STEP_BYTES, "right")))
+        yield slice(a, b)
+        a = b
+
+
+def _distinct(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Line number and upper 40 bits of the hash, each distinct one once, in order."""
+    line = np.repeat(np.arange(len(size), dtype=np.uint64), size)
+    both = np.sort((line << np.uint64(40)) | (hashes >> np.uint64(24)))
+    return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+
+
+def _bands(held: np.ndarray, bits: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of every band of four ranges that has a shingle."""
+    of = held >> np.uint64(40 - bits)
+    least = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    band = of[least] >> np.uint64(2)
+    first = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+    sums = np.add.reduceat(mix((held[least] & _LOW) * _TURN), first)
+    inside = band[first] & np.uint64((1 << bits - 2) - 1)
+    tag = np.uint64(1 + (order << 8 | bits) << 8) + inside
+    return (band[first] >> np.uint64(bits - 2)).astype(np.int64), mix(sums ^ mix(tag))
+
+
+def keys(hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of distinct shingles of each line, and (line, key) of all its keys.
 
     Of a long line the least hashes of 32 ranges, of a middling one of 16, are cut into bands of four
     ranges; the same is done in a second order of the hashes. Of a short line all shingles are a key,
     and all but any one. Lines near a border of these have keys of both kinds.
     """
-    out = _with_hashes(lines).withColumn("__t", F.when(F.col("__n") >= MIDDLING[0], _turned(F.col("__h"))))
-    n, none = F.col("__n"), F.array().cast("array<bigint>")
-    long, middling = n >= LONG, n.between(*MIDDLING)
-    signatures = {f"{x}{bits}": F.when(has, _least(x, bits)) for x in ("__h", "__t") for bits, has in ((BITS, long), (BITS - 1, middling))}
-    out = out.withColumns(signatures)
-
-    def cut(order: str, bits: int) -> list[Column]:
-        inside = lambda b: lambda x: _range(x, bits - 2) == b
-        held = [F.filter(f"{order}{bits}", inside(b)) for b in range(1 << bits - 2)]
-        return [F.when(F.size(h) > 0, F.xxhash64(F.lit(bits), F.lit(order), F.lit(b), h)) for b, h in enumerate(held)]
-
-    key = lambda h: F.xxhash64(F.lit(0), h)
-    # With fewer than five shingles only equal sets are as near as 0.8.
-    but_one = F.when(n > 4, F.transform("__h", lambda x: key(F.array_remove("__h", x)))).otherwise(none)
-    short = F.when(n <= SHORT, F.concat(F.array(key(F.col("__h"))), but_one)).otherwise(none)
-    bands = [F.when(has, F.array(*cut("__h", bits), *cut("__t", bits))).otherwise(none) for bits, has in ((BITS, long), (BITS - 1, middling))]
-    out = out.withColumn("bands", F.array_compact(F.concat(short, *bands)))
-    return out.drop("__h", "__t", *signatures)
-
-
-def _shingles(line: Column) -> Column:
-    """All distinct shingles of ``SHINGLE`` characters; of a shorter line, the line."""
-    every = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.array_distinct(F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(every))
+    held = _distinct(hashes, size)
+    line = (held >> np.uint64(40)).astype(np.int64)
+    n = np.bincount(line, minlength=len(size))
+    found = []
+    for bits, has in ((BITS, n >= LONG), (BITS - 1, (n >= MIDDLING[0]) & (n <= MIDDLING[1]))):
+        mine = held[has[line]]
+        if len(mine):
+            turned = np.sort((mine & ~_LOW) | (mix(mine & _LOW) >> np.uint64(24)))
+            found += [_bands(mine, bits, 0), _bands(turned, bits, 1)]
+    short = np.flatnonzero(n[line] <= SHORT)
+    if len(short):
+        value, of = mix(held[short] & _LOW), line[short]
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        sums = np.add.reduceat(value, first)
+        found.append((of[first], mix(sums)))
+        # With fewer than five shingles only equal sets are as near as 0.8.
+        some = n[of] > 4
+        found.append((of[some], mix(np.repeat(sums, n[of[first]]) - value)[some]))
+    lines, values = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    return n, lines, values
+
+
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line with a word, with its keys."""
+    for batch in batches:
+        total = np.cumsum(batch.column("size").to_numpy())
+        a = 0
+        while a < batch.num_rows:
+            before = total[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(total, before + STEP_BYTES, "right")))
+            rows = batch.slice(a, b - a)
+            a = b
+            lines = Lines(rows.column("text"))
+            texts = lines.texts()
+            for some in _steps(lines):
+                n, of, values = keys(*lines.shingles(some))
+                order = np.argsort(of, kind="stable")
+                ends = np.searchsorted(of[order], np.arange(len(n) + 1))
+                own = pa.array(lines.row[some])
+                columns = [rows.column(c).take(own) for c in ("doc_id", *ROW)]
+                columns += [pa.array(lines.place[some].astype(np.int32)), texts.slice(some.start, some.stop - some.start), pa.array(n.astype(np.int32))]
+                columns.append(list_column(values[order].view(np.int64), ends, pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", *ROW, "place", "line", "n", "bands"])
+
+
+# --- band entries -------------------------------------------------------------------------------------
+
+_SENT = "bucket long, bands binary, ids binary, n binary"
+
+
+def _blobs(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * values.itemsize).astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
+def _numbers(column: pa.Array, a: int, b: int, kind: str) -> np.ndarray:
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset + a : column.offset + b + 1]
+    return np.frombuffer(column.buffers()[2], kind, (at[-1] - at[0]) // np.dtype(kind).itemsize, at[0])
+
+
+def _sent(buckets: int):
+    """Keys with their lines, many of one bucket in a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column("bands")
+            values = bands.flatten().to_numpy().view(np.uint64)
+            if not len(values):
+                continue
+            times = np.diff(bands.offsets.to_numpy())
+            ids, n = np.repeat(batch.column("id").to_numpy(), times), np.repeat(batch.column("n").to_numpy(), times)
+            bucket = (((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            first = np.flatnonzero(np.diff(bucket, prepend=-1))
+            rows = -(-np.diff(np.append(first, len(bucket))) // ROW_KEYS)
+            edges = np.append(np.repeat(first, rows) + ROW_KEYS * ranges(np.zeros(len(rows), np.int64), rows), len(bucket))
+            blobs = [_blobs(x[order], edges) for x in (values, ids, n.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(bucket[first], rows)), *blobs], ["bucket", "bands", "ids", "n"])
+
+    return run
+
+
+def _least_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least line of each key that two lines have; a task holds one row per key of a bucket."""
+
+    def settled(held: list) -> list:
+        bands, ids, n, count = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((ids, bands))
+        bands, ids, n, count = bands[order], ids[order], n[order], count[order]
+        first = np.flatnonzero(np.append(True, bands[1:] != bands[:-1]))
+        return [(bands[first], ids[first], n[first], np.add.reduceat(count, first))]
+
+    def done(held: list) -> pa.RecordBatch:
+        [(bands, ids, n, count)] = settled(held)
+        two = count > 1
+        return pa.RecordBatch.from_pydict({"band": pa.array(bands[two].view(np.int64)), "a": pa.array(ids[two]), "m": pa.array(n[two]), "lines": pa.array(count[two])})
+
+    bucket, held, size, limit = None, [], 0, BUCKET_KEYS
+    for batch in batches:
+        own = batch.column("bucket").to_numpy()
+        edges = np.flatnonzero(np.append(True, np.diff(own) != 0))
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(own)]):
+            if own[a] != bucket and held:
+                yield done(held)
+                held, size, limit = [], 0, BUCKET_KEYS
+            bucket = own[a]
+            bands = _numbers(batch.column("bands"), a, b, "<u8")
+            held.append((bands, _numbers(batch.column("ids"), a, b, "<i8"), _numbers(batch.column("n"), a, b, "<i4"), np.ones(len(bands), np.int64)))
+            size += len(bands)
+            if size >= limit:
+                held = settled(held)
+                size = len(held[0][0])
+                limit = max(BUCKET_KEYS, 2 * size)
+    if held:
+        yield done(held)
+
+
+def _shared_keys(flags, bits: int):
+    """Lines by their keys, of those that meet a bit of the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(flags.value, np.uint8)
+        for batch in batches:
+            bands = batch.column("bands")
+            values = bands.flatten().to_numpy()
+            place = values.view(np.uint64) >> np.uint64(64 - bits)
+            kept = np.flatnonzero((held[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1)
+            of = pa.array(np.searchsorted(bands.offsets.to_numpy() - bands.offsets[0].as_py(), kept, "right") - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(values[kept]), batch.column("id").take(of), batch.column("n").take(of)], ["band", "id", "n"])
+
+    return run
+
+
+def _filter(spark, least: DataFrame, bits: int):
+    """The bits of all keys in ``least``, put together on the executors in 64 stretches of fixed size."""
+    stretch = 1 << bits - 6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            for s in np.unique(place // stretch).tolist():
+                held.setdefault(s, np.zeros(stretch, bool))[place[place // stretch == s] - s * stretch] = True
+        for s, flags in held.items():
+            yield pa.RecordBatch.from_pydict({"stretch": pa.array([s]), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+
+    places = least.select(F.shiftrightunsigned("band", 64 - bits).alias("place")).distinct()
+    out = np.zeros((64, stretch // 8), np.uint8)
+    for r in places.repartition(64, F.floor(F.col("place") / stretch)).mapInArrow(run, "stretch long, bits binary").collect():  # 64 rows of fixed size
+        out[r["stretch"]] = np.frombuffer(r["bits"], np.uint8)
+    return spark.sparkContext.broadcast(out.tobytes())
+
+
+# --- verification -------------------------------------------------------------------------------------
+
+
+def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and 64-bit hash of all distinct shingles, in order."""
+    lines = Lines(texts)
+    # Lines hold a word and no line end, so they are the texts.
+    hashes, size = lines.shingles(slice(0, len(lines.start)))
+    of = np.repeat(lines.row, size)
+    order = np.lexsort((hashes, of))
+    of, hashes = of[order], hashes[order]
+    new = np.append(True, (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1]))[: len(of)]
+    return of[new], hashes[new]
+
+
+def _near(percent: int):
+    """The pairs whose shingles agree to ``percent``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2000):
+                some = batch.slice(a, 2000)
+                (p, x), (q, y) = _sets(some.column("x")), _sets(some.column("y"))
+                of, both = np.concatenate([p, q]), np.concatenate([x, y])
+                order = np.lexsort((both, of))
+                of, both = of[order], both[order]
+                twice = (of[1:] == of[:-1]) & (both[1:] == both[:-1])
+                n = some.num_rows
+                common = np.bincount(of[1:][twice], minlength=n)
+                union = np.bincount(of, minlength=n) - common
+                yield some.select(["a", "b"]).filter(pa.array(100 * common >= percent * union))
+
+    return run
 
 
 def _may(n: Column, m: Column, percent: int) -> Column:
@@ -103,57 +344,104 @@ def _may(n: Column, m: Column, percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs of line ids whose shingles agree to ``percent``.
-
-    Pairs that cannot are left out first: where the least hashes of a range differ, or one line has
-    none, the smaller one belongs to a shingle that only one of the lines has, and lines of n and m
-    shingles that are near enough have at most ``(n + m) * (100 - percent) / (100 + percent)`` of these.
-    """
-    side = lambda end, line, least, n: texts.select(F.col("id").alias(end), F.col("line").alias(line), F.col("__least").alias(least), F.col("__n").alias(n))
-    full = pairs.join(side("a", "x", "p", "n"), "a").join(side("b", "y", "q", "m"), "b")
-    other = F.greatest(F.size("p"), F.size("q")) - F.size(F.array_intersect("p", "q"))
-    full = full.filter((100 + percent) * other <= (100 - percent) * (F.col("n") + F.col("m")))
-    full = full.select("a", "b", _shingles(F.col("x")).alias("x"), _shingles(F.col("y")).alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return full.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
+    side = lambda end, line: texts.select(F.col("id").alias(end), F.col("line").alias(line))
+    full = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    return full.select("a", "b", "x", "y").mapInArrow(_near(percent), "a long, b long")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(COUNTS, np.int64)
+    for batch in batches:
+        for a in range(0, batch.num_rows, 2000):
+            _, hashes = _sets(batch.column("line").slice(a, 2000))
+            total += np.bincount((hashes % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS)
+    yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(COUNTS, np.int64)
+    for batch in batches:
+        for blob in batch.column("counts").to_pylist():
+            total += np.frombuffer(blob, np.int64)
+    yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
+
+
+def _rarest(counts, percent: int):
+    """Of each line the rarest shingles, so many that lines as near as ``percent`` share one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.frombuffer(counts.value, np.int64)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2000):
+                some = batch.slice(a, 2000)
+                of, hashes = _sets(some.column("line"))
+                order = np.lexsort((hashes, often[hashes % np.uint64(COUNTS)], of))
+                of, hashes = of[order], hashes[order]
+                n = np.bincount(of, minlength=some.num_rows)
+                rank = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                kept = rank < (n - -(-percent * n // 100) + 1)[of]
+                ends = np.searchsorted(of[kept], np.arange(some.num_rows + 1))
+                yield pa.RecordBatch.from_arrays([some.column("id"), list_column(hashes[kept].view(np.int64), ends, pa.int64())], ["id", "rare"])
+
+    return run
+
+
+def _across(mixed: DataFrame, large: DataFrame, texts: DataFrame, percent: int, storage: Storage) -> DataFrame:
+    """Pairs of lines in one entry but different components: all in small entries, those with a rare
+    shingle in common in large ones."""
+    mixed = mixed.join(large, "band", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    wide = storage.table(texts.join(mixed.filter("large").select("id").distinct(), "id", "left_semi"), "large-entries")
+    spots = mixed.filter("not large").withColumn("token", F.lit(0).cast("long"))
+    if not wide.isEmpty():
+        sums = wide.mapInArrow(_counted, "counts binary").repartition(8).mapInArrow(_summed, "counts binary").collect()  # 8 rows of fixed size
+        total = sum(np.frombuffer(r["counts"], np.int64) for r in sums)
+        counts = texts.sparkSession.sparkContext.broadcast(total.tobytes())
+        rare = storage.table(wide.mapInArrow(_rarest(counts, percent), "id long, rare array<long>"), "rare")
+        tokens = mixed.filter("large").join(rare, "id").select("band", "id", "n", "component", "large", F.explode("rare").alias("token"))
+        spots = spots.unionByName(tokens)
+    x, y = spots.alias("x"), spots.alias("y")
+    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.token") == F.col("y.token"))
+    apart = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & _may(F.col("x.n"), F.col("y.n"), percent)
+    return x.join(y, same & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def line_groups(docs: DataFrame, *, percent: int = 80, key: str = "doc_id", text: str = "text", storage: Storage | None = None) -> DataFrame:
     """``(id, group, *ROW, doc_id, place, times)``: every distinct line with a word, its group, and where
     it first stands. Lines are ordered by key, NULL last, then by place in the text."""
-    storage = storage or Storage(docs.sparkSession, "fuzzy-lines")
-    rows = docs.select(column(docs, key).alias("doc_id"), column(docs, text).alias("text"), *row_hashes(docs, key, text))
-    lines = rows.select("doc_id", *ROW, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("place", "line"))
-    lines = lines.filter(F.col("line").rlike(_WORD)).withColumn("id", F.xxhash64("line"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", *ROW, "place")
-    found = _with_bands(lines).groupBy("id").agg(F.min(order).alias("at"), F.first(F.struct("bands", "__n")).alias("keys"), F.count("*").alias("times"))
-    found = storage.table(found.select("id", "at.doc_id", *[f"at.{x}" for x in ROW], "at.place", "keys.bands", F.col("keys.__n").alias("n"), "times"), "lines")
-
-    spots = found.select("id", "n", F.explode("bands").alias("band"))
-    least = spots.groupBy("band").agg(F.min(F.struct("id", "n")).alias("a"), F.max("id").alias("z")).filter("a.id < z")
-    entries = storage.table(spots.join(least, "band").select("band", "id", "n", "a"), "entries")
-    pairs = entries.filter((F.col("id") != F.col("a.id")) & _may(F.col("n"), F.col("a.n"), percent))
-    pairs = storage.table(pairs.select("a.id", F.col("id").alias("b")).toDF("a", "b").distinct(), "pairs")
-
-    # Texts of the lines that are in some entry, each from the document where it first stands.
-    asked = found.join(entries.select("id").distinct(), "id", "left_semi").groupBy(*ROW).agg(F.collect_list("place").alias("places"))
-    held = rows.select("text", *ROW).join(asked, list(ROW)).dropDuplicates(list(ROW))
-    split = F.split("text", "\n", -1)
-    texts = held.withColumn("split", split).select(F.explode(F.transform("places", lambda p: F.get("split", p))).alias("line"))
-    texts = storage.table(_with_least(texts.select(F.xxhash64("line").alias("id"), "line")), "texts")
-
-    links = storage.table(_verified(pairs, texts, percent), "links")
+    spark = docs.sparkSession
+    storage = storage or Storage(spark, "fuzzy-lines")
+    whole = F.coalesce(column(docs, text), F.lit(""))
+    rows = docs.select(column(docs, key).alias("doc_id"), *row_hashes(docs, key, text), whole.alias("text"), F.octet_length(whole).cast("long").alias("size"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    lines = rows.mapInArrow(_line_rows, f"doc_id {kind}, {', '.join(f'{x} long' for x in ROW)}, place int, line string, n int, bands array<long>")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *ROW, "place", "line", "n", "bands")
+    found = lines.groupBy(F.xxhash64("line").alias("id")).agg(F.min(order).alias("at"), F.count("*").alias("times"))
+    found = storage.table(found.select("id", "at.doc_id", *[f"at.{x}" for x in ROW], "at.place", "at.line", "at.n", "at.bands", "times"), "lines", clean=True)
+
+    total = found.agg(F.sum(F.size("bands"))).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET_KEYS))
+    sent = found.select("id", "n", "bands").mapInArrow(_sent(buckets), _SENT)
+    sent = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    least = storage.table(sent.mapInArrow(_least_lines, "band long, a long, m int, lines long"), "least", clean=True)
+    flags = _filter(spark, least, FILTER_BITS)
+    spots = found.select("id", "n", "bands").mapInArrow(_shared_keys(flags, FILTER_BITS), "band long, id long, n int")
+    entries = storage.table(spots.join(least, "band").select("band", "id", "n", "a", "m"), "entries", clean=True)
+    pairs = entries.filter((F.col("id") != F.col("a")) & _may(F.col("n"), F.col("m"), percent))
+    pairs = storage.table(pairs.select("a", F.col("id").alias("b")).distinct(), "pairs", clean=True)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(entries.select("id")).distinct()
+    texts = storage.table(found.select("id", "line").join(ends, "id", "left_semi"), "texts", clean=True)
+
+    links = storage.table(_verified(pairs, texts, percent), "links", clean=True)
     groups = components(links, storage, "first-stars")
     spots = entries.join(groups, F.col("id") == F.col("node"), "left").select("band", "id", "n", F.coalesce("component", "id").alias("component"))
     mixed = spots.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
-    spots = storage.table(spots.join(mixed, "band"), "mixed")
-    x, y = spots.alias("x"), spots.alias("y")
-    apart = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & _may(F.col("x.n"), F.col("y.n"), percent)
-    more = x.join(y, (F.col("x.band") == F.col("y.band")) & apart)
-    more = more.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = storage.table(more, "more-pairs")
+    mixed = storage.table(spots.join(mixed, "band"), "mixed", clean=True)
+    large = least.filter(F.col("lines") > SMALL_ENTRY).select("band", F.lit(True).alias("large"))
+    more = _across(mixed, large, texts, percent, storage).join(pairs, ["a", "b"], "left_anti")
+    more = storage.table(more, "more-pairs", clean=True)
     if not more.isEmpty():
         groups = with_more_links(groups, storage.table(_verified(more, texts, percent), "more-links"), storage, "more-stars")
+    flags.unpersist()
     out = found.join(groups, F.col("id") == F.col("node"), "left")
     return out.select("id", F.coalesce("component", "id").alias("group"), *ROW, "doc_id", "place", "times")
 

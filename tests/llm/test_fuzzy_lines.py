@@ -95,9 +95,45 @@ def test_equal_rows_and_empty(documents):
     assert [len(r["kept"]) for r in fuzzy_lines.kept_lines(documents([(1, None), (2, "\n \n")])).collect()] == [0, 0]
 
 
-def test_native(documents, rows):
-    plan = fuzzy_lines.kept_lines(documents(rows))._jdf.queryExecution().toString()
-    assert not re.search("Python|Pandas|MapInArrow", plan)
+def test_template_lines_make_few_pairs(documents, monkeypatch):
+    """Lines that share a key with all others, though no two of them are near: pairs in proportion to lines."""
+    made = {}
+    plain = fuzzy_lines._across
+
+    def counted(*args):
+        out = plain(*args)
+        made["pairs"] = out.count()
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "_across", counted)
+    rng = random.Random(4)
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789"
+    seen = []
+    for n in (500, 2000):
+        lines = ["Order number " + "".join(rng.choice(signs) for _ in range(12)) for _ in range(n)]
+        got = fuzzy_lines.line_groups(documents([(i, "\n".join(lines[i::20])) for i in range(20)])).collect()
+        assert len({r["group"] for r in got}) == n
+        seen.append(made["pairs"])
+    assert seen[1] <= max(8 * seen[0], 2000)
+
+
+def test_large_entries_lose_no_link(documents, monkeypatch):
+    """The rare shingles of large entries against all pairs, with every entry large or none."""
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefg ") for _ in range(60)) for _ in range(6)]
+    lines = set()
+    while len(lines) < 300:
+        x = list(rng.choice(base))
+        for _ in range(rng.randint(0, 4)):
+            x[rng.randrange(len(x))] = rng.choice("XYZ")
+        lines.add("".join(x).strip())
+    lines = sorted(lines)
+    df = documents([(i, "\n".join(lines[i::10])) for i in range(10)])
+    groups = []
+    for small in (0, 10**6):
+        monkeypatch.setattr(fuzzy_lines, "SMALL_ENTRY", small)
+        groups.append({r["id"]: r["group"] for r in fuzzy_lines.line_groups(df).collect()})
+    assert groups[0] == groups[1]
 
 
 EDITS = {
