@@ -4,17 +4,19 @@ The occurrences of all n-grams of one to ``longest`` words are dealt by hash int
 summary has more counters than its mass (the occurrences in it) divided by the threshold, so what
 a counter loses is less than the threshold and every frequent n-gram survives. Summaries add up: tasks
 send counted keys and their mass, a bucket's task folds them in one after the other. Survivors become
-bits of a filter of fixed size. The second pass counts n-grams that meet a bit, by their text and in
-Spark, and what reaches the threshold is exact. Cuts are scored by joins on these counts.
+bits of a filter of fixed size. The second pass counts n-grams that meet a bit by their text, dealt by
+bucket again, and what reaches the threshold is exact. Cuts are scored by joins on these counts.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -258,9 +260,12 @@ def _filter(found: DataFrame, bits: int) -> bytes:
 # --- second pass --------------------------------------------------------------------------------------
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_PACKED = "bucket long, lang array<string>, words array<int>, phrase array<string>, n array<long>"
 
 
 def _exact(longest: int, buckets: int, held_most: int, bits: int, broadcast):
+    """Counts of what meets a bit of the filter, many phrases of one bucket in a row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.frombuffer(broadcast.value, np.uint8)
         counts: dict[int, int] = {}
@@ -268,13 +273,22 @@ def _exact(longest: int, buckets: int, held_most: int, bits: int, broadcast):
         tokens: dict[str, int] = {}
 
         def send() -> pa.RecordBatch:
-            lang, size, phrase = zip(*names.values()) if names else ((), (), ())
-            lang, size, phrase = [*lang, *tokens], [*size, *[0] * len(tokens)], [*phrase, *[b""] * len(tokens)]
-            n = [*(counts[h] for h in names), *tokens.values()]
-            out = {"lang": pa.array(lang, pa.string()), "words": pa.array(size, pa.int32())}
-            out |= {"phrase": pa.array(phrase, pa.binary()).cast(pa.string()), "n": pa.array(n, pa.int64())}
+            for lang, n in tokens.items():  # the words of a language count as a phrase of no words
+                names[-1 - len(names)] = (lang, 0, b"")
+                counts[-len(names)] = n
+            keys = np.array([h if h >= 0 else zlib.crc32(names[h][0].encode()) << 32 for h in names], np.uint64)
+            bucket = (bucketed(keys, buckets) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            size = np.diff(np.append(first, len(order)))
+            rows = -(-size // ROW_KEYS)
+            edges = np.append(np.repeat(first, rows) + ROW_KEYS * ranges(np.zeros(len(rows), np.int64), rows), len(order))
+            lang, words, phrase = zip(*names.values())
+            by_bucket, ends = pa.array(order), pa.array(edges.astype(np.int32))
+            columns = [pa.array(lang, pa.string()), pa.array(words, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array([counts[h] for h in names], pa.int64())]
+            packed = [pa.ListArray.from_arrays(ends, x.take(by_bucket)) for x in columns]
             counts.clear(), names.clear(), tokens.clear()
-            return pa.RecordBatch.from_pydict(out)
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(bucket[order][first], rows)), *packed], ["bucket", "lang", "words", "phrase", "n"])
 
         for grams in _steps(batches):
             per_lang = np.bincount(grams.lang[grams.row], minlength=len(grams.langs))
@@ -302,6 +316,40 @@ def _exact(longest: int, buckets: int, held_most: int, bits: int, broadcast):
     return run
 
 
+def _added(threshold: int):
+    """The sums of all phrases that reach the threshold, one bucket after the other."""
+    columns = ["lang", "words", "phrase", "n"]
+
+    def added(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by(columns[:3]).aggregate([("n", "sum")]).rename_columns(columns)
+
+    def done(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        sums = added(held)
+        keep = pc.or_(pc.equal(sums["words"], 0), pc.greater_equal(sums["n"], threshold))
+        yield from sums.filter(keep).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held, size, limit = None, [], 0, HELD
+        for batch in batches:
+            own = batch.column("bucket").to_numpy()
+            edges = np.flatnonzero(np.append(True, np.diff(own) != 0))
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(own)]):
+                if own[a] != bucket and held:
+                    yield from done(held)
+                    held, size, limit = [], 0, HELD
+                bucket = own[a]
+                held.append(pa.table([batch.column(x).slice(a, b - a).flatten() for x in columns], columns))
+                size += len(held[-1])
+                if size >= limit:
+                    held = [added(held)]
+                    size = len(held[0])
+                    limit = max(HELD, 2 * size)
+        if held:
+            yield from done(held)
+
+    return run
+
+
 def phrase_counts(
     docs: DataFrame,
     *,
@@ -332,9 +380,10 @@ def phrase_counts(
     dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
     found = storage.table(dealt.mapInArrow(_survivors(threshold, filter_bits, slack), "place long"), "places", clean=True)
     flags = spark.sparkContext.broadcast(_filter(found, filter_bits))  # fixed size
-    counted = rows.mapInArrow(_exact(longest, buckets, held, filter_bits, flags), "lang string, words int, phrase string, n long")
-    counted = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    out = storage.table(counted.filter((F.col("words") == 0) | (F.col("n") >= threshold)), "counts", clean=True)
+    packed = rows.mapInArrow(_exact(longest, buckets, held, filter_bits, flags), _PACKED)
+    packed = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    counted = packed.mapInArrow(_added(threshold), "lang string, words int, phrase string, n long")
+    out = storage.table(counted, "counts", clean=True)
     flags.unpersist()
     storage.drop("places")
     return out
