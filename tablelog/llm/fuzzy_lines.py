@@ -1,11 +1,11 @@
 """Nearly equal lines by MinHash, one line of each group kept (operator 3).
 
-1. Every line with a word has a signature: all its character shingles are hashed, and of 32 ranges of
-   hashes each gives its least. Four ranges are a band; lines that agree in a band are candidates.
-   There are two such signatures by different orders of the hashes, so lines of Jaccard similarity
-   0.8 agree in one of the sixteen bands with a probability of about 0.9998. Lines of 8 to 22
-   shingles have 16 ranges and eight bands (about 0.996); short ones are candidates if all their
-   shingles, or all but one, agree, which no pair of 0.8 fails.
+1. Every line with a word has a signature: all its character shingles are hashed, and of 64 ranges of
+   hashes each gives its least. Five ranges are a band; lines that agree in a band are candidates,
+   which those of Jaccard similarity 0.8 are with a probability of about 0.995 (0.9998 at 0.87). Lines
+   of 15 to 60 shingles have 32 ranges in two orders of the hashes and 16 bands of four (0.9998), those
+   of 8 to 22 half as many (0.996); short ones are candidates if all their shingles, or all but one,
+   agree, which no pair of 0.8 fails.
 2. Equal lines are one line from here on. In each band entry all lines are paired with the least one;
    pairs are verified by the exact Jaccard similarity of all their character shingles, and linked
    lines form components.
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +34,13 @@ from tablelog.llm.words import list_column, mix, ranges, text_bytes
 
 #: Characters of a shingle.
 SHINGLE = 5
-#: A long signature has the least hash of each of 2 ** BITS ranges, in 8 bands; a middling one half of both.
-BITS = 5
-#: Shingles of a short line at most; of a middling one at least and at most; of a long one at least.
+#: Signatures of lines with so many shingles: ranges as a power of two, ranges of a band, orders of the hashes.
 #: Lines of Jaccard similarity 0.8 have keys of one kind: with ten shingles or more in their union
-#: both have eight, with fewer both have nine or less, and no two sizes that differ by a quarter or
-#: less are only middling and only long.
-SHORT, MIDDLING, LONG = 9, (8, 22), 15
+#: both have eight, with fewer both have nine or less, and two sizes of different kinds alone differ
+#: by more than a quarter.
+SIGNATURES = (((48, 1 << 40), 6, 5, 1), ((15, 60), 5, 4, 2), ((8, 22), 4, 4, 2))
+#: Shingles of a short line at most.
+SHORT = 9
 #: Text that a task works on in one step.
 STEP_BYTES = 1 << 20
 #: Keys of one bucket, whose least lines a task finds together, and keys in one row that is sent there.
@@ -54,6 +55,7 @@ COUNTS = 1 << 18
 
 _WORD = r"[^\x20\x09-\x0D]"
 _LOW = np.uint64((1 << 40) - 1)
+_KEPT = np.uint64(24)
 _rng = np.random.Generator(np.random.PCG64(20240307))
 _PLACE = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TURN = np.uint64(0x9E3779B97F4A7C15)
@@ -109,8 +111,17 @@ class Lines:
         for n in range(1, SHINGLE):  # a line shorter than a shingle is one, told from others by its length
             some_lines = np.flatnonzero(length == n)
             at = start[some_lines] - a
-            found[first[some_lines]] = sum(chars[at + j] * _PLACE[j] for j in range(n)) + np.uint64(n) * _TURN
-        return mix(found), size
+            found[first[some_lines]] = sum(chars[at + j] * _PLACE[j] for j in range(n)) + mix(np.full(1, n, np.uint64))
+        return _spread(found), size
+
+
+def _spread(sums: np.ndarray) -> np.ndarray:
+    """Sums with random factors, which tell shingles apart, in an order that has nothing of theirs."""
+    sums ^= sums >> np.uint64(32)
+    sums *= _TURN
+    sums ^= sums >> np.uint64(29)
+    sums *= np.uint64(0xBF58476D1CE4E5B9)
+    return sums
 
 
 def _steps(line: Lines) -> Iterator[slice]:
@@ -131,34 +142,34 @@ def _distinct(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
     return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
 
 
-def _bands(held: np.ndarray, bits: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of every band of four ranges that has a shingle."""
+def _bands(held: np.ndarray, bits: int, width: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of every band of ``width`` ranges that has a shingle."""
     of = held >> np.uint64(40 - bits)
     least = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-    band = of[least] >> np.uint64(2)
-    first = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+    of = of[least]
+    line, band = (of >> np.uint64(bits)).astype(np.int64), (of & np.uint64((1 << bits) - 1)) // np.uint64(width)
+    first = np.flatnonzero(np.append(True, (line[1:] != line[:-1]) | (band[1:] != band[:-1])))
     sums = np.add.reduceat(mix((held[least] & _LOW) * _TURN), first)
-    inside = band[first] & np.uint64((1 << bits - 2) - 1)
-    tag = np.uint64(1 + (order << 8 | bits) << 8) + inside
-    return (band[first] >> np.uint64(bits - 2)).astype(np.int64), mix(sums ^ mix(tag))
+    tag = np.uint64(1 + (order << 8 | bits) << 8) + band[first]
+    return line[first], mix(sums ^ mix(tag))
 
 
 def keys(hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The number of distinct shingles of each line, and (line, key) of all its keys.
 
-    Of a long line the least hashes of 32 ranges, of a middling one of 16, are cut into bands of four
-    ranges; the same is done in a second order of the hashes. Of a short line all shingles are a key,
-    and all but any one. Lines near a border of these have keys of both kinds.
+    The least hashes of all ranges are cut into bands, which are keys; where there are two orders of the
+    hashes the same is done in the second. Of a short line all shingles are a key, and all but any
+    one. Lines near a border of these have keys of both kinds.
     """
     held = _distinct(hashes, size)
     line = (held >> np.uint64(40)).astype(np.int64)
     n = np.bincount(line, minlength=len(size))
     found = []
-    for bits, has in ((BITS, n >= LONG), (BITS - 1, (n >= MIDDLING[0]) & (n <= MIDDLING[1]))):
-        mine = held[has[line]]
-        if len(mine):
-            turned = np.sort((mine & ~_LOW) | (mix(mine & _LOW) >> np.uint64(24)))
-            found += [_bands(mine, bits, 0), _bands(turned, bits, 1)]
+    for (low, high), bits, width, orders in SIGNATURES:
+        mine = held[((n >= low) & (n <= high))[line]]
+        for order in range(orders if len(mine) else 0):
+            turned = np.sort((mine & ~_LOW) | (mix(mine & _LOW) >> _KEPT)) if order else mine
+            found.append(_bands(turned, bits, width, order))
     short = np.flatnonzero(n[line] <= SHORT)
     if len(short):
         value, of = mix(held[short] & _LOW), line[short]
@@ -318,22 +329,53 @@ def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return of[new], hashes[new]
 
 
+def _overlap(x: pa.Array, y: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in common and in all of each pair of texts, exactly."""
+    (p, a), (q, b) = _sets(x), _sets(y)
+    of, both = np.concatenate([p, q]), np.concatenate([a, b])
+    order = np.lexsort((both, of))
+    of, both = of[order], both[order]
+    twice = (of[1:] == of[:-1]) & (both[1:] == both[:-1])
+    common = np.bincount(of[1:][twice], minlength=len(x))
+    return common, np.bincount(of, minlength=len(x)) - common
+
+
+def _near_overlap(x: pa.Array, y: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same by 40 bits of the hashes, in one sort: an equal pair of bits is rarely off by one."""
+    sides = []
+    for texts in (x, y):
+        lines = Lines(texts)
+        sides.append(_distinct(*lines.shingles(slice(0, len(lines.start)))))
+    both = np.sort(np.concatenate(sides))
+    of = (both >> np.uint64(40)).astype(np.int64)
+    common = np.bincount(of[1:][both[1:] == both[:-1]], minlength=len(x))
+    return common, np.bincount(of, minlength=len(x)) - common
+
+
+#: Shingles that 40 bits of all hashes of a pair may be wrong by. More has a chance of 10 ** -18 or so.
+_OFF = 3
+
+
 def _near(percent: int):
     """The pairs whose shingles agree to ``percent``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                some = batch.slice(a, 2000)
-                (p, x), (q, y) = _sets(some.column("x")), _sets(some.column("y"))
-                of, both = np.concatenate([p, q]), np.concatenate([x, y])
-                order = np.lexsort((both, of))
-                of, both = of[order], both[order]
-                twice = (of[1:] == of[:-1]) & (both[1:] == both[:-1])
-                n = some.num_rows
-                common = np.bincount(of[1:][twice], minlength=n)
-                union = np.bincount(of, minlength=n) - common
-                yield some.select(["a", "b"]).filter(pa.array(100 * common >= percent * union))
+            size = np.cumsum(pc.add(pc.binary_length(batch.column("x")), pc.binary_length(batch.column("y"))).to_numpy())
+            a = 0
+            while a < batch.num_rows:
+                before = size[a - 1] if a else 0
+                b = max(a + 1, int(np.searchsorted(size, before + STEP_BYTES, "right")))
+                some = batch.slice(a, b - a)
+                a = b
+                x, y = some.column("x"), some.column("y")
+                common, union = _near_overlap(x, y)
+                good = 100 * common >= percent * union
+                close = np.flatnonzero(np.abs(100 * common - percent * union) <= (100 + percent) * _OFF)
+                if len(close):
+                    common, union = _overlap(x.take(pa.array(close)), y.take(pa.array(close)))
+                    good[close] = 100 * common >= percent * union
+                yield some.select(["a", "b"]).filter(pa.array(good))
 
     return run
 
