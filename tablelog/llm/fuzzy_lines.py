@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tablelog.llm.components import components, with_more_links
 from tablelog.llm.storage import ROW, Storage, column, row_hashes
-from tablelog.llm.words import list_column, mix, ranges, text_bytes
+from tablelog.llm.words import list_column, mix, piece_hashes, ranges, text_bytes
 
 #: Characters of a shingle.
 SHINGLE = 5
@@ -42,7 +42,7 @@ SIGNATURES = (((48, 1 << 40), 6, 5, 1), ((15, 60), 5, 4, 2), ((8, 22), 4, 4, 2))
 #: Shingles of a short line at most.
 SHORT = 9
 #: Text that a task works on in one step.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 17
 #: Keys of one bucket, whose least lines a task finds together, and keys in one row that is sent there.
 BUCKET_KEYS = 1 << 21
 ROW_KEYS = 128
@@ -90,12 +90,19 @@ class Lines:
         kept = words[end] > words[start]
         self.row, self.place, self.start, self.end = row[kept], place[kept], start[kept], end[kept]
 
-    def texts(self) -> pa.Array:
+    def ids(self) -> np.ndarray:
+        """A hash of the bytes of each line."""
+        data, ends = self._bytes(slice(None))
+        return piece_hashes(data, ends[:-1]).view(np.int64)
+
+    def texts(self, some: np.ndarray) -> pa.Array:
+        data, ends = self._bytes(some)
+        return pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data.tobytes())]).cast(pa.string())
+
+    def _bytes(self, some) -> tuple[np.ndarray, np.ndarray]:
         edge = np.append(self.at, len(self.data))
-        a, b = edge[self.start], edge[self.end]
-        ends = np.append(0, np.cumsum(b - a)).astype(np.int64)
-        data = self.data[ranges(a, b - a)]
-        return pa.Array.from_buffers(pa.large_string(), len(a), [None, pa.py_buffer(ends), pa.py_buffer(data.tobytes())]).cast(pa.string())
+        a, b = edge[self.start[some]], edge[self.end[some]]
+        return self.data[ranges(a, b - a)], np.append(0, np.cumsum(b - a)).astype(np.int64)
 
     def shingles(self, some: slice) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all shingles of some lines with repeats, and the number of each line's."""
@@ -183,27 +190,51 @@ def keys(hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return n, lines, values
 
 
-def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every line with a word, with its keys."""
+def _text_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Lines]]:
+    """Some rows at a time, by the bytes of their texts."""
     for batch in batches:
         total = np.cumsum(batch.column("size").to_numpy())
         a = 0
         while a < batch.num_rows:
             before = total[a - 1] if a else 0
             b = max(a + 1, int(np.searchsorted(total, before + STEP_BYTES, "right")))
-            rows = batch.slice(a, b - a)
+            yield batch.slice(a, b - a), Lines(batch.column("text").slice(a, b - a))
             a = b
-            lines = Lines(rows.column("text"))
-            texts = lines.texts()
-            for some in _steps(lines):
-                n, of, values = keys(*lines.shingles(some))
-                order = np.argsort(of, kind="stable")
-                ends = np.searchsorted(of[order], np.arange(len(n) + 1))
-                own = pa.array(lines.row[some])
-                columns = [rows.column(c).take(own) for c in ("doc_id", *ROW)]
-                columns += [pa.array(lines.place[some].astype(np.int32)), texts.slice(some.start, some.stop - some.start), pa.array(n.astype(np.int32))]
-                columns.append(list_column(values[order].view(np.int64), ends, pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", *ROW, "place", "line", "n", "bands"])
+
+
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line with a word, with its keys."""
+    for rows, lines in _text_steps(batches):
+        ids = lines.ids()
+        for some in _steps(lines):
+            n, of, values = keys(*lines.shingles(some))
+            order = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[order], np.arange(len(n) + 1))
+            own = pa.array(lines.row[some])
+            columns = [pa.array(ids[some]), *(rows.column(c).take(own) for c in ("doc_id", *ROW))]
+            columns += [pa.array(lines.place[some].astype(np.int32)), pa.array(n.astype(np.int32))]
+            columns.append(list_column(values[order].view(np.int64), ends, pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, ["id", "doc_id", *ROW, "place", "n", "bands"])
+
+
+def _wanted_lines(flags, bits: int):
+    """The texts of lines whose id meets a bit of the filter, each once in a step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(flags.value, np.uint8)
+        for _, lines in _text_steps(batches):
+            ids = lines.ids()
+            kept = np.flatnonzero(_meets(held, ids, bits))
+            _, first = np.unique(ids[kept], return_index=True)
+            kept = kept[first]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[kept]), lines.texts(kept)], ["id", "line"])
+
+    return run
+
+
+def _meets(held: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    place = hashes.view(np.uint64) >> np.uint64(64 - bits)
+    return (held[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 # --- band entries -------------------------------------------------------------------------------------
@@ -286,16 +317,15 @@ def _shared_keys(flags, bits: int):
         for batch in batches:
             bands = batch.column("bands")
             values = bands.flatten().to_numpy()
-            place = values.view(np.uint64) >> np.uint64(64 - bits)
-            kept = np.flatnonzero((held[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1)
+            kept = np.flatnonzero(_meets(held, values, bits))
             of = pa.array(np.searchsorted(bands.offsets.to_numpy() - bands.offsets[0].as_py(), kept, "right") - 1)
             yield pa.RecordBatch.from_arrays([pa.array(values[kept]), batch.column("id").take(of), batch.column("n").take(of)], ["band", "id", "n"])
 
     return run
 
 
-def _filter(spark, least: DataFrame, bits: int):
-    """The bits of all keys in ``least``, put together on the executors in 64 stretches of fixed size."""
+def _filter(spark, hashes: DataFrame, bits: int):
+    """The bits of all hashes in the one column, put together on the executors in 64 stretches of fixed size."""
     stretch = 1 << bits - 6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +337,7 @@ def _filter(spark, least: DataFrame, bits: int):
         for s, flags in held.items():
             yield pa.RecordBatch.from_pydict({"stretch": pa.array([s]), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
 
-    places = least.select(F.shiftrightunsigned("band", 64 - bits).alias("place")).distinct()
+    places = hashes.select(F.shiftrightunsigned(hashes.columns[0], 64 - bits).alias("place")).distinct()
     out = np.zeros((64, stretch // 8), np.uint8)
     for r in places.repartition(64, F.floor(F.col("place") / stretch)).mapInArrow(run, "stretch long, bits binary").collect():  # 64 rows of fixed size
         out[r["stretch"]] = np.frombuffer(r["bits"], np.uint8)
@@ -428,10 +458,9 @@ def _rarest(counts, percent: int):
     return run
 
 
-def _across(mixed: DataFrame, large: DataFrame, texts: DataFrame, percent: int, storage: Storage) -> DataFrame:
+def _across(mixed: DataFrame, texts: DataFrame, percent: int, storage: Storage) -> DataFrame:
     """Pairs of lines in one entry but different components: all in small entries, those with a rare
     shingle in common in large ones."""
-    mixed = mixed.join(large, "band", "left").withColumn("large", F.coalesce("large", F.lit(False)))
     wide = storage.table(texts.join(mixed.filter("large").select("id").distinct(), "id", "left_semi"), "large-entries")
     spots = mixed.filter("not large").withColumn("token", F.lit(0).cast("long"))
     if not wide.isEmpty():
@@ -455,35 +484,48 @@ def line_groups(docs: DataFrame, *, percent: int = 80, key: str = "doc_id", text
     whole = F.coalesce(column(docs, text), F.lit(""))
     rows = docs.select(column(docs, key).alias("doc_id"), *row_hashes(docs, key, text), whole.alias("text"), F.octet_length(whole).cast("long").alias("size"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    lines = rows.mapInArrow(_line_rows, f"doc_id {kind}, {', '.join(f'{x} long' for x in ROW)}, place int, line string, n int, bands array<long>")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", *ROW, "place", "line", "n", "bands")
-    found = lines.groupBy(F.xxhash64("line").alias("id")).agg(F.min(order).alias("at"), F.count("*").alias("times"))
-    found = storage.table(found.select("id", "at.doc_id", *[f"at.{x}" for x in ROW], "at.place", "at.line", "at.n", "at.bands", "times"), "lines", clean=True)
+    lines = rows.mapInArrow(_line_rows, f"id long, doc_id {kind}, {', '.join(f'{x} long' for x in ROW)}, place int, n int, bands array<long>")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *ROW, "place", "n", "bands")
+    found = lines.groupBy("id").agg(F.min(order).alias("at"), F.count("*").alias("times"))
+    found = storage.table(found.select("id", "at.doc_id", *[f"at.{x}" for x in ROW], "at.place", "at.n", "at.bands", "times"), "lines", clean=True)
 
     total = found.agg(F.sum(F.size("bands"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_KEYS))
     sent = found.select("id", "n", "bands").mapInArrow(_sent(buckets), _SENT)
     sent = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     least = storage.table(sent.mapInArrow(_least_lines, "band long, a long, m int, lines long"), "least", clean=True)
-    flags = _filter(spark, least, FILTER_BITS)
+    flags = _filter(spark, least.select("band"), FILTER_BITS)
     spots = found.select("id", "n", "bands").mapInArrow(_shared_keys(flags, FILTER_BITS), "band long, id long, n int")
-    entries = storage.table(spots.join(least, "band").select("band", "id", "n", "a", "m"), "entries", clean=True)
+    large = F.col("lines") > SMALL_ENTRY
+    entries = storage.table(spots.join(least, "band").select("band", "id", "n", "a", "m", large.alias("large")), "entries", clean=True)
+    flags.unpersist()
+    storage.drop("least")
     pairs = entries.filter((F.col("id") != F.col("a")) & _may(F.col("n"), F.col("m"), percent))
     pairs = storage.table(pairs.select("a", F.col("id").alias("b")).distinct(), "pairs", clean=True)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(entries.select("id")).distinct()
-    texts = storage.table(found.select("id", "line").join(ends, "id", "left_semi"), "texts", clean=True)
+    entries = entries.drop("a", "m")
+
+    # Texts of the lines in entries, from a second look at the documents.
+    asked = storage.table(entries.select("id").distinct(), "asked")
+    flags = _filter(spark, asked, FILTER_BITS)
+    texts = rows.select("text", "size").mapInArrow(_wanted_lines(flags, FILTER_BITS), "id long, line string")
+    texts = storage.table(texts.join(asked, "id", "left_semi").dropDuplicates(["id"]), "texts", clean=True)
+    flags.unpersist()
+    storage.drop("asked")
 
     links = storage.table(_verified(pairs, texts, percent), "links", clean=True)
     groups = components(links, storage, "first-stars")
-    spots = entries.join(groups, F.col("id") == F.col("node"), "left").select("band", "id", "n", F.coalesce("component", "id").alias("component"))
+    spots = entries.join(groups, F.col("id") == F.col("node"), "left").select("band", "id", "n", "large", F.coalesce("component", "id").alias("component"))
     mixed = spots.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
     mixed = storage.table(spots.join(mixed, "band"), "mixed", clean=True)
-    large = least.filter(F.col("lines") > SMALL_ENTRY).select("band", F.lit(True).alias("large"))
-    more = _across(mixed, large, texts, percent, storage).join(pairs, ["a", "b"], "left_anti")
+    storage.drop("entries")
+    more = _across(mixed, texts, percent, storage).join(pairs, ["a", "b"], "left_anti")
     more = storage.table(more, "more-pairs", clean=True)
+    storage.drop("pairs")
+    storage.drop("mixed")
     if not more.isEmpty():
-        groups = with_more_links(groups, storage.table(_verified(more, texts, percent), "more-links"), storage, "more-stars")
-    flags.unpersist()
+        links = storage.table(_verified(more, texts, percent), "more-links", clean=True)
+        groups = with_more_links(groups, links, storage, "more-stars")
+    storage.drop("texts")
     out = found.join(groups, F.col("id") == F.col("node"), "left")
     return out.select("id", F.coalesce("component", "id").alias("group"), *ROW, "doc_id", "place", "times")
 
