@@ -16,13 +16,14 @@ from tablelog.operators.latest import as_of, one_per_key
 from tablelog.operators.ledger import ledger_merge
 from tablelog.operators.snapshot import snapshot_merge
 from tablelog.operators.strategy import merge_strategy
-from tablelog.plans.ingest import IngestTask, Source, ingest, ingest_all, merge_with_existing
-from tablelog.plans.preprocess import preprocess
+from tablelog.plans.ingest import IngestTask, Source, TableOutcome, ingest, ingest_all, ingest_tables, merge_with_existing
+from tablelog.plans.preprocess import SqlFunction, preprocess
 from tablelog.sources.archive import archive_members, expand_archives
 from tablelog.sources.geojson import parse_geojson, read_geojson
 from tablelog.sources.history import CommitRecord, commit, read_history, read_log, table_digest, verify_history
 from tablelog.sources.readers import CorruptRecords, corrupt_records, read_raw, reject_corrupt
 from tablelog.sources.state import StateTable, fold_state, read_latest
+from tablelog.streaming.ledger import poll_ledger
 from tablelog.streaming.polling import poll
 from tablelog.vocab import Codes, Vocabulary
 
@@ -34,7 +35,9 @@ __all__ = [
     "PastEventTime",
     "SchemaDrift",
     "Source",
+    "SqlFunction",
     "StateTable",
+    "TableOutcome",
     "Vocabulary",
     "append_merge",
     "archive_members",
@@ -49,6 +52,7 @@ __all__ = [
     "fold_state",
     "ingest",
     "ingest_all",
+    "ingest_tables",
     "ledger_merge",
     "merge_strategy",
     "merge_with_existing",
@@ -56,6 +60,7 @@ __all__ = [
     "one_per_key",
     "parse_geojson",
     "poll",
+    "poll_ledger",
     "preprocess",
     "read_geojson",
     "read_history",

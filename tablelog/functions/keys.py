@@ -18,10 +18,12 @@ from tablelog.functions.columns import contains_map, ref
 
 # A key with this many rows is split, into pieces of about so many.
 HOT_ROWS = 1_000_000
-# Keys are sketched in so many classes by hash, and in each the heaviest are reported. A key is
-# certain to be reported if it has over 7/16384 of its class's rows, about 7 in a million of all.
+# Keys are sketched in as many classes by hash as it takes for the heaviest of each, so many at most, to be
+# all that can be heavy; and with so many counters for each row count that makes a key heavy, within limits. A
+# key is certain to be reported if it has over 7 rows for each counter and class's share of the rows.
 SKETCH_CLASSES = 64
-SKETCH_COUNTERS = 16_384
+SKETCH_COUNTERS = (1024, 16_384)
+COUNTERS_PER_HEAVY = 16
 REPORTED = 1024
 # Sketches are merged in two steps, this many side by side in the first.
 SKETCH_GROUPS = 256
@@ -104,25 +106,29 @@ class KeyProfile:
 
 
 def profile_keys(df: DataFrame, key: NullSafeKey, hot_rows: int = HOT_ROWS) -> KeyProfile:
-    """Rows and heavy keys of a batch: one scan of its key columns, no key shuffle.
+    """Rows and heavy keys of a batch: a count, and for large batches a scan of the key columns.
 
-    Each task sends frequent-items sketches, one per class of hashes. The sketches only steer the
-    plan: a key they miss or overrate is joined correctly either way.
+    A batch of ``hot_rows`` rows or fewer has no heavy key. Of a larger one each task sends
+    frequent-items sketches, mostly one of a few hundred kilobytes. They only steer the plan: a key
+    they miss or overrate is joined correctly either way.
     """
     hashed = df.select(*key.columns).select(key.hash().alias("h"), (F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
+    rows = hashed.count()
+    if rows <= hot_rows:
+        return KeyProfile(rows, {})
+    heavy = -(-rows // max(1, hot_rows))
+    classes = min(SKETCH_CLASSES, -(-heavy // REPORTED))
+    wanted = 1 << (COUNTERS_PER_HEAVY * heavy // classes - 1).bit_length()
+    counters = min(max(wanted, SKETCH_COUNTERS[0]), SKETCH_COUNTERS[1])
     sketches = (
-        hashed.groupBy("part", F.pmod(F.shiftright("h", 32), F.lit(SKETCH_CLASSES)).alias("class"))
-        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_COUNTERS})").alias("sketch"), F.count(F.lit(1)).alias("n"))
+        hashed.groupBy("part", F.pmod(F.shiftright("h", 32), F.lit(classes)).alias("class"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {counters})").alias("sketch"))
         .groupBy("class")
-        .agg(
-            F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_COUNTERS}), {REPORTED})").alias("top"),
-            F.sum("n").alias("n"),
-        )
+        .agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {counters}), {REPORTED})").alias("top"))
     )
-    heavy = F.filter("top", lambda t: t["count"] >= hot_rows)
-    found = sketches.select("n", heavy.alias("top")).collect()  # one row per class
+    found = sketches.select(F.filter("top", lambda t: t["count"] >= hot_rows).alias("top")).collect()  # one row per class
     hot = {t["item"]: -(-t["count"] // hot_rows) for row in found for t in row["top"]}
-    return KeyProfile(sum(row["n"] for row in found), {h: n for h, n in hot.items() if n > 1})
+    return KeyProfile(rows, {h: n for h, n in hot.items() if n > 1})
 
 
 def with_pieces(df: DataFrame, key: NullSafeKey, profile: KeyProfile) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import logging
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablelog.functions.columns import normalise_columns
 from tablelog.operators.strategy import Merge, merge_strategy
-from tablelog.plans.preprocess import ENGINE, Step, preprocess
+from tablelog.plans.preprocess import ENGINE, SqlFunction, Step, preprocess
 from tablelog.sources.archive import archive_members
 from tablelog.sources.geojson import read_geojson
 from tablelog.sources.history import CommitRecord, TableLog, commit, open_log, read_history
@@ -43,6 +44,8 @@ class Source:
     schema: tuple[str, ...] = ()
     strict: bool = True
     lines: bool = False
+    # Split large GeoJSON collections between features; see ``read_geojson``.
+    split: bool = False
     sub_path_regex: str | None = None
     decoder: Callable[[DataFrame], DataFrame] | None = None
     preprocess: tuple[Step, ...] = ()
@@ -55,6 +58,10 @@ class Source:
     # Keep the parsed file on the executors: the gate and the merge read it more than once. None: if
     # it is text to parse, or has SQL steps.
     persist: bool | None = None
+    # Functions in SQL that the steps may use.
+    functions: tuple[SqlFunction, ...] = ()
+    # Keep steps on the executors that others read more than once.
+    share_steps: bool = True
     # Called with the session of each task, to register functions or set options.
     setup: Callable[[SparkSession], None] | None = None
 
@@ -101,7 +108,7 @@ def _read_generic(spark: SparkSession, source: Source, path: str, vocab: Vocabul
 
 
 def _read_geojson(spark: SparkSession, source: Source, path: str, vocab: Vocabulary) -> DataFrame:
-    return read_geojson(spark, path, lines=source.lines, corrupt_column=vocab.corrupt_record)
+    return read_geojson(spark, path, lines=source.lines, corrupt_column=vocab.corrupt_record, split=source.split)
 
 
 def _read_shapefile(spark: SparkSession, source: Source, path: str, vocab: Vocabulary) -> DataFrame:
@@ -148,7 +155,7 @@ def merge_with_existing(
 def task_session(spark: SparkSession, source: Source) -> SparkSession:
     """A session of the task's own, so that its views, functions and options end with it.
 
-    It has the options of ``spark``; ``source.setup`` may add functions and more.
+    It has the options of ``spark`` and the functions that ``source`` declares; ``source.setup`` may add more.
     """
     own = spark.newSession()
     for name, value in spark.conf.getAll.items():
@@ -156,6 +163,8 @@ def task_session(spark: SparkSession, source: Source) -> SparkSession:
             own.conf.set(name, value)
     if source.setup:
         source.setup(own)
+    for function in source.functions:
+        function.declare(own)
     return own
 
 
@@ -175,13 +184,14 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
     raw = read_source(spark, source, task.data_to_ingest, vocab)
     if source.persists():
         raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    shared: list[DataFrame] = []
     try:
         # A merge reads every row, so the check can ride along; the user's SQL may skip some.
         eager = source.persists() or bool(source.preprocess)
         checked = reject_corrupt(raw, vocab.corrupt_record, eager)
         declared = source.kind == "generic" and source.schema
         named = checked if declared else normalise_columns(checked)
-        batch = preprocess(named, source.preprocess, source.preprocess_engine)
+        batch = preprocess(named, source.preprocess, source.preprocess_engine, shared if source.share_steps else None)
         rows = merge_with_existing(
             batch,
             merge_strategy(source.merge, vocab=vocab, **source.merge_params),
@@ -210,6 +220,8 @@ def ingest(spark: SparkSession, task: IngestTask) -> CommitRecord:
             show_corrupt(raw, vocab.corrupt_record)
         raise
     finally:
+        for frame in shared:
+            frame.unpersist()
         if source.persists():
             raw.unpersist()
     if state is not None and record.sequence - state.newest(spark, table_log) >= task.state_commits:
@@ -223,3 +235,47 @@ def ingest_all(spark: SparkSession, tasks: Iterable[IngestTask]) -> list[CommitR
     if not tasks:
         log.warning("Nothing to ingest")
     return [ingest(spark, task) for task in tasks]
+
+
+@dataclass(frozen=True)
+class TableOutcome:
+    """What became of one table's tasks: the records of those done, the task that failed and its error,
+    and those that were not tried after it."""
+
+    data_dir: str
+    records: tuple[CommitRecord, ...]
+    failed: IngestTask | None = None
+    error: Exception | None = None
+    left: tuple[IngestTask, ...] = ()
+
+
+def ingest_tables(spark: SparkSession, tasks: Iterable[IngestTask], *, at_once: int = 4) -> list[TableOutcome]:
+    """Run the tasks of different tables side by side, those of one table in order.
+
+    Up to ``at_once`` tables share the executors, each in a scheduler pool of its own, so that with
+    ``spark.scheduler.mode=FAIR`` a small one does not wait for a large one. When a task fails, the
+    later ones of its table are left, since they build on it; other tables go on.
+    """
+    by_table: dict[str, list[IngestTask]] = {}
+    for task in tasks:
+        by_table.setdefault(task.data_dir.rstrip("/"), []).append(task)
+
+    def run(item: tuple[str, list[IngestTask]]) -> TableOutcome:
+        data_dir, own = item
+        context = spark.sparkContext
+        before = context.getLocalProperty("spark.scheduler.pool")
+        context.setLocalProperty("spark.scheduler.pool", data_dir)
+        records: list[CommitRecord] = []
+        try:
+            for i, task in enumerate(own):
+                try:
+                    records.append(ingest(spark, task))
+                except Exception as e:  # reported to the caller, table by table
+                    log.error("Ingesting %s into %s failed: %s", task.data_to_ingest, data_dir, e)
+                    return TableOutcome(data_dir, tuple(records), task, e, tuple(own[i + 1 :]))
+            return TableOutcome(data_dir, tuple(records))
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", before)
+
+    with ThreadPoolExecutor(max_workers=max(1, at_once), thread_name_prefix="ingest") as workers:
+        return list(workers.map(run, by_table.items()))

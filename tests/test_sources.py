@@ -6,6 +6,9 @@ import json
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
+
+from tablelog.sources import geojson
 from pyspark.errors import PySparkException
 
 from tablelog import (
@@ -161,6 +164,8 @@ GEOMETRIES = [
         "GEOMETRYCOLLECTION (POINT (1 2), LINESTRING (1 2, 3 4))",
     ),
     ({"type": "Polygon", "coordinates": []}, "POLYGON EMPTY"),
+    ({"type": "Polygon", "coordinates": [[[0, -1.25, 3], [9, 0, 1], [0, 9, 1], [0.0, -1.25, 4]]]}, "POLYGON ((0 -1.25 3, 9 0 1, 0 9 1, 0.0 -1.25 4))"),
+    ({"type": "GeometryCollection", "geometries": []}, "GEOMETRYCOLLECTION EMPTY"),
     (None, None),
 ]
 
@@ -198,6 +203,41 @@ def test_geojson_column(spark):
     assert rows(reject_corrupt(parse_geojson(df, "doc"))) == expected_features()
 
 
+TRICKY = [
+    {"type": "Feature", "properties": {"n": 1, "s": '{"type": "Feature", "x": [}]} \\\\'}, "geometry": {"type": "Point", "coordinates": [1, 2]}},
+    {"type": "Feature", "properties": {"n": 2, "s": "}, ]}"}, "geometry": None},
+    {"type": "Feature", "properties": None, "geometry": {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [3, 4]}]}},
+]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_split_collections(spark, tmp_path, indent):
+    """Split and whole reads agree; large files are read by several tasks, odd ones as wholes."""
+    base = tmp_path / "c"
+    base.mkdir()
+    many = [TRICKY[i % 3] | {"id": i} for i in range(3000)]
+    write(base / "large.geojson", json.dumps({"type": "FeatureCollection", "features": many}, indent=indent))
+    write(base / "small.geojson", json.dumps({"type": "FeatureCollection", "features": TRICKY}) + "\n")
+    nested = TRICKY[0] | {"properties": {"n": 9, "s": "x", "inner": TRICKY[1]}}
+    write(base / "nested.geojson", json.dumps({"type": "FeatureCollection", "features": [nested, TRICKY[1]]}))
+    write(base / "other.geojson", json.dumps({"features": [{"geometry": None, "type": "Feature", "properties": {"n": 5}}], "type": "FeatureCollection"}))
+    write(base / "more.geojson", json.dumps({"type": "FeatureCollection", "features": TRICKY, "name": "m"}))
+    write(base / "one.geojson", json.dumps(TRICKY[0]))
+    write(base / "none.geojson", json.dumps({"type": "FeatureCollection", "features": []}))
+    write(base / "cut.geojson", json.dumps({"type": "FeatureCollection", "features": TRICKY})[:-1])
+    options = dict(properties=["n", "s"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        split, plain = read_geojson(spark, str(base), split=True, **options), read_geojson(spark, str(base), **options)
+        assert rows(split) == rows(plain)
+        assert split.filter("_corrupt_record is not null").count() == 1
+        tasks = read_geojson(spark, str(base / "large.geojson"), split=True, **options)
+        assert tasks.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+        assert rows(reject_corrupt(tasks), "n") == rows(spark.createDataFrame([(str(f["properties"]["n"]) if f["properties"] else None,) for f in many], "n string"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 BROKEN = [
     '{"type": "Feature", "geometry": {"type": "Point", "coordinates": [1, 2]}',
     '{"type": "Fixture", "geometry": null, "properties": {}}',
@@ -207,6 +247,13 @@ BROKEN = [
     '{"type": "Feature", "geometry": {"type": "LineString", "coordinates": [[1, 2], null]}, "properties": {}}',
     '{"type": "Feature", "geometry": {"type": "Point", "coordinates": ["a", 2]}, "properties": {}}',
     '{"type": "Feature", "geometry": {"type": "GeometryCollection", "geometries": [{"type": "Blob"}]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "Point", "coordinates": ["1", "2"]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "Point", "coordinates": [[1, 2]]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "LineString", "coordinates": [[1, 2]]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "LineString", "coordinates": [1, 2]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 1]]]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [9, 0], [0, 9], [1, 1]]]}, "properties": {}}',
+    '{"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[[[0, 0], [9, 0], [0, 0]]]]}, "properties": {}}',
     '{"type": "FeatureCollection", "features": null}',
     "[1, 2]",
     "nonsense",
@@ -227,6 +274,19 @@ def test_broken_geojson_is_refused(spark, tmp_path, text):
     assert corrupt_records(read_geojson(spark, whole, properties=["n"])).count() >= 1
 
 
+def test_geojson_of_too_many_properties(spark, monkeypatch):
+    monkeypatch.setattr(geojson, "MOST_PROPERTIES", 3)
+    df = spark.createDataFrame([('{"type": "Feature", "geometry": null, "properties": {"a": 1, "b": 2, "c": 3, "d": 4}}',)], "doc string")
+    with pytest.raises(ValueError, match="Over 3 property names"):
+        parse_geojson(df, "doc")
+    assert parse_geojson(df, "doc", properties=["d"]).first()["d"] == "4"
+
+
+def test_wkt_names_each_part_once(spark):
+    plan = parse_geojson(spark.createDataFrame([("{}",)], "doc string"), "doc", ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("forall(") < 60 and plan.count("regexp_replace(") < 30
+
+
 def test_geojson_properties_with_names_of_other_columns(spark):
     df = spark.createDataFrame([('{"type": "Feature", "geometry": null, "properties": {"Geometry": 1}}',)], "doc string")
     with pytest.raises(ValueError, match="Geometry"):

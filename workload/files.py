@@ -24,6 +24,7 @@ from tablelog import (
     ingest_all,
     merge_strategy,
     poll,
+    poll_ledger,
     read_geojson,
     read_history,
     read_log,
@@ -267,6 +268,32 @@ def stream_ledger(spark, sf_dir):
     return read_history(spark, f"{base}/data", f"{base}/log").drop("system_time")
 
 
+_SPANS = [datetime(2024, 1, 3), datetime(2024, 1, 6)]
+
+
+@query(
+    f"with b as (select *, case when ts < timestamp '{_SPANS[0]}' then 0 when ts < timestamp '{_SPANS[1]}' then 1 else 2 end as batch from events)"
+    " select * exclude (batch) from b qualify batch = min(batch) over (partition by user_id, event_type)"
+)
+def stream_ledger_state(spark, sf_dir):
+    """Two batches whose seen users and types are in the state store, which begins with the history's."""
+    base = shared_folder(spark, "states")
+    events = table(spark, sf_dir, "events")
+    where = {"data_dir": f"{base}/data", "log_dir": f"{base}/log"}
+    before = [F.col("ts") < F.lit(str(t)).cast("timestamp_ntz") for t in _SPANS]
+    commit(events.filter(before[0]), **where, system_time=_INSTANTS[0], commit_id="history", event_time_column="ts")
+    for part in (events.filter(before[1]), events):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/raw")
+        poll_ledger(
+            spark.readStream.schema(events.schema).parquet(f"{base}/raw"),
+            key=["user_id", "event_type"],
+            **where,
+            checkpoint=f"{base}/checkpoint",
+            system_time=lambda batch_id: _INSTANTS[1],
+        ).awaitTermination()
+    return read_history(spark, **where).drop("system_time")
+
+
 @query(
     "select cast(doc_id as varchar) as path, 'body/text.txt' as member, md5(text) as digest,"
     " cast(octet_length(encode(text)) as bigint) as bytes from documents"
@@ -375,15 +402,34 @@ def geojson_all_types(spark, sf_dir):
     return reject_corrupt(read_geojson(spark, path, properties=["key", "name"]))
 
 
-@query("select 's' || s_suppkey as record from supplier where s_suppkey % 5 < 3")
+@query(
+    "select cast(s_suppkey as varchar) as key, s_name as name, case s_suppkey % 7 "
+    + " ".join(f"when {i} then replace('{wkt}', '@', {_PLACE})" for i, (_, _, wkt) in enumerate(_TYPES))
+    + " end as geometry from supplier"
+)
+def geojson_split(spark, sf_dir):
+    """The same collections, each cut between its features and read by several tasks."""
+    path = shared_folder(spark, "split")
+    groups = _typed_features(spark, sf_dir).groupBy((F.col("s_suppkey") % 2).alias("g"))
+    body = F.array_join(F.sort_array(F.collect_list("value")), ",\n")
+    whole = F.concat(F.lit('{"type":"FeatureCollection",\n"features":[\n'), body, F.lit("\n]}"))
+    groups.agg(whole.alias("value")).select("value").repartition(2).write.option("lineSep", "\n\n").text(path)
+    return reject_corrupt(read_geojson(spark, path, properties=["key", "name"], split=True))
+
+
+_OPEN = "s_suppkey % 7 in (3, 5) and s_suppkey % 5 = 3"
+
+
+@query(f"select 's' || s_suppkey as record from supplier where s_suppkey % 5 < 3 or {_OPEN}")
 def geojson_corrupt(spark, sf_dir):
-    """Features of which some are cut off, misnamed, or lack an ordinate; the names of these."""
+    """Features of which some are cut off, misnamed, lack an ordinate or have an open ring; the names of these."""
     value = F.col("value")
     cut = F.substring(value, F.lit(1), F.length(value) - 1)
     bad = (
         F.when(F.col("s_suppkey") % 5 == 0, cut)
         .when(F.col("s_suppkey") % 5 == 1, F.replace(value, F.lit('"Feature"'), F.lit('"Fixture"')))
         .when(F.col("s_suppkey") % 5 == 2, F.regexp_replace(value, r"\[(\d+),\d+\]", "[$1,null]"))
+        .when(F.expr(_OPEN), F.regexp_replace(value, r"\[(\d+),(\d+)\]\]\]", "[$1,99$2]]]"))
         .otherwise(value)
     )
     path = shared_folder(spark, "broken")

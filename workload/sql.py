@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablelog import dataset_digest, normalise_columns, preprocess, to_back, to_front
+from tablelog import SqlFunction, dataset_digest, normalise_columns, preprocess, to_back, to_front
 from workload.base import query, table
 
 # What a messy file might call the columns of part, and what they become.
@@ -89,6 +89,46 @@ def preprocess_json(spark, sf_dir):
     return preprocess(table(spark, sf_dir, "events"), steps)
 
 
+_BAND = SqlFunction("price_band", "price DOUBLE, width DOUBLE", "BIGINT", "cast(floor(price / width) as bigint)")
+_RECENT = SqlFunction(
+    "orders_since",
+    "day STRING",
+    "TABLE (o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE)",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM stored_orders WHERE o_orderdate >= cast(day as timestamp_ntz)",
+)
+
+
+@query(
+    "select cast(floor(o_totalprice / 50000) as bigint) as band, count(*) as n, count(distinct o_custkey) as customers"
+    " from orders where o_orderdate >= timestamp '1999-06-01' group by 1"
+)
+def preprocess_functions(spark, sf_dir):
+    """Steps with a scalar and a table function declared in SQL, in a session of their own."""
+    own = spark.newSession()
+    table(own, sf_dir, "orders").createOrReplaceTempView("stored_orders")
+    for function in (_BAND, _RECENT):
+        function.declare(own)
+    steps = [
+        ("select price_band(o_totalprice, 50000) as band, o_custkey from orders_since('1999-06-01')", "banded"),
+        ("select band, count(*) as n, count(distinct o_custkey) as customers from banded group by band", None),
+    ]
+    return preprocess(table(own, sf_dir, "orders"), steps)
+
+
+@query(
+    "with c as (select o_custkey, count(*) as n, max(o_totalprice) as top from orders group by o_custkey)"
+    " select c.o_custkey, c.n, c.top from c, (select avg(n) as mean from c) where c.n > mean"
+)
+def preprocess_shared_step(spark, sf_dir):
+    """A step that two later ones read; it is kept and computed once."""
+    steps = [
+        ("select o_custkey, count(*) as n, max(o_totalprice) as top from input group by o_custkey", "customers"),
+        ("select avg(n) as mean from customers", "mean"),
+        ("select c.* from customers c cross join mean m where c.n > m.mean", None),
+    ]
+    return preprocess(table(spark, sf_dir, "orders"), steps, shared=[])
+
+
 def sql_digest(json: str, rows: str) -> str:
     """Count and digest of ``rows``, given each row's JSON text as an expression."""
     lanes = [
