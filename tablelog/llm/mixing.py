@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelog.llm.storage import Storage, column
+from tablelog.llm.storage import Storage, as_struct, column
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -105,7 +105,8 @@ def mix_sources(
     positions = storage.table(positions, "positions")
     storage.drop("sizes")
 
-    slots = _schedule(sources, block_words)
+    # Written, so that their true size is known, and met by sorting: they are as many as the blocks.
+    slots = storage.table(_schedule(sources, block_words), "slots").hint("merge")
     end = F.col("stream_start") + F.col("size")
     block = F.lit(block_words).cast("long")
     pieces = positions.filter("size > 0").withColumn("block", F.explode(F.sequence(_div("stream_start", block), _div(end - 1, block))))
@@ -166,7 +167,8 @@ def _schedule(sources: DataFrame, block_words: int) -> DataFrame:
     bits = max(1, int(total - 1).bit_length()) if total else 1
     chunk = F.lit(CHUNK).cast("long")
     wide = sources.filter("slots > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), _div(F.col("slots") - 1, chunk))))
-    wide = wide.repartition("sid", "chunk")
+    # Few rows that unfold to many: one task for a chunk or two, whatever their number.
+    wide = wide.repartition(max(1, total // CHUNK), "sid", "chunk")
     last = F.least((F.col("chunk") + 1) * chunk, F.col("slots")) - 1
     wide = wide.withColumn("share", F.explode(F.sequence(F.col("first") + F.col("chunk") * chunk, F.col("first") + last)))
     place = F.conv(F.reverse(F.lpad(F.bin("share"), bits, "0")), 2, 10).cast("long")
@@ -202,11 +204,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     names = {k: options.get(k, d) for k, d in (("key", "doc_id"), ("text", "text"))}
     taken = mix_sources(docs, **options).taken()
-    copies = taken.groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size")).agg(
-        F.floor(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1)) + 0.5).cast("int").alias("__copies")
+    copies = taken.groupBy("doc_id", "size").agg(
+        F.floor(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1)) + 0.5).cast("int").alias("copies")
     )
     size = F.coalesce(F.regexp_count(column(docs, names["text"]), F.lit(WORD)), F.lit(0)).cast("long")
-    chosen = docs.join(copies, column(docs, names["key"]).eqNullSafe(F.col("__id")) & (size == F.col("__size")))
-    return chosen.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(
-        *[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
-    )
+    rows = docs.select(as_struct(docs, "doc"), column(docs, names["key"]).alias("id"), size.alias("words"))
+    chosen = rows.join(copies, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("words") == F.col("size"))).filter("copies > 0")
+    return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

@@ -17,6 +17,12 @@ def shared_root(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the file system that Spark takes it to be on."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
 class Storage:
     """One folder per call of an operator. Its tables cut lineage and survive lost executors."""
 
@@ -49,6 +55,19 @@ def column(df: DataFrame, name: str):
     return df["`" + name.replace("`", "``") + "`"]
 
 
+def as_struct(df: DataFrame, name: str):
+    """All columns of ``df`` in one called ``name``, beside which others may have any name."""
+    return F.struct(*[column(df, c).alias(c) for c in df.columns]).alias(name)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Columns that tell the rows of a table apart by content: 128 bits of hash.
 ROW = ("__row_a", "__row_b")
 

@@ -103,3 +103,14 @@ def test_empty(documents):
 def test_no_words(documents):
     got = mixing.mix_sources(documents([(1, None, "a"), (2, " ", None)])).taken().collect()
     assert {(r["doc_id"], r["taken"], r["target"]) for r in got} == {(1, 0, 0.0), (2, 0, 0.0)}
+
+
+def test_many_slots_are_neither_broadcast_nor_one_task(documents, rows, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    mix = mixing.mix_sources(documents(rows), block_words=1)
+    taken = mix.taken()
+    taken.collect()
+    plan = taken._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    written = mix.slots.inputFiles()
+    assert mix.slots.count() > 1000 and len(written) > 8
