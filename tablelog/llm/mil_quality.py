@@ -26,6 +26,8 @@ from tablelog.llm.words import SPACE, Words, ranges, text_bytes
 PASSAGE = 48
 #: Labelled documents that the model is fitted on, at most: those of the smallest hashes of keys.
 SAMPLE = 4000
+#: Passages of one of these, at most, that it is fitted on.
+FITTED = 64
 
 _HASHED = 64
 _SHARES = 64
@@ -177,11 +179,15 @@ def held_out(key: Column) -> Column:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Encoded passages of labelled texts; of a long one ``FITTED`` that are spread over all of it."""
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
             passages, at = encode(part.column(2))
-            blobs = [passages[a:b].astype(np.float16).tobytes() for a, b in zip(at, at[1:])]
+            blobs = []
+            for a, b in zip(at.tolist(), at[1:].tolist()):
+                own = np.arange(a, b) if b - a <= FITTED else a + np.arange(FITTED) * (b - a) // FITTED
+                blobs.append(passages[own].astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(blobs, pa.binary())], ["key", "y", "bag"])
 
 
@@ -190,7 +196,8 @@ def learn(
 ) -> Model:
     """The model of ``labels``, from at most ``sample`` labelled keys outside the held-out fifth.
 
-    The keys of the smallest hashes are taken. Labels other than 0 and 1 and NULL keys are left out;
+    The keys of the smallest hashes are taken; of a key's texts the one of the smallest hash counts, with
+    ``FITTED`` passages at most. Scores always read all passages. Labels other than 0 and 1 and NULL keys are left out;
     a key labelled several times counts with its lowest label. Without labels every score is 0.5,
     with one label alone it is that label.
     """
@@ -198,7 +205,9 @@ def learn(
     asked = asked.filter(F.col("y").isin(0, 1) & F.col("key").isNotNull() & ~held_out(F.col("key")))
     asked = asked.groupBy("key").agg(F.min("y").alias("y")).orderBy(F.xxhash64("key"), "key").limit(sample)
     rows = docs.select(column(docs, key).alias("key"), column(docs, text).alias("text"))
-    rows = rows.join(F.broadcast(asked), "key").select("key", "y", "text")  # ``sample`` rows at most
+    rows = rows.join(F.broadcast(asked), "key")  # ``sample`` keys at most
+    # One text for each key, however many rows it has: fitting sees ``sample`` times ``FITTED`` passages at most.
+    rows = rows.groupBy("key", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     bags = rows.mapInArrow(_bags, f"key {kind}, y int, bag binary").orderBy("key", F.xxhash64("bag")).toArrow()
     parts = [np.frombuffer(x.as_buffer(), np.float16).reshape(-1, WIDTH) for x in bags["bag"]]

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -82,3 +83,37 @@ def test_gradients():
             up[k][i] += 1e-6
             down[k][i] -= 1e-6
             assert got[k][i] == pytest.approx((loss(up) - loss(down)) / 2e-6, abs=1e-6)
+
+
+def test_scores_by_brute_force(documents, labels, rows):
+    """Attention over the passages of each text, one number at a time."""
+    rows = rows[:60] + [(3000, prose(random.Random(1), 400))]
+    df = documents(rows)
+    model = mil_quality.learn(documents([r for r in rows]), labels, sample=50)
+    w = {k: np.asarray(v, np.float64).tolist() for k, v in model.weights.items()}
+    squash = lambda v: 1 / (1 + math.exp(-v))
+    layer = lambda x, name: [sum(a * r[j] for a, r in zip(x, w[name])) for j in range(len(w[name][0]))]
+    for r in mil_quality.score(df.select("doc_id", "text"), model).collect():
+        bag = mil_quality.encode(pa.array([r["text"]]))[0]
+        hidden, pull = [], []
+        for passage in (bag - model.mean) / model.spread:
+            h = [math.tanh(a + b) for a, b in zip(layer(passage.tolist(), "W"), w["b"])]
+            hidden.append(h)
+            gate = [math.tanh(t) * squash(u) for t, u in zip(layer(h, "V"), layer(h, "U"))]
+            pull.append(math.exp(sum(a * b for a, b in zip(gate, w["w"]))))
+        z = [sum(p * h[j] for p, h in zip(pull, hidden)) / sum(pull) for j in range(len(hidden[0]))]
+        want = squash(sum(a * b for a, b in zip(z, w["c"])) + w["d"][0])
+        assert r["score"] == pytest.approx(want, abs=1e-4)
+
+
+def test_fitting_takes_one_bounded_text_of_a_key(documents, spark, monkeypatch):
+    """A key on a third of the rows, and a very long text, reach the fit once and in part."""
+    seen = []
+    plain = mil_quality.fit
+    monkeypatch.setattr(mil_quality, "fit", lambda passages, at, y, **k: (seen.append((len(passages), len(y))), plain(passages, at, y, **k))[1])
+    rows = [(i, f"some words of text number {i}") for i in range(20)] + [(1, f"copy {j} of one key") for j in range(300)] + [(2, "very long " * 30_000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    model = mil_quality.learn(documents(rows), labels)
+    [(passages, texts)] = seen
+    assert texts <= 20 and passages <= 20 + mil_quality.FITTED
+    assert mil_quality.score(documents(rows), model).count() == len(rows)
