@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelog.llm.components import components, with_more_links
-from tablelog.llm.storage import ROW, Storage, column, row_hashes
+from tablelog.llm.storage import ROW, Storage, as_struct, column, row_hashes
 from tablelog.llm.words import SPACE, Words, list_column, mix, ranges, shingles, whole
 
 #: Documents from which on a token is frequent.
@@ -316,15 +316,19 @@ def _enough_shared(percent: int):
 
 
 def _tokens_of(wanted, k: int):
-    """(set, tokens) of the documents whose set id the filter holds."""
+    """(set, tokens) of the documents whose set id the filter holds, once in a task however many are equal."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
+        sent: set[int] = set()
         for batch in batches:
             for start in range(0, batch.num_rows, STEP_ROWS):
                 flat, at = token_sets(batch.column(0).slice(start, STEP_ROWS), k)
                 ids = set_ids(flat, at)
                 rows = np.flatnonzero(_in_filter(bits, ids))
+                rows = rows[np.unique(ids[rows], return_index=True)[1]]
+                rows = rows[[x not in sent for x in ids[rows].tolist()]]
+                sent.update(ids[rows].tolist())
                 blobs = [flat[at[r] : at[r + 1]].tobytes() for r in rows]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(blobs, pa.binary())], ["set", "tokens"])
 
@@ -423,18 +427,23 @@ def near_groups(
 def _across(one: DataFrame, large: DataFrame, groups: DataFrame, done: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of different components that share a large entry and may link.
 
-    After the first round most sets of such an entry are one component and no longer pair.
+    After the first round most sets of such an entry are one component and no longer pair. Two sets that
+    share many entries pair in the least of them alone.
     """
     spots = one.select("set", "n", "rare", F.explode("pairs").alias("entry")).join(large, "entry")
     spots = spots.join(groups, F.col("set") == F.col("node"), "left").withColumn("component", F.coalesce("component", "set"))
     mixed = spots.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("entry")
     spots = spots.join(mixed, "entry").select("entry", "set", "n", "rare", "component")
+    # A set's own entries: as many as its prefix has combinations.
+    held = spots.groupBy("set").agg(F.collect_set("entry").alias("held"))
+    spots = spots.join(held, "set")
     x, y = spots.alias("x"), spots.alias("y")
     n, r, m, s = (F.col(c) for c in ("x.n", "x.rare", "y.n", "y.rare"))
     most = F.least(n - r, m - s)
     union = F.greatest(n + m - most, n + s, m + r)
     may = (F.col("x.component") != F.col("y.component")) & (F.col("x.set") < F.col("y.set"))
     may &= (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (100 * most >= percent * union)
+    may &= F.array_min(F.array_intersect("x.held", "y.held")) == F.col("x.entry")
     pairs = x.join(y, (F.col("x.entry") == F.col("y.entry")) & may).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
     return pairs.join(done, ["a", "b"], "left_anti")
 
@@ -442,13 +451,16 @@ def _across(one: DataFrame, large: DataFrame, groups: DataFrame, done: DataFrame
 def deduplicated(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of near copies: the one with the smallest key.
 
-    Of several rows with that key the one of the smallest hash stays, once. Rows without words link
+    Of several rows with that key the one of the smallest hash stays, once; columns may have any names. Rows without words link
     with nothing and all stay.
     """
     groups = near_groups(docs, key=key, text=text, **options)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *ROW)).alias("first")
     kept = groups.filter("group is not null").groupBy("group").agg(first).select(*[f"first.{x}" for x in ROW])
     words = F.coalesce(column(docs, text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    some = docs.filter(words).withColumns({x: y for x, y in zip(ROW, row_hashes(docs, key, text))})
-    some = some.join(kept, list(ROW), "left_semi").dropDuplicates(list(ROW)).drop(*ROW)
-    return some.unionByName(docs.filter(~words))
+    # Of rows with this key and text the one whose other columns have the least hash.
+    others = [column(docs, c).alias(c) for c in docs.columns if c not in (key, text)]
+    tie = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0).cast("long")
+    rows = docs.select(as_struct(docs, "doc"), words.alias("words"), tie.alias("tie"), *row_hashes(docs, key, text))
+    some = rows.filter("words").join(kept, list(ROW), "left_semi").groupBy(*ROW).agg(F.min_by("doc", "tie").alias("doc"))
+    return some.select("doc.*").unionByName(rows.filter(~F.col("words")).select("doc.*"))
