@@ -538,8 +538,11 @@ def class_perplexity(
     probability under add-half unigrams, ``score`` that under the class model; perplexity is
     ``10 ** (-score / n_tokens)``. A NULL or empty text has an end alone. A NULL key counts as
     training. Equal rows are all learned from and all returned. Without training rows every token is
-    unknown and classes are uniform. An empty table gives no rows. Other columns are ignored.
+    unknown and classes are uniform. An empty table gives no rows. Other columns are ignored. There are
+    255 classes at most.
     """
+    if not 1 <= classes <= 255:
+        raise ValueError(f"a word's class is kept in a byte, so classes must be 1 to 255, not {classes}")
     spark = docs.sparkSession
     storage = Storage(spark, "class-lm")
     kind = docs.schema[key].dataType.simpleString()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelog.llm.storage import ROW, Storage, column, row_hashes
+from tablelog.llm.storage import ROW, Storage, as_struct, column, row_hashes
 from tablelog.llm.words import NOT_ALNUM, Words, list_column, ranges, shingles, whole
 
 #: Text of benchmark items that one pass over the documents looks for, in bytes.
@@ -282,7 +282,7 @@ def _merged(spans: str):
 
 def decontaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no window of the benchmark, as they are."""
-    hashed = docs.withColumns({x: y for x, y in zip(ROW, row_hashes(docs, key, text))})
-    spans = benchmark_spans(hashed.withColumn("__row", F.struct(*ROW)), items, key="__row", text=text, **options)
+    rows = docs.select(as_struct(docs, "doc"), column(docs, text).alias("words"), *row_hashes(docs, key, text))
+    spans = benchmark_spans(rows.select("words", F.struct(*ROW).alias("row")), items, key="row", text="words", **options)
     found = spans.filter(F.size("spans") > 0).select(F.col("doc_id." + ROW[0]), F.col("doc_id." + ROW[1])).distinct()
-    return hashed.join(found, list(ROW), "left_anti").drop(*ROW)
+    return rows.join(found, list(ROW), "left_anti").select("doc.*")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelog.llm.storage import ROW, Storage, column, row_hashes
+from tablelog.llm.storage import ROW, Storage, as_struct, column, row_hashes
 
 SYMBOL = r"[#*$%&|<>]"
 
@@ -41,6 +41,10 @@ def _long(x: int) -> Column:
 _SPACE = " \t\n\x0b\x0c\r"
 
 
+#: What the plain rules count and say.
+RULES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
 def _words(text: Column) -> Column:
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+", -1))
@@ -57,7 +61,7 @@ def text_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     whole = F.coalesce(column(docs, text), F.lit(""))
     lines = F.filter(F.split(whole, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = docs.withColumns({"__words": _words(whole), "__lines": lines, "n_symbols": F.regexp_count(whole, F.lit(SYMBOL)).cast("long")})
+    out = docs.select(as_struct(docs, "doc"), _words(whole).alias("__words"), lines.alias("__lines"), F.regexp_count(whole, F.lit(SYMBOL)).cast("long").alias("n_symbols"))
     words = F.col("__words")
     out = out.withColumns(
         {
@@ -84,7 +88,8 @@ def text_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     total = F.aggregate(covered, _long(0), lambda a, x: a + x)
     out = out.withColumn("n_repeat_words", F.coalesce(total, _long(0))).drop("__twice")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
-    return out.withColumn("base_failed", failed)
+    out = out.withColumn("base_failed", failed)
+    return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in RULES], *RULES)
 
 
 def _grams(docs: DataFrame, text: str, buckets: int, *keep: Column) -> DataFrame:

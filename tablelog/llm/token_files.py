@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablelog.llm.storage import Storage, column
+from tablelog.llm.storage import Storage, column, qualified
 from tablelog.llm.words import mix, piece_hashes, ranges, text_bytes
 
 #: Text of one shard, in bytes, and keys of one index bucket.
@@ -281,10 +281,11 @@ def _hashes(key: str):
 
 
 def _files(path: str):
-    """The file system and path that ``path`` names; a plain path is a local one."""
+    """The file system and path that ``path`` names, as Spark qualified it; a plain path is a local one."""
     from pyarrow import fs
 
     path = re.sub(r"^file:/*", "/", path)
+    path = re.sub(r"^s3[an]://", "s3://", path)  # Hadoop's names of the same store
     return fs.FileSystem.from_uri(path if re.match(r"\w+://", path) else f"file://{os.path.abspath(path)}")
 
 
@@ -317,6 +318,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     storage = Storage(spark, "token-files")
+    path = qualified(spark, path)
     rows = docs.select(column(docs, key).alias("key"), F.coalesce(column(docs, text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, -(-size // shard_bytes))
@@ -342,6 +344,7 @@ def write_token_files(
 
 
 def open_token_files(spark: SparkSession, path: str, width: int, buckets: int) -> TokenFiles:
+    path = qualified(spark, path)
     shards = spark.read.schema("shard long, documents long, ids long, first_id long").parquet(f"{path}/shards")
     return TokenFiles(path, width, buckets, shards, spark.read.schema("bucket long, blob binary").parquet(f"{path}/index"))
 

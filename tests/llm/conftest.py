@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 # Names that operators use inside; a table may have columns of these names.
-CLASHES = "id key set n a b u v size slot block bucket words line place group node component score spans row chunk digest label y".split()
+CLASHES = "id key set n a b u v size slot block bucket words line place group node component score spans row chunk digest label y doc rows copies copy tie __row_a __row_b __id __size __copies __copy __quality __words __row __h words".split()
 
 
 @pytest.fixture

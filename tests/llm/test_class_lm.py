@@ -137,3 +137,8 @@ def test_empty_and_no_training(documents):
     got = class_lm.class_perplexity(documents([(i, "some words") for i in alone]), heads=10, classes=4).collect()
     assert [(r["n_known"], r["train_tokens"]) for r in got] == [(0, 0)] * 3
     assert all(math.isfinite(r["score"]) for r in got)
+
+
+def test_too_many_classes_are_refused(documents):
+    with pytest.raises(ValueError, match="255"):
+        class_lm.class_perplexity(documents([(1, "a b")]), classes=256)

@@ -93,3 +93,76 @@ def test_triggers_cover_all_sentences():
     known, _ = licenses._known(S)
     words = licenses._triggers(list(known))
     assert all(any(w in x for w in words) for x in known) and len(words) < len(known)
+
+
+def brute(text, sentences, rules):
+    """Sentences and licences of one text, place by place."""
+    known, parts = licenses._known(sentences)
+    low = "".join(c.lower() if c.isascii() else c for c in text).replace("\x01", " ")
+    # Words with what stands before each: 0 nothing but signs, 1 a line end, 2 the end of a sentence.
+    words, before, cut = [], [], 2
+    lines = low.split("\n")
+    for i, line in enumerate(lines):
+        if i:
+            cut = max(cut, 1)
+        if 0 < i < len(lines) - 1 and not re.search("[a-z0-9\x80-\U0010ffff]", line):
+            cut = 2
+        for m in re.finditer("([a-z0-9\x80-\U0010ffff]+)|([.;:!?])(?=[\\s\"')]|$)", line + ("" if i == len(lines) - 1 else "\n")):
+            if m.group(1):
+                words.append(m.group(1))
+                before.append(cut)
+                cut = 0
+            else:
+                cut = 2
+    before.append(2)
+    sequence, at, other = [], 0, False
+    by_length = sorted((x.split() for x in known), key=len, reverse=True)
+    by_length.sort(key=lambda x: -len(" ".join(x)))
+    while at < len(words):
+        for x in by_length if before[at] else []:
+            to = at + len(x)
+            if words[at:to] == x and before[to] and 2 not in before[at + 1 : to]:
+                sequence += ([None] if other and sequence else []) + [known[" ".join(x)]]
+                at, other = to, False
+                break
+        else:
+            alone = before[at] and before[at + 1] and re.fullmatch(licenses.NUMBER, words[at])
+            other = other or not alone
+            at += 1
+    found, rest = set(), list(sequence)
+    for name, ids in sorted(((n, [i for x in ids for i in parts[x]]) for n, ids in rules), key=lambda x: -len(x[1])):
+        i = 0
+        while i + len(ids) <= len(rest):
+            if rest[i : i + len(ids)] == ids:
+                found.add(name)
+                rest[i : i + len(ids)] = [False]
+            i += 1
+    return [x for x in sequence if x], sorted(found)
+
+
+def test_brute_force(documents):
+    import random
+
+    rng = random.Random(21)
+    names = list(S)
+    texts = []
+    for _ in range(250):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            x = rng.choice([S[rng.choice(names)], S[rng.choice(names)], "Some other words here.", "no end", "2.", "iv", " ".join(S[i] for i in rng.choice(licenses.RULES)[1])])
+            if rng.random() < 0.3:
+                x = "\n".join(textwrap.wrap(x, rng.choice([20, 40, 70])))
+            if rng.random() < 0.2:
+                x = x.upper()
+            if rng.random() < 0.1:
+                x = x.replace(" ", "  ", 2).rstrip(".")
+            parts.append(x)
+        text = parts[0]
+        for x in parts[1:]:
+            text += rng.choice([" ", "\n", "\n\n", "\n#\n", " -- ", "\n * "]) + x
+        texts.append(commented(text, rng.choice(["#", "//"])) if rng.random() < 0.2 else text)
+    got = licenses.scan_licenses(documents(list(enumerate(texts)))).collect()
+    for r in got:
+        want = brute(texts[r["doc_id"]], S, licenses.RULES)
+        assert (list(r["sentences"]), list(r["licenses"])) == want, texts[r["doc_id"]]
+    assert sum(bool(r["licenses"]) for r in got) > 100

@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -23,8 +24,13 @@ TEXTS = [
 ]
 
 
+@functools.cache
+def plain_tokenizer(file=FILE):
+    return tokenizers.Tokenizer.from_file(file)
+
+
 def library(text):
-    return tokenizers.Tokenizer.from_file(FILE).encode(text or "", add_special_tokens=False).ids + [1]
+    return plain_tokenizer().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def check(rows, texts, limits=packing.Limits(), whole=True):
@@ -96,7 +102,7 @@ def test_random_bytes_and_marks():
     signs = " '.,<|>abtsdAΣé̸́\n\t 1" + "漢"
     texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(4000)]
     ids, at = packing.WordPieceEncoder(FILE).encode(pa.array(texts))
-    plain = tokenizers.Tokenizer.from_file(FILE).encode_batch(texts, add_special_tokens=False)
+    plain = plain_tokenizer().encode_batch(texts, add_special_tokens=False)
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [x.ids for x in plain]
 
 
@@ -105,7 +111,7 @@ def test_other_tokenizers_get_their_ids():
 
     file = tokenizer_path("byte_bpe_50k.json")
     ids, at = packing.WordPieceEncoder(file).encode(pa.array(TEXTS))
-    plain = tokenizers.Tokenizer.from_file(file).encode_batch(TEXTS, add_special_tokens=False)
+    plain = plain_tokenizer(file).encode_batch(TEXTS, add_special_tokens=False)
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [x.ids for x in plain]
 
 

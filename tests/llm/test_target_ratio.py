@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -65,3 +66,36 @@ def test_native(spark, documents, rows):
     trusted = spark.createDataFrame([(1,)], "doc_id long")
     plan = target_ratio.quality_verdicts(documents(rows), trusted)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow", plan)
+
+
+def spark_hash(*words):
+    """Spark's xxhash64 of strings: each is the seed of the next."""
+    xxhash = pytest.importorskip("xxhash")
+    seed = 42
+    for w in words:
+        seed = xxhash.xxh64_intdigest(w.encode(), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def test_ratios_by_brute_force(spark, documents, rows):
+    chosen = [i for i in range(0, 300, 4) if i % 10 not in (1, 2)]
+    trusted = spark.createDataFrame([(i,) for i in chosen], "doc_id long")
+    half_up = lambda x: math.floor(abs(x) + 0.5) * (1 if x >= 0 else -1)
+    grams = [(i, [*((x,) for x in w), *zip(w, w[1:])]) for i, w in ((i, WORD.findall(t or "")) for i, t in rows)]
+    total = sum(len(g) for i, g in grams if i in chosen)
+    buckets = 1 << min(max((total // target_ratio.FILL).bit_length() - 1, target_ratio.BITS[0]), target_ratio.BITS[1])
+    grams = [(i, [spark_hash(*x) % buckets for x in g]) for i, g in grams]
+    n, m = Counter(b for _, g in grams for b in g), Counter(b for i, g in grams if i in chosen for b in g)
+    share = lambda c, b: (c[b] + 0.5) / (c.total() + 0.5 * buckets)
+    ratio = {b: half_up((math.log(share(m, b)) - math.log(share(n, b))) * 10**6) for b in n}
+    want = []
+    for (i, t), (_, g) in zip(rows, grams):
+        mean = half_up(sum(ratio[b] for b in g) / len(g)) if g else 0
+        least = half_up((target_ratio.LEAST - target_ratio.NOISE / math.sqrt(max(1, len(g)))) * 10**6)
+        want.append((str(i), mean / 10**6, not rules(t)[-1] and mean >= least))
+    got = target_ratio.quality_verdicts(documents(rows), trusted).collect()
+    got = sorted((str(r["doc_id"]), r["ratio"], r["kept"]) for r in got)
+    want.sort()
+    assert [(i, k) for i, _, k in got] == [(i, k) for i, _, k in want]
+    assert all(a[1] == pytest.approx(b[1], abs=2e-6) for a, b in zip(got, want))
+    assert len({k for *_, k in want}) == 2
