@@ -9,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from tablelog.llm.queries import tokenizer_path
+from tests.llm.conftest import ODD
 from tests.llm.test_decontaminate import expected
 from tests.llm.test_mixing import SIZE
 from tests.llm.test_near_join import groups, shingles
@@ -43,7 +44,8 @@ def test_quality(spark, stages):
 
 
 def test_near_copies(stages):
-    want = groups({r["doc_id"]: shingles(r["text"]) for r in stages[1]})
+    """One of each group by five words and 0.8."""
+    want = groups({r["doc_id"]: shingles(r["text"], 5) for r in stages[1]}, 80)
     assert sorted(r["doc_id"] for r in stages[2]) == sorted(set(want.values()))
 
 
@@ -73,3 +75,20 @@ def test_run(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, got.select(*stages[5][0].asDict()).collect())) == sorted(map(tuple, stages[5]))
     assert re.fullmatch("doc_id,start,n_tokens,ids_crc32", ",".join(got.columns))
+
+
+def test_odd_tables(spark, documents):
+    """NULLs, empty and very long texts, equal rows, extra columns and empty tables, through every stage."""
+    long = "word " * 30_000 + "end"
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    docs = documents([*rows, *rows[:5], *ODD, (None, None, None), (7000, long, "a")])
+    for table in (docs, docs.filter("doc_id is null"), docs.filter("false")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, SF)
+            assert out.columns == table.columns, name
+            out = spark.createDataFrame(out.collect(), out.schema)
+            given = {(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()}
+            assert {(r["doc_id"], r["text"]) for r in out.collect()} <= given
+            table = out
+        tokens = corpus_pipeline.STAGES[-1][1](spark, table, SF)
+        assert tokens.count() == table.count()
