@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablelog import SqlFunction, dataset_digest, normalise_columns, preprocess, to_back, to_front
 from workload.base import query, table
+from workload.workspace import shared_folder
 
 # What a messy file might call the columns of part, and what they become.
 _MESSY = ["p partkey", "p(name)", "p,brand", "p{type};", "p\tsize", "p=retail\nprice"]
@@ -120,13 +121,18 @@ def preprocess_functions(spark, sf_dir):
     " select c.o_custkey, c.n, c.top from c, (select avg(n) as mean from c) where c.n > mean"
 )
 def preprocess_shared_step(spark, sf_dir):
-    """A step that two later ones read; it is kept and computed once."""
+    """A step that two later ones read; it is kept and computed once, and released when the result is written."""
     steps = [
         ("select o_custkey, count(*) as n, max(o_totalprice) as top from input group by o_custkey", "customers"),
         ("select avg(n) as mean from customers", "mean"),
         ("select c.* from customers c cross join mean m where c.n > m.mean", None),
     ]
-    return preprocess(table(spark, sf_dir, "orders"), steps, shared=[])
+    kept = []
+    path = shared_folder(spark, "shared-step")
+    preprocess(table(spark, sf_dir, "orders"), steps, shared=kept).write.parquet(path)
+    for frame in kept:
+        frame.unpersist()
+    return spark.read.parquet(path)
 
 
 def sql_digest(json: str, rows: str) -> str:
