@@ -410,7 +410,7 @@ def near_groups(
     groups = components(links, storage, "first-stars")
     large = found.filter("a = b").select(F.col("single").alias("entry")).distinct()
     if not large.isEmpty():
-        rest = _across(one, storage.table(large, "large"), groups, pairs, percent)
+        rest = _across(one, storage.table(large, "large"), groups, pairs, percent, storage)
         rest = storage.table(rest, "rest")
         if not rest.isEmpty():
             groups = with_more_links(groups, _verified(rest, rows, k, percent, storage, "rest"), storage, "rest-stars")
@@ -424,16 +424,17 @@ def near_groups(
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "group", *ROW)
 
 
-def _across(one: DataFrame, large: DataFrame, groups: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+def _across(one: DataFrame, large: DataFrame, groups: DataFrame, done: DataFrame, percent: int, storage: Storage) -> DataFrame:
     """Pairs of sets of different components that share a large entry and may link.
 
     After the first round most sets of such an entry are one component and no longer pair. Two sets that
     share many entries pair in the least of them alone.
     """
-    spots = one.select("set", "n", "rare", F.explode("pairs").alias("entry")).join(large, "entry")
-    spots = spots.join(groups, F.col("set") == F.col("node"), "left").withColumn("component", F.coalesce("component", "set"))
-    mixed = spots.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("entry")
-    spots = spots.join(mixed, "entry").select("entry", "set", "n", "rare", "component")
+    of = one.select("set", "n", "rare", F.explode("pairs").alias("entry")).join(groups, F.col("set") == F.col("node"), "left")
+    spots = of.select("entry", "set", "n", "rare", F.coalesce("component", "set").alias("component"))
+    mixed = spots.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    mixed = mixed.join(large, "entry", "left_semi").select("entry")
+    spots = storage.table(spots.join(mixed, "entry", "left_semi"), "mixed")
     # A set's own entries: as many as its prefix has combinations.
     held = spots.groupBy("set").agg(F.collect_set("entry").alias("held"))
     spots = spots.join(held, "set")
