@@ -148,10 +148,12 @@ def feature_rows(
     whole = F.coalesce(_CORRUPT, F.to_json(F.struct("type", "geometry", "properties", "features")))
     # A document is one bad record if it did not parse or is neither kind; so is a collection without a list.
     broken = F.col(_CORRUPT).isNotNull() | F.coalesce(collection & F.col("features").isNull(), F.lit(False))
-    features = documents.select(
-        F.explode(F.when(broken, own).when(collection, F.col("features")).otherwise(own)).alias("f"),
+    # Both before the features come apart: a row of its own for each must not carry the whole document.
+    made = documents.select(
+        F.when(broken, own).when(collection, F.col("features")).otherwise(own).alias("all"),
         F.when(broken, whole).alias("bad"),
     )
+    features = made.select(F.explode("all").alias("f"), "bad")
     rows = features.select(
         wkt(F.col("f.geometry")).alias("geometry"),
         F.from_json("f.properties", "map<string,string>").alias("properties"),

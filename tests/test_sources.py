@@ -3,6 +3,7 @@
 import bz2
 import io
 import json
+import re
 import zipfile
 
 import pytest
@@ -190,6 +191,17 @@ def test_geojson_collection(spark, tmp_path):
     assert rows(reject_corrupt(df)) == expected_features()
 
 
+def test_features_do_not_carry_their_collection(spark, tmp_path):
+    point = {"type": "Feature", "properties": {"n": 1}, "geometry": {"type": "Point", "coordinates": [1, 2]}}
+    path = write(tmp_path / "a.geojson", json.dumps({"type": "FeatureCollection", "features": [point] * 9}))
+    df = read_geojson(spark, path, properties=["n"])
+    assert rows(df) == [("POINT (1 2)", "1", None)] * 9
+    # What each row takes along from its document; with the list the work grows with its square.
+    carried = re.findall(r"Generate explode\(.*\), \[([^\[\]]*)\], (?:true|false), \[", df._jdf.queryExecution().sparkPlan().toString())
+    assert len(carried) == 1
+    assert "features" not in carried[0] and "geometry" not in carried[0]
+
+
 def test_geojson_lines(spark, tmp_path):
     text = "\n".join(json.dumps(f) for f in features())
     path = write(tmp_path / "a.geojson", text)
