@@ -1,12 +1,13 @@
 """Every registered query against its SQL on the small tables."""
 
 import datetime as dt
+import json
 import os
 
 import pytest
 
 import __spark_entry__ as entry_point
-from workload import ORACLES, QUERIES
+from workload import ORACLES, QUERIES, files
 
 SF = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
@@ -42,6 +43,25 @@ def test_query(spark, db, name):
         assert got[1]
 
 
+@pytest.mark.parametrize("name, purpose, least", [("geojson_all_types", "collections", 3), ("geojson_split", "split", 2)])
+def test_each_collection_is_a_file(spark, tmp_path, monkeypatch, name, purpose, least):
+    spark.createDataFrame([(i, f"s{i}", i % 25) for i in range(200)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    monkeypatch.setattr(files, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    # Partitions as of a large table.
+    monkeypatch.setattr(files, "_MOST_FEATURES", {"collections": 30, "split": 30}, raising=False)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        got = sorted(int(r["key"]) for r in QUERIES[name](spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == list(range(200))
+    texts = [p.read_text() for p in (tmp_path / purpose).rglob("part-*")]
+    sizes = [len(json.loads(t)["features"]) for t in texts]
+    assert sum(sizes) == 200 and len(sizes) == 7 > least and max(sizes) < 60
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert {r["observed"] for r in df.select("observed").distinct().collect()} == {"I", "U", "D"}

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelog import (
@@ -387,6 +387,26 @@ def _typed_features(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", text.alias("value"))
 
 
+#: Features of a collection, about. A task reads one as a whole, unless it is split.
+_MOST_FEATURES = {"collections": 20_000, "split": 500_000}
+
+
+def _collections(spark, sf_dir, purpose: str, files: int) -> str:
+    """Collections of one file each that span lines, ``files`` at least; the path of their folders."""
+    value = _typed_features(spark, sf_dir).select("value")
+    many = max(files, -(-value.count() // _MOST_FEATURES[purpose]))
+    group = F.pmod(F.xxhash64("value"), F.lit(many)).alias("g")
+    ends = [F.lit('{"type":"FeatureCollection",\n"features":['), F.lit("]}")]
+    around = [spark.range(many).select(F.col("id").alias("g"), F.lit(2 * i).alias("part"), end.alias("value")) for i, end in enumerate(ends)]
+    rows = value.select(group, F.lit(1).alias("part"), "value").unionByName(around[0]).unionByName(around[1])
+    # Sorted and written row by row, so that no task holds a collection.
+    after = F.lead("part").over(Window.partitionBy("g").orderBy("part", "value"))
+    rows = rows.withColumn("line", F.concat("value", F.when((F.col("part") == 1) & (after == 1), ",").otherwise("")))
+    path = shared_folder(spark, purpose)
+    rows.sortWithinPartitions("g", "part", "value").select("g", "line").write.partitionBy("g").text(path)
+    return f"{path}/g=*"
+
+
 @query(
     "select cast(s_suppkey as varchar) as key, s_name as name, case s_suppkey % 7 "
     + " ".join(f"when {i} then replace('{wkt}', '@', {_PLACE})" for i, (_, _, wkt) in enumerate(_TYPES))
@@ -394,11 +414,7 @@ def _typed_features(spark, sf_dir) -> DataFrame:
 )
 def geojson_all_types(spark, sf_dir):
     """Every geometry type, in collections of one file each that span lines."""
-    path = shared_folder(spark, "collections")
-    groups = _typed_features(spark, sf_dir).groupBy((F.col("s_suppkey") % 3).alias("g"))
-    body = F.array_join(F.sort_array(F.collect_list("value")), ",\n")
-    whole = F.concat(F.lit('{"type":"FeatureCollection",\n"features":[\n'), body, F.lit("\n]}"))
-    groups.agg(whole.alias("value")).select("value").repartition(3).write.option("lineSep", "\n\n").text(path)
+    path = _collections(spark, sf_dir, "collections", files=3)
     return reject_corrupt(read_geojson(spark, path, properties=["key", "name"]))
 
 
@@ -409,11 +425,7 @@ def geojson_all_types(spark, sf_dir):
 )
 def geojson_split(spark, sf_dir):
     """The same collections, each cut between its features and read by several tasks."""
-    path = shared_folder(spark, "split")
-    groups = _typed_features(spark, sf_dir).groupBy((F.col("s_suppkey") % 2).alias("g"))
-    body = F.array_join(F.sort_array(F.collect_list("value")), ",\n")
-    whole = F.concat(F.lit('{"type":"FeatureCollection",\n"features":[\n'), body, F.lit("\n]}"))
-    groups.agg(whole.alias("value")).select("value").repartition(2).write.option("lineSep", "\n\n").text(path)
+    path = _collections(spark, sf_dir, "split", files=2)
     return reject_corrupt(read_geojson(spark, path, properties=["key", "name"], split=True))
 
 
