@@ -25,6 +25,8 @@ from tablelog.vocab import DEFAULT_CODES, DEFAULT_VOCABULARY, Codes, Vocabulary
 
 #: Rows of one key that are folded as an array; keys with more are merged dump by dump.
 FOLD_ROWS = 10_000
+#: So many keys with more go to all tasks; of others each task has its own.
+_BROADCAST_KEYS = 10_000
 
 
 def backfill_history(
@@ -88,12 +90,15 @@ def _from_folds(dumps, key, times, time_column, system_time, compare, null_safe,
     plain = not any(map(contains_map, kinds.values()))
     order = [] if plain else [F.struct(*[comparable(ref(v, "row"), k).alias(v) for v, k in kinds.items()]).alias("order")]
     entry = F.struct("number", *order, "row")
-    heavy = rows.groupBy(*keys.names).count().filter(F.col("count") > fold_rows).select(*keys.names)
-    many = heavy.limit(1).count() > 0
+    heavy = rows.groupBy(*keys.names).count().filter(F.col("count") > fold_rows).select(*keys.names).persist()
+    many = heavy.count()
     if many:
-        split = rows.join(heavy.withColumn("__many", F.lit(True)), keys.names, "left")
-        few = split.filter(F.col("__many").isNull())
+        # Kept, since each of the jobs below would count the rows of all keys again.
+        heavy = _kept(heavy)
+        heavy = F.broadcast(heavy) if many <= _BROADCAST_KEYS else heavy.hint("shuffle_hash")
+        few = rows.join(heavy, keys.names, "left_anti")
     else:
+        heavy.unpersist()
         few = rows
     gather = F.collect_set if plain and not unique else F.collect_list
     entries = few.groupBy(*keys.names).agg(gather(entry).alias("entries"))
@@ -119,9 +124,9 @@ def _from_folds(dumps, key, times, time_column, system_time, compare, null_safe,
     )
     if not many:
         return out
-    # The heavy keys' rows, few keys though many rows.
-    rest = split.filter("__many").select("number", *keys.restored(), "row")
-    rest = rest.select("number", *[(ref(n) if n in key else ref(n, "row")).alias(n) for n in names])
+    # The heavy keys' rows, few keys though many rows; kept, as every dump is read from them.
+    rest = rows.join(heavy, keys.names, "left_semi").select("number", *keys.restored(), "row")
+    rest = _kept(rest.select("number", *[(ref(n) if n in key else ref(n, "row")).alias(n) for n in names]).persist())
     if unique:
         twice = rest.groupBy("number", *map(ref, key)).count().filter("count > 1").limit(1).collect()
         if twice:
@@ -134,11 +139,19 @@ def _from_folds(dumps, key, times, time_column, system_time, compare, null_safe,
             log, dump, key=key, system_time=system_time, event_time=at, compare=compare, null_safe=null_safe, codes=codes, vocab=vocab, last_event_time=None
         )
         # Written, so that neither the plan nor the work grows with the dumps before.
-        new = new.checkpoint()
+        new = _kept(new.persist())
         log = new if log is None else log.unionByName(new)
     return out.unionByName(log)
 
 
+def _kept(persisted: DataFrame) -> DataFrame:
+    """The rows in the checkpoint folder, worked out once; without ``persist`` a checkpoint does so twice."""
+    try:
+        return persisted.checkpoint()
+    finally:
+        persisted.unpersist()
+
+
 def _let(value: Column, use) -> Column:
     """``use(value)`` with the value worked out once; inside lambdas Spark does not share it."""
     return F.transform(F.array(value), use)[0]

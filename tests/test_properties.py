@@ -231,3 +231,20 @@ def test_folded_backfill_refuses_and_takes_maps(spark, large, tmp_path):
     path = str(tmp_path / "dumps")
     spark.createDataFrame(data, kind).write.parquet(path)
     assert final_plan(backfill_history(spark.read.parquet(path), **options)).count("Exchange hashpartitioning") == 1
+
+
+def test_backfill_with_heavy_keys_reads_the_dumps_three_times(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    data = [(ts(t), k, t * k % 7) for t in range(4) for k in range(5)] + [(ts(3), 1, n) for n in range(20)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(data, 2).map(counted), "snapshot_time timestamp, k int, v int")
+    options = dict(key=["k"], times=[ts(t) for t in range(4)], system_time=ts(9), null_safe=False, unique=False)
+    out = rows(backfill_history(df, **options, fold_rows=5))
+    # Their number, the rows of heavy keys, and all others: however many dumps there are.
+    assert read.value == 3 * len(data)
+    assert out == rows(backfill_history(df, **options))
