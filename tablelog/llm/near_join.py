@@ -359,8 +359,9 @@ def _verified(pairs: DataFrame, rows: DataFrame, k: int, percent: int, storage:
     held = held.join(asked, F.col("set") == F.col("hash"), "left_semi")
     held = storage.table(held.groupBy("set").agg(F.first("tokens").alias("tokens")), f"{name}-tokens")
     wanted.unpersist()
-    full = pairs.join(held.select(F.col("set").alias("a"), F.col("tokens").alias("x")), "a")
-    full = full.join(held.select(F.col("set").alias("b"), F.col("tokens").alias("y")), "b")
+    # Sorted and merged: a few bytes of a pair's file are many in memory, so that sizes of files mislead Spark to broadcast.
+    full = pairs.join(held.select(F.col("set").alias("a"), F.col("tokens").alias("x")).hint("merge"), "a")
+    full = full.join(held.select(F.col("set").alias("b"), F.col("tokens").alias("y")).hint("merge"), "b")
     links = storage.table(full.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long"), f"{name}-links")
     storage.drop(f"{name}-tokens")
     return links
@@ -437,8 +438,9 @@ def _across(one: DataFrame, large: DataFrame, groups: DataFrame, done: DataFrame
     spots = storage.table(spots.join(mixed, "entry", "left_semi"), "mixed")
     # A set's own entries: as many as its prefix has combinations.
     held = spots.groupBy("set").agg(F.collect_set("entry").alias("held"))
-    spots = spots.join(held, "set")
-    x, y = spots.alias("x"), spots.alias("y")
+    # Merged, not broadcast, as in ``_verified``: the rows of an entry take next to nothing in the file.
+    spots = spots.join(held.hint("merge"), "set")
+    x, y = spots.alias("x"), spots.hint("merge").alias("y")
     n, r, m, s = (F.col(c) for c in ("x.n", "x.rare", "y.n", "y.rare"))
     most = F.least(n - r, m - s)
     union = F.greatest(n + m - most, n + s, m + r)
@@ -446,7 +448,7 @@ def _across(one: DataFrame, large: DataFrame, groups: DataFrame, done: DataFrame
     may &= (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (100 * most >= percent * union)
     may &= F.array_min(F.array_intersect("x.held", "y.held")) == F.col("x.entry")
     pairs = x.join(y, (F.col("x.entry") == F.col("y.entry")) & may).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+    return pairs.join(done.hint("merge"), ["a", "b"], "left_anti")
 
 
 def deduplicated(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -125,3 +125,16 @@ def test_components(spark):
             if a in parent and b in parent:
                 parent[a] = parent[b] = min(parent[a], parent[b])
     assert got == parent
+
+
+def test_tables_of_pairs_are_not_broadcast(spark):
+    """Rows of a large entry take next to nothing in a file, whose size says nothing about a broadcast."""
+    storage = Storage(spark, "test")
+    one = spark.createDataFrame([(i, 10, 0, [5, 6]) for i in range(8)], "set long, n long, rare long, pairs array<long>")
+    large = spark.createDataFrame([(5,), (6,)], "entry long")
+    linked = spark.createDataFrame([(i, 0) for i in range(4)], "node long, component long")
+    done = storage.table(spark.createDataFrame([(4, 5)], "a long, b long"), "done")
+    rest = near_join._across(one, large, linked, done, 90, storage)
+    assert "BroadcastHashJoin" not in rest._jdf.queryExecution().sparkPlan().toString()
+    want = {(a, b) for a in range(8) for b in range(a + 1, 8) if b > 3} - {(4, 5)}
+    assert sorted(map(tuple, rest.collect())) == sorted(want)
