@@ -62,6 +62,20 @@ def test_each_collection_is_a_file(spark, tmp_path, monkeypatch, name, purpose,
     assert sum(sizes) == 200 and len(sizes) == 7 > least and max(sizes) < 60
 
 
+def test_streamed_files_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    data = [(i, dt.datetime(2024, 1, 1 + i % 9), i % 40, "view", 0.5, "{}") for i in range(300)]
+    kind = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(data, kind).repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(files, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    got = QUERIES["stream_ledger_state"](spark, str(tmp_path))
+    batch = {i: 0 if i % 9 < 2 else 1 if i % 9 < 5 else 2 for i in range(300)}
+    least = {}
+    for i in range(300):
+        least[i % 40] = min(batch[i], least.get(i % 40, 2))
+    assert sorted(r["event_id"] for r in got.collect()) == [i for i in range(300) if batch[i] == least[i % 40]]
+    assert len(list((tmp_path / "states" / "raw").glob("part-*"))) > 2
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert {r["observed"] for r in df.select("observed").distinct().collect()} == {"I", "U", "D"}
