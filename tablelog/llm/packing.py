@@ -63,17 +63,14 @@ class WordPieceEncoder(PieceEncoder):
         ends = np.append(start[1:], len(data))
         raw = data.tobytes()
         texts = [raw[a:b].decode() for a, b in zip(start[new].tolist(), ends[new].tolist())]
-        ids, sizes = [self.ids], []
+        ids, sizes = [], []
         for a in range(0, len(texts), 16384):
             some = texts[a : a + 16384]
             found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             ids.append(np.array(found.ids, self.kind))
             of = np.array([-1 if w is None else w for w in found.word_ids], np.int64)
             sizes.append(np.bincount(of, minlength=len(some)))
-        size = np.concatenate(sizes)
-        spot = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate(ids)
-        self._hold(np.append(self.hashes, hashes[new]), np.append(self.spot, spot), np.append(self.size, size))
+        self.known.add(hashes[new], np.concatenate(sizes), ids)
 
 
 def encoder_of_worker(file: str) -> WordPieceEncoder:

@@ -37,6 +37,8 @@ from tablelog.llm.words import mix, piece_hashes, ranges, text_bytes
 #: Text of one shard, in bytes, and keys of one index bucket.
 SHARD_BYTES = 8 << 20
 BUCKET_KEYS = 2048
+#: Text that a task encodes in one step.
+STEP_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,80 @@ class TokenFiles:
 # --- encoding -----------------------------------------------------------------------------------
 
 
+class Pieces:
+    """Ids of pieces in the order in which these were learned, found by the hash of a piece.
+
+    Those of piece i are ``ids[start[i] : start[i + 1]]``. ``slots`` holds 1 + i at the place that the upper
+    bits of the hash name, or the next free one. New pieces are added behind the others, so that
+    nothing is sorted or copied but when an array is full.
+    """
+
+    def __init__(self, kind: np.dtype):
+        self.n = 0
+        self.hashes = np.zeros(0, np.uint64)
+        self.start = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, kind)
+        self.slots = np.zeros(1 << 16, np.int32)
+
+    def __len__(self) -> int:
+        return self.n
+
+    def _home(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 where it is not known."""
+        out = np.full(len(hashes), -1, np.int64)
+        rest, spot = np.arange(len(hashes) if self.n else 0), self._home(hashes)
+        while len(rest):
+            held = self.slots[spot]
+            other = self.hashes[held - 1] != hashes[rest]  # free slots are sorted out below
+            good = (held > 0) & ~other
+            out[rest[good]] = held[good] - 1
+            more = (held > 0) & other
+            rest, spot = rest[more], (spot[more] + 1) % len(self.slots)
+        return out
+
+    def add(self, hashes: np.ndarray, size: np.ndarray, parts: list[np.ndarray]) -> None:
+        """Pieces that are not known, each once, with all their ids in order."""
+        n, at = self.n + len(hashes), int(self.start[self.n])
+        self.hashes, self.start = _grown(self.hashes, n), _grown(self.start, n + 1)
+        self.ids = _grown(self.ids, at + int(size.sum()))
+        self.hashes[self.n : n] = hashes
+        self.start[self.n + 1 : n + 1] = at + np.cumsum(size)
+        for x in parts:
+            self.ids[at : at + len(x)] = x
+            at += len(x)
+        first, self.n = self.n, n
+        if 2 * n > len(self.slots):
+            self.slots = np.zeros(1 << (2 * n).bit_length(), np.int32)
+            first = 0
+        self._seat(np.arange(first, n))
+
+    def _seat(self, pieces: np.ndarray) -> None:
+        spot = self._home(self.hashes[pieces])
+        while len(pieces):
+            free = self.slots[spot] == 0
+            self.slots[spot[free]] = pieces[free] + 1  # one of several that want a slot has it
+            left = self.slots[spot] != pieces + 1
+            pieces, spot = pieces[left], (spot[left] + 1) % len(self.slots)
+
+    def forget(self, n: int) -> None:
+        """Keep the ``n`` pieces learned first, which are the frequent ones."""
+        self.n = n
+        self.slots[:] = 0
+        self._seat(np.arange(n))
+
+
+def _grown(held: np.ndarray, n: int) -> np.ndarray:
+    """The array with room for ``n`` values."""
+    if n <= len(held):
+        return held
+    out = np.empty(max(n, len(held) * 3 // 2), held.dtype)
+    out[: len(held)] = held
+    return out
+
+
 class PieceEncoder:
     """The ids of Arrow texts, by way of pieces that the tokenizer never merges over.
 
@@ -67,7 +143,6 @@ class PieceEncoder:
     """
 
     GAP = "\n\n"
-    SLOTS = 21
 
     def __init__(self, file: str, remembered: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -83,11 +158,7 @@ class PieceEncoder:
         plain = not any(self.GAP in x.content or (x.normalized and self.tokenizer.normalizer) for x in added)
         self.gap = gap[0] if alone and plain and '"ByteLevel"' in self.tokenizer.to_str() else None
         self.remembered = remembered
-        self.hashes = np.zeros(0, np.uint64)  # of known pieces, sorted
-        self.spot = np.zeros(0, np.int64)  # where the ids of each begin
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, self.kind)
-        self.slots = np.zeros(1 << self.SLOTS, np.int32)  # by upper bits, the place of one such piece
+        self.known = Pieces(self.kind)
 
     @staticmethod
     def of_worker(file: str) -> PieceEncoder:
@@ -121,28 +192,20 @@ class PieceEncoder:
         data, rows = text_bytes(column)
         start = np.flatnonzero(_cuts(data, rows))
         hashes = piece_hashes(data, start)
-        place = self._find(hashes)
+        place = self.known.find(hashes)
         new = np.flatnonzero(place < 0)
         if len(new):
             _, first = np.unique(hashes[new], return_index=True)
             self._learn(data, start, hashes, new[first])
-            place = self._find(hashes)
-        size = self.size[place]
-        ids = self.ids[ranges(self.spot[place], size)]
+            place[new] = self.known.find(hashes[new])
+        spot = self.known.start[place]
+        size = self.known.start[place + 1] - spot
+        ids = self.known.ids[ranges(spot, size)]
         at = np.append(0, np.cumsum(size))[np.searchsorted(start, rows)]
-        if len(self.hashes) > 2 * self.remembered:
-            self._forget()
+        if len(self.known) > 2 * self.remembered:
+            self.known.forget(self.remembered)
         return ids, at
 
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        place = self.slots[hashes >> np.uint64(64 - self.SLOTS)].astype(np.int64)
-        other = np.flatnonzero(self.hashes[place] != hashes)
-        spot = np.minimum(np.searchsorted(self.hashes, hashes[other]), len(self.hashes) - 1)
-        place[other] = np.where(self.hashes[spot] == hashes[other], spot, -1)
-        return place
-
     def _learn(self, data: np.ndarray, start: np.ndarray, hashes: np.ndarray, new: np.ndarray) -> None:
         ends = np.append(start[1:], len(data))
         raw = data.tobytes()
@@ -162,22 +225,7 @@ class PieceEncoder:
         rest = np.flatnonzero(~joined)
         for i, x in zip(rest, self.direct([texts[i] for i in rest])):
             parts[i] = x
-        size = np.array([len(x) for x in parts], np.int64)
-        spot = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, *parts])
-        self._hold(np.append(self.hashes, hashes[new]), np.append(self.spot, spot), np.append(self.size, size))
-
-    def _hold(self, hashes: np.ndarray, spot: np.ndarray, size: np.ndarray) -> None:
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.spot, self.size = hashes[order], spot[order], size[order]
-        self.slots[self.hashes >> np.uint64(64 - self.SLOTS)] = np.arange(len(self.hashes))
-
-    def _forget(self) -> None:
-        """Keep the pieces learned first, which are the frequent ones."""
-        kept = np.sort(np.argpartition(self.spot, self.remembered)[: self.remembered])
-        self.ids = self.ids[: int((self.spot[kept] + self.size[kept]).max())]
-        self.slots[:] = 0
-        self._hold(self.hashes[kept], self.spot[kept], self.size[kept])
+        self.known.add(hashes[new], np.array([len(x) for x in parts], np.int64), parts)
 
 
 _SPACE = np.zeros(256, bool)
@@ -352,6 +400,7 @@ def open_token_files(spark: SparkSession, path: str, width: int, buckets: int) -
 def _shard_writer(folder: str, tokenizer: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _files(folder)
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker had
         encoder = PieceEncoder.of_worker(tokenizer)
         shard = TaskContext.get().partitionId()
         fs.create_dir(root, recursive=True)
@@ -360,8 +409,8 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int):
 
         def payload(out) -> None:
             for batch in batches:
-                for a in range(0, batch.num_rows, 500):
-                    ids, at = encoder.encode(batch.column(1).slice(a, 500))
+                for texts in _steps(batch.column(1)):
+                    ids, at = encoder.encode(texts)
                     lengths.append(np.diff(at) + 1)
                     out.write(np.insert(ids, at[1:], end_id).tobytes())
                 keys.append(batch.column(0))
@@ -385,6 +434,17 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int):
     return write
 
 
+def _steps(texts: pa.Array) -> Iterator[pa.Array]:
+    """Some texts at a time, by their bytes."""
+    total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < len(texts):
+        before = total[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(total, before + STEP_BYTES, "right")))
+        yield texts.slice(a, b - a)
+        a = b
+
+
 def _again(first, rest):
     yield first
     yield from rest

@@ -94,3 +94,54 @@ def test_hash_is_perfect_and_minimal(n):
 
 def test_empty(documents):
     assert token_digests(documents([(1, "x")]).filter("false")).count() == 0
+
+
+def test_known_pieces_grow_in_place():
+    """Pieces are found by their hash while tables grow, share slots and forget; new ones move none of the others."""
+    rng = np.random.default_rng(4)
+    near = np.arange(1, 3001, dtype=np.uint64)  # all begin at the first slot
+    hashes = np.concatenate([near, rng.choice(1 << 62, 200_000, replace=False).astype(np.uint64) * np.uint64(4) + np.uint64(3)])
+    size = rng.integers(0, 4, len(hashes))
+    ids = [np.full(n, i % 65536, np.uint16) for i, n in enumerate(size)]
+    pieces = token_files.Pieces(np.dtype("<u2"))
+    assert pieces.find(hashes[:5]).tolist() == [-1] * 5
+    for a in range(0, len(hashes), 10_150):
+        b = a + 10_150
+        pieces.add(hashes[a:b], size[a:b], ids[a:b])
+        found = pieces.find(hashes)
+        assert (found[:b] == np.arange(len(hashes))[:b]).all() and (found[b:] == -1).all()
+    for i in (0, 2999, 3000, len(hashes) - 1):
+        assert pieces.ids[pieces.start[i] : pieces.start[i + 1]].tolist() == ids[i].tolist()
+    pieces.forget(5000)
+    assert len(pieces) == 5000 and (pieces.find(hashes) == np.where(np.arange(len(hashes)) < 5000, np.arange(len(hashes)), -1)).all()
+    pieces.add(hashes[9000:9001], size[9000:9001], ids[9000:9001])
+    assert pieces.find(hashes[9000:9001]).tolist() == [5000]
+    assert pieces.ids[pieces.start[5000] : pieces.start[5001]].tolist() == ids[9000].tolist()
+
+
+def test_memory_of_known_pieces_is_bounded(reference):
+    """While pieces are learned, an encoder takes little beyond its tables, which learning does not copy."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    encoder = token_files.PieceEncoder(tokenizer_path(), remembered=60_000)
+    words = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(1000))
+    for _ in range(110):
+        encoder.encode(pa.array([words()]))
+    assert len(encoder.known) > 100_000
+    tables = sum(x.nbytes for x in (encoder.known.hashes, encoder.known.start, encoder.known.ids, encoder.known.slots))
+    text = words()
+    tracemalloc.start()
+    encoder.encode(pa.array([text]))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert tables < 8_000_000 and peak < 2_000_000
+
+
+def test_steps_by_bytes(monkeypatch):
+    """A step has about so many bytes of text, and one text at least."""
+    monkeypatch.setattr(token_files, "STEP_BYTES", 10)
+    texts = pa.array(["x" * 50, "", "aaaa", "bbbb", None, "cccc", "é" * 9, "d"])
+    steps = [x.to_pylist() for x in token_files._steps(texts.fill_null(""))]
+    assert steps == [["x" * 50], ["", "aaaa", "bbbb", ""], ["cccc"], ["é" * 9], ["d"]]
+    assert list(token_files._steps(pa.array([], pa.string()))) == []
