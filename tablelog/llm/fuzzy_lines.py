@@ -10,8 +10,9 @@
    pairs are verified by the exact Jaccard similarity of all their character shingles, and linked
    lines form components.
 3. Lines of different components that share a band entry are paired and verified as well. In an
-   entry of many lines only those are paired that share one of their rarest shingles, which lines
-   that are near enough do, so that no pair is left out and templates with many fillings make few.
+   entry of many lines only those are paired that share one of their rarest shingles, with so few
+   rarer ones before it that enough may agree, which lines that are near enough do. So no pair is left
+   out, and templates with many fillings and lines with a long passage in common make few.
 4. Union-find gives the groups. The first line of each, by document and place, is kept.
 
 Shingles are hashed, sorted and compared in numpy (the native form did not meet the limits, see the
@@ -415,6 +416,13 @@ def _may(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _may_from(x: str, y: str, percent: int) -> Column:
+    """Whether sets can be as near as ``percent`` whose first shingle in common, in one order of all, has
+    ``rank`` rarer ones before it in each. Two near sets have such a row, that of this shingle."""
+    rest = lambda side: F.col(f"{side}.n").cast("long") - F.col(f"{side}.rank")
+    return (100 + percent) * F.least(rest(x), rest(y)) >= percent * (F.col(f"{x}.n").cast("long") + F.col(f"{y}.n"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     side = lambda end, line: texts.select(F.col("id").alias(end), F.col("line").alias(line))
     full = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
@@ -439,7 +447,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rarest(counts, percent: int):
-    """Of each line the rarest shingles, so many that lines as near as ``percent`` share one."""
+    """Of each line the rarest shingles in order, so many that lines as near as ``percent`` share one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.frombuffer(counts.value, np.int64)
@@ -453,7 +461,8 @@ def _rarest(counts, percent: int):
                 rank = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
                 kept = rank < (n - -(-percent * n // 100) + 1)[of]
                 ends = np.searchsorted(of[kept], np.arange(some.num_rows + 1))
-                yield pa.RecordBatch.from_arrays([some.column("id"), list_column(hashes[kept].view(np.int64), ends, pa.int64())], ["id", "rare"])
+                rare = list_column(hashes[kept].view(np.int64), ends, pa.int64())
+                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(n.astype(np.int32)), rare], ["id", "size", "rare"])
 
     return run
 
@@ -462,17 +471,18 @@ def _across(mixed: DataFrame, texts: DataFrame, percent: int, storage: Storage)
     """Pairs of lines in one entry but different components: all in small entries, those with a rare
     shingle in common in large ones."""
     wide = storage.table(texts.join(mixed.filter("large").select("id").distinct(), "id", "left_semi"), "large-entries")
-    spots = mixed.filter("not large").withColumn("token", F.lit(0).cast("long"))
+    head = ["band", "id", "component"]
+    spots = mixed.filter("not large").select(*head, "n", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("token"))
     if not wide.isEmpty():
         sums = wide.mapInArrow(_counted, "counts binary").repartition(8).mapInArrow(_summed, "counts binary").collect()  # 8 rows of fixed size
         total = sum(np.frombuffer(r["counts"], np.int64) for r in sums)
         counts = texts.sparkSession.sparkContext.broadcast(total.tobytes())
-        rare = storage.table(wide.mapInArrow(_rarest(counts, percent), "id long, rare array<long>"), "rare")
-        tokens = mixed.filter("large").join(rare, "id").select("band", "id", "n", "component", "large", F.explode("rare").alias("token"))
+        rare = storage.table(wide.mapInArrow(_rarest(counts, percent), "id long, size int, rare array<long>"), "rare")
+        tokens = mixed.filter("large").join(rare, "id").select(*head, F.col("size").alias("n"), F.posexplode("rare").alias("rank", "token"))
         spots = spots.unionByName(tokens)
     x, y = spots.alias("x"), spots.alias("y")
     same = (F.col("x.band") == F.col("y.band")) & (F.col("x.token") == F.col("y.token"))
-    apart = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & _may(F.col("x.n"), F.col("y.n"), percent)
+    apart = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & _may_from("x", "y", percent)
     return x.join(y, same & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 

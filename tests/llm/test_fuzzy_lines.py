@@ -117,6 +117,26 @@ def test_template_lines_make_few_pairs(documents, monkeypatch):
     assert seen[1] <= max(8 * seen[0], 2000)
 
 
+def test_lines_with_a_passage_in_common_make_few_pairs(documents, monkeypatch):
+    """Lines of similarity 0.7, whose rarest shingles are mostly their own, are not paired for those of the passage."""
+    made = []
+    plain = fuzzy_lines._across
+
+    def counted(*args):
+        out = plain(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "_across", counted)
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefghijklmnop") for _ in range(60))
+    lines = [passage + "".join(rng.choice("QRSTUVWXYZ0123456789") for _ in range(12)) for _ in range(200)]
+    near = [lines[0][:-1] + "!", lines[1][:-1] + "!"]
+    got = fuzzy_lines.line_groups(documents([(i, "\n".join((lines + near)[i::20])) for i in range(20)])).collect()
+    assert len({r["group"] for r in got}) == 200
+    assert made[0] < 1000
+
+
 def test_large_entries_lose_no_link(documents, monkeypatch):
     """The rare shingles of large entries against all pairs, with every entry large or none."""
     rng = random.Random(8)
