@@ -6,17 +6,20 @@
    of 15 to 60 shingles have 32 ranges in two orders of the hashes and 16 bands of four (0.9998), those
    of 8 to 22 half as many (0.996); short ones are candidates if all their shingles, or all but one,
    agree, which no pair of 0.8 fails.
-2. Equal lines are one line from here on. In each band entry all lines are paired with the least one;
-   pairs are verified by the exact Jaccard similarity of all their character shingles, and linked
-   lines form components.
-3. Lines of different components that share a band entry are paired and verified as well. In an
-   entry of many lines only those are paired that share one of their rarest shingles, with so few
-   rarer ones before it that enough may agree, which lines that are near enough do. So no pair is left
-   out, and templates with many fillings and lines with a long passage in common make few.
+2. Equal lines are one line from here on. A sketch of each has a bit for every hash of its shingles, turned
+   over by each shingle: two sketches differ in no more bits than the sets in shingles, so lines whose
+   sketches differ in too many cannot be near. In each band entry all lines are paired with the least
+   one; pairs that may be near are verified by the exact Jaccard similarity of all their character
+   shingles, and linked lines form components.
+3. Lines of different components that share a band entry and may be near are paired and verified as
+   well. The pairs of an entry are looked through in memory and only those leave a task that sketches
+   and sizes allow, so no link is left out, and templates with many fillings and lines with a long
+   passage in common make few pairs. An entry of very many lines is dealt to many tasks.
 4. Union-find gives the groups. The first line of each, by document and place, is kept.
 
 Shingles are hashed, sorted and compared in numpy (the native form did not meet the limits, see the
-README); joins, counts and union-find are Spark's.
+README); joins, counts and union-find are Spark's. Tables that have served are dropped, and entries are
+sent in as many passes as keep what is on disk at once in proportion to the input.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelog.llm.components import components, with_more_links
@@ -49,10 +52,17 @@ BUCKET_KEYS = 1 << 21
 ROW_KEYS = 128
 #: Bits of the filter of keys that two lines have, as a power of two: 16 MB in each task.
 FILTER_BITS = 27
-#: Lines of an entry that are all paired; in larger ones a rare shingle must be common.
-SMALL_ENTRY = 16
-#: Places of the counts by which shingles are called rare. Any order gives the same pairs.
-COUNTS = 1 << 18
+#: Bits of a sketch at least; lines of more shingles have as many bits as these, up to the next power of two.
+SKETCH_BITS = 512
+#: Lines of an entry that one task compares; a larger one is dealt out in blocks of so many, BLOCK at least.
+SMALL_ENTRY = 1 << 14
+BLOCK = 64
+#: Rows of entries sent in one pass: for each line, and at least.
+PASS_SHARE = 2
+PASS_ROWS = 1 << 20
+#: Rows and bytes that a task compares in one step, if entries end there; lines that one line is compared with by itself.
+COMPARED_ROWS, COMPARED_BYTES = 1 << 16, 1 << 24
+MANY = 256
 
 _WORD = r"[^\x20\x09-\x0D]"
 _LOW = np.uint64((1 << 40) - 1)
@@ -66,27 +76,19 @@ _TURN = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Lines:
-    """Lines with a word of some texts. row, place: which. start, end: in characters. Each character is
-    the number that its bytes make."""
+    """Lines with a word of some texts. row, place: which. start, end: in bytes."""
 
     def __init__(self, texts: pa.Array):
         self.data, rows = text_bytes(texts)
-        self.at = np.flatnonzero(self.data & 0xC0 != 0x80)  # first bytes of characters
-        size = np.diff(np.append(self.at, len(self.data)))
-        self.chars = self.data[self.at].astype(np.uint64)
-        for j in range(1, int(size.max(initial=1))):
-            more = np.flatnonzero(size > j)
-            self.chars[more] = (self.chars[more] << np.uint64(8)) | self.data[self.at[more] + j]
-        row_at = np.searchsorted(self.at, rows)
-        breaks = np.flatnonzero(self.chars == 10)
-        start = np.concatenate([row_at[:-1], breaks + 1])
-        row = np.concatenate([np.arange(len(rows) - 1), np.searchsorted(row_at, breaks, "right") - 1])
+        breaks = np.flatnonzero(self.data == 10)
+        start = np.concatenate([rows[:-1], breaks + 1])
+        row = np.concatenate([np.arange(len(rows) - 1), np.searchsorted(rows, breaks, "right") - 1])
         order = np.lexsort((start, row))
         start, row = start[order], row[order]
         last = np.append(row[1:] != row[:-1], True)
-        end = np.where(last, row_at[row + 1], np.append(start[1:], 0) - 1)
+        end = np.where(last, rows[row + 1], np.append(start[1:], 0) - 1)
         place = np.arange(len(row)) - np.searchsorted(row, row)
-        blank = (self.chars == 32) | ((self.chars >= 9) & (self.chars <= 13))
+        blank = (self.data == 32) | ((self.data >= 9) & (self.data <= 13))
         words = np.append(0, np.cumsum(~blank))
         kept = words[end] > words[start]
         self.row, self.place, self.start, self.end = row[kept], place[kept], start[kept], end[kept]
@@ -101,28 +103,45 @@ class Lines:
         return pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data.tobytes())]).cast(pa.string())
 
     def _bytes(self, some) -> tuple[np.ndarray, np.ndarray]:
-        edge = np.append(self.at, len(self.data))
-        a, b = edge[self.start[some]], edge[self.end[some]]
+        a, b = self.start[some], self.end[some]
         return self.data[ranges(a, b - a)], np.append(0, np.cumsum(b - a)).astype(np.int64)
 
     def shingles(self, some: slice) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all shingles of some lines with repeats, and the number of each line's."""
-        start, length = self.start[some], (self.end - self.start)[some]
-        a, b = (int(start[0]), int(self.end[some][-1])) if len(start) else (0, 0)
-        chars = np.append(self.chars[a:b], np.zeros(SHINGLE, np.uint64))
-        sums = np.zeros(b - a, np.uint64)
+        start, end = self.start[some], self.end[some]
+        a, b = (int(start[0]), int(end[-1])) if len(start) else (0, 0)
+        chars, before = _characters(self.data[a:b])
+        start = before[start - a]
+        length = before[end - a] - start
+        total = len(chars)
+        chars = np.append(chars, np.zeros(SHINGLE, np.uint64))
+        sums = np.zeros(total, np.uint64)
         for j in range(SHINGLE):
-            sums += chars[j : j + b - a] * _PLACE[j]
+            sums += chars[j : j + total] * _PLACE[j]
         size = np.maximum(length - SHINGLE + 1, 1)
         first = np.cumsum(size) - size
-        found = sums[ranges(start - a, size)]
+        found = sums[ranges(start, size)]
         for n in range(1, SHINGLE):  # a line shorter than a shingle is one, told from others by its length
             some_lines = np.flatnonzero(length == n)
-            at = start[some_lines] - a
+            at = start[some_lines]
             found[first[some_lines]] = sum(chars[at + j] * _PLACE[j] for j in range(n)) + mix(np.full(1, n, np.uint64))
         return _spread(found), size
 
 
+def _characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each character as the number that its bytes make, and the characters before each byte and the end."""
+    lead = (data & 0xC0) != 0x80
+    if lead.all():
+        return data.astype(np.uint64), np.arange(len(data) + 1)
+    at = np.flatnonzero(lead)  # first bytes of characters
+    size = np.diff(np.append(at, len(data)))
+    chars = data[at].astype(np.uint64)
+    for j in range(1, int(size.max(initial=1))):
+        more = np.flatnonzero(size > j)
+        chars[more] = (chars[more] << np.uint64(8)) | data[at[more] + j]
+    return chars, np.append(0, np.cumsum(lead))
+
+
 def _spread(sums: np.ndarray) -> np.ndarray:
     """Sums with random factors, which tell shingles apart, in an order that has nothing of theirs."""
     sums ^= sums >> np.uint64(32)
@@ -133,7 +152,7 @@ def _spread(sums: np.ndarray) -> np.ndarray:
 
 
 def _steps(line: Lines) -> Iterator[slice]:
-    """Some lines at a time, by their characters."""
+    """Some lines at a time, by their bytes."""
     total = np.cumsum(line.end - line.start)
     a = 0
     while a < len(total):
@@ -143,11 +162,12 @@ def _steps(line: Lines) -> Iterator[slice]:
         a = b
 
 
-def _distinct(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Line number and upper 40 bits of the hash, each distinct one once, in order."""
+def _distinct(hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Line number and upper 40 bits of the hash, each distinct one once, in order; how many each line has."""
     line = np.repeat(np.arange(len(size), dtype=np.uint64), size)
     both = np.sort((line << np.uint64(40)) | (hashes >> np.uint64(24)))
-    return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+    held = both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+    return held, np.bincount((held >> np.uint64(40)).astype(np.int64), minlength=len(size))
 
 
 def _bands(held: np.ndarray, bits: int, width: int, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,16 +182,14 @@ def _bands(held: np.ndarray, bits: int, width: int, order: int) -> tuple[np.ndar
     return line[first], mix(sums ^ mix(tag))
 
 
-def keys(hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The number of distinct shingles of each line, and (line, key) of all its keys.
+def keys(held: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of all keys of lines with so many distinct shingles each, as ``_distinct`` has them.
 
     The least hashes of all ranges are cut into bands, which are keys; where there are two orders of the
     hashes the same is done in the second. Of a short line all shingles are a key, and all but any
     one. Lines near a border of these have keys of both kinds.
     """
-    held = _distinct(hashes, size)
     line = (held >> np.uint64(40)).astype(np.int64)
-    n = np.bincount(line, minlength=len(size))
     found = []
     for (low, high), bits, width, orders in SIGNATURES:
         mine = held[((n >= low) & (n <= high))[line]]
@@ -188,7 +206,7 @@ def keys(hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         some = n[of] > 4
         found.append((of[some], mix(np.repeat(sums, n[of[first]]) - value)[some]))
     lines, values = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-    return n, lines, values
+    return lines, values
 
 
 def _text_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Lines]]:
@@ -204,18 +222,19 @@ def _text_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
 
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every line with a word, with its keys."""
+    """Every line with a word, with its keys, number of shingles and sketch."""
     for rows, lines in _text_steps(batches):
         ids = lines.ids()
         for some in _steps(lines):
-            n, of, values = keys(*lines.shingles(some))
+            held, n = _distinct(*lines.shingles(some))
+            of, values = keys(held, n)
             order = np.argsort(of, kind="stable")
             ends = np.searchsorted(of[order], np.arange(len(n) + 1))
             own = pa.array(lines.row[some])
             columns = [pa.array(ids[some]), *(rows.column(c).take(own) for c in ("doc_id", *ROW))]
             columns += [pa.array(lines.place[some].astype(np.int32)), pa.array(n.astype(np.int32))]
-            columns.append(list_column(values[order].view(np.int64), ends, pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, ["id", "doc_id", *ROW, "place", "n", "bands"])
+            columns += [_sketches(held, n), list_column(values[order].view(np.int64), ends, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "doc_id", *ROW, "place", "n", "sketch", "bands"])
 
 
 def _wanted_lines(flags, bits: int):
@@ -240,7 +259,7 @@ def _meets(held: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
 
 # --- band entries -------------------------------------------------------------------------------------
 
-_SENT = "bucket long, bands binary, ids binary, n binary"
+_SENT = "bucket long, bands binary, ids binary"
 
 
 def _blobs(values: np.ndarray, edges: np.ndarray) -> pa.Array:
@@ -262,33 +281,40 @@ def _sent(buckets: int):
             if not len(values):
                 continue
             times = np.diff(bands.offsets.to_numpy())
-            ids, n = np.repeat(batch.column("id").to_numpy(), times), np.repeat(batch.column("n").to_numpy(), times)
+            ids = np.repeat(batch.column("id").to_numpy(), times)
             bucket = (((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bucket = bucket[order]
             first = np.flatnonzero(np.diff(bucket, prepend=-1))
             rows = -(-np.diff(np.append(first, len(bucket))) // ROW_KEYS)
             edges = np.append(np.repeat(first, rows) + ROW_KEYS * ranges(np.zeros(len(rows), np.int64), rows), len(bucket))
-            blobs = [_blobs(x[order], edges) for x in (values, ids, n.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(bucket[first], rows)), *blobs], ["bucket", "bands", "ids", "n"])
+            blobs = [_blobs(x[order], edges) for x in (values, ids)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(bucket[first], rows)), *blobs], ["bucket", "bands", "ids"])
 
     return run
 
 
-def _least_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The least line of each key that two lines have; a task holds one row per key of a bucket."""
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that two lines have, with these lines. One row of each key has their number, the others 0.
+    A task holds one row per key of a bucket."""
+
+    def rows(bands: np.ndarray, ids: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(bands.view(np.int64)), pa.array(ids), pa.array(count)], ["band", "id", "lines"])
 
-    def settled(held: list) -> list:
-        bands, ids, n, count = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((ids, bands))
-        bands, ids, n, count = bands[order], ids[order], n[order], count[order]
-        first = np.flatnonzero(np.append(True, bands[1:] != bands[:-1]))
-        return [(bands[first], ids[first], n[first], np.add.reduceat(count, first))]
+    def settled(held: list) -> tuple[list, pa.RecordBatch]:
+        bands, ids, count = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(bands, kind="stable")
+        bands, ids, count = bands[order], ids[order], count[order]
+        new = np.append(True, bands[1:] != bands[:-1])
+        first = np.flatnonzero(new)
+        more = rows(bands[~new], ids[~new], np.zeros(len(bands) - len(first), np.int64))
+        return [(bands[first], ids[first], np.add.reduceat(count, first))], more
 
-    def done(held: list) -> pa.RecordBatch:
-        [(bands, ids, n, count)] = settled(held)
+    def done(held: list) -> Iterator[pa.RecordBatch]:
+        [(bands, ids, count)], more = settled(held)
         two = count > 1
-        return pa.RecordBatch.from_pydict({"band": pa.array(bands[two].view(np.int64)), "a": pa.array(ids[two]), "m": pa.array(n[two]), "lines": pa.array(count[two])})
+        yield more
+        yield rows(bands[two], ids[two], count[two])
 
     bucket, held, size, limit = None, [], 0, BUCKET_KEYS
     for batch in batches:
@@ -296,33 +322,19 @@ def _least_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.flatnonzero(np.append(True, np.diff(own) != 0))
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(own)]):
             if own[a] != bucket and held:
-                yield done(held)
+                yield from done(held)
                 held, size, limit = [], 0, BUCKET_KEYS
             bucket = own[a]
             bands = _numbers(batch.column("bands"), a, b, "<u8")
-            held.append((bands, _numbers(batch.column("ids"), a, b, "<i8"), _numbers(batch.column("n"), a, b, "<i4"), np.ones(len(bands), np.int64)))
+            held.append((bands, _numbers(batch.column("ids"), a, b, "<i8"), np.ones(len(bands), np.int64)))
             size += len(bands)
             if size >= limit:
-                held = settled(held)
+                held, more = settled(held)
+                yield more
                 size = len(held[0][0])
                 limit = max(BUCKET_KEYS, 2 * size)
     if held:
-        yield done(held)
-
-
-def _shared_keys(flags, bits: int):
-    """Lines by their keys, of those that meet a bit of the filter."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(flags.value, np.uint8)
-        for batch in batches:
-            bands = batch.column("bands")
-            values = bands.flatten().to_numpy()
-            kept = np.flatnonzero(_meets(held, values, bits))
-            of = pa.array(np.searchsorted(bands.offsets.to_numpy() - bands.offsets[0].as_py(), kept, "right") - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(values[kept]), batch.column("id").take(of), batch.column("n").take(of)], ["band", "id", "n"])
-
-    return run
+        yield from done(held)
 
 
 def _filter(spark, hashes: DataFrame, bits: int):
@@ -345,6 +357,161 @@ def _filter(spark, hashes: DataFrame, bits: int):
     return spark.sparkContext.broadcast(out.tobytes())
 
 
+# --- sketches and pairs -------------------------------------------------------------------------------
+
+
+def _sketches(held: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The sketches of lines, from line number and 40 bits of the hash of all distinct shingles, in order.
+    A smaller sketch is a larger one whose parts are laid over each other."""
+    line = (held >> np.uint64(40)).astype(np.int64)
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    ends = np.append(0, np.cumsum(bits))
+    place = (held & _LOW).astype(np.int64) & (bits - 1)[line]
+    place += ends[line]
+    first = np.append(0, np.cumsum(n))
+    parts, a = [np.zeros(0, np.uint8)], 0
+    while a < len(n):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + (1 << 20), "right")) - 1)
+        times = np.bincount(place[first[a] : first[b]] - ends[a], minlength=ends[b] - ends[a])
+        parts.append(np.packbits((times & 1).astype(bool), bitorder="little"))
+        a = b
+    return _blobs(np.concatenate(parts), ends // 8)
+
+
+def _words(sketches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words of 64 bits of all sketches, and where each begins (one more than sketches)."""
+    at = np.frombuffer(sketches.buffers()[1], np.int32)[sketches.offset : sketches.offset + len(sketches) + 1].astype(np.int64)
+    return _numbers(sketches, 0, len(sketches), "<u8"), (at - at[0]) // 8
+
+
+def _laid(data: np.ndarray, at: np.ndarray, some: np.ndarray, width: int) -> np.ndarray:
+    """The sketches of some lines in so many words, which none has less of."""
+    out = np.empty((len(some), width), np.uint64)
+    words = (at[1:] - at[:-1])[some]
+    for w in np.unique(words).tolist():
+        mine = np.flatnonzero(words == w)
+        parts = data[at[some[mine]][:, None] + np.arange(w)].reshape(len(mine), w // width, width)
+        out[mine] = np.bitwise_xor.reduce(parts, axis=1)
+    return out
+
+
+def _allowed(off: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can agree to ``percent`` if sketches differ in ``off`` bits. Sets differ in as
+    many shingles at least, but for one that 40 bits of the hash may hide."""
+    return (100 + percent) * (off.astype(np.int64) - 1) <= (100 - percent) * (n + m)
+
+
+def _stars(percent: int):
+    """Of entries in order of keys and lines, the pairs of the least line and each other that may be near."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is not None:
+                batch = pa.concat_batches([last, batch])
+            band, ids, n = (batch.column(c).to_numpy() for c in ("band", "id", "n"))
+            n = n.astype(np.int64)
+            data, at = _words(batch.column("sketch"))
+            first = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+            head = np.repeat(first, np.diff(np.append(first, len(band))))
+            y = np.flatnonzero((ids != ids[head]) & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head])))
+            x = head[y]
+            near = np.zeros(len(y), bool)
+            width = np.minimum(np.diff(at)[x], np.diff(at)[y])
+            for w in np.unique(width).tolist():
+                of = np.flatnonzero(width == w)
+                for a in range(0, len(of), COMPARED_ROWS):
+                    i, j = x[of[a : a + COMPARED_ROWS]], y[of[a : a + COMPARED_ROWS]]
+                    off = np.bitwise_count(_laid(data, at, i, w) ^ _laid(data, at, j, w)).sum(1, dtype=np.int64)
+                    near[of[a : a + COMPARED_ROWS]] = _allowed(off, n[i], n[j], percent)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[x[near]]), pa.array(ids[y[near]])], ["a", "b"])
+            last = batch.slice(int(first[-1]), 1)
+
+    return run
+
+
+def _near_in(entries: pa.RecordBatch, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the pairs of lines that may be near, in one entry but different components. Rows are in
+    order of entries and sizes."""
+    key, n, component = (entries.column(c).to_numpy() for c in ("key", "n", "component"))
+    n = n.astype(np.int64)
+    data, at = _words(entries.column("sketch"))
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    mixed = np.minimum.reduceat(component, first) < np.maximum.reduceat(component, first)
+    entry = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
+    rows = np.flatnonzero(mixed[entry])
+    words = np.diff(at)
+    for w in np.unique(words[rows]).tolist():
+        # Sets of w words have 64 w shingles at most; a pair is found with its smaller sketch.
+        some = rows[(words[rows] >= w) & (percent * n[rows] <= 6400 * w)]
+        size, of = n[some], component[some]
+        sketch = _laid(data, at, some, w)
+        order = entry[some] * (size.max() + 1) + size
+        most = np.minimum(100 * size // percent, size.max()) if percent else np.full(len(size), size.max())
+        end = np.searchsorted(order, order - size + most, "right")
+        many = end - np.arange(len(some)) - 1
+        many[words[some] != w] = 0
+        few = np.flatnonzero((many > 0) & (many <= MANY))
+        total = np.append(0, np.cumsum(many[few]))
+        a = 0
+        while a < len(few):
+            b = max(a + 1, int(np.searchsorted(total, total[a] + COMPARED_ROWS, "right")) - 1)
+            x, y = np.repeat(few[a:b], many[few[a:b]]), ranges(few[a:b] + 1, many[few[a:b]])
+            a = b
+            apart = of[x] != of[y]
+            x, y = x[apart], y[apart]
+            off = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+            near = _allowed(off, size[x], size[y], percent)
+            yield some[x[near]], some[y[near]]
+        long = np.flatnonzero(many > MANY).tolist()
+        turned = np.ascontiguousarray(sketch.T) if long else sketch
+        for i in long:
+            others = slice(i + 1, int(end[i]))
+            off = np.bitwise_count(turned[:, others] ^ turned[:, i : i + 1]).sum(0, dtype=np.int64)
+            near = np.flatnonzero(_allowed(off, size[others], size[i], percent) & (of[others] != of[i])) + i + 1
+            if len(near):
+                yield some[np.full(len(near), i)], some[near]
+
+
+def _mixed_pairs(percent: int):
+    """The pairs of ``_near_in``, the smaller id first. A task holds an entry."""
+
+    def pairs(entries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids = entries.column("id").to_numpy()
+        found, size = [], 0
+        for x, y in _near_in(entries, percent):
+            found.append((np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])))
+            size += len(x)
+            if size >= COMPARED_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
+                found, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, size, turns = [], 0, 0, 1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+            if rows >= turns * COMPARED_ROWS or size >= turns * COMPARED_BYTES:
+                whole = pa.concat_batches(held)
+                key = whole.column("key").to_numpy()
+                last = int(np.flatnonzero(np.append(True, key[1:] != key[:-1]))[-1])
+                if last:
+                    yield from pairs(whole.slice(0, last))
+                whole = whole.slice(last)
+                held, rows, size = [whole], whole.num_rows, whole.nbytes
+                turns = 1 if last else 2 * turns
+        if held:
+            yield from pairs(pa.concat_batches(held))
+
+    return run
+
+
 # --- verification -------------------------------------------------------------------------------------
 
 
@@ -376,7 +543,7 @@ def _near_overlap(x: pa.Array, y: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sides = []
     for texts in (x, y):
         lines = Lines(texts)
-        sides.append(_distinct(*lines.shingles(slice(0, len(lines.start)))))
+        sides.append(_distinct(*lines.shingles(slice(0, len(lines.start))))[0])
     both = np.sort(np.concatenate(sides))
     of = (both >> np.uint64(40)).astype(np.int64)
     common = np.bincount(of[1:][both[1:] == both[:-1]], minlength=len(x))
@@ -411,79 +578,72 @@ def _near(percent: int):
     return run
 
 
-def _may(n: Column, m: Column, percent: int) -> Column:
-    """Whether sets of these sizes can be as near as ``percent``."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
-
-
-def _may_from(x: str, y: str, percent: int) -> Column:
-    """Whether sets can be as near as ``percent`` whose first shingle in common, in one order of all, has
-    ``rank`` rarer ones before it in each. Two near sets have such a row, that of this shingle."""
-    rest = lambda side: F.col(f"{side}.n").cast("long") - F.col(f"{side}.rank")
-    return (100 + percent) * F.least(rest(x), rest(y)) >= percent * (F.col(f"{x}.n").cast("long") + F.col(f"{y}.n"))
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, percent: int, storage: Storage, name: str) -> DataFrame:
+    """The pairs that are near, as a table. Texts of the lines in pairs come from another look at the documents."""
+    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b"))
+    asked = storage.table(ends.distinct(), f"{name}-asked", clean=True)
+    flags = _filter(pairs.sparkSession, asked, FILTER_BITS)
+    texts = rows.select("text", "size").mapInArrow(_wanted_lines(flags, FILTER_BITS), "id long, line string")
+    texts = texts.dropDuplicates(["id"]).join(asked, "id", "left_semi")
+    texts = storage.table(texts, f"{name}-texts", clean=True)
+    flags.unpersist()
     side = lambda end, line: texts.select(F.col("id").alias(end), F.col("line").alias(line))
     full = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    return full.select("a", "b", "x", "y").mapInArrow(_near(percent), "a long, b long")
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(COUNTS, np.int64)
-    for batch in batches:
-        for a in range(0, batch.num_rows, 2000):
-            _, hashes = _sets(batch.column("line").slice(a, 2000))
-            total += np.bincount((hashes % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS)
-    yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(COUNTS, np.int64)
-    for batch in batches:
-        for blob in batch.column("counts").to_pylist():
-            total += np.frombuffer(blob, np.int64)
-    yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
-
-
-def _rarest(counts, percent: int):
-    """Of each line the rarest shingles in order, so many that lines as near as ``percent`` share one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.frombuffer(counts.value, np.int64)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                some = batch.slice(a, 2000)
-                of, hashes = _sets(some.column("line"))
-                order = np.lexsort((hashes, often[hashes % np.uint64(COUNTS)], of))
-                of, hashes = of[order], hashes[order]
-                n = np.bincount(of, minlength=some.num_rows)
-                rank = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-                kept = rank < (n - -(-percent * n // 100) + 1)[of]
-                ends = np.searchsorted(of[kept], np.arange(some.num_rows + 1))
-                rare = list_column(hashes[kept].view(np.int64), ends, pa.int64())
-                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(n.astype(np.int32)), rare], ["id", "size", "rare"])
-
-    return run
-
-
-def _across(mixed: DataFrame, texts: DataFrame, percent: int, storage: Storage) -> DataFrame:
-    """Pairs of lines in one entry but different components: all in small entries, those with a rare
-    shingle in common in large ones."""
-    wide = storage.table(texts.join(mixed.filter("large").select("id").distinct(), "id", "left_semi"), "large-entries")
-    head = ["band", "id", "component"]
-    spots = mixed.filter("not large").select(*head, "n", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("token"))
-    if not wide.isEmpty():
-        sums = wide.mapInArrow(_counted, "counts binary").repartition(8).mapInArrow(_summed, "counts binary").collect()  # 8 rows of fixed size
-        total = sum(np.frombuffer(r["counts"], np.int64) for r in sums)
-        counts = texts.sparkSession.sparkContext.broadcast(total.tobytes())
-        rare = storage.table(wide.mapInArrow(_rarest(counts, percent), "id long, size int, rare array<long>"), "rare")
-        tokens = mixed.filter("large").join(rare, "id").select(*head, F.col("size").alias("n"), F.posexplode("rare").alias("rank", "token"))
-        spots = spots.unionByName(tokens)
-    x, y = spots.alias("x"), spots.alias("y")
-    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.token") == F.col("y.token"))
-    apart = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & _may_from("x", "y", percent)
-    return x.join(y, same & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    out = storage.table(full.select("a", "b", "x", "y").mapInArrow(_near(percent), "a long, b long"), name, clean=True)
+    storage.drop(f"{name}-texts")
+    storage.drop(f"{name}-asked")
+    return out
+
+
+def _spots(lines: DataFrame, columns: list[str], turn: int, passes: int) -> DataFrame:
+    """Lines by their keys, of those keys whose turn it is."""
+    due = F.filter("bands", lambda x: F.pmod(x, F.lit(passes)) == turn) if passes > 1 else F.col("bands")
+    return lines.select(*columns, F.explode(due).alias("band"))
+
+
+def _first_pairs(lines: DataFrame, percent: int, storage: Storage, passes: int) -> DataFrame:
+    """Pairs of the least line of each entry and another one that may be near, as a table."""
+    out = []
+    for turn in range(passes):
+        spots = _spots(lines, ["id", "n", "sketch"], turn, passes).repartition("band").sortWithinPartitions("band", "id")
+        out.append(storage.table(spots.mapInArrow(_stars(percent), "a long, b long"), f"pairs-{turn}", clean=True))
+    pairs = storage.table(_together(out).distinct(), "pairs", clean=True)
+    for turn in range(passes):
+        storage.drop(f"pairs-{turn}")
+    return pairs
+
+
+def _together(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for x in tables[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def _across(named: DataFrame, large: DataFrame, percent: int, storage: Storage, passes: int = 1) -> DataFrame:
+    """Pairs of lines that may be near, in one entry but different components. named: lines with their
+    component and keys. large: ``(band, lines)`` of the entries that are dealt out in blocks."""
+    blocks = None
+    if not large.isEmpty():
+        # Two blocks meet in one task each; of entries with one component nothing is sent.
+        held = named.select("component", F.explode("bands").alias("band")).join(large, "band")
+        held = held.groupBy("band").agg((F.min("component") < F.max("component")).alias("mixed"), F.max("lines").alias("lines"))
+        count = F.ceil(F.col("lines") / max(SMALL_ENTRY, BLOCK))
+        blocks = storage.table(held.select("band", F.when(F.col("mixed"), count).otherwise(F.lit(0)).cast("long").alias("blocks")), "blocks", clean=True)
+    out = []
+    for turn in range(passes):
+        spots = _spots(named, ["id", "n", "component", "sketch"], turn, passes)
+        if blocks is None:
+            spots = spots.withColumnRenamed("band", "key")
+        else:
+            spots = spots.join(blocks, "band", "left").filter("blocks is null or blocks > 0")
+            own, other = F.pmod(F.xxhash64("id"), F.col("blocks")), F.col("other")
+            others = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+            key = F.when(F.col("blocks").isNull(), F.col("band")).otherwise(F.xxhash64("band", F.least(own, other), F.greatest(own, other)))
+            spots = spots.withColumn("other", F.explode(others)).select("id", "n", "component", "sketch", key.alias("key"))
+        spots = spots.repartition("key").sortWithinPartitions("key", "n")
+        out.append(storage.table(spots.mapInArrow(_mixed_pairs(percent), "a long, b long"), f"across-{turn}", clean=True))
+    return _together(out).distinct()
 
 
 def line_groups(docs: DataFrame, *, percent: int = 80, key: str = "doc_id", text: str = "text", storage: Storage | None = None) -> DataFrame:
@@ -494,48 +654,45 @@ def line_groups(docs: DataFrame, *, percent: int = 80, key: str = "doc_id", text
     whole = F.coalesce(column(docs, text), F.lit(""))
     rows = docs.select(column(docs, key).alias("doc_id"), *row_hashes(docs, key, text), whole.alias("text"), F.octet_length(whole).cast("long").alias("size"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    lines = rows.mapInArrow(_line_rows, f"id long, doc_id {kind}, {', '.join(f'{x} long' for x in ROW)}, place int, n int, bands array<long>")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", *ROW, "place", "n", "bands")
+    parts = f"{', '.join(f'{x} long' for x in ROW)}, place int, n int, sketch binary, bands array<long>"
+    lines = rows.mapInArrow(_line_rows, f"id long, doc_id {kind}, {parts}")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *ROW, "place", "n", "sketch", "bands")
     found = lines.groupBy("id").agg(F.min(order).alias("at"), F.count("*").alias("times"))
-    found = storage.table(found.select("id", "at.doc_id", *[f"at.{x}" for x in ROW], "at.place", "at.n", "at.bands", "times"), "lines", clean=True)
+    signed = found.select("id", "at.doc_id", *[f"at.{x}" for x in (*ROW, "place", "n", "sketch", "bands")], "times")
+    signed = storage.table(signed, "signed", clean=True)
 
-    total = found.agg(F.sum(F.size("bands"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_KEYS))
-    sent = found.select("id", "n", "bands").mapInArrow(_sent(buckets), _SENT)
+    total, distinct = signed.agg(F.sum(F.size("bands")), F.count("*")).first()
+    buckets = max(1, -(-(total or 0) // BUCKET_KEYS))
+    sent = signed.select("id", "bands").mapInArrow(_sent(buckets), _SENT)
     sent = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    least = storage.table(sent.mapInArrow(_least_lines, "band long, a long, m int, lines long"), "least", clean=True)
-    flags = _filter(spark, least.select("band"), FILTER_BITS)
-    spots = found.select("id", "n", "bands").mapInArrow(_shared_keys(flags, FILTER_BITS), "band long, id long, n int")
-    large = F.col("lines") > SMALL_ENTRY
-    entries = storage.table(spots.join(least, "band").select("band", "id", "n", "a", "m", large.alias("large")), "entries", clean=True)
-    flags.unpersist()
-    storage.drop("least")
-    pairs = entries.filter((F.col("id") != F.col("a")) & _may(F.col("n"), F.col("m"), percent))
-    pairs = storage.table(pairs.select("a", F.col("id").alias("b")).distinct(), "pairs", clean=True)
-    entries = entries.drop("a", "m")
-
-    # Texts of the lines in entries, from a second look at the documents.
-    asked = storage.table(entries.select("id").distinct(), "asked")
-    flags = _filter(spark, asked, FILTER_BITS)
-    texts = rows.select("text", "size").mapInArrow(_wanted_lines(flags, FILTER_BITS), "id long, line string")
-    texts = storage.table(texts.join(asked, "id", "left_semi").dropDuplicates(["id"]), "texts", clean=True)
-    flags.unpersist()
-    storage.drop("asked")
+    entries = storage.table(sent.mapInArrow(_shared, "band long, id long, lines long"), "entries", clean=True)
+    passes = max(1, -(-entries.count() // max(PASS_SHARE * distinct, PASS_ROWS)))
+    large = storage.table(entries.filter(F.col("lines") > SMALL_ENTRY).select("band", "lines"), "large")
+
+    # From here on keys and sketches of lines in entries only.
+    asked = entries.groupBy("id").agg(F.collect_set("band").alias("bands"))
+    lines = storage.table(signed.select("id", "n", "sketch").join(asked, "id"), "sketches", clean=True)
+    found = storage.table(signed.drop("n", "sketch", "bands"), "lines")
+    storage.drop("signed")
+    storage.drop("entries")
 
-    links = storage.table(_verified(pairs, texts, percent), "links", clean=True)
+    pairs = _first_pairs(lines, percent, storage, passes)
+    links = _verified(pairs, rows, percent, storage, "links")
     groups = components(links, storage, "first-stars")
-    spots = entries.join(groups, F.col("id") == F.col("node"), "left").select("band", "id", "n", "large", F.coalesce("component", "id").alias("component"))
-    mixed = spots.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
-    mixed = storage.table(spots.join(mixed, "band"), "mixed", clean=True)
-    storage.drop("entries")
-    more = _across(mixed, texts, percent, storage).join(pairs, ["a", "b"], "left_anti")
+    storage.drop("links")
+    named = lines.join(groups, F.col("id") == F.col("node"), "left")
+    named = named.select("id", "n", "sketch", "bands", F.coalesce("component", "id").alias("component"))
+    named = storage.table(named, "named", clean=True)
+    storage.drop("sketches")
+    more = _across(named, large, percent, storage, passes).join(pairs, ["a", "b"], "left_anti")
     more = storage.table(more, "more-pairs", clean=True)
-    storage.drop("pairs")
-    storage.drop("mixed")
+    for name in ("pairs", "named", "large", "blocks", *(f"across-{turn}" for turn in range(passes))):
+        storage.drop(name)
     if not more.isEmpty():
-        links = storage.table(_verified(more, texts, percent), "more-links", clean=True)
+        links = _verified(more, rows, percent, storage, "more-links")
         groups = with_more_links(groups, links, storage, "more-stars")
-    storage.drop("texts")
+        storage.drop("more-links")
+    storage.drop("more-pairs")
     out = found.join(groups, F.col("id") == F.col("node"), "left")
     return out.select("id", F.coalesce("component", "id").alias("group"), *ROW, "doc_id", "place", "times")
 

@@ -1,9 +1,13 @@
+import os
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablelog.llm import fuzzy_lines
+from tablelog.llm.storage import Storage
 from tests.llm.conftest import ODD, prose
 
 
@@ -137,6 +141,94 @@ def test_lines_with_a_passage_in_common_make_few_pairs(documents, monkeypatch):
     assert made[0] < 1000
 
 
+def test_lines_with_parts_in_common_make_few_pairs(documents, monkeypatch):
+    """Lines of similarity 0.64 that share even their rarest shingles, each with many others."""
+    made = []
+    plain = fuzzy_lines._across
+
+    def counted(*args):
+        out = plain(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "_across", counted)
+    rng = random.Random(10)
+    part = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    middle, left, right = part(50), [part(20) for _ in range(20)], [part(20) for _ in range(20)]
+    lines = [x + middle + y for x in left for y in right]
+    near = [lines[0][:-1] + "!", lines[1][:-1] + "!"]
+    got = fuzzy_lines.line_groups(documents([(i, "\n".join((lines + near)[i::20])) for i in range(20)])).collect()
+    assert len({r["group"] for r in got}) == 400
+    assert made[0] < 400
+
+
+def edited(rng, sizes):
+    """Lines and copies of them with few or many edits."""
+    lines = set()
+    for n in sizes:
+        x = [rng.choice("abcdefgh ") for _ in range(n)]
+        for edits in (0, 1, max(1, n // 60), n // 20, n // 5):
+            y = list(x)
+            for _ in range(edits):
+                y[rng.randrange(len(y))] = rng.choice("XYZ")
+            lines.add("".join(y).strip() or "x")
+    return sorted(lines)
+
+
+def test_sketches_lose_no_near_pair(monkeypatch):
+    """Pairs by sketches against all pairs, for sketches of different sizes and every way of comparing them."""
+    rng = random.Random(12)
+    lines = edited(rng, [rng.choice([6, 12, 30, 70, 300, 500, 540, 700, 1000, 1100, 2300]) + rng.randint(0, 5) for _ in range(60)])
+    parsed = fuzzy_lines.Lines(pa.array(lines))
+    held, n = fuzzy_lines._distinct(*parsed.shingles(slice(0, len(lines))))
+    sets = [shingles(x) for x in lines]
+    assert n.tolist() == [len(x) for x in sets]
+    near = {(i, j) for j in range(len(lines)) for i in range(j) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    same = {(i, j) for i, j in near if rng.random() < 0.2}  # one component
+    component = np.arange(len(lines))
+    for i, j in sorted(same):
+        component[component == component[j]] = component[i]
+    rows = pa.table({"n": pa.array(n.astype(np.int32)), "component": pa.array(component), "sketch": fuzzy_lines._sketches(held, n)})
+    columns = {}
+    for key, own in enumerate((range(len(lines)), range(0, len(lines), 3), [5], range(20, 40))):
+        own = np.array(sorted(own, key=lambda i: n[i]))
+        some = rows.take(pa.array(own)).append_column("id", pa.array(own)).append_column("key", pa.array(np.full(len(own), key - 2)))
+        for c in some.column_names:
+            columns.setdefault(c, []).extend(some[c].to_pylist())
+    types = {"n": pa.int32(), "sketch": pa.binary()}
+    entries = pa.RecordBatch.from_pydict({c: pa.array(x, types.get(c, pa.int64())) for c, x in columns.items()})
+    want = {(i, j) for i, j in near if component[i] != component[j]}
+    for many, step in ((4, 16), (4, 10**6), (10**6, 16), (10**6, 10**6)):
+        monkeypatch.setattr(fuzzy_lines, "MANY", many)
+        monkeypatch.setattr(fuzzy_lines, "COMPARED_ROWS", step)
+        got = set()
+        for batch in fuzzy_lines._mixed_pairs(80)(iter([entries.slice(a, 50) for a in range(0, entries.num_rows, 50)])):
+            got |= set(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+        assert want <= got and len(got) <= 2 * len(want)
+        assert all(component[i] != component[j] for i, j in got)
+    stars = entries.rename_columns([{"key": "band"}.get(c, c) for c in entries.schema.names])
+    stars = stars.take(pa.array(sorted(range(stars.num_rows), key=lambda i: (columns["key"][i], columns["id"][i]))))
+    got = set()
+    for batch in fuzzy_lines._stars(80)(iter([stars.slice(a, 50) for a in range(0, stars.num_rows, 50)])):
+        got |= set(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+    assert {(i, j) for i, j in near if i in (0, 20)} <= got and {i for i, _ in got} <= {0, 20}
+
+
+def test_passes_and_blocks_lose_no_link(documents, monkeypatch):
+    """Keys sent in many passes and entries dealt out in blocks give the same groups; little stays on disk."""
+    lines = edited(random.Random(13), [60] * 30 + [25] * 10)
+    df = documents([(i, "\n".join(lines[i::10])) for i in range(10)])
+    groups = []
+    for share, rows, small, block in ((2, 1 << 20, 1 << 14, 64), (1, 1, 1 << 14, 64), (4, 1, 4, 3)):
+        for name, value in (("PASS_SHARE", share), ("PASS_ROWS", rows), ("SMALL_ENTRY", small), ("BLOCK", block)):
+            monkeypatch.setattr(fuzzy_lines, name, value)
+        storage = Storage(df.sparkSession, "passes")
+        groups.append({r["id"]: r["group"] for r in fuzzy_lines.line_groups(df, storage=storage).collect()})
+        assert {x for x in os.listdir(storage.path.removeprefix("file:")) if "stars" not in x} == {"lines"}
+    assert groups[0] == groups[1] == groups[2]
+    assert len(set(groups[0].values())) < len(groups[0])
+
+
 def test_large_entries_lose_no_link(documents, monkeypatch):
     """The rare shingles of large entries against all pairs, with every entry large or none."""
     rng = random.Random(8)
