@@ -9,7 +9,7 @@
 2. Equal lines are one line from here on. A sketch of each has a bit for every hash of its shingles, turned
    over by each shingle: two sketches differ in no more bits than the sets in shingles, so lines whose
    sketches differ in too many cannot be near. In each band entry all lines are paired with the least
-   one; pairs that may be near are verified by the exact Jaccard similarity of all their character
+   one, in a large one with some more; pairs that may be near are verified by the exact Jaccard similarity of all their character
    shingles, and linked lines form components.
 3. Lines of different components that share a band entry and may be near are paired and verified as
    well. The pairs of an entry are looked through in memory and only those leave a task that sketches
@@ -52,11 +52,15 @@ BUCKET_KEYS = 1 << 21
 ROW_KEYS = 128
 #: Bits of the filter of keys that two lines have, as a power of two: 16 MB in each task.
 FILTER_BITS = 27
-#: Bits of a sketch at least; lines of more shingles have as many bits as these, up to the next power of two.
+#: Bits of a sketch at least; long lines have a power of two that is one and a half times their shingles or more.
 SKETCH_BITS = 512
 #: Lines of an entry that one task compares; a larger one is dealt out in blocks of so many, BLOCK at least.
 SMALL_ENTRY = 1 << 14
 BLOCK = 64
+#: Lines of an entry that has centres besides its least line; centres of a line, centres in a row without lines,
+#: and lines that one without a centre is paired with.
+CROWD = 64
+CENTRES, IDLE_CENTRES, NEAREST = 4, 16, 2
 #: Rows of entries sent in one pass: for each line, and at least.
 PASS_SHARE = 2
 PASS_ROWS = 1 << 20
@@ -364,7 +368,7 @@ def _sketches(held: np.ndarray, n: np.ndarray) -> pa.Array:
     """The sketches of lines, from line number and 40 bits of the hash of all distinct shingles, in order.
     A smaller sketch is a larger one whose parts are laid over each other."""
     line = (held >> np.uint64(40)).astype(np.int64)
-    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(1.5 * np.maximum(n, 1))).astype(np.int64))
     ends = np.append(0, np.cumsum(bits))
     place = (held & _LOW).astype(np.int64) & (bits - 1)[line]
     place += ends[line]
@@ -401,8 +405,41 @@ def _allowed(off: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.
     return (100 + percent) * (off.astype(np.int64) - 1) <= (100 - percent) * (n + m)
 
 
+def _centred(sketch: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of lines of one entry that are likely to be near: each line that none is near so far is a centre, and
+    is paired with others that have few centres yet; lines that get none are paired with those most like
+    them. Where a group has no line that is near all others, this leaves few of it in other components;
+    it may leave some."""
+    bits = 64 * sketch.shape[1]
+    seen, times, idle, out = np.zeros(len(n), bool), np.zeros(len(n), np.int64), 0, [(np.zeros(0, np.int64),) * 2]
+    while idle < IDLE_CENTRES and not seen.all():
+        centre = int(np.argmin(seen))
+        off = np.bitwise_count(sketch ^ sketch[centre]).sum(1, dtype=np.int64)
+        # Bits that shingles have turned back are added by their expected number.
+        differ = -0.5 * bits * np.log1p(-2 * np.minimum(off, bits // 2 - 1) / bits)
+        near = (2 * off < bits) & ((100 + percent) * differ <= (100 - percent) * (n + n[centre]))
+        seen[centre], near[centre] = True, False
+        seen |= near
+        y = np.flatnonzero(near & (times < CENTRES))
+        times[y] += 1
+        idle = 0 if len(y) else idle + 1
+        out.append((np.full(len(y), centre), y))
+    alone = np.ones(len(n), bool)
+    for x in out:
+        alone[np.concatenate(x)] = False
+    for i in np.flatnonzero(alone).tolist():
+        off = np.bitwise_count(sketch ^ sketch[i]).sum(1, dtype=np.int64)
+        may = _allowed(off, n, n[i], percent)
+        may[i] = False
+        y = np.flatnonzero(may)
+        y = y[np.argsort(off[y] / (n[y] + n[i]), kind="stable")[:NEAREST]]
+        out.append((np.full(len(y), i), y))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def _stars(percent: int):
-    """Of entries in order of keys and lines, the pairs of the least line and each other that may be near."""
+    """Of entries in order of keys and lines, the pairs of the least line and each other that may be near, and in
+    large ones those of some more centres."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -427,6 +464,11 @@ def _stars(percent: int):
                     off = np.bitwise_count(_laid(data, at, i, w) ^ _laid(data, at, j, w)).sum(1, dtype=np.int64)
                     near[of[a : a + COMPARED_ROWS]] = _allowed(off, n[i], n[j], percent)
             yield pa.RecordBatch.from_arrays([pa.array(ids[x[near]]), pa.array(ids[y[near]])], ["a", "b"])
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(band)]):
+                if b - a > CROWD:
+                    x, y = _centred(_laid(data, at, np.arange(a, b), int(np.diff(at)[a:b].min())), n[a:b], percent)
+                    x, y = ids[a + x], ids[a + y]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             last = batch.slice(int(first[-1]), 1)
 
     return run

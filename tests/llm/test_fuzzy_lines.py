@@ -208,12 +208,43 @@ def test_sketches_lose_no_near_pair(monkeypatch):
         assert all(component[i] != component[j] for i, j in got)
     stars = entries.rename_columns([{"key": "band"}.get(c, c) for c in entries.schema.names])
     stars = stars.take(pa.array(sorted(range(stars.num_rows), key=lambda i: (columns["key"][i], columns["id"][i]))))
+    monkeypatch.setattr(fuzzy_lines, "CROWD", 10**6)
     got = set()
     for batch in fuzzy_lines._stars(80)(iter([stars.slice(a, 50) for a in range(0, stars.num_rows, 50)])):
         got |= set(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
     assert {(i, j) for i, j in near if i in (0, 20)} <= got and {i for i, _ in got} <= {0, 20}
 
 
+def test_group_without_a_middle_makes_few_pairs(documents, monkeypatch):
+    """Copies of a line with few and many edits, of which the least is near some only: most are found to be one
+    group before lines of different components are paired."""
+    made = []
+    plain = fuzzy_lines._across
+
+    def counted(*args):
+        out = plain(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "_across", counted)
+    rng = random.Random(14)
+    base = [rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300)]
+    lines = set()
+    for _ in range(500):
+        x = list(base)
+        for i in rng.sample(range(300), rng.choice([2, 5, 8, 9, 9, 9])):
+            x[i] = rng.choice("0123456789")
+        lines.add("".join(x).strip())
+    lines = sorted(lines)
+    df = documents([(i, "\n".join(lines[i::10])) for i in range(10)])
+    groups = []
+    for crowd in (10**6, 16):
+        monkeypatch.setattr(fuzzy_lines, "CROWD", crowd)
+        groups.append({r["id"]: r["group"] for r in fuzzy_lines.line_groups(df).collect()})
+    assert groups[0] == groups[1]
+    assert made[0] > 1000 and made[1] < made[0] / 4
+
+
 def test_passes_and_blocks_lose_no_link(documents, monkeypatch):
     """Keys sent in many passes and entries dealt out in blocks give the same groups; little stays on disk."""
     lines = edited(random.Random(13), [60] * 30 + [25] * 10)
